@@ -536,3 +536,231 @@ def q_scheme_search(spark, sf_dir):
         rx("p_name", "gizmo"),
     ]
     return P.scheme_search(S.table(spark, sf_dir, "part"), levels, ["p_partkey", "p_name", "p_brand", "p_type"])
+
+
+# --------------------------------------------------------------------------
+# Metadata (part as the scheme list)
+# --------------------------------------------------------------------------
+
+from fundspark.operators import master as M  # noqa: E402
+from fundspark.operators import metadata as MD  # noqa: E402
+from fundspark.operators import nav as N  # noqa: E402
+
+_META_COLS = [
+    "amc_name", "scheme_code", "scheme_name", "scheme_type", "scheme_category", "scheme_nav_name",
+    "minimum_amount", "launch_date", "closure_date", "isin_growth", "isin_dividend",
+    "scheme_category_level1", "scheme_category_level2", "is_direct", "is_growth_plan",
+]
+
+
+@register("clean_metadata", f"WITH {S.PART_METADATA_SQL} SELECT {', '.join(_META_COLS)} FROM meta")
+def q_clean_metadata(spark, sf_dir):
+    return S.part_metadata(spark, sf_dir).select(*_META_COLS)
+
+
+@register(
+    "category_levels",
+    f"WITH {S.PART_METADATA_SQL} SELECT scheme_code, scheme_category, scheme_category_level1, scheme_category_level2 FROM meta",
+)
+def q_category_levels(spark, sf_dir):
+    raw = S.part_metadata_raw(spark, sf_dir).select(
+        F.col("Code").alias("scheme_code"), F.nullif(F.trim("Scheme Category"), F.lit("")).alias("scheme_category")
+    )
+    return MD.category_levels(raw, rules=S.PART_LEVEL1_RULES)
+
+
+@register(
+    "plan_flags",
+    f"WITH {S.PART_METADATA_SQL} SELECT scheme_code, scheme_nav_name, is_direct, is_growth_plan FROM meta",
+)
+def q_plan_flags(spark, sf_dir):
+    raw = S.part_metadata_raw(spark, sf_dir).select(
+        F.col("Code").alias("scheme_code"), F.col("Scheme NAV Name").alias("scheme_nav_name")
+    )
+    return MD.plan_flags(raw, direct=S.PART_DIRECT, growth=S.PART_GROWTH, non_growth=S.PART_NON_GROWTH)
+
+
+@register(
+    "validate_metadata",
+    f"""WITH {S.PART_METADATA_SQL}
+    SELECT COUNT(*) AS "rows", COUNT(DISTINCT scheme_code) AS distinct_codes, COUNT(DISTINCT amc_name) AS distinct_amcs,
+           COUNT(*) FILTER (WHERE scheme_code IS NULL) AS null_codes,
+           COUNT(*) - COUNT(DISTINCT scheme_code) - CASE WHEN COUNT(*) FILTER (WHERE scheme_code IS NULL) > 0 THEN 1 ELSE 0 END
+             AS duplicate_codes,
+           '' AS missing_columns, COUNT(*) > 0 AS valid
+    FROM meta""",
+)
+def q_validate_metadata(spark, sf_dir):
+    return MD.validate_metadata(S.part_metadata(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Enrichment, combined and analytical tables
+# --------------------------------------------------------------------------
+
+_ENRICH_SQL = f"""WITH {S.PART_METADATA_SQL},
+  nav AS (SELECT CAST(l_partkey AS VARCHAR) AS scheme_code, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS nav FROM lineitem)
+  SELECT DISTINCT nav.*, {', '.join('m.' + c for c in N.ENRICH_COLUMNS)}
+  FROM nav JOIN (SELECT * FROM meta WHERE is_growth_plan) m USING (scheme_code)
+  WHERE nav.nav IS NOT NULL"""
+
+
+def _lineitem_nav_by_part(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_partkey").cast("string").alias("scheme_code"),
+        F.to_date("l_shipdate").alias("date"),
+        F.col("l_extendedprice").alias("nav"),
+    )
+
+
+@register("enrich_distinct", _ENRICH_SQL)
+def q_enrich_distinct(spark, sf_dir):
+    return N.enrich_nav(_lineitem_nav_by_part(spark, sf_dir), S.part_metadata(spark, sf_dir))
+
+
+_SPLIT = ("1996-01-01", "1998-12-31")  # historical up to the second date, daily from the first
+
+
+@register(
+    "combined_table",
+    f"""SELECT DISTINCT * FROM (
+      SELECT * FROM ({S.NAV_RAW_SQL}) WHERE date <= DATE '{_SPLIT[1]}'
+      UNION ALL
+      SELECT * FROM ({S.NAV_RAW_SQL}) WHERE date >= DATE '{_SPLIT[0]}')""",
+)
+def q_combined_table(spark, sf_dir):
+    raw = S.nav_raw(spark, sf_dir)
+    hist = raw.filter(F.col("date") <= F.lit(_SPLIT[1]).cast("date"))
+    daily = raw.filter(F.col("date") >= F.lit(_SPLIT[0]).cast("date"))
+    return N.combine_nav(hist, daily)
+
+
+@register(
+    "analytical_dataset",
+    f"""WITH d AS ({S.DAILY_SQL}), info AS ({S.FUND_INFO_SQL}),
+    m AS (SELECT s_suppkey AS scheme_code, make_date(1990 + s_nationkey, 1, 1) AS launch_date, s_acctbal AS minimum_amount FROM supplier),
+    e AS (SELECT d.*, info.scheme_name, info.scheme_category, info.amc_name FROM d JOIN info USING (scheme_code))
+    SELECT e.*, m.launch_date, m.minimum_amount,
+           ROUND(nav / LAG(nav) OVER (PARTITION BY e.scheme_code ORDER BY date) - 1, 6) AS nav_change_pct,
+           CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
+    FROM e LEFT JOIN m USING (scheme_code)""",
+)
+def q_analytical_dataset(spark, sf_dir):
+    enriched = S.daily(spark, sf_dir).join(S.fund_info(spark, sf_dir), "scheme_code", "inner")
+    sup = S.table(spark, sf_dir, "supplier")
+    meta = sup.select(
+        F.col("s_suppkey").alias("scheme_code"),
+        F.make_date(F.lit(1990) + F.col("s_nationkey"), F.lit(1), F.lit(1)).alias("launch_date"),
+        F.col("s_acctbal").alias("minimum_amount"),
+    )
+    return r6(N.analytical_dataset(enriched, meta), ["nav_change_pct"])
+
+
+# --------------------------------------------------------------------------
+# Master table (customers with orders in two overlapping windows)
+# --------------------------------------------------------------------------
+
+_AS_OF = {"existing": "1998-01-01", "latest": "2000-01-01"}
+_MASTER_OUT = [
+    "scheme_code", "scheme_name", "amc_name", "launch_date", "orders_in_window",
+    "first_seen_date", "last_seen_date", "is_active", "attribute_last_updated",
+]
+
+
+def _master_initial_sql(which):
+    d = _AS_OF[which]
+    return f"""SELECT *, COALESCE(launch_date, DATE '{d}') AS first_seen_date, DATE '{d}' AS last_seen_date,
+               TRUE AS is_active, DATE '{d}' AS attribute_last_updated FROM ({S.customer_snapshot_sql(which)})"""
+
+
+_MERGE_SQL = f"""WITH e AS ({_master_initial_sql('existing')}), l AS ({S.customer_snapshot_sql('latest')}),
+  j AS (SELECT e.scheme_code AS ek, e.scheme_name AS en, e.amc_name AS ea, e.launch_date AS el, e.orders_in_window AS eo,
+               e.first_seen_date AS ef, e.last_seen_date AS els, e.attribute_last_updated AS eu, e.scheme_code IS NOT NULL AS in_e,
+               l.scheme_code AS lk, l.scheme_name AS ln, l.amc_name AS la, l.launch_date AS ll, l.orders_in_window AS lo,
+               l.scheme_code IS NOT NULL AS in_l
+        FROM e FULL OUTER JOIN l ON e.scheme_code IS NOT DISTINCT FROM l.scheme_code),
+  master AS (
+  SELECT CASE WHEN in_l THEN lk ELSE ek END AS scheme_code,
+         CASE WHEN in_l THEN ln ELSE en END AS scheme_name,
+         CASE WHEN in_l THEN la ELSE ea END AS amc_name,
+         CASE WHEN in_l THEN ll ELSE el END AS launch_date,
+         CASE WHEN in_l THEN lo ELSE eo END AS orders_in_window,
+         CASE WHEN in_l AND in_e THEN ef WHEN in_l THEN COALESCE(ll, DATE '{_AS_OF['latest']}') ELSE ef END AS first_seen_date,
+         CASE WHEN in_l THEN DATE '{_AS_OF['latest']}' ELSE els END AS last_seen_date,
+         in_l AS is_active,
+         CASE WHEN in_l THEN DATE '{_AS_OF['latest']}' ELSE eu END AS attribute_last_updated
+  FROM j)"""
+
+
+def _merged(spark, sf_dir):
+    existing = M.build_initial_master(S.customer_snapshot(spark, sf_dir, "existing"), _AS_OF["existing"])
+    latest = S.customer_snapshot(spark, sf_dir, "latest")
+    return M.merge_master(existing, latest, _AS_OF["latest"])
+
+
+@register("master_initial", _master_initial_sql("latest"))
+def q_master_initial(spark, sf_dir):
+    return M.build_initial_master(S.customer_snapshot(spark, sf_dir, "latest"), _AS_OF["latest"])
+
+
+@register("master_merge", _MERGE_SQL + " SELECT * FROM master")
+def q_master_merge(spark, sf_dir):
+    return _merged(spark, sf_dir).select(*_MASTER_OUT)
+
+
+@register(
+    "master_views",
+    _MERGE_SQL
+    + f"""
+    SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE is_active) AS active, COUNT(*) FILTER (WHERE NOT is_active) AS inactive,
+           COUNT(*) FILTER (WHERE first_seen_date >= DATE '{_AS_OF['latest']}' - INTERVAL 30 DAY) AS recent,
+           COUNT(*) FILTER (WHERE NOT is_active AND last_seen_date >= DATE '{_AS_OF['latest']}' - INTERVAL 30 DAY) AS recently_closed
+    FROM master""",
+)
+def q_master_views(spark, sf_dir):
+    return M.master_view_counts(_merged(spark, sf_dir), _AS_OF["latest"])
+
+
+# --------------------------------------------------------------------------
+# Raw report cleaning (events as report text with bad values)
+# --------------------------------------------------------------------------
+
+
+def _events_report_text(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events")
+    cents = F.floor(F.col("value") * 100).cast("bigint")
+    value_text = F.concat((cents / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    day = F.date_format("ts", "dd-MMM-yyyy")
+    et = F.col("event_type")
+    return ev.select(
+        F.col("user_id").cast("string").alias("Scheme Code"),
+        F.concat(F.lit("INF"), et).alias("ISIN Div Payout/ISIN Growth"),
+        F.lit("-").alias("ISIN Div Reinvestment"),
+        F.when(et == "error", F.lit("N.A.")).when(et == "signup", F.lit(None)).otherwise(value_text).alias("Net Asset Value"),
+        F.when(et == "click", F.upper(day)).when(et == "purchase", F.lit("31-Feb-2024")).otherwise(day).alias("Date"),
+    )
+
+
+_EVENTS_REPORT_SQL = """
+    SELECT CAST(user_id AS VARCHAR) AS "Scheme Code", 'INF' || event_type AS "ISIN Div Payout/ISIN Growth",
+           '-' AS "ISIN Div Reinvestment",
+           CASE WHEN event_type = 'error' THEN 'N.A.' WHEN event_type = 'signup' THEN NULL
+                ELSE CAST(CAST(floor(value * 100) AS BIGINT) // 100 AS VARCHAR) || '.' ||
+                     lpad(CAST(CAST(floor(value * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') END AS "Net Asset Value",
+           CASE WHEN event_type = 'click' THEN upper(strftime(ts, '%d-%b-%Y')) WHEN event_type = 'purchase' THEN '31-Feb-2024'
+                ELSE strftime(ts, '%d-%b-%Y') END AS "Date"
+    FROM events"""
+
+
+@register(
+    "clean_nav",
+    f"""SELECT CAST("Scheme Code" AS VARCHAR) AS scheme_code, "ISIN Div Payout/ISIN Growth" AS isin_growth,
+           "ISIN Div Reinvestment" AS isin_dividend,
+           CASE WHEN regexp_matches(trim("Net Asset Value"), '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$')
+                THEN TRY_CAST(trim("Net Asset Value") AS DOUBLE) END AS nav,
+           CAST(try_strptime(trim("Date"), '%d-%b-%Y') AS DATE) AS date
+    FROM ({_EVENTS_REPORT_SQL}) WHERE "Scheme Code" IS NOT NULL AND "Net Asset Value" IS NOT NULL AND "Date" IS NOT NULL""",
+)
+def q_clean_nav(spark, sf_dir):
+    return N.clean_nav(_events_report_text(spark, sf_dir))

@@ -80,3 +80,161 @@ FUND_INFO_SQL = """
            'AMC_' || CAST(n_regionkey AS VARCHAR) AS amc_name
     FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """
+
+
+# --------------------------------------------------------------------------
+# Raw metadata text from part (headers as in the source's scheme list)
+# --------------------------------------------------------------------------
+
+# Test-binding rules: the part table has no fund words, so the keyword and
+# literal lists (parameters of the operators) are bound to its vocabulary.
+PART_LEVEL1_RULES = [
+    ("economy", "Equity Scheme"),
+    ("small", "Debt Scheme"),
+    ("promo", "Hybrid Scheme"),
+    ("standard", "Other Scheme"),
+]
+PART_DIRECT = ["red", "blue "]
+PART_GROWTH = ["ring", "gear", " bolt"]
+PART_NON_GROWTH = ["hot"]
+
+
+def part_metadata_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scheme-list text rows derived from part: every value a string, some deliberately bad."""
+    p = table(spark, sf_dir, "part")
+    size, key = F.col("p_size"), F.col("p_partkey")
+    launch = F.make_date((1990 + size % 30).cast("int"), (1 + key % 12).cast("int"), (1 + key % 28).cast("int"))
+    category = (
+        F.when(size % 10 == 0, F.col("p_type"))
+        .when(size % 10 == 1, F.concat(F.col("p_type"), F.lit(" - na")))
+        .when(size % 10 == 2, F.concat(F.lit(" "), F.col("p_type"), F.lit(" - ")))
+        .otherwise(F.concat(F.col("p_type"), F.lit(" - "), F.col("p_name")))
+    )
+    return p.select(
+        F.col("p_brand").alias("AMC"),
+        key.cast("string").alias("Code"),
+        F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("Scheme Name"),
+        F.when(size > 25, F.lit("Close Ended")).otherwise(F.lit("Open Ended")).alias("Scheme Type"),
+        category.alias("Scheme Category"),
+        F.concat(F.col("p_name"), F.lit(" - "), F.col("p_brand")).alias("Scheme NAV Name"),
+        F.when(size % 7 == 0, F.concat(F.lit("Rs. "), (size * 500).cast("string")))
+        .otherwise((size * 500).cast("string"))
+        .alias("Scheme Minimum Amount"),
+        F.when(size % 3 == 0, F.date_format(launch, "dd-MMM-yyyy"))
+        .when(size % 3 == 1, F.date_format(launch, "dd/MM/yyyy"))
+        .otherwise(F.lit("x"))
+        .alias("Launch Date"),
+        F.when(size > 45, F.date_format(launch, "yyyy-MM-dd")).alias("Closure Date"),
+        F.concat(F.lit("INF"), key.cast("string")).alias("ISIN Div Payout/ ISIN Growth"),
+        F.lit(None).cast("string").alias("ISIN Div Reinvestment"),
+    )
+
+
+PART_METADATA_RAW_SQL = """
+    SELECT p_brand AS "AMC", CAST(p_partkey AS VARCHAR) AS "Code",
+           ' ' || p_name || ' ' AS "Scheme Name",
+           CASE WHEN p_size > 25 THEN 'Close Ended' ELSE 'Open Ended' END AS "Scheme Type",
+           CASE WHEN p_size % 10 = 0 THEN p_type WHEN p_size % 10 = 1 THEN p_type || ' - na'
+                WHEN p_size % 10 = 2 THEN ' ' || p_type || ' - ' ELSE p_type || ' - ' || p_name END AS "Scheme Category",
+           p_name || ' - ' || p_brand AS "Scheme NAV Name",
+           CASE WHEN p_size % 7 = 0 THEN 'Rs. ' || CAST(p_size * 500 AS VARCHAR) ELSE CAST(p_size * 500 AS VARCHAR) END
+             AS "Scheme Minimum Amount",
+           CASE WHEN p_size % 3 = 0 THEN strftime(make_date(1990 + p_size % 30, 1 + p_partkey % 12, 1 + p_partkey % 28), '%d-%b-%Y')
+                WHEN p_size % 3 = 1 THEN strftime(make_date(1990 + p_size % 30, 1 + p_partkey % 12, 1 + p_partkey % 28), '%d/%m/%Y')
+                ELSE 'x' END AS "Launch Date",
+           CASE WHEN p_size > 45 THEN strftime(make_date(1990 + p_size % 30, 1 + p_partkey % 12, 1 + p_partkey % 28), '%Y-%m-%d') END
+             AS "Closure Date",
+           'INF' || CAST(p_partkey AS VARCHAR) AS "ISIN Div Payout/ ISIN Growth",
+           CAST(NULL AS VARCHAR) AS "ISIN Div Reinvestment"
+    FROM part
+"""
+
+
+def part_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fundspark.operators.metadata import clean_scheme_metadata
+
+    return clean_scheme_metadata(
+        part_metadata_raw(spark, sf_dir),
+        level1_rules=PART_LEVEL1_RULES,
+        direct=PART_DIRECT,
+        growth=PART_GROWTH,
+        non_growth=PART_NON_GROWTH,
+    )
+
+
+def _sql_contains_any(expr: str, literals) -> str:
+    return "(" + " OR ".join(f"contains({expr}, '{x}')" for x in literals) + ")"
+
+
+def _sql_level1(expr: str) -> str:
+    whens = " ".join(f"WHEN contains({expr}, '{k}') THEN '{v}'" for k, v in PART_LEVEL1_RULES)
+    return f"CASE {whens} ELSE 'Others' END"
+
+
+_HEAD = "lower(trim(split_part(COALESCE(scheme_category, ''), ' - ', 1)))"
+_TAIL = "trim(CASE WHEN contains(COALESCE(scheme_category, ''), ' - ') THEN substr(scheme_category, strpos(scheme_category, ' - ') + 3) END)"
+_NAME = "lower(COALESCE(scheme_nav_name, ''))"
+
+PART_METADATA_SQL = f"""
+  raw AS ({PART_METADATA_RAW_SQL}),
+  typed AS (
+    SELECT NULLIF(trim("AMC"), '') AS amc_name, trim("Code") AS scheme_code,
+           NULLIF(trim("Scheme Name"), '') AS scheme_name, NULLIF(trim("Scheme Type"), '') AS scheme_type,
+           NULLIF(trim("Scheme Category"), '') AS scheme_category, NULLIF(trim("Scheme NAV Name"), '') AS scheme_nav_name,
+           CASE WHEN regexp_matches(trim("Scheme Minimum Amount"), '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$')
+                THEN TRY_CAST(trim("Scheme Minimum Amount") AS DOUBLE) END AS minimum_amount,
+           CAST(COALESCE(try_strptime(trim("Launch Date"), '%d-%b-%Y'), try_strptime(trim("Launch Date"), '%d/%m/%Y'),
+                         try_strptime(trim("Launch Date"), '%d-%m-%Y'), try_strptime(trim("Launch Date"), '%Y-%m-%d')) AS DATE) AS launch_date,
+           CAST(COALESCE(try_strptime(trim("Closure Date"), '%d-%b-%Y'), try_strptime(trim("Closure Date"), '%d/%m/%Y'),
+                         try_strptime(trim("Closure Date"), '%d-%m-%Y'), try_strptime(trim("Closure Date"), '%Y-%m-%d')) AS DATE) AS closure_date,
+           "ISIN Div Payout/ ISIN Growth" AS isin_growth, "ISIN Div Reinvestment" AS isin_dividend
+    FROM raw),
+  lv AS (SELECT *, {_sql_level1(_HEAD)} AS scheme_category_level1 FROM typed),
+  meta AS (
+    SELECT *,
+      CASE WHEN contains(COALESCE(scheme_category, ''), ' - ')
+           THEN COALESCE(CASE WHEN {_TAIL} IN ('', 'error', 'null', 'na') THEN NULL ELSE {_TAIL} END, scheme_category_level1)
+           ELSE COALESCE(scheme_category, 'Others') END AS scheme_category_level2,
+      {_sql_contains_any(_NAME, PART_DIRECT)} AS is_direct,
+      {_sql_contains_any(_NAME, PART_GROWTH)} AND NOT {_sql_contains_any(_NAME, PART_NON_GROWTH)} AS is_growth_plan
+    FROM lv)"""
+
+
+# --------------------------------------------------------------------------
+# Master snapshots from orders per customer
+# --------------------------------------------------------------------------
+
+MASTER_WINDOWS = {
+    "existing": ("1995-01-01", "1998-01-01"),
+    "latest": ("1997-01-01", "2000-01-01"),
+}
+
+
+def customer_snapshot(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """Customers with orders in a window as an instrument list: launch = first order in it."""
+    lo, hi = MASTER_WINDOWS[which]
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    d = F.to_date("o_orderdate")
+    per = (
+        o.filter((d >= F.lit(lo).cast("date")) & (d < F.lit(hi).cast("date")))
+        .groupBy("o_custkey")
+        .agg(F.min(d).alias("launch_date"), F.count(F.lit(1)).alias("orders_in_window"))
+    )
+    return per.join(c, per.o_custkey == c.c_custkey, "inner").select(
+        F.col("c_custkey").alias("scheme_code"),
+        F.col("c_name").alias("scheme_name"),
+        F.col("c_mktsegment").alias("amc_name"),
+        "launch_date",
+        "orders_in_window",
+    )
+
+
+def customer_snapshot_sql(which: str) -> str:
+    lo, hi = MASTER_WINDOWS[which]
+    return f"""
+    SELECT c_custkey AS scheme_code, c_name AS scheme_name, c_mktsegment AS amc_name, launch_date, orders_in_window
+    FROM (SELECT o_custkey, MIN(CAST(o_orderdate AS DATE)) AS launch_date, COUNT(*) AS orders_in_window
+          FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '{lo}' AND CAST(o_orderdate AS DATE) < DATE '{hi}'
+          GROUP BY o_custkey) p
+    JOIN customer ON p.o_custkey = c_custkey"""
