@@ -764,3 +764,161 @@ _EVENTS_REPORT_SQL = """
 )
 def q_clean_nav(spark, sf_dir):
     return N.clean_nav(_events_report_text(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Load planning on event dates
+# --------------------------------------------------------------------------
+
+from fundspark.operators import aum as A  # noqa: E402
+from fundspark.operators import calendar as C  # noqa: E402
+
+_CHUNK = 7  # days per chunk for the 30-day event table
+
+
+def _event_range(spark, sf_dir, extra_days=0):
+    d = S.event_days(spark, sf_dir)
+    return d.agg(F.min("date").alias("start_date"), F.date_add(F.max("date"), extra_days).alias("end_date"))
+
+
+def _chunks_sql(extra_days=0):
+    return f"""rng AS (SELECT MIN(date) AS start_date, MAX(date) + INTERVAL {extra_days} DAY AS end_date FROM ({S.EVENT_DAYS_SQL})),
+    ch AS (SELECT CAST(start_date AS DATE) AS start_date, CAST(end_date AS DATE) AS end_date,
+                  CAST(ROW_NUMBER() OVER (ORDER BY g) AS INTEGER) AS chunk_no, CAST(g AS DATE) AS chunk_start,
+                  LEAST(CAST(g AS DATE) + INTERVAL {_CHUNK - 1} DAY, end_date)::DATE AS chunk_end
+           FROM rng, generate_series(start_date, end_date, INTERVAL {_CHUNK} DAY) AS t(g)),
+    chunks AS (SELECT *, 'amfi_raw_nav_' || strftime(chunk_start, '%Y%m%d') || '_' || strftime(chunk_end, '%Y%m%d') || '.csv' AS file_name FROM ch)"""
+
+
+@register("date_chunks", f"WITH {_chunks_sql()} SELECT * FROM chunks")
+def q_date_chunks(spark, sf_dir):
+    return C.date_chunks(_event_range(spark, sf_dir), days=_CHUNK)
+
+
+def _pending(spark, sf_dir):
+    chunks = C.date_chunks(_event_range(spark, sf_dir, 20), days=_CHUNK)
+    days = chunks.select("file_name", F.explode(F.sequence("chunk_start", "chunk_end")).alias("date"))
+    present = S.event_days(spark, sf_dir).select("date").distinct()
+    landed = days.join(present, "date", "left_semi").select("file_name")
+    return C.pending_chunks(chunks, landed)
+
+
+_PENDING_SQL = f"""WITH {_chunks_sql(20)},
+    landed AS (SELECT DISTINCT file_name FROM chunks c JOIN (SELECT DISTINCT date FROM ({S.EVENT_DAYS_SQL})) d
+               ON d.date BETWEEN c.chunk_start AND c.chunk_end),
+    marked AS (SELECT c.*, CASE WHEN l.file_name IS NOT NULL THEN 'skipped' ELSE 'pending' END AS state
+               FROM chunks c LEFT JOIN landed l USING (file_name))"""
+
+
+@register("pending_chunks", _PENDING_SQL + " SELECT * FROM marked")
+def q_pending_chunks(spark, sf_dir):
+    return _pending(spark, sf_dir)
+
+
+@register(
+    "chunk_status",
+    _PENDING_SQL
+    + """ SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE state = 'skipped') AS skipped,
+                 COUNT(*) FILTER (WHERE state = 'pending') AS pending FROM marked""",
+)
+def q_chunk_status(spark, sf_dir):
+    return C.chunk_status(_pending(spark, sf_dir))
+
+
+@register(
+    "missing_dates",
+    f"""WITH l AS (SELECT MAX(date) AS latest FROM ({S.EVENT_DAYS_SQL}))
+    SELECT CAST(g AS DATE) AS date FROM l, generate_series(latest + INTERVAL 1 DAY, latest + INTERVAL 10 DAY, INTERVAL 1 DAY) t(g)
+    WHERE isodow(CAST(g AS DATE)) < 6""",
+)
+def q_missing_dates(spark, sf_dir):
+    return C.missing_dates(S.event_days(spark, sf_dir), F.date_add(F.col("latest_date"), 10))
+
+
+@register(
+    "gap_dates",
+    f"""WITH d AS ({S.EVENT_DAYS_SQL}), r AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM d),
+    cal AS (SELECT CAST(g AS DATE) AS date FROM r, generate_series(lo, hi, INTERVAL 1 DAY) t(g))
+    SELECT date FROM cal WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM d WHERE date IS NOT NULL)""",
+)
+def q_gap_dates(spark, sf_dir):
+    d = S.event_days(spark, sf_dir)
+    # the bounds are one scalar subquery each, not pasted text
+    lo = d.agg(F.min("date")).scalar()
+    hi = d.agg(F.max("date")).scalar()
+    return C.gap_dates(d, lo, hi)
+
+
+# --------------------------------------------------------------------------
+# AUM replies built from orders (one reply per order, two fund houses)
+# --------------------------------------------------------------------------
+
+
+def _order_replies(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    y = F.year("o_orderdate")
+    q = F.quarter("o_orderdate")
+    scheme1 = F.struct(
+        F.col("o_orderkey").alias("AMFI_Code"),
+        F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("SchemeNAVName"),
+        F.struct(F.col("o_totalprice").alias(A.AUM_EXCL_FOF), F.lit(0.5).cast("double").alias(A.AUM_FOF_DOMESTIC)).alias(
+            "AverageAumForTheMonth"
+        ),
+    )
+    # second scheme: no name and no amounts (fields omitted from the JSON text)
+    scheme2 = F.struct(
+        F.col("o_custkey").alias("AMFI_Code"),
+        F.lit(None).cast("string").alias("SchemeNAVName"),
+        F.lit(None).cast(f"struct<{A.AUM_EXCL_FOF}:double,{A.AUM_FOF_DOMESTIC}:double>").alias(
+            "AverageAumForTheMonth"
+        ),
+    )
+    house1 = F.struct(
+        F.col("o_orderpriority").alias("Mfname"),
+        F.col("o_orderstatus").alias("SchemeType_Desc"),
+        F.when(F.col("o_orderstatus") == "F", F.array(scheme1, scheme2)).otherwise(F.array(scheme1)).alias("schemes"),
+    )
+    house2 = F.struct(F.lit("EMPTY").alias("Mfname"), F.array().alias("schemes"))
+    reply = F.struct(
+        F.concat(F.lit("Q"), q.cast("string"), F.lit(" "), y.cast("string")).alias("selectedPeriod"),
+        F.array(F.to_json(house1), F.to_json(house2)).alias("data"),
+    )
+    # JSON text as it would land; the empty fund house is kept as text to stay schema-free
+    text = F.concat(
+        F.lit('{"selectedPeriod":"'), reply["selectedPeriod"], F.lit('","data":['),
+        F.array_join(reply["data"], ","), F.lit("]}"),
+    )
+    docs = o.select(F.concat(F.lit("FY "), y.cast("string")).alias("financial_year"), text.alias("json"))
+    return A.parse_replies(docs)
+
+
+_AUM_SQL = """aum AS (
+    SELECT CAST(o_orderkey AS VARCHAR) AS scheme_code, 'order ' || CAST(o_orderkey AS VARCHAR) AS scheme_name,
+           o_orderpriority AS mf_name, o_orderstatus AS scheme_type, o_totalprice AS aum_excl_fof, 0.5 AS aum_fof_domestic,
+           'FY ' || CAST(year(o_orderdate) AS VARCHAR) AS financial_year,
+           'Q' || CAST(quarter(o_orderdate) AS VARCHAR) || ' ' || CAST(year(o_orderdate) AS VARCHAR) AS period
+    FROM orders
+    UNION ALL
+    SELECT CAST(o_custkey AS VARCHAR), '', o_orderpriority, o_orderstatus, 0.0, 0.0,
+           'FY ' || CAST(year(o_orderdate) AS VARCHAR),
+           'Q' || CAST(quarter(o_orderdate) AS VARCHAR) || ' ' || CAST(year(o_orderdate) AS VARCHAR)
+    FROM orders WHERE o_orderstatus = 'F')"""
+
+
+@register("aum_flatten", f"WITH {_AUM_SQL} SELECT * FROM aum")
+def q_aum_flatten(spark, sf_dir):
+    return A.flatten_aum(_order_replies(spark, sf_dir))
+
+
+@register(
+    "aum_summary",
+    f"""WITH {_AUM_SQL} SELECT COUNT(*) AS records, COUNT(DISTINCT scheme_code) AS schemes, COUNT(DISTINCT mf_name) AS amcs,
+        COUNT(DISTINCT (financial_year, period)) AS fy_periods FROM aum""",
+)
+def q_aum_summary(spark, sf_dir):
+    return A.aum_summary(A.flatten_aum(_order_replies(spark, sf_dir)))
+
+
+@register("aum_rows_per_fy", f"WITH {_AUM_SQL} SELECT financial_year, COUNT(*) AS records FROM aum GROUP BY 1")
+def q_aum_rows_per_fy(spark, sf_dir):
+    return A.aum_rows_per_year(A.flatten_aum(_order_replies(spark, sf_dir)))
