@@ -1,0 +1,25 @@
+"""Materialise an intermediate table that several branches of a plan read."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for all readers.
+
+    When the session names a shared ``spark.checkpoint.dir`` the table is
+    checkpointed there (lineage cut, survives executor loss). Otherwise it
+    is persisted to memory and disk; lost blocks are recomputed from
+    lineage. Meant for derived tables with one row per instrument, never
+    for raw rows.
+    """
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not jdir.isDefined():
+            spark.sparkContext.setCheckpointDir(shared)
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -160,8 +160,10 @@ def clean_scheme_metadata(
     }
     df = df.withColumns(cols)
     df = category_levels(df, rules=level1_rules)
-    df = plan_flags(df, direct=direct, growth=growth, non_growth=non_growth)
-    return df.dropna(how="all")
+    # The source also drops all-NULL rows; the two flags are never NULL, so
+    # no row can be all-NULL and that step (a filter repeating every
+    # expression above) is left out.
+    return plan_flags(df, direct=direct, growth=growth, non_growth=non_growth)
 
 
 def validate_metadata(df: DataFrame, key: str = "scheme_code", amc: str = "amc_name") -> DataFrame:

@@ -57,18 +57,21 @@ def enrich_nav(
 ) -> DataFrame:
     """Prices joined to growth-plan metadata, NULL prices dropped, exact repeats removed.
 
+    DISTINCT runs on each side *before* the join: a join of two distinct
+    inputs is distinct, so the result equals DISTINCT over the joined rows,
+    but the shuffle carries the narrow price rows instead of 14 columns.
     The metadata side (about 16 K instruments) is broadcast only after a
     bounded count proves it small (``limit(n + 1).count()``); otherwise
     the join is left to the planner (sort-merge, AQE skew split).
-    Filters run below the join and the DISTINCT, so they reach the scan.
+    Filters run below the join, so they reach the scan.
     """
     from fundspark.functions.joins import broadcast_if_small
 
     m = meta.filter(F.col("is_growth_plan")) if growth_only else meta
-    m = m.select(key, *[c for c in columns if c != key])
+    m = m.select(key, *[c for c in columns if c != key]).distinct()
     if broadcast_max_rows:
         m = broadcast_if_small(m, broadcast_max_rows)
-    return nav.filter(F.col("nav").isNotNull()).join(m, key, "inner").distinct()
+    return nav.filter(F.col("nav").isNotNull()).distinct().join(m, key, "inner")
 
 
 def combine_nav(historical: DataFrame, daily: DataFrame) -> DataFrame:

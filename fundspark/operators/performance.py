@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundspark.functions.persist import materialize
 from fundspark.functions.text import ellipsis, regex_search
 from fundspark.operators.ranking import count_above
 from fundspark.operators.series import TRADING_DAYS, _running, pct_change
@@ -155,11 +156,15 @@ def peer_comparison(
     Mean, best and worst peer CAGR exclude the fund itself; rank =
     1 + peers with a higher CAGR; percentile = (total - rank + 1) / total x 100
     with total = peers + 1. Funds without a peer get no row.
-    All steps are aggregates and skew-safe ranks on one row per fund.
+    All steps are aggregates and skew-safe ranks on one row per fund; the
+    per-fund table is materialised once instead of being recomputed from
+    the price table by every branch.
     """
     f = kpis.select(key, "cagr", "data_points", "years").join(info.select(key, category), key, "inner")
     elig = (F.col("data_points") > min_rows) & (F.col("years") > 0) & F.col("cagr").isNotNull()
-    f = f.filter(F.col("cagr").isNotNull()).withColumn("_elig", elig.cast("int"))
+    f = f.filter(F.col("cagr").isNotNull()).select(key, category, "cagr", elig.cast("int").alias("_elig"))
+    # one row per fund, read by five branches below: compute it once
+    f = materialize(f)
     e = f.filter("_elig = 1")
     s1 = e.groupBy(category).agg(
         F.count(F.lit(1)).alias("_n"),
