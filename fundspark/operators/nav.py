@@ -100,3 +100,11 @@ def analytical_dataset(
         .withColumn("nav_change_pct", pct_change(value, key, order))
         .withColumns({"year": F.year(order), "month": F.month(order)})
     )
+
+
+def load_historical_nav(spark, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """All landed history files (comma CSV with the report header) -> clean rows, one distributed scan."""
+    from fundspark.sources.readers import read_csv_glob
+
+    cols = list(columns or NAV_COLUMNS)
+    return clean_nav(read_csv_glob(spark, path, cols), cols)

@@ -290,28 +290,34 @@ def month_quartiles(monthly: DataFrame, key: str = "scheme_code") -> DataFrame:
     """Box-plot figures of monthly returns per calendar month.
 
     Quartiles by linear interpolation; whiskers are the most extreme
-    returns within 1.5 IQR of the quartiles.
+    returns within 1.5 IQR of the quartiles. Quartiles are window
+    aggregates over (key, month) -- one value per year, so a small bounded
+    partition -- and the whiskers aggregate on the same partitioning: one
+    pass over the monthly table, no join back.
     """
     r = F.col("monthly_return")
-    q = monthly.filter(r.isNotNull()).groupBy(key, "month").agg(
-        F.percentile(r, 0.25).alias("q1"),
-        F.percentile(r, 0.5).alias("median"),
-        F.percentile(r, 0.75).alias("q3"),
+    w = Window.partitionBy(key, "month")
+    x = monthly.filter(r.isNotNull()).select(
+        key,
+        "month",
+        r,
+        F.percentile(r, 0.25).over(w).alias("q1"),
+        F.percentile(r, 0.5).over(w).alias("median"),
+        F.percentile(r, 0.75).over(w).alias("q3"),
     )
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo = F.col("q1") - 1.5 * F.col("iqr")
-    hi = F.col("q3") + 1.5 * F.col("iqr")
-    wh = (
-        monthly.filter(r.isNotNull())
-        .join(q, [key, "month"])
-        .groupBy(key, "month")
+    iqr = F.col("q3") - F.col("q1")
+    lo = F.col("q1") - 1.5 * iqr
+    hi = F.col("q3") + 1.5 * iqr
+    return (
+        x.groupBy(key, "month", "q1", "median", "q3")
         .agg(
             F.min(F.when(r >= lo, r)).alias("whisker_low"),
             F.max(F.when(r <= hi, r)).alias("whisker_high"),
             F.count_if((r < lo) | (r > hi)).alias("outliers"),
         )
+        .withColumn("iqr", F.col("q3") - F.col("q1"))
+        .withColumn("month_abbr", _month_name(F.col("month"), "MMM"))
     )
-    return q.join(wh, [key, "month"]).withColumn("month_abbr", _month_name(F.col("month"), "MMM"))
 
 
 def calendar_return_table(
@@ -342,20 +348,29 @@ def return_histogram(
     """Equal-width histogram of finite returns per key (the last bin is closed), with the mean.
 
     A key whose returns are all equal spans value +- 0.5, as numpy does.
+    Range and mean are window aggregates over the key (one instrument's
+    returns, the partitioning the returns already have), so the table is
+    read once and binned counts aggregate without another shuffle.
     """
     r = _finite(F.col(ret))
+    w = Window.partitionBy(key)
     x = returns.select(key, r.alias("_x")).filter(F.col("_x").isNotNull())
-    rng = x.groupBy(key).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"), F.avg("_x").alias("mean"))
+    x = x.select(
+        key,
+        "_x",
+        F.min("_x").over(w).alias("_mn"),
+        F.max("_x").over(w).alias("_mx"),
+        F.avg("_x").over(w).alias("mean"),
+    )
     same = F.col("_mn") == F.col("_mx")
-    rng = rng.withColumns(
+    x = x.withColumns(
         {
             "range_low": F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")),
             "range_high": F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")),
         }
     )
-    # one row per key on the right side: AQE broadcasts it when it is small
     b = F.floor((F.col("_x") - F.col("range_low")) * bins / (F.col("range_high") - F.col("range_low"))).cast("int") + 1
-    y = x.join(rng, key).withColumn("bin", F.least(b, F.lit(bins)))
+    y = x.withColumn("bin", F.least(b, F.lit(bins)))
     width = (F.col("range_high") - F.col("range_low")) / bins
     return y.groupBy(key, "bin", "range_low", "range_high", "mean").agg(F.count(F.lit(1)).alias("count")).select(
         key,
@@ -401,3 +416,14 @@ def scheme_search(df: DataFrame, levels: Sequence[Column], columns: Sequence[str
     tagged = df.select(*columns, level.alias("match_level")).filter(F.col("match_level").isNotNull())
     best = tagged.agg(F.min("match_level")).scalar()
     return tagged.filter(F.col("match_level") == best).distinct()
+
+
+def first_keys(df: DataFrame, columns: Sequence[str], n: int = 10, order: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` distinct rows over ``columns`` in a stated order (a per-partition top-n, then a merge)."""
+    order = list(order or columns)
+    return df.select(*columns).distinct().orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+
+
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """A Bernoulli sample with a fixed seed: each partition samples on its own, nothing is sorted."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)

@@ -191,3 +191,32 @@ def dataset_summary(df: DataFrame, key: str | None = None) -> DataFrame:
     if key is not None:
         aggs.append(F.countDistinct(key).alias("distinct_keys"))
     return df.agg(*aggs).withColumn("columns", F.lit(len(df.columns)))
+
+
+def value_range(df: DataFrame, date: str = "date", value: str = "nav", key: str | None = "scheme_code") -> DataFrame:
+    """First and last date, lowest and highest value, span in years and distinct keys, one row."""
+    aggs = [
+        F.min(date).alias("first_date"),
+        F.max(date).alias("last_date"),
+        F.min(value).alias("min_value"),
+        F.max(value).alias("max_value"),
+        F.count(F.lit(1)).alias("rows"),
+    ]
+    if key is not None:
+        aggs.append(F.countDistinct(key).alias("distinct_keys"))
+    out = df.agg(*aggs)
+    return out.withColumn("years", F.datediff("last_date", "first_date") / F.lit(365.25))
+
+
+def format_report(view: DataFrame, date: str = "date") -> DataFrame:
+    """Console text of the report view: date, thousands-separated counts, ratio in percent, marker."""
+    line = F.format_string(
+        "%-14s %8s %9s %8s %-10s%s",
+        F.date_format(date, "yyyy-MM-dd"),
+        F.format_number("scheme_count", 0),
+        F.format_number("expected_count", 0),
+        F.concat(F.format_number(F.col("completeness_ratio") * 100, 1), F.lit("%")),
+        F.col("status"),
+        F.col("marker"),
+    )
+    return view.select(date, line.alias("line"))

@@ -317,3 +317,34 @@ def test_scheme_search_fallback(spark):
     df = spark.createDataFrame([("1", "Alpha Flexi Cap"), ("2", "Beta Multi Cap"), ("3", None)], "code string, name string")
     out = P.scheme_search(df, [rx("name", "nothing"), rx("name", "flexi|multi cap")], ["code", "name"])
     assert sorted(r.code for r in out.collect()) == ["1", "2"]
+
+
+def test_load_historical_and_range(spark, scratch):
+    import os
+
+    from fundspark.operators import quality as Q2
+
+    d = os.path.join(scratch, "hist")
+    os.makedirs(d)
+    for i in range(2):
+        with open(os.path.join(d, f"amfi_raw_nav_2006040{i}_2006040{i}.csv"), "w") as f:
+            f.write("Scheme Code,ISIN Div Payout/ISIN Growth,ISIN Div Reinvestment,Net Asset Value,Date,Extra\n")
+            f.write(f"10{i},I,-,1{i}.5,0{i + 1}-Apr-2006,x\n")
+    h = N.load_historical_nav(spark, f"{d}/*.csv")
+    assert sorted((r.scheme_code, r.nav) for r in h.collect()) == [("100", 10.5), ("101", 11.5)]
+    r = Q2.value_range(h).first()
+    assert (r.first_date, r.last_date, r.min_value, r.max_value, r.distinct_keys) == (D(2006, 4, 1), D(2006, 4, 2), 10.5, 11.5, 2)
+
+
+def test_first_keys_and_sample(spark):
+    df = spark.range(100).selectExpr("id % 7 AS k", "id")
+    assert [r.k for r in P.first_keys(df, ["k"], 3).collect()] == [0, 1, 2]
+    a = P.sample_rows(df, 0.3, seed=1).collect()
+    assert a == P.sample_rows(df, 0.3, seed=1).collect()
+
+
+def test_format_report(spark):
+    rows = [(f"s{i}", D(2024, 1, 1)) for i in range(1200)]
+    view = Q.validation_view(Q.validation_report(spark.createDataFrame(rows, "scheme_code string, date date")))
+    line = Q.format_report(view).first().line
+    assert line.startswith("2024-01-01") and "1,200" in line and "100.0%" in line
