@@ -922,3 +922,57 @@ def q_aum_summary(spark, sf_dir):
 @register("aum_rows_per_fy", f"WITH {_AUM_SQL} SELECT financial_year, COUNT(*) AS records FROM aum GROUP BY 1")
 def q_aum_rows_per_fy(spark, sf_dir):
     return A.aum_rows_per_year(A.flatten_aum(_order_replies(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# Sinks and the streaming ingest (rows-only checks: they write files)
+# --------------------------------------------------------------------------
+
+import tempfile  # noqa: E402
+import uuid  # noqa: E402
+
+from fundspark.session import checkpoint_dir  # noqa: E402
+from fundspark.sources import readers as R  # noqa: E402
+from fundspark.sources import sinks as W  # noqa: E402
+from fundspark.streaming import ingest as STREAM  # noqa: E402
+
+
+def _scratch(spark, name):
+    """A fresh folder under the shared checkpoint folder (a local one only when none is set)."""
+    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="fundspark-", dir="/tmp"))
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@register("sink_round_trip")
+def q_sink_round_trip(spark, sf_dir):
+    """KPIs written as Parquet (partitioned), CSV and JSON records; the Parquet copy is read back."""
+    out = _scratch(spark, "sinks")
+    kpis = P.risk_labels(_kpis(spark, sf_dir))
+    W.write_parquet(kpis, f"{out}/kpis", partition_by=["risk_level"], compression="zstd")
+    W.write_csv(kpis.drop("risk_level"), f"{out}/kpis_csv")
+    W.write_json(P.kpi_record(kpis), f"{out}/kpi_records")
+    return R.read_parquet(spark, f"{out}/kpis")
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Events landed as report text files, ingested by the file stream into a date-partitioned table."""
+    out = _scratch(spark, "stream")
+    report = _events_report_text(spark, sf_dir)
+    report.write.option("header", True).option("sep", ";").csv(f"{out}/landing")
+    users = S.table(spark, sf_dir, "events").select("user_id").distinct()
+    meta = users.select(
+        F.col("user_id").cast("string").alias("scheme_code"),
+        F.lit("AMC").alias("amc_name"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("scheme_name"),
+        F.lit("Open Ended").alias("scheme_type"),
+        F.lit("Equity Scheme - Flexi Cap Fund").alias("scheme_category"),
+        F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" - Growth")).alias("scheme_nav_name"),
+        F.lit("Equity Scheme").alias("scheme_category_level1"),
+        F.lit("Flexi Cap Fund").alias("scheme_category_level2"),
+        F.lit(True).alias("is_direct"),
+        (F.col("user_id") % 2 == 0).alias("is_growth_plan"),
+    )
+    q = STREAM.start_ingest(spark, f"{out}/landing", meta, f"{out}/clean", name=f"ingest-{uuid.uuid4().hex[:8]}")
+    q.awaitTermination()
+    return R.read_parquet(spark, f"{out}/clean")
