@@ -77,14 +77,16 @@ def test_stream_ingest(spark, scratch):
         "scheme_nav_name string, scheme_category_level1 string, scheme_category_level2 string, is_direct boolean, is_growth_plan boolean",
     )
     target = os.path.join(scratch, "clean")
-    q = ingest.start_ingest(spark, landing, meta, target, name="t_ingest")
+    # a stream's checkpoint belongs to one landing folder: a fresh name per test run
+    name = "t_ingest_" + os.path.basename(scratch)
+    q = ingest.start_ingest(spark, landing, meta, target, name=name)
     q.awaitTermination(120)
     out = R.read_parquet(spark, target).collect()
     assert [(r.scheme_code, r.nav) for r in out] == [("1", 10.5)]
     # a second file with a repeat and a new row: only the new row is appended
     with open(os.path.join(landing, "d2.csv"), "w") as f:
         f.write(text.split("\n")[0] + "\n1;I1;-;10.5;01-Apr-2024\n1;I1;-;11.0;02-Apr-2024\n")
-    q = ingest.start_ingest(spark, landing, meta, target, name="t_ingest")
+    q = ingest.start_ingest(spark, landing, meta, target, name=name)
     q.awaitTermination(120)
     got = sorted((r.scheme_code, r.nav) for r in R.read_parquet(spark, target).collect())
     assert got == [("1", 10.5), ("1", 11.0)]
