@@ -303,7 +303,7 @@ def q_risk_labels(spark, sf_dir):
 @register(
     "lump_sum",
     f"""WITH {_KPI_SQL}
-    SELECT scheme_code, 100000.0 AS amount, ROUND(100000.0 * growth_multiple, 6) AS final_value,
+    SELECT scheme_code, CAST(100000.0 AS DOUBLE) AS amount, ROUND(100000.0 * growth_multiple, 6) AS final_value,
            ROUND(100000.0 * growth_multiple - 100000.0, 6) AS gain FROM kpis""",
 )
 def q_lump_sum(spark, sf_dir):
@@ -894,12 +894,12 @@ def _order_replies(spark, sf_dir):
 
 _AUM_SQL = """aum AS (
     SELECT CAST(o_orderkey AS VARCHAR) AS scheme_code, 'order ' || CAST(o_orderkey AS VARCHAR) AS scheme_name,
-           o_orderpriority AS mf_name, o_orderstatus AS scheme_type, o_totalprice AS aum_excl_fof, 0.5 AS aum_fof_domestic,
+           o_orderpriority AS mf_name, o_orderstatus AS scheme_type, o_totalprice AS aum_excl_fof, CAST(0.5 AS DOUBLE) AS aum_fof_domestic,
            'FY ' || CAST(year(o_orderdate) AS VARCHAR) AS financial_year,
            'Q' || CAST(quarter(o_orderdate) AS VARCHAR) || ' ' || CAST(year(o_orderdate) AS VARCHAR) AS period
     FROM orders
     UNION ALL
-    SELECT CAST(o_custkey AS VARCHAR), '', o_orderpriority, o_orderstatus, 0.0, 0.0,
+    SELECT CAST(o_custkey AS VARCHAR), '', o_orderpriority, o_orderstatus, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE),
            'FY ' || CAST(year(o_orderdate) AS VARCHAR),
            'Q' || CAST(quarter(o_orderdate) AS VARCHAR) || ' ' || CAST(year(o_orderdate) AS VARCHAR)
     FROM orders WHERE o_orderstatus = 'F')"""

@@ -50,3 +50,17 @@ def compare(df, con, sql):
     for a, b in zip(sr, dr):
         assert a == b, f"first difference:\n spark {a}\n duck  {b}"
     return len(sr)
+
+
+SPARK_TO_DUCK = {
+    "IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR",
+    "DateType()": "DATE", "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP",
+}
+
+
+def type_differences(df, con, sql):
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    st = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in df.schema}
+    rel = con.sql(sql)
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}

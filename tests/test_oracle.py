@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from oracle import compare, duck
+from oracle import compare, duck, type_differences
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(E.queries())
@@ -32,4 +32,5 @@ def test_query_matches_oracle(spark, con, name):
     if sql is None:
         assert df.count() >= 0
     else:
+        assert not type_differences(df, con, sql)
         compare(df, con, sql)
