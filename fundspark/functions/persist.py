@@ -17,9 +17,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if not jdir.isDefined():
-            spark.sparkContext.setCheckpointDir(shared)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if not shared:
+        return cached
+    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not jdir.isDefined():
+        spark.sparkContext.setCheckpointDir(shared)
+    # the checkpoint write reads the cached blocks instead of recomputing the lineage
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
