@@ -348,3 +348,17 @@ def test_format_report(spark):
     view = Q.validation_view(Q.validation_report(spark.createDataFrame(rows, "scheme_code string, date date")))
     line = Q.format_report(view).first().line
     assert line.startswith("2024-01-01") and "1,200" in line and "100.0%" in line
+
+
+def test_zero_baseline_and_null_keys(spark):
+    # day 1 has only NULL keys (count 0); day 2 then has a zero baseline
+    rows = [(None, D(2024, 1, 1))] * 3 + [(f"s{i}", D(2024, 1, 2)) for i in range(5)]
+    rep = Q.validation_report(spark.createDataFrame(rows, "scheme_code string, date date")).orderBy("date").collect()
+    assert [(r.scheme_count, r.expected_count, r.status) for r in rep] == [(0, 2, "HOLIDAY"), (5, 0, "COMPLETE")]
+
+
+def test_hot_date_report(spark):
+    # one date holds most rows: the distinct count goes through a (date, key) shuffle
+    rows = [(f"s{i}", D(2024, 1, 1)) for i in range(3000)] + [(f"s{i}", D(2024, 1, 2)) for i in range(10)]
+    rep = Q.validation_report(spark.createDataFrame(rows, "scheme_code string, date date")).orderBy("date").collect()
+    assert [r.scheme_count for r in rep] == [3000, 10]

@@ -90,3 +90,24 @@ def test_stream_ingest(spark, scratch):
     q.awaitTermination(120)
     got = sorted((r.scheme_code, r.nav) for r in R.read_parquet(spark, target).collect())
     assert got == [("1", 10.5), ("1", 11.0)]
+
+
+def test_export_fund_report(spark, scratch):
+    import json
+
+    from fundspark.operators import nav as N
+    from fundspark.operators import performance as P
+
+    rows = [("k", __import__("datetime").date(2024, 1, 1 + i), 10.0 + i) for i in range(5)]
+    s = spark.createDataFrame(rows, "scheme_code string, date date, nav double")
+    a = N.analytical_dataset(s, spark.createDataFrame([("k", None, 500.0)], "scheme_code string, launch_date date, minimum_amount double"))
+    W.export_fund_report(P.fund_kpis(s), a, f"{scratch}/report")
+    rec = json.loads(R.read_records(spark, f"{scratch}/report/fund_analysis_results").first().record)
+    assert rec["data_points"] == 5 and abs(rec["growth_multiple"] - 1.4) < 1e-12
+    csv = spark.read.option("header", True).csv(f"{scratch}/report/fund_performance_data")
+    assert csv.count() == 5 and {"date", "nav", "nav_change_pct", "year", "month"} <= set(csv.columns)
+
+
+def test_storage_path():
+    assert R.storage_path("s3a://b/funds/", "clean", "nav_daily_growth_plan") == "s3a://b/funds/clean/nav_daily_growth_plan.parquet"
+    assert R.storage_path("/d", "raw", "x", "csv") == "/d/raw/x.csv"
