@@ -878,16 +878,21 @@ def _order_replies(spark, sf_dir):
         F.col("o_orderstatus").alias("SchemeType_Desc"),
         F.when(F.col("o_orderstatus") == "F", F.array(scheme1, scheme2)).otherwise(F.array(scheme1)).alias("schemes"),
     )
-    house2 = F.struct(F.lit("EMPTY").alias("Mfname"), F.array().alias("schemes"))
+    house2 = F.struct(
+        F.lit("EMPTY").alias("Mfname"),
+        F.lit(None).cast("string").alias("SchemeType_Desc"),
+        # an empty scheme list of the same element type (codes are JSON numbers)
+        F.array().cast(
+            f"array<struct<AMFI_Code:bigint,SchemeNAVName:string,"
+            f"AverageAumForTheMonth:struct<{A.AUM_EXCL_FOF}:double,{A.AUM_FOF_DOMESTIC}:double>>>"
+        ).alias("schemes"),
+    )
     reply = F.struct(
         F.concat(F.lit("Q"), q.cast("string"), F.lit(" "), y.cast("string")).alias("selectedPeriod"),
-        F.array(F.to_json(house1), F.to_json(house2)).alias("data"),
-    )
-    # JSON text as it would land; the empty fund house is kept as text to stay schema-free
-    text = F.concat(
-        F.lit('{"selectedPeriod":"'), reply["selectedPeriod"], F.lit('","data":['),
-        F.array_join(reply["data"], ","), F.lit("]}"),
+        F.array(house1, house2).alias("data"),
     )
+    # JSON text as it would land (NULL fields are left out of the text)
+    text = F.to_json(reply)
     docs = o.select(F.concat(F.lit("FY "), y.cast("string")).alias("financial_year"), text.alias("json"))
     return A.parse_replies(docs)
 
