@@ -102,3 +102,32 @@ def master_view_counts(master: DataFrame, as_of=None, days: int = RECENT_DAYS) -
         F.count_if(F.col("first_seen_date") >= since).alias("recent"),
         F.count_if(~active & (F.col("last_seen_date") >= since)).alias("recently_closed"),
     )
+
+
+def update_master_table(spark, path: str, latest: DataFrame, as_of, key: str = "scheme_code") -> DataFrame:
+    """Merge ``latest`` into the master stored under ``path`` and store the result as a new version.
+
+    Versions are ``as_of=<date>`` partitions. The newest version *before*
+    ``as_of`` is read (partition pruning keeps the scan to it) and the merged
+    table is written to this run's ``as_of`` partition with dynamic
+    overwrite: the version being read is never overwritten, and a rerun of
+    the same day rebuilds its version from the previous one. With no older
+    version the initial master is built.
+    """
+    from fundspark.sources.readers import list_files
+    from fundspark.sources.sinks import read_latest_dated, write_dated
+
+    try:
+        versions = list_files(spark, f"{path.rstrip('/')}/as_of=*/*.parquet")
+        has_older = not versions.filter(
+            F.regexp_extract("path", r"as_of=(\d{4}-\d{2}-\d{2})", 1) < F.lit(str(as_of))
+        ).isEmpty()
+    except Exception:
+        has_older = False
+    if has_older:
+        existing = read_latest_dated(spark, path, column="as_of", before=as_of).drop("as_of")
+        merged = merge_master(existing, latest, as_of, key=key)
+    else:
+        merged = build_initial_master(latest, as_of)
+    write_dated(merged, path, as_of, column="as_of")
+    return read_latest_dated(spark, path, column="as_of").drop("as_of")

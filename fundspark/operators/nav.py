@@ -108,3 +108,14 @@ def load_historical_nav(spark, path: str, columns: Sequence[str] | None = None)
 
     cols = list(columns or NAV_COLUMNS)
     return clean_nav(read_csv_glob(spark, path, cols), cols)
+
+
+def write_clean_table(enriched: DataFrame, path: str, date: str = "date") -> None:
+    """Store the enriched table partitioned by date; a run replaces only the dates it holds.
+
+    A one-day run therefore adds or replaces that day instead of
+    overwriting the whole table.
+    """
+    from fundspark.sources.sinks import write_parquet
+
+    write_parquet(enriched, path, partition_by=[date], dynamic_overwrite=True)

@@ -83,8 +83,17 @@ def write_dated(df: DataFrame, path: str, as_of, column: str = "ingest_date", fm
     w.format(fmt).save(path)
 
 
-def read_latest_dated(spark: SparkSession, path: str, column: str = "ingest_date", fmt: str = "parquet") -> DataFrame:
-    """Rows of the newest dated partition (partition pruning keeps the scan to that folder)."""
+def read_latest_dated(
+    spark: SparkSession, path: str, column: str = "ingest_date", fmt: str = "parquet", before=None
+) -> DataFrame:
+    """Rows of the newest dated partition (strictly before ``before`` when given).
+
+    The newest date is a scalar over the partition column only; the filter
+    on it prunes the scan to that one folder.
+    """
     df = spark.read.format(fmt).load(path)
-    latest = df.agg(F.max(column)).scalar()
-    return df.filter(F.col(column) == latest)
+    dates = df.select(column)
+    if before is not None:
+        dates = dates.filter(F.col(column) < F.lit(str(before)).cast("date"))
+    latest = dates.agg(F.max(column)).scalar()
+    return df.filter(F.col(column) == F.lit(latest))

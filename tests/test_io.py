@@ -111,3 +111,34 @@ def test_export_fund_report(spark, scratch):
 def test_storage_path():
     assert R.storage_path("s3a://b/funds/", "clean", "nav_daily_growth_plan") == "s3a://b/funds/clean/nav_daily_growth_plan.parquet"
     assert R.storage_path("/d", "raw", "x", "csv") == "/d/raw/x.csv"
+
+
+def test_master_versions(spark, scratch):
+    import datetime as dt
+
+    from fundspark.operators import master as M
+
+    path = f"{scratch}/master"
+    v1 = spark.createDataFrame([("a", None), ("b", None)], "scheme_code string, launch_date date")
+    m1 = M.update_master_table(spark, path, v1, "2024-01-01")
+    assert m1.count() == 2 and m1.filter("is_active").count() == 2
+    v2 = spark.createDataFrame([("a", None), ("c", dt.date(2024, 1, 15))], "scheme_code string, launch_date date")
+    m2 = {r.scheme_code: r for r in M.update_master_table(spark, path, v2, "2024-02-01").collect()}
+    assert (m2["b"].is_active, m2["a"].first_seen_date, m2["c"].first_seen_date) == (False, dt.date(2024, 1, 1), dt.date(2024, 1, 15))
+    # rerunning the same day gives the same version; the first version is still stored
+    again = M.update_master_table(spark, path, v2, "2024-02-01")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, spark.createDataFrame(list(m2.values())).select(*again.columns).collect()))
+    assert R.read_parquet(spark, path).filter("as_of = DATE'2024-01-01'").count() == 2
+
+
+def test_clean_table_day_replace(spark, scratch):
+    import datetime as dt
+
+    from fundspark.operators import nav as N
+
+    path = f"{scratch}/clean"
+    d1 = spark.createDataFrame([("1", dt.date(2024, 1, 1), 1.0), ("1", dt.date(2024, 1, 2), 2.0)], "scheme_code string, date date, nav double")
+    N.write_clean_table(d1, path)
+    N.write_clean_table(spark.createDataFrame([("1", dt.date(2024, 1, 2), 2.5)], "scheme_code string, date date, nav double"), path)
+    got = sorted((str(r.date), r.nav) for r in R.read_parquet(spark, path).collect())
+    assert got == [("2024-01-01", 1.0), ("2024-01-02", 2.5)]
