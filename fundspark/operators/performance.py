@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundspark.functions.persist import materialize
-from fundspark.functions.text import ellipsis, regex_search
+from fundspark.functions.text import ellipsis
 from fundspark.operators.ranking import count_above
 from fundspark.operators.series import TRADING_DAYS, _running, pct_change
 

@@ -944,7 +944,10 @@ from fundspark.streaming import ingest as STREAM  # noqa: E402
 
 def _scratch(spark, name):
     """A fresh folder under the shared checkpoint folder (a local one only when none is set)."""
-    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="fundspark-", dir="/tmp"))
+    try:
+        base = checkpoint_dir(spark)
+    except RuntimeError:  # local runs without a shared folder (tests)
+        base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="fundspark-", dir="/tmp"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -60,7 +60,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a shared folder is required on a cluster"
         )
-    os.makedirs(fallback, exist_ok=True) if "://" not in fallback else None
+    if "://" not in fallback:
+        os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
