@@ -140,3 +140,24 @@ def is_newer(spark: SparkSession, raw_pattern: str, processed: str, legacy: str
 def files_summary(spark: SparkSession, pattern: str) -> DataFrame:
     """Number of files and bytes on disk under ``pattern``, one row."""
     return list_files(spark, pattern).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def read_parquet_nanos(spark: SparkSession, path: str, columns) -> DataFrame:
+    """Parquet written with nanosecond timestamps (as pandas via DuckDB writes dates).
+
+    Spark refuses ``TIMESTAMP(NANOS)`` by default; with
+    ``spark.sql.legacy.parquet.nanosAsLong`` the column reads as a long of
+    nanoseconds and becomes a timestamp again (``columns`` lists those
+    columns; midnight values become the date when cast with ``to_date``).
+    The setting is restored afterwards; the returned frame keeps working
+    because the scan schema is fixed when the frame is built.
+    """
+    key = "spark.sql.legacy.parquet.nanosAsLong"
+    old = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df = spark.read.parquet(path)
+        df = df.withColumns({c: F.timestamp_micros(F.floor(F.col(c) / 1000)) for c in columns})
+    finally:
+        spark.conf.set(key, old)
+    return df

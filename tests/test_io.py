@@ -142,3 +142,15 @@ def test_clean_table_day_replace(spark, scratch):
     N.write_clean_table(spark.createDataFrame([("1", dt.date(2024, 1, 2), 2.5)], "scheme_code string, date date, nav double"), path)
     got = sorted((str(r.date), r.nav) for r in R.read_parquet(spark, path).collect())
     assert got == [("2024-01-01", 1.0), ("2024-01-02", 2.5)]
+
+
+def test_read_parquet_nanos(spark, scratch):
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    t = pa.table({"scheme_code": ["1", "2"], "date": pa.array(pd.to_datetime(["2024-01-02", "2024-03-04"]).values, pa.timestamp("ns"))})
+    pq.write_table(t, f"{scratch}/nanos.parquet", coerce_timestamps=None, version="2.6")
+    df = R.read_parquet_nanos(spark, f"{scratch}/nanos.parquet", ["date"])
+    got = sorted((r.scheme_code, str(r.date)) for r in df.select("scheme_code", F.to_date("date").alias("date")).collect())
+    assert got == [("1", "2024-01-02"), ("2", "2024-03-04")]
