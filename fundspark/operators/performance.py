@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fundspark.functions.persist import materialize
 from fundspark.functions.text import ellipsis
 from fundspark.operators.ranking import count_above
-from fundspark.operators.series import TRADING_DAYS, _running, pct_change
+from fundspark.operators.series import TRADING_DAYS, _running, missing_as_null, pct_change
 
 # Fixed values of the fund analysis.
 DAYS_PER_YEAR = 365.25
@@ -34,11 +34,13 @@ CAGR_EXCELLENT, CAGR_GOOD = 0.15, 0.10
 
 
 def _first_non_null(value: str, order: str) -> Column:
-    return F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order)))
+    v = missing_as_null(value)
+    return F.min_by(v, F.when(v.isNotNull(), F.col(order)))
 
 
 def _last_non_null(value: str, order: str) -> Column:
-    return F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order)))
+    v = missing_as_null(value)
+    return F.max_by(v, F.when(v.isNotNull(), F.col(order)))
 
 
 def _finite(c: Column) -> Column:
@@ -63,7 +65,7 @@ def fund_kpis(
     x = series.select(key, order, value).withColumns(
         {
             "_ret": pct_change(value, key, order),
-            "_cummax": F.max(value).over(_running(key, order)),
+            "_cummax": F.max(missing_as_null(value)).over(_running(key, order)),
         }
     )
     kpi = x.groupBy(key).agg(
@@ -73,7 +75,7 @@ def fund_kpis(
         F.max(order).alias("end_date"),
         F.count(F.lit(1)).alias("data_points"),
         F.stddev_samp(_finite(F.col("_ret"))).alias("daily_std"),
-        F.min(F.try_divide(F.col(value), F.col("_cummax")) - 1).alias("max_drawdown"),
+        F.min(F.try_divide(missing_as_null(value), F.col("_cummax")) - 1).alias("max_drawdown"),
     )
     multiple = F.try_divide(F.col("end_nav"), F.col("start_nav"))
     years = F.datediff("end_date", "start_date") / F.lit(DAYS_PER_YEAR)

@@ -30,9 +30,15 @@ def _running(key, order):
     return series_window(key, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def missing_as_null(value: str) -> Column:
+    """The value with NaN read as missing, as pandas does (Spark orders NaN above every number)."""
+    v = F.col(value)
+    return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+
+
 def filled(value: str, key, order) -> Column:
-    """Last non-null value up to the current row (forward fill)."""
-    return F.last(F.col(value), ignorenulls=True).over(_running(key, order))
+    """Last non-missing value up to the current row (forward fill)."""
+    return F.last(missing_as_null(value), ignorenulls=True).over(_running(key, order))
 
 
 def forward_fill(
@@ -54,7 +60,7 @@ def pct_change(value: str, key, order, periods: int = 1, fill: bool = True) -> C
     With ``fill`` (the default of the reference's library) NULLs are padded
     forward first, so [1, NULL, 2] gives [NULL, 0, 1]. A zero base gives NULL.
     """
-    cur = filled(value, key, order) if fill else F.col(value)
+    cur = filled(value, key, order) if fill else missing_as_null(value)
     prev = F.lag(cur, periods).over(series_window(key, order))
     return F.try_divide(cur, prev) - F.lit(1.0)
 
@@ -91,8 +97,9 @@ def drawdown_series(
     df: DataFrame, key: str = "scheme_code", order: str = "date", value: str = "nav"
 ) -> DataFrame:
     """Add running maximum ``cumulative_max`` and ``drawdown`` = value / running max - 1."""
-    return df.withColumn("cumulative_max", F.max(value).over(_running(key, order))).withColumn(
-        "drawdown", F.try_divide(F.col(value), F.col("cumulative_max")) - F.lit(1.0)
+    v = missing_as_null(value)
+    return df.withColumn("cumulative_max", F.max(v).over(_running(key, order))).withColumn(
+        "drawdown", F.try_divide(v, F.col("cumulative_max")) - F.lit(1.0)
     )
 
 

@@ -362,3 +362,13 @@ def test_hot_date_report(spark):
     rows = [(f"s{i}", D(2024, 1, 1)) for i in range(3000)] + [(f"s{i}", D(2024, 1, 2)) for i in range(10)]
     rep = Q.validation_report(spark.createDataFrame(rows, "scheme_code string, date date")).orderBy("date").collect()
     assert [r.scheme_count for r in rep] == [3000, 10]
+
+
+def test_nan_is_missing(spark):
+    s = _series(spark, [10.0, float("nan"), 12.0, 9.0])
+    r = T.drawdown_series(T.period_returns(T.forward_fill(s))).orderBy("date").collect()
+    assert [x.nav_filled for x in r] == [10.0, 10.0, 12.0, 9.0]
+    assert [x.perc_return for x in r][1:] == pytest.approx([0.0, 0.2, -0.25])
+    assert r[3].cumulative_max == 12.0 and r[3].drawdown == -0.25
+    k = P.fund_kpis(s).first()
+    assert k.max_drawdown == -0.25
