@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundspark.operators import quality
@@ -940,6 +940,7 @@ from fundspark.session import checkpoint_dir  # noqa: E402
 from fundspark.sources import readers as R  # noqa: E402
 from fundspark.sources import sinks as W  # noqa: E402
 from fundspark.streaming import ingest as STREAM  # noqa: E402
+from pyspark.sql import types as PT  # noqa: E402
 
 
 def _scratch(spark, name):
@@ -984,3 +985,122 @@ def q_stream_ingest(spark, sf_dir):
     q = STREAM.start_ingest(spark, f"{out}/landing", meta, f"{out}/clean", name=f"ingest-{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
     return R.read_parquet(spark, f"{out}/clean")
+
+
+# --------------------------------------------------------------------------
+# Sources read back from landed files (written here from the tables)
+# --------------------------------------------------------------------------
+
+_CLEAN_NAV_SQL = ORACLE["clean_nav"]
+
+
+@register("report_text_load", _CLEAN_NAV_SQL)
+def q_report_text_load(spark, sf_dir):
+    """Events as ';'-separated report files, read as all-string text and cleaned."""
+    out = _scratch(spark, "report")
+    _events_report_text(spark, sf_dir).write.option("header", True).option("sep", ";").csv(out)
+    raw = R.read_nav_report(spark, out)
+    if not R.check_batch(raw):
+        raise ValueError("empty or malformed report batch")
+    return N.clean_nav(raw)
+
+
+@register("historical_csv_load", _CLEAN_NAV_SQL)
+def q_historical_csv_load(spark, sf_dir):
+    """Events as comma CSV chunk files with extra columns, loaded by the history loader."""
+    out = _scratch(spark, "history")
+    text = _events_report_text(spark, sf_dir).withColumn("Extra", F.lit("x"))
+    text.write.option("header", True).csv(out)
+    return N.load_historical_nav(spark, f"{out}/*.csv")
+
+
+@register("aum_json_files", f"WITH {_AUM_SQL} SELECT * FROM aum")
+def q_aum_json_files(spark, sf_dir):
+    """AUM replies landed as JSON files (one document per line), read with a fixed schema."""
+    out = _scratch(spark, "aum")
+    replies = _order_replies(spark, sf_dir)
+    # each line: the landed reply text with the year label alongside
+    line = F.concat(F.lit('{"financial_year":"'), F.col("financial_year"), F.lit('","reply":'), F.col("json"), F.lit("}"))
+    replies.select(line).write.text(out)
+    schema = PT.StructType([PT.StructField("financial_year", PT.StringType()), PT.StructField("reply", A.DATA_REPLY)])
+    return A.flatten_aum(R.read_records(spark, out, schema))
+
+
+# --------------------------------------------------------------------------
+# Small operators on whole tables
+# --------------------------------------------------------------------------
+
+
+@register(
+    "validation_report_range",
+    _REPORT_SQL.replace(
+        f"src AS ({S.EVENT_DAYS_SQL})",
+        f"src AS (SELECT * FROM ({S.EVENT_DAYS_SQL}) WHERE date >= DATE '2024-01-05' AND date <= DATE '2024-01-20')",
+    )
+    + "SELECT * FROM report",
+)
+def q_validation_report_range(spark, sf_dir):
+    return quality.validation_report(S.event_days(spark, sf_dir), start="2024-01-05", end="2024-01-20")
+
+
+@register(
+    "value_range",
+    f"""SELECT MIN(date) AS first_date, MAX(date) AS last_date, MIN(nav) AS min_value, MAX(nav) AS max_value,
+           COUNT(*) AS "rows", COUNT(DISTINCT scheme_code) AS distinct_keys,
+           date_diff('day', MIN(date), MAX(date)) / 365.25 AS years
+    FROM ({S.DAILY_SQL})""",
+)
+def q_value_range(spark, sf_dir):
+    return quality.value_range(S.daily(spark, sf_dir))
+
+
+@register(
+    "first_keys",
+    f"SELECT DISTINCT s_nationkey, s_name FROM supplier ORDER BY s_nationkey, s_name LIMIT 10",
+)
+def q_first_keys(spark, sf_dir):
+    return P.first_keys(S.table(spark, sf_dir, "supplier"), ["s_nationkey", "s_name"], 10)
+
+
+@register("latest_date", f"SELECT MAX(date) AS latest_date FROM ({S.EVENT_DAYS_SQL})")
+def q_latest_date(spark, sf_dir):
+    from fundspark.operators import calendar as C2
+
+    return C2.latest_date(S.event_days(spark, sf_dir))
+
+
+_AUM_YEARS = 5  # years requested by the plan
+
+
+def _aum_mapping_replies(spark, sf_dir):
+    """Mapping replies per financial-year id: all year labels, and that year's periods (quarters)."""
+    o = S.table(spark, sf_dir, "orders")
+    yq = o.select(F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).distinct()
+    years = yq.select("y").distinct()
+    # ids 1..n in year order: a window over the distinct years (a calendar, not the orders)
+    years = years.withColumn("fy_id", F.row_number().over(Window.orderBy("y")).cast("bigint"))
+    labels = years.agg(
+        F.sort_array(F.collect_list(F.struct(F.col("fy_id").alias("id"), F.concat(F.lit("FY "), F.col("y").cast("string")).alias("financial_year"))))
+        .alias("years")
+    )
+    periods = yq.join(years, "y").groupBy("fy_id").agg(F.sort_array(F.collect_list(F.struct(F.col("q").cast("bigint").alias("id")))).alias("periods"))
+    label_reply = labels.select(F.struct("years", F.struct(F.array().cast("array<struct<id:bigint>>").alias("periods")).alias("data")).alias("reply"))
+    period_replies = periods.select("fy_id", F.struct(F.lit(None).cast("array<struct<id:bigint,financial_year:string>>").alias("years"), F.struct("periods").alias("data")).alias("reply"))
+    return label_reply, period_replies, years
+
+
+@register(
+    "aum_plan_load",
+    f"""WITH {_AUM_SQL}
+    SELECT * FROM aum
+    WHERE CAST(substr(financial_year, 4) AS INTEGER) < (SELECT MIN(year(o_orderdate)) FROM orders) + {_AUM_YEARS}""",
+)
+def q_aum_plan_load(spark, sf_dir):
+    label_reply, period_replies, years = _aum_mapping_replies(spark, sf_dir)
+    plan = A.request_plan(label_reply, period_replies, num_years=_AUM_YEARS)
+    data = _order_replies(spark, sf_dir)
+    keyed = data.withColumn("y", F.regexp_extract("financial_year", r"(\d+)", 1).cast("int")).join(
+        years.select("y", "fy_id"), "y"
+    ).withColumn("period_id", F.regexp_extract("reply.selectedPeriod", r"^Q(\d)", 1).cast("bigint"))
+    rows = A.load_aum(plan, keyed.select("fy_id", "period_id", "reply"), fetched_at="2024-12-01 00:00:00")
+    return rows.select(*A.AUM_COLUMNS)
