@@ -513,7 +513,7 @@ def q_top_coverage(spark, sf_dir):
 # p_brand as the fund house. Level 1 finds nothing on the test data, so the
 # fallback to level 2 is exercised.
 _SEARCH_LEVELS_SQL = [
-    "regexp_matches(p_brand, '(?i)parikh')",
+    "regexp_matches(p_brand, '(?i)flexi.*cap')",
     "(regexp_matches(p_type, '(?i)promo|economy') AND regexp_matches(p_name, '(?i)red.*(widget|gear)'))"
     " OR regexp_matches(p_name, '(?i)^hot gizmo')",
     "regexp_matches(p_name, '(?i)gizmo')",
@@ -531,7 +531,7 @@ def q_scheme_search(spark, sf_dir):
     from fundspark.functions.text import regex_search as rx
 
     levels = [
-        rx("p_brand", "parikh"),
+        rx("p_brand", "flexi.*cap"),
         (rx("p_type", "promo|economy") & rx("p_name", "red.*(widget|gear)")) | rx("p_name", "^hot gizmo"),
         rx("p_name", "gizmo"),
     ]
