@@ -998,19 +998,22 @@ def q_stream_ingest(spark, sf_dir):
     out = _scratch(spark, "stream")
     report = _events_report_text(spark, sf_dir)
     report.write.option("header", True).option("sep", ";").csv(f"{out}/landing")
-    users = S.table(spark, sf_dir, "events").select("user_id").distinct()
+    # one metadata row per user; the plan name comes from the user's largest event value,
+    # and the growth flag from the plan-name rules
+    users = S.table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("value").alias("top"))
+    nav_name = F.concat(
+        F.lit("user "), F.col("user_id").cast("string"),
+        F.when(F.col("top") > 50, F.lit(" - Direct Plan - Growth")).otherwise(F.lit(" - Regular Plan - IDCW")),
+    )
     meta = users.select(
         F.col("user_id").cast("string").alias("scheme_code"),
         F.lit("AMC").alias("amc_name"),
         F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("scheme_name"),
         F.lit("Open Ended").alias("scheme_type"),
         F.lit("Equity Scheme - Flexi Cap Fund").alias("scheme_category"),
-        F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" - Growth")).alias("scheme_nav_name"),
-        F.lit("Equity Scheme").alias("scheme_category_level1"),
-        F.lit("Flexi Cap Fund").alias("scheme_category_level2"),
-        F.lit(True).alias("is_direct"),
-        (F.col("user_id") % 2 == 0).alias("is_growth_plan"),
+        nav_name.alias("scheme_nav_name"),
     )
+    meta = MD.plan_flags(MD.category_levels(meta))
     q = STREAM.start_ingest(spark, f"{out}/landing", meta, f"{out}/clean", name=f"ingest-{uuid.uuid4().hex[:8]}")
     q.awaitTermination()
     return R.read_parquet(spark, f"{out}/clean")
