@@ -238,3 +238,17 @@ def customer_snapshot_sql(which: str) -> str:
           FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '{lo}' AND CAST(o_orderdate AS DATE) < DATE '{hi}'
           GROUP BY o_custkey) p
     JOIN customer ON p.o_custkey = c_custkey"""
+
+
+def lineitem_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as price-report text: supplier as the code, ship date as 'dd-MMM-yyyy', price as text."""
+    li = table(spark, sf_dir, "lineitem")
+    cents = F.floor(F.col("l_extendedprice") * 100).cast("bigint")
+    price = F.concat((cents / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    return li.select(
+        F.col("l_suppkey").cast("string").alias("Scheme Code"),
+        F.concat(F.lit("INF"), F.col("l_partkey").cast("string")).alias("ISIN Div Payout/ISIN Growth"),
+        F.lit("-").alias("ISIN Div Reinvestment"),
+        price.alias("Net Asset Value"),
+        F.date_format("l_shipdate", "dd-MMM-yyyy").alias("Date"),
+    )
