@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Largest metadata side broadcast by default: at a few hundred bytes a row this is tens of
+# MB, well inside executor memory; instrument lists are about 16 K rows.
+METADATA_BROADCAST_ROWS = 200_000
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast only when it provably has at most ``max_rows`` rows.

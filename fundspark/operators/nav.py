@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundspark.functions.joins import METADATA_BROADCAST_ROWS, broadcast_if_small
+
 from fundspark.functions.dates import NAV_DATE_FORMAT, parse_date
 from fundspark.functions.numeric import parse_double
 from fundspark.operators.series import pct_change
@@ -53,7 +55,7 @@ def enrich_nav(
     key: str = "scheme_code",
     columns: Sequence[str] = ENRICH_COLUMNS,
     growth_only: bool = True,
-    broadcast_max_rows: int | None = 2_000_000,
+    broadcast_max_rows: int | None = METADATA_BROADCAST_ROWS,
 ) -> DataFrame:
     """Prices joined to growth-plan metadata, NULL prices dropped, exact repeats removed.
 
@@ -65,8 +67,6 @@ def enrich_nav(
     the join is left to the planner (sort-merge, AQE skew split).
     Filters run below the join, so they reach the scan.
     """
-    from fundspark.functions.joins import broadcast_if_small
-
     m = meta.filter(F.col("is_growth_plan")) if growth_only else meta
     m = m.select(key, *[c for c in columns if c != key]).distinct()
     if broadcast_max_rows:
@@ -92,9 +92,7 @@ def analytical_dataset(
     ``nav_change_pct`` is a fraction (as the source uses it), computed per
     key in date order with NULLs padded forward.
     """
-    from fundspark.functions.joins import broadcast_if_small
-
-    m = broadcast_if_small(meta.select(key, *extra), 2_000_000)
+    m = broadcast_if_small(meta.select(key, *extra), METADATA_BROADCAST_ROWS)
     return (
         enriched.join(m, key, "left")
         .withColumn("nav_change_pct", pct_change(value, key, order))

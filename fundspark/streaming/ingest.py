@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from fundspark.functions.joins import broadcast_if_small
+from fundspark.functions.joins import METADATA_BROADCAST_ROWS, broadcast_if_small
 from fundspark.operators.nav import ENRICH_COLUMNS, NAV_COLUMNS, clean_nav
 from fundspark.session import checkpoint_dir
 
@@ -36,7 +37,7 @@ def dedupe(stream: DataFrame, keys=CLEAN_COLUMNS, delay: str = "7 days") -> Data
     return stream.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def enriched_stream(stream: DataFrame, meta: DataFrame, key: str = "scheme_code", meta_max_rows: int = 2_000_000) -> DataFrame:
+def enriched_stream(stream: DataFrame, meta: DataFrame, key: str = "scheme_code", meta_max_rows: int = METADATA_BROADCAST_ROWS) -> DataFrame:
     """Stream-static join with growth-plan metadata (broadcast after a bounded size check)."""
     m = meta.filter(F.col("is_growth_plan")).select(key, *[c for c in ENRICH_COLUMNS if c != key])
     m = broadcast_if_small(m, meta_max_rows)

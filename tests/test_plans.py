@@ -45,3 +45,15 @@ def test_no_unbounded_window_for_peer_rank(spark):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     # the category-wide window runs on (category, bucket) or on bucket totals, never on raw rows of a category
     assert "percentile_approx" in text
+
+
+def test_broadcast_only_under_bound(spark):
+    from fundspark.functions.joins import broadcast_if_small
+
+    small = spark.range(10)
+    big = spark.range(1000)
+    fact = spark.range(100000).withColumnRenamed("id", "k")
+    j_small = fact.join(broadcast_if_small(small, 100), fact.k == small.id)
+    j_big = fact.join(broadcast_if_small(big, 100), fact.k == big.id)
+    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
