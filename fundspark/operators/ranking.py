@@ -25,11 +25,13 @@ def count_above(
     weight: str | None = None,
     buckets: int = 32,
     accuracy: int = 10000,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``out`` = total weight of rows in the same group with a strictly greater ``value``.
 
     ``weight`` (0/1 or any count) says which rows count as peers; every row
-    gets its own count. Rows with a NULL value get NULL.
+    gets its own count. Rows with a NULL value get NULL. ``keep_bucket``
+    keeps the bucket column ``_b`` to inspect how a group was split.
     """
     group = list(group)
     w = F.col(weight) if weight else F.lit(1)
@@ -54,4 +56,5 @@ def count_above(
     ranks = per_value.join(per_bucket, [*group, "_b"]).select(
         *group, "_b", value, (F.col("_in") + F.col("_off")).cast("bigint").alias(out)
     )
-    return x.join(ranks, [*group, "_b", value], "left").drop("_b", "_w")
+    out = x.join(ranks, [*group, "_b", value], "left").drop("_w")
+    return out if keep_bucket else out.drop("_b")
