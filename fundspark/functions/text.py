@@ -13,9 +13,13 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the whitespace characters removed at both ends (those of regex \s).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip(c) -> Column:
     """Remove leading and trailing whitespace (blanks, tabs, newlines), like Python's strip."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def blank_to_null(c) -> Column:
