@@ -17,14 +17,30 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_date(c, fmt: str = NAV_DATE_FORMAT) -> Column:
+# Shape of the text each format can parse (a superset: digits and letters of any length
+# with the format's separators). In a multi-format parse most values fail most formats,
+# and the parser's failure path is an exception per value; text of another shape is not
+# handed to it.
+FORMAT_SHAPES = {
+    "d-MMM-yyyy": r"^\d+-[A-Za-z]+-\d+$",
+    "d/M/yyyy": r"^\d+/\d+/\d+$",
+    "d-M-yyyy": r"^\d+-\d+-\d+$",
+    "yyyy-MM-dd": r"^\d+-\d+-\d+$",
+    "yyyyMMdd": r"^\d+$",
+}
+
+
+def parse_date(c, fmt: str = NAV_DATE_FORMAT, check_shape: bool = False) -> Column:
     """Strict parse of one format; text that does not match (or an impossible day) gives NULL."""
-    return F.to_date(F.try_to_timestamp(strip(c), F.lit(fmt)))
+    s = strip(c)
+    parsed = F.to_date(F.try_to_timestamp(s, F.lit(fmt)))
+    shape = FORMAT_SHAPES.get(fmt) if check_shape else None
+    return F.when(s.rlike(shape), parsed) if shape else parsed
 
 
 def parse_day_first(c, formats=DAY_FIRST_FORMATS) -> Column:
     """Day-first date text in any of ``formats``; the first format that parses wins."""
-    return F.coalesce(*[parse_date(c, f) for f in formats])
+    return F.coalesce(*[parse_date(c, f, check_shape=True) for f in formats])
 
 
 def is_weekend(c) -> Column:
