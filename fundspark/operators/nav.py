@@ -108,12 +108,20 @@ def load_historical_nav(spark, path: str, columns: Sequence[str] | None = None)
     return clean_nav(read_csv_glob(spark, path, cols), cols)
 
 
-def write_clean_table(enriched: DataFrame, path: str, date: str = "date") -> None:
+def write_clean_table(
+    enriched: DataFrame, path: str, date: str = "date", key: str = "scheme_code", partitions: int | None = None
+) -> None:
     """Store the enriched table partitioned by date; a run replaces only the dates it holds.
 
     A one-day run therefore adds or replaces that day instead of
-    overwriting the whole table.
+    overwriting the whole table. Rows are range-partitioned on (date, key)
+    before the write: each task holds a contiguous slice, so a date gets a
+    few files instead of one per task, and a date with many rows is still
+    split across tasks by key. Sorting inside each task orders the row
+    groups, so their min/max statistics prune date and key filters.
     """
     from fundspark.sources.sinks import write_parquet
 
-    write_parquet(enriched, path, partition_by=[date], dynamic_overwrite=True)
+    n = partitions or int(enriched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = enriched.repartitionByRange(n, date, key).sortWithinPartitions(date, key)
+    write_parquet(laid_out, path, partition_by=[date], dynamic_overwrite=True)
