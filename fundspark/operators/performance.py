@@ -164,7 +164,9 @@ def peer_comparison(
     """
     f = kpis.select(key, "cagr", "data_points", "years").join(info.select(key, category), key, "inner")
     elig = (F.col("data_points") > min_rows) & (F.col("years") > 0) & F.col("cagr").isNotNull()
-    f = f.filter(F.col("cagr").isNotNull()).select(key, category, "cagr", elig.cast("int").alias("_elig"))
+    # a missing category equals no other category: such funds have no peers
+    f = f.filter(F.col("cagr").isNotNull() & F.col(category).isNotNull())
+    f = f.select(key, category, "cagr", elig.cast("int").alias("_elig"))
     # one row per fund, read by five branches below: compute it once
     f = materialize(f)
     e = f.filter("_elig = 1")
@@ -225,7 +227,7 @@ def top_peers(
     so each map task sends at most ``n`` rows per category.
     """
     f = kpis.filter((F.col("data_points") > min_rows) & (F.col("years") > 0) & F.col("cagr").isNotNull())
-    f = f.select(key, "cagr").join(info.select(key, category, name), key, "inner")
+    f = f.select(key, "cagr").join(info.select(key, category, name).filter(F.col(category).isNotNull()), key, "inner")
     w = Window.partitionBy(category).orderBy(F.col("cagr").desc(), F.col(key).asc())
     return (
         f.withColumn("position", F.row_number().over(w))

@@ -372,3 +372,13 @@ def test_nan_is_missing(spark):
     assert r[3].cumulative_max == 12.0 and r[3].drawdown == -0.25
     k = P.fund_kpis(s).first()
     assert k.max_drawdown == -0.25
+
+
+def test_null_category_has_no_peers(spark):
+    kpis = spark.createDataFrame(
+        [("a", 0.1, 300, 2.0), ("b", 0.2, 300, 2.0), ("c", 0.3, 300, 2.0)],
+        "scheme_code string, cagr double, data_points long, years double",
+    )
+    info = spark.createDataFrame([("a", None, "a"), ("b", None, "b"), ("c", "x", "c")], "scheme_code string, scheme_category string, scheme_name string")
+    assert P.peer_comparison(kpis, info).count() == 0
+    assert [r.scheme_code for r in P.top_peers(kpis, info).collect()] == ["c"]
