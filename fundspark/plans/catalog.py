@@ -2,1137 +2,15 @@
 
 Each query is ``(spark, sf_dir) -> DataFrame`` and reads whole tables.
 Computed doubles are rounded to 6 digits on both sides where the two
-engines may differ in the last bit (sums, logs, powers).
+engines may differ in the last bit (sums, logs, powers). The queries live
+in four modules by domain; importing them registers them, in this order
+(the load module reuses the report-cleaning SQL of the metadata module).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-from fundspark.operators import quality
-from fundspark.plans import standins as S
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def _positive_zero(sql: str) -> str:
-    """Wrap every ROUND(...) / round_even(...) call as (call + 0.0).
-
-    DuckDB keeps the sign of a value rounded to zero (-0.0); Spark's
-    decimal rounding gives +0.0. Adding +0.0 turns -0.0 into +0.0 and
-    leaves every other value unchanged.
-    """
-    out, i = [], 0
-    low = sql.lower()
-    while i < len(sql):
-        j = min([k for k in (low.find("round(", i), low.find("round_even(", i)) if k >= 0], default=-1)
-        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
-            if j < 0:
-                out.append(sql[i:])
-                break
-            out.append(sql[i : j + 1])
-            i = j + 1
-            continue
-        depth, k = 0, sql.index("(", j)
-        while True:
-            depth += {"(": 1, ")": -1}.get(sql[k], 0)
-            if depth == 0:
-                break
-            k += 1
-        out.append(sql[i:j] + "(" + sql[j : k + 1] + " + CAST(0 AS DOUBLE))")
-        i = k + 1
-    return "".join(out)
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = _positive_zero(sql)
-        return fn
-
-    return deco
-
-
-# --------------------------------------------------------------------------
-# Completeness report (events: user = key, event day = date)
-# --------------------------------------------------------------------------
-
-_REPORT_SQL = f"""
-WITH src AS ({S.EVENT_DAYS_SQL}),
-counts AS (SELECT date, COUNT(DISTINCT scheme_code) AS scheme_count FROM src GROUP BY date),
-base AS (
-  SELECT date, scheme_count,
-         COALESCE(CAST(AVG(scheme_count) OVER (ORDER BY date NULLS LAST
-                       ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS INTEGER),
-                  CAST(FLOOR(quantile_cont(scheme_count, 0.5) OVER ()) AS INTEGER)) AS expected_count
-  FROM counts),
-report AS (
-  SELECT date, scheme_count, expected_count AS rolling_avg, expected_count,
-         CAST(scheme_count AS DOUBLE) / expected_count AS completeness_ratio,
-         CASE WHEN CAST(scheme_count AS DOUBLE) / expected_count >= 0.95 THEN 'COMPLETE'
-              WHEN CAST(scheme_count AS DOUBLE) / expected_count < 0.5 THEN 'HOLIDAY'
-              ELSE 'INCOMPLETE' END AS status
-  FROM base)
-"""
-
-
-def _report(spark, sf_dir):
-    return quality.validation_report(S.event_days(spark, sf_dir))
-
-
-@register("validation_report", _REPORT_SQL + "SELECT * FROM report")
-def q_validation_report(spark, sf_dir):
-    return _report(spark, sf_dir)
-
-
-@register(
-    "validation_stats",
-    _REPORT_SQL
-    + """
-SELECT COUNT(*) AS total_dates,
-       COUNT(*) FILTER (WHERE status = 'COMPLETE') AS complete_dates,
-       COUNT(*) FILTER (WHERE status = 'INCOMPLETE') AS incomplete_dates,
-       COUNT(*) FILTER (WHERE status = 'HOLIDAY') AS holiday_dates,
-       CAST(0.95 AS DOUBLE) AS threshold, CAST(5 AS INTEGER) AS "window",
-       COUNT(*) FILTER (WHERE status = 'INCOMPLETE') = 0 AS passed
-FROM report""",
-)
-def q_validation_stats(spark, sf_dir):
-    return quality.validation_stats(_report(spark, sf_dir))
-
-
-@register(
-    "validation_view",
-    _REPORT_SQL
-    + """
-SELECT date, scheme_count, expected_count, completeness_ratio, status,
-       CASE status WHEN 'INCOMPLETE' THEN ' <-- CHECK' WHEN 'HOLIDAY' THEN ' (holiday)' ELSE '' END AS marker
-FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY date DESC NULLS FIRST) AS rn FROM report)
-WHERE rn <= 20 OR status <> 'COMPLETE'""",
-)
-def q_validation_view(spark, sf_dir):
-    return quality.validation_view(_report(spark, sf_dir))
-
-
-# --------------------------------------------------------------------------
-# Duplicates and quality rules
-# --------------------------------------------------------------------------
-
-from fundspark.operators import performance as P  # noqa: E402
-from fundspark.operators import series as T  # noqa: E402
-
-
-def r6(df: DataFrame, cols) -> DataFrame:
-    """Round computed doubles to 6 digits for the engine comparison (zero always +0.0)."""
-    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in cols})
-
-
-@register(
-    "dup_code_date_nav",
-    f"SELECT scheme_code, date, nav, COUNT(*) AS count FROM ({S.NAV_RAW_SQL}) GROUP BY 1, 2, 3 HAVING COUNT(*) > 1",
-)
-def q_dup_code_date_nav(spark, sf_dir):
-    return quality.find_duplicates(S.nav_raw(spark, sf_dir), ["scheme_code", "date", "nav"])
-
-
-@register(
-    "dup_code_date",
-    f"SELECT scheme_code, date, COUNT(*) AS count FROM ({S.NAV_RAW_SQL}) GROUP BY 1, 2 HAVING COUNT(*) > 1",
-)
-def q_dup_code_date(spark, sf_dir):
-    return quality.find_duplicates(S.nav_raw(spark, sf_dir), ["scheme_code", "date"])
-
-
-@register(
-    "dup_code_date_distinct",
-    f"""SELECT scheme_code, date, COUNT(*) AS count
-        FROM (SELECT DISTINCT scheme_code, date, nav FROM ({S.NAV_RAW_SQL})) GROUP BY 1, 2 HAVING COUNT(*) > 1""",
-)
-def q_dup_code_date_distinct(spark, sf_dir):
-    return quality.find_duplicates(
-        S.nav_raw(spark, sf_dir), ["scheme_code", "date"], distinct_first=["scheme_code", "date", "nav"]
-    )
-
-
-_ORDERS_SERIES_SQL = (
-    "SELECT o_custkey AS scheme_code, CAST(o_orderdate AS DATE) AS date, o_totalprice AS nav FROM orders"
-)
-
-
-def _orders_series(spark, sf_dir):
-    o = S.table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_custkey").alias("scheme_code"), F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("nav")
-    )
-
-
-@register(
-    "quality_rules",
-    f"""WITH o AS ({_ORDERS_SERIES_SQL}),
-    g AS (SELECT scheme_code, date, COUNT(*) AS n,
-                 COUNT(*) FILTER (WHERE nav IS NOT NULL AND (nav < 0.01 OR nav > 10000.0)) AS vo,
-                 COUNT(*) FILTER (WHERE TRY_CAST(CAST(scheme_code AS VARCHAR) AS BIGINT) IS NULL
-                                  OR TRY_CAST(CAST(scheme_code AS VARCHAR) AS BIGINT) < 100000
-                                  OR TRY_CAST(CAST(scheme_code AS VARCHAR) AS BIGINT) > 999999) AS co,
-                 COUNT(*) FILTER (WHERE nav IS NULL) AS nv
-          FROM o GROUP BY 1, 2),
-    t AS (SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS "rows",
-                 CAST(COALESCE(SUM(vo), 0) AS BIGINT) AS value_out_of_range,
-                 CAST(COALESCE(SUM(co), 0) AS BIGINT) AS code_out_of_range,
-                 CAST(COALESCE(SUM(nv), 0) AS BIGINT) AS null_values,
-                 CAST(0 AS BIGINT) AS launch_year_out_of_range,
-                 CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM g)
-    SELECT *, CAST(null_values AS DOUBLE) / "rows" AS null_share,
-           CAST(duplicate_rows AS DOUBLE) / "rows" AS duplicate_share,
-           COALESCE(CAST(null_values AS DOUBLE) / "rows", 0) <= 0.1 AS null_share_ok,
-           COALESCE(CAST(duplicate_rows AS DOUBLE) / "rows", 0) <= 0.05 AS duplicate_share_ok,
-           value_out_of_range = 0 AS values_ok, code_out_of_range = 0 AS codes_ok,
-           launch_year_out_of_range = 0 AS launch_years_ok
-    FROM t""",
-)
-def q_quality_rules(spark, sf_dir):
-    return quality.quality_rules(_orders_series(spark, sf_dir), launch=None)
-
-
-@register(
-    "dataset_summary",
-    'SELECT COUNT(*) AS "rows", COUNT(DISTINCT o_custkey) AS distinct_keys, CAST(6 AS INTEGER) AS "columns" FROM orders',
-)
-def q_dataset_summary(spark, sf_dir):
-    return quality.dataset_summary(S.table(spark, sf_dir, "orders"), key="o_custkey")
-
-
-# --------------------------------------------------------------------------
-# Series: fill, returns, drawdown, rolling return (daily stand-in)
-# --------------------------------------------------------------------------
-
-# Values on Wednesdays are blanked to exercise the fill (rows are kept).
-_GAPPY_SQL = f"""gappy AS (SELECT scheme_code, date,
-                          CASE WHEN isodow(date) = 3 THEN NULL ELSE nav END AS nav
-                   FROM ({S.DAILY_SQL}))"""
-_W = "PARTITION BY scheme_code ORDER BY date"
-_RUN = f"({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-
-
-def _gappy(spark, sf_dir):
-    d = S.daily(spark, sf_dir)
-    return d.withColumn("nav", F.when(F.weekday("date") == 2, F.lit(None).cast("double")).otherwise(F.col("nav")))
-
-
-@register(
-    "forward_fill",
-    f"WITH {_GAPPY_SQL} SELECT *, LAST_VALUE(nav IGNORE NULLS) OVER {_RUN} AS nav_filled FROM gappy",
-)
-def q_forward_fill(spark, sf_dir):
-    return T.forward_fill(_gappy(spark, sf_dir))
-
-
-_RETURNS_SQL = f"""{_GAPPY_SQL},
-  f AS (SELECT *, LAST_VALUE(nav IGNORE NULLS) OVER {_RUN} AS fl FROM gappy),
-  r AS (SELECT scheme_code, date, nav, fl / LAG(fl) OVER ({_W}) - 1 AS perc_return FROM f),
-  rl AS (SELECT *, ln(1 + perc_return) AS log_return FROM r)"""
-
-
-@register(
-    "period_returns",
-    f"WITH {_RETURNS_SQL} SELECT scheme_code, date, nav, ROUND(perc_return, 6) AS perc_return, "
-    "ROUND(log_return, 6) AS log_return FROM rl",
-)
-def q_period_returns(spark, sf_dir):
-    return r6(T.period_returns(_gappy(spark, sf_dir)), ["perc_return", "log_return"])
-
-
-@register(
-    "annual_log_returns",
-    f"""WITH {_RETURNS_SQL}
-    SELECT scheme_code, make_date(CAST(year(date) AS INTEGER), 12, 31) AS date,
-           ROUND(COALESCE(SUM(log_return), 0), 6) AS log_return
-    FROM rl GROUP BY 1, 2""",
-)
-def q_annual_log_returns(spark, sf_dir):
-    return r6(T.annual_log_returns(T.period_returns(_gappy(spark, sf_dir))), ["log_return"])
-
-
-@register(
-    "drawdown_series",
-    f"""WITH d AS ({S.DAILY_SQL}), m AS (SELECT *, MAX(nav) OVER {_RUN} AS cumulative_max FROM d)
-    SELECT scheme_code, date, nav, cumulative_max, ROUND(nav / cumulative_max - 1, 6) AS drawdown FROM m""",
-)
-def q_drawdown_series(spark, sf_dir):
-    return r6(T.drawdown_series(S.daily(spark, sf_dir)), ["drawdown"])
-
-
-@register(
-    "rolling_return_252",
-    f"""WITH d AS ({S.DAILY_SQL})
-    SELECT *, ROUND(nav / LAG(nav, 252) OVER ({_W}) - 1, 6) AS rolling_return_252 FROM d""",
-)
-def q_rolling_return_252(spark, sf_dir):
-    return r6(T.rolling_return(S.daily(spark, sf_dir)), ["rolling_return_252"])
-
-
-# --------------------------------------------------------------------------
-# KPIs, labels, lump sum
-# --------------------------------------------------------------------------
-
-_KPI_SQL = f"""d AS ({S.DAILY_SQL}),
-  kr AS (SELECT *, MAX(nav) OVER {_RUN} AS cm, nav / LAG(nav) OVER ({_W}) - 1 AS ret FROM d),
-  k0 AS (SELECT scheme_code, arg_min(nav, date) AS start_nav, arg_max(nav, date) AS end_nav,
-                MIN(date) AS start_date, MAX(date) AS end_date, COUNT(*) AS data_points,
-                STDDEV_SAMP(ret) AS daily_std, MIN(nav / cm - 1) AS max_drawdown
-         FROM kr GROUP BY scheme_code),
-  k1 AS (SELECT *, CAST(date_diff('day', start_date, end_date) AS INTEGER) AS days,
-                date_diff('day', start_date, end_date) / 365.25 AS years,
-                end_nav / start_nav AS growth_multiple, (end_nav / start_nav - 1) * 100 AS total_return_pct
-         FROM k0),
-  k2 AS (SELECT *, CASE WHEN years > 0 THEN pow(growth_multiple, 1 / years) - 1 END AS cagr,
-                daily_std * sqrt(252) AS volatility FROM k1),
-  kpis AS (SELECT *, CASE WHEN volatility > 0 THEN (cagr - 0.06) / volatility ELSE 0.0 END AS sharpe_ratio,
-                  CASE WHEN volatility > 0 THEN cagr / volatility ELSE 0.0 END AS return_per_risk FROM k2)"""
-
-_KPI_DOUBLES = [
-    "daily_std", "max_drawdown", "years", "growth_multiple", "total_return_pct",
-    "cagr", "volatility", "sharpe_ratio", "return_per_risk",
-]
-
-
-def _kpis(spark, sf_dir):
-    return P.fund_kpis(S.daily(spark, sf_dir))
-
-
-@register(
-    "fund_kpis",
-    f"WITH {_KPI_SQL} SELECT scheme_code, start_nav, end_nav, start_date, end_date, data_points, days, "
-    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in _KPI_DOUBLES)
-    + " FROM kpis",
-)
-def q_fund_kpis(spark, sf_dir):
-    return r6(_kpis(spark, sf_dir), _KPI_DOUBLES)
-
-
-@register(
-    "risk_labels",
-    f"""WITH {_KPI_SQL}
-    SELECT scheme_code,
-      CASE WHEN volatility > 0.25 THEN 'High' WHEN volatility > 0.15 THEN 'Medium' ELSE 'Low' END AS risk_level,
-      CASE WHEN sharpe_ratio > 1 THEN 'Excellent' WHEN sharpe_ratio > 0.5 THEN 'Good' ELSE 'Average' END AS sharpe_rating,
-      CASE WHEN cagr > 0.15 THEN 'Excellent' WHEN cagr > 0.10 THEN 'Good' ELSE 'Average' END AS performance_rating
-    FROM kpis""",
-)
-def q_risk_labels(spark, sf_dir):
-    return P.risk_labels(_kpis(spark, sf_dir)).select("scheme_code", "risk_level", "sharpe_rating", "performance_rating")
-
-
-@register(
-    "lump_sum",
-    f"""WITH {_KPI_SQL}
-    SELECT scheme_code, CAST(100000.0 AS DOUBLE) AS amount, ROUND(100000.0 * growth_multiple, 6) AS final_value,
-           ROUND(100000.0 * growth_multiple - 100000.0, 6) AS gain FROM kpis""",
-)
-def q_lump_sum(spark, sf_dir):
-    return r6(P.lump_sum(_kpis(spark, sf_dir)).select("scheme_code", "amount", "final_value", "gain"), ["final_value", "gain"])
-
-
-# --------------------------------------------------------------------------
-# Peers (supplier's nation as the category)
-# --------------------------------------------------------------------------
-
-_PEER_SQL = f"""{_KPI_SQL},
-  info AS ({S.FUND_INFO_SQL}),
-  f AS (SELECT k.scheme_code, k.cagr, k.data_points, k.years, i.scheme_category, i.scheme_name
-        FROM kpis k JOIN info i USING (scheme_code) WHERE k.cagr IS NOT NULL),
-  e AS (SELECT * FROM f WHERE data_points > 252 AND years > 0),
-  pr AS (
-    SELECT f.scheme_code, f.scheme_category, f.cagr * 100 AS cagr_pct,
-      (SELECT COUNT(*) FROM e WHERE e.scheme_category = f.scheme_category AND e.scheme_code <> f.scheme_code) AS peer_count,
-      (SELECT AVG(cagr) FROM e WHERE e.scheme_category = f.scheme_category AND e.scheme_code <> f.scheme_code) * 100 AS peer_avg_cagr_pct,
-      (SELECT MAX(cagr) FROM e WHERE e.scheme_category = f.scheme_category AND e.scheme_code <> f.scheme_code) * 100 AS peer_best_cagr_pct,
-      (SELECT MIN(cagr) FROM e WHERE e.scheme_category = f.scheme_category AND e.scheme_code <> f.scheme_code) * 100 AS peer_worst_cagr_pct,
-      1 + (SELECT COUNT(*) FROM e WHERE e.scheme_category = f.scheme_category AND e.scheme_code <> f.scheme_code
-                                    AND e.cagr > f.cagr) AS peer_rank
-    FROM f),
-  peers AS (SELECT *, peer_count + 1 AS total_funds,
-                   CAST(peer_count + 1 - peer_rank + 1 AS DOUBLE) / (peer_count + 1) * 100 AS percentile
-            FROM pr WHERE peer_count > 0)"""
-
-_PEER_DOUBLES = ["cagr_pct", "peer_avg_cagr_pct", "peer_best_cagr_pct", "peer_worst_cagr_pct", "percentile"]
-
-
-def _peers(spark, sf_dir):
-    return P.peer_comparison(_kpis(spark, sf_dir), S.fund_info(spark, sf_dir))
-
-
-@register(
-    "peer_rank",
-    f"WITH {_PEER_SQL} SELECT scheme_code, scheme_category, peer_count, peer_rank, total_funds, "
-    "ROUND(cagr_pct, 6) AS cagr_pct, ROUND(percentile, 6) AS percentile FROM peers",
-)
-def q_peer_rank(spark, sf_dir):
-    df = _peers(spark, sf_dir).select(
-        "scheme_code", "scheme_category", "peer_count", "peer_rank", "total_funds", "cagr_pct", "percentile"
-    )
-    return r6(df, ["cagr_pct", "percentile"])
-
-
-@register(
-    "peer_summary",
-    f"WITH {_PEER_SQL} SELECT scheme_code, "
-    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in _PEER_DOUBLES[1:4])
-    + " FROM peers",
-)
-def q_peer_summary(spark, sf_dir):
-    return r6(_peers(spark, sf_dir).select("scheme_code", *_PEER_DOUBLES[1:4]), _PEER_DOUBLES[1:4])
-
-
-@register(
-    "top_peers",
-    f"""WITH {_PEER_SQL},
-    t AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_category ORDER BY cagr DESC, scheme_code) AS position FROM e)
-    SELECT scheme_category, CAST(position AS INTEGER) AS position, scheme_code,
-           CASE WHEN length(scheme_name) > 50 THEN substr(scheme_name, 1, 50) || '...' ELSE scheme_name END AS scheme_name_short,
-           ROUND(cagr * 100, 6) AS cagr_pct
-    FROM t WHERE position <= 5""",
-)
-def q_top_peers(spark, sf_dir):
-    return r6(P.top_peers(_kpis(spark, sf_dir), S.fund_info(spark, sf_dir)), ["cagr_pct"])
-
-
-# --------------------------------------------------------------------------
-# Months, seasonality, calendar table, histogram
-# --------------------------------------------------------------------------
-
-_MONTHLY_SQL = f"""d AS ({S.DAILY_SQL}),
-  mo AS (SELECT scheme_code, date_trunc('month', date) AS year_month,
-                arg_min(nav, date) FILTER (WHERE nav IS NOT NULL) AS nav_start,
-                arg_max(nav, date) FILTER (WHERE nav IS NOT NULL) AS nav_end,
-                MIN(date) AS date_start, MAX(date) AS date_end
-         FROM d GROUP BY 1, 2),
-  monthly AS (SELECT *, (nav_end / nav_start - 1) * 100 AS monthly_return,
-                     CAST(month(date_start) AS INTEGER) AS month, CAST(year(date_start) AS INTEGER) AS year FROM mo)"""
-
-
-def _monthly(spark, sf_dir):
-    return P.monthly_returns(S.daily(spark, sf_dir))
-
-
-@register(
-    "monthly_returns",
-    f"""WITH {_MONTHLY_SQL}
-    SELECT scheme_code, CAST(year_month AS DATE) AS year_month, nav_start, nav_end, date_start, date_end,
-           ROUND(monthly_return, 6) AS monthly_return, month, year FROM monthly""",
-)
-def q_monthly_returns(spark, sf_dir):
-    return r6(_monthly(spark, sf_dir), ["monthly_return"])
-
-
-@register(
-    "seasonality",
-    f"""WITH {_MONTHLY_SQL}
-    SELECT scheme_code, month, ROUND(AVG(monthly_return), 6) AS mean, ROUND(STDDEV_SAMP(monthly_return), 6) AS std,
-           COUNT(monthly_return) AS count, strftime(make_date(2000, month, 1), '%B') AS month_name
-    FROM monthly GROUP BY scheme_code, month""",
-)
-def q_seasonality(spark, sf_dir):
-    return r6(P.seasonality(_monthly(spark, sf_dir)), ["mean", "std"])
-
-
-@register(
-    "best_worst_month",
-    f"""WITH {_MONTHLY_SQL},
-    b AS (SELECT scheme_code, CAST(year_month AS DATE) AS best_month, ROUND(monthly_return, 6) AS best_return,
-                 ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY monthly_return DESC, year_month) AS rn
-          FROM monthly WHERE monthly_return IS NOT NULL),
-    w AS (SELECT scheme_code, CAST(year_month AS DATE) AS worst_month, ROUND(monthly_return, 6) AS worst_return,
-                 ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY monthly_return ASC, year_month) AS rn
-          FROM monthly WHERE monthly_return IS NOT NULL)
-    SELECT b.scheme_code, best_month, best_return, worst_month, worst_return
-    FROM b JOIN w ON b.scheme_code = w.scheme_code AND b.rn = 1 AND w.rn = 1""",
-)
-def q_best_worst_month(spark, sf_dir):
-    return r6(P.best_worst_month(_monthly(spark, sf_dir)), ["best_return", "worst_return"])
-
-
-@register(
-    "month_quartiles",
-    f"""WITH {_MONTHLY_SQL},
-    q AS (SELECT scheme_code, month, quantile_cont(monthly_return, 0.25) AS q1,
-                 quantile_cont(monthly_return, 0.5) AS median, quantile_cont(monthly_return, 0.75) AS q3
-          FROM monthly WHERE monthly_return IS NOT NULL GROUP BY 1, 2),
-    q2 AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q),
-    wh AS (SELECT m.scheme_code, m.month,
-                  MIN(CASE WHEN monthly_return >= lo THEN monthly_return END) AS whisker_low,
-                  MAX(CASE WHEN monthly_return <= hi THEN monthly_return END) AS whisker_high,
-                  COUNT(*) FILTER (WHERE monthly_return < lo OR monthly_return > hi) AS outliers
-           FROM monthly m JOIN q2 USING (scheme_code, month) WHERE monthly_return IS NOT NULL GROUP BY 1, 2)
-    SELECT scheme_code, month, ROUND(q1, 6) AS q1, ROUND(median, 6) AS median, ROUND(q3, 6) AS q3,
-           ROUND(iqr, 6) AS iqr, ROUND(whisker_low, 6) AS whisker_low, ROUND(whisker_high, 6) AS whisker_high,
-           outliers, strftime(make_date(2000, month, 1), '%b') AS month_abbr
-    FROM q2 JOIN wh USING (scheme_code, month)""",
-)
-def q_month_quartiles(spark, sf_dir):
-    return r6(P.month_quartiles(_monthly(spark, sf_dir)), ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"])
-
-
-_MONTH_COLS = ",\n".join(
-    f"""round_even(CASE WHEN COUNT(*) FILTER (WHERE month(date) = {i}) > 0
-           THEN (COALESCE(PRODUCT(1 + r) FILTER (WHERE month(date) = {i}), 1.0) - 1) * 100 END, 2) AS "{m}" """
-    for i, m in enumerate(P.MONTH_ABBR, start=1)
-)
-
-
-@register(
-    "calendar_return_table",
-    f"""WITH d AS ({S.DAILY_SQL}), x AS (SELECT *, nav / LAG(nav) OVER ({_W}) - 1 AS r FROM d)
-    SELECT scheme_code, CAST(year(date) AS INTEGER) AS year, {_MONTH_COLS},
-           round_even((arg_max(nav, date) / arg_min(nav, date) - 1) * 100, 2) AS "YTD"
-    FROM x GROUP BY 1, 2""",
-)
-def q_calendar_return_table(spark, sf_dir):
-    return P.calendar_return_table(S.daily(spark, sf_dir))
-
-
-@register(
-    "return_histogram",
-    f"""WITH d AS ({S.DAILY_SQL}), x AS (SELECT scheme_code, nav / LAG(nav) OVER ({_W}) - 1 AS v FROM d),
-    y AS (SELECT * FROM x WHERE v IS NOT NULL AND NOT isnan(v) AND abs(v) < 'inf'::DOUBLE),
-    rg AS (SELECT scheme_code, MIN(v) AS mn, MAX(v) AS mx, AVG(v) AS mean FROM y GROUP BY 1),
-    rg2 AS (SELECT *, CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo, CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi FROM rg),
-    b AS (SELECT y.scheme_code, lo, hi, mean,
-                 LEAST(CAST(FLOOR((v - lo) * 50 / (hi - lo)) AS INTEGER) + 1, 50) AS bin FROM y JOIN rg2 USING (scheme_code))
-    SELECT scheme_code, bin, ROUND(lo + (bin - 1) * ((hi - lo) / 50), 6) AS bin_low, ROUND(lo + bin * ((hi - lo) / 50), 6) AS bin_high,
-           COUNT(*) AS count, ROUND(mean, 6) AS mean
-    FROM b GROUP BY scheme_code, bin, lo, hi, mean""",
-)
-def q_return_histogram(spark, sf_dir):
-    rets = T.period_returns(S.daily(spark, sf_dir))
-    return r6(P.return_histogram(rets), ["bin_low", "bin_high", "mean"])
-
-
-# --------------------------------------------------------------------------
-# Coverage (orders per customer) and search (part)
-# --------------------------------------------------------------------------
-
-
-@register(
-    "coverage",
-    f"""SELECT scheme_code, MIN(date) AS first_date, MAX(date) AS last_date, COUNT(*) AS data_points
-    FROM ({_ORDERS_SERIES_SQL}) WHERE scheme_code IS NOT NULL GROUP BY 1""",
-)
-def q_coverage(spark, sf_dir):
-    return P.coverage(_orders_series(spark, sf_dir))
-
-
-@register(
-    "top_coverage",
-    f"""SELECT scheme_code, MIN(date) AS first_date, MAX(date) AS last_date, COUNT(*) AS data_points
-    FROM ({_ORDERS_SERIES_SQL}) WHERE scheme_code IS NOT NULL GROUP BY 1
-    ORDER BY data_points DESC, scheme_code LIMIT 1""",
-)
-def q_top_coverage(spark, sf_dir):
-    return P.top_coverage(P.coverage(_orders_series(spark, sf_dir)))
-
-
-# Search levels on part: p_name as the scheme name, p_type as the category,
-# p_brand as the fund house. Level 1 finds nothing on the test data, so the
-# fallback to level 2 is exercised.
-_SEARCH_LEVELS_SQL = [
-    "regexp_matches(p_brand, '(?i)flexi.*cap')",
-    "(regexp_matches(p_type, '(?i)promo|economy') AND regexp_matches(p_name, '(?i)red.*(widget|gear)'))"
-    " OR regexp_matches(p_name, '(?i)^hot gizmo')",
-    "regexp_matches(p_name, '(?i)gizmo')",
-]
-
-
-@register(
-    "scheme_search",
-    f"""WITH t AS (SELECT p_partkey, p_name, p_brand, p_type,
-                   CASE WHEN {_SEARCH_LEVELS_SQL[0]} THEN 1 WHEN {_SEARCH_LEVELS_SQL[1]} THEN 2
-                        WHEN {_SEARCH_LEVELS_SQL[2]} THEN 3 END AS match_level FROM part)
-    SELECT DISTINCT * FROM t WHERE match_level = (SELECT MIN(match_level) FROM t)""",
-)
-def q_scheme_search(spark, sf_dir):
-    from fundspark.functions.text import regex_search as rx
-
-    levels = [
-        rx("p_brand", "flexi.*cap"),
-        (rx("p_type", "promo|economy") & rx("p_name", "red.*(widget|gear)")) | rx("p_name", "^hot gizmo"),
-        rx("p_name", "gizmo"),
-    ]
-    return P.scheme_search(S.table(spark, sf_dir, "part"), levels, ["p_partkey", "p_name", "p_brand", "p_type"])
-
-
-# --------------------------------------------------------------------------
-# Metadata (part as the scheme list)
-# --------------------------------------------------------------------------
-
-from fundspark.operators import master as M  # noqa: E402
-from fundspark.operators import metadata as MD  # noqa: E402
-from fundspark.operators import nav as N  # noqa: E402
-
-_META_COLS = [
-    "amc_name", "scheme_code", "scheme_name", "scheme_type", "scheme_category", "scheme_nav_name",
-    "minimum_amount", "launch_date", "closure_date", "isin_growth", "isin_dividend",
-    "scheme_category_level1", "scheme_category_level2", "is_direct", "is_growth_plan",
-]
-
-
-@register("clean_metadata", f"WITH {S.PART_METADATA_SQL} SELECT {', '.join(_META_COLS)} FROM meta")
-def q_clean_metadata(spark, sf_dir):
-    return S.part_metadata(spark, sf_dir).select(*_META_COLS)
-
-
-@register(
-    "category_levels",
-    f"WITH {S.PART_METADATA_SQL} SELECT scheme_code, scheme_category, scheme_category_level1, scheme_category_level2 FROM meta",
-)
-def q_category_levels(spark, sf_dir):
-    raw = S.part_metadata_raw(spark, sf_dir).select(
-        F.col("Code").alias("scheme_code"), F.nullif(F.trim("Scheme Category"), F.lit("")).alias("scheme_category")
-    )
-    return MD.category_levels(raw, rules=S.PART_LEVEL1_RULES)
-
-
-@register(
-    "plan_flags",
-    f"WITH {S.PART_METADATA_SQL} SELECT scheme_code, scheme_nav_name, is_direct, is_growth_plan FROM meta",
-)
-def q_plan_flags(spark, sf_dir):
-    raw = S.part_metadata_raw(spark, sf_dir).select(
-        F.col("Code").alias("scheme_code"), F.col("Scheme NAV Name").alias("scheme_nav_name")
-    )
-    return MD.plan_flags(raw, direct=S.PART_DIRECT, growth=S.PART_GROWTH, non_growth=S.PART_NON_GROWTH)
-
-
-@register(
-    "validate_metadata",
-    f"""WITH {S.PART_METADATA_SQL}
-    SELECT COUNT(*) AS "rows", COUNT(DISTINCT scheme_code) AS distinct_codes, COUNT(DISTINCT amc_name) AS distinct_amcs,
-           COUNT(*) FILTER (WHERE scheme_code IS NULL) AS null_codes,
-           COUNT(*) - COUNT(DISTINCT scheme_code) - CASE WHEN COUNT(*) FILTER (WHERE scheme_code IS NULL) > 0 THEN 1 ELSE 0 END
-             AS duplicate_codes,
-           '' AS missing_columns, COUNT(*) > 0 AS valid
-    FROM meta""",
-)
-def q_validate_metadata(spark, sf_dir):
-    return MD.validate_metadata(S.part_metadata(spark, sf_dir))
-
-
-# --------------------------------------------------------------------------
-# Enrichment, combined and analytical tables
-# --------------------------------------------------------------------------
-
-_ENRICH_SQL = f"""WITH {S.PART_METADATA_SQL},
-  nav AS (SELECT CAST(l_partkey AS VARCHAR) AS scheme_code, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS nav FROM lineitem)
-  SELECT DISTINCT nav.*, {', '.join('m.' + c for c in N.ENRICH_COLUMNS)}
-  FROM nav JOIN (SELECT * FROM meta WHERE is_growth_plan) m USING (scheme_code)
-  WHERE nav.nav IS NOT NULL"""
-
-
-def _lineitem_nav_by_part(spark, sf_dir):
-    li = S.table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.col("l_partkey").cast("string").alias("scheme_code"),
-        F.to_date("l_shipdate").alias("date"),
-        F.col("l_extendedprice").alias("nav"),
-    )
-
-
-@register("enrich_distinct", _ENRICH_SQL)
-def q_enrich_distinct(spark, sf_dir):
-    return N.enrich_nav(_lineitem_nav_by_part(spark, sf_dir), S.part_metadata(spark, sf_dir))
-
-
-_SPLIT = ("1996-01-01", "1998-12-31")  # historical up to the second date, daily from the first
-
-
-@register(
-    "combined_table",
-    f"""SELECT DISTINCT * FROM (
-      SELECT * FROM ({S.NAV_RAW_SQL}) WHERE date <= DATE '{_SPLIT[1]}'
-      UNION ALL
-      SELECT * FROM ({S.NAV_RAW_SQL}) WHERE date >= DATE '{_SPLIT[0]}')""",
-)
-def q_combined_table(spark, sf_dir):
-    raw = S.nav_raw(spark, sf_dir)
-    hist = raw.filter(F.col("date") <= F.lit(_SPLIT[1]).cast("date"))
-    daily = raw.filter(F.col("date") >= F.lit(_SPLIT[0]).cast("date"))
-    return N.combine_nav(hist, daily)
-
-
-@register(
-    "analytical_dataset",
-    f"""WITH d AS ({S.DAILY_SQL}), info AS ({S.FUND_INFO_SQL}),
-    m AS (SELECT s_suppkey AS scheme_code, make_date(1990 + s_nationkey, 1, 1) AS launch_date, s_acctbal AS minimum_amount FROM supplier),
-    e AS (SELECT d.*, info.scheme_name, info.scheme_category, info.amc_name FROM d JOIN info USING (scheme_code))
-    SELECT e.*, m.launch_date, m.minimum_amount,
-           ROUND(nav / LAG(nav) OVER (PARTITION BY e.scheme_code ORDER BY date) - 1, 6) AS nav_change_pct,
-           CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
-    FROM e LEFT JOIN m USING (scheme_code)""",
-)
-def q_analytical_dataset(spark, sf_dir):
-    enriched = S.daily(spark, sf_dir).join(S.fund_info(spark, sf_dir), "scheme_code", "inner")
-    sup = S.table(spark, sf_dir, "supplier")
-    meta = sup.select(
-        F.col("s_suppkey").alias("scheme_code"),
-        F.make_date(F.lit(1990) + F.col("s_nationkey"), F.lit(1), F.lit(1)).alias("launch_date"),
-        F.col("s_acctbal").alias("minimum_amount"),
-    )
-    return r6(N.analytical_dataset(enriched, meta), ["nav_change_pct"])
-
-
-# --------------------------------------------------------------------------
-# Master table (customers with orders in two overlapping windows)
-# --------------------------------------------------------------------------
-
-_AS_OF = {"existing": "1998-01-01", "latest": "2000-01-01"}
-_MASTER_OUT = [
-    "scheme_code", "scheme_name", "amc_name", "launch_date", "orders_in_window",
-    "first_seen_date", "last_seen_date", "is_active", "attribute_last_updated",
-]
-
-
-def _master_initial_sql(which):
-    d = _AS_OF[which]
-    return f"""SELECT *, COALESCE(launch_date, DATE '{d}') AS first_seen_date, DATE '{d}' AS last_seen_date,
-               TRUE AS is_active, DATE '{d}' AS attribute_last_updated FROM ({S.customer_snapshot_sql(which)})"""
-
-
-_MERGE_SQL = f"""WITH e AS ({_master_initial_sql('existing')}), l AS ({S.customer_snapshot_sql('latest')}),
-  j AS (SELECT e.scheme_code AS ek, e.scheme_name AS en, e.amc_name AS ea, e.launch_date AS el, e.orders_in_window AS eo,
-               e.first_seen_date AS ef, e.last_seen_date AS els, e.attribute_last_updated AS eu, e.scheme_code IS NOT NULL AS in_e,
-               l.scheme_code AS lk, l.scheme_name AS ln, l.amc_name AS la, l.launch_date AS ll, l.orders_in_window AS lo,
-               l.scheme_code IS NOT NULL AS in_l
-        FROM e FULL OUTER JOIN l ON e.scheme_code IS NOT DISTINCT FROM l.scheme_code),
-  master AS (
-  SELECT CASE WHEN in_l THEN lk ELSE ek END AS scheme_code,
-         CASE WHEN in_l THEN ln ELSE en END AS scheme_name,
-         CASE WHEN in_l THEN la ELSE ea END AS amc_name,
-         CASE WHEN in_l THEN ll ELSE el END AS launch_date,
-         CASE WHEN in_l THEN lo ELSE eo END AS orders_in_window,
-         CASE WHEN in_l AND in_e THEN ef WHEN in_l THEN COALESCE(ll, DATE '{_AS_OF['latest']}') ELSE ef END AS first_seen_date,
-         CASE WHEN in_l THEN DATE '{_AS_OF['latest']}' ELSE els END AS last_seen_date,
-         in_l AS is_active,
-         CASE WHEN in_l THEN DATE '{_AS_OF['latest']}' ELSE eu END AS attribute_last_updated
-  FROM j)"""
-
-
-def _merged(spark, sf_dir):
-    existing = M.build_initial_master(S.customer_snapshot(spark, sf_dir, "existing"), _AS_OF["existing"])
-    latest = S.customer_snapshot(spark, sf_dir, "latest")
-    return M.merge_master(existing, latest, _AS_OF["latest"])
-
-
-@register("master_initial", _master_initial_sql("latest"))
-def q_master_initial(spark, sf_dir):
-    return M.build_initial_master(S.customer_snapshot(spark, sf_dir, "latest"), _AS_OF["latest"])
-
-
-@register("master_merge", _MERGE_SQL + " SELECT * FROM master")
-def q_master_merge(spark, sf_dir):
-    return _merged(spark, sf_dir).select(*_MASTER_OUT)
-
-
-@register(
-    "master_views",
-    _MERGE_SQL
-    + f"""
-    SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE is_active) AS active, COUNT(*) FILTER (WHERE NOT is_active) AS inactive,
-           COUNT(*) FILTER (WHERE first_seen_date >= DATE '{_AS_OF['latest']}' - INTERVAL 30 DAY) AS recent,
-           COUNT(*) FILTER (WHERE NOT is_active AND last_seen_date >= DATE '{_AS_OF['latest']}' - INTERVAL 30 DAY) AS recently_closed
-    FROM master""",
-)
-def q_master_views(spark, sf_dir):
-    return M.master_view_counts(_merged(spark, sf_dir), _AS_OF["latest"])
-
-
-# --------------------------------------------------------------------------
-# Raw report cleaning (events as report text with bad values)
-# --------------------------------------------------------------------------
-
-
-def _events_report_text(spark, sf_dir):
-    ev = S.table(spark, sf_dir, "events")
-    cents = F.floor(F.col("value") * 100).cast("bigint")
-    value_text = F.concat((cents / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
-    day = F.date_format("ts", "dd-MMM-yyyy")
-    et = F.col("event_type")
-    return ev.select(
-        F.col("user_id").cast("string").alias("Scheme Code"),
-        F.concat(F.lit("INF"), et).alias("ISIN Div Payout/ISIN Growth"),
-        F.lit("-").alias("ISIN Div Reinvestment"),
-        F.when(et == "error", F.lit("N.A.")).when(et == "signup", F.lit(None)).otherwise(value_text).alias("Net Asset Value"),
-        F.when(et == "click", F.upper(day)).when(et == "purchase", F.lit("31-Feb-2024")).otherwise(day).alias("Date"),
-    )
-
-
-_EVENTS_REPORT_SQL = """
-    SELECT CAST(user_id AS VARCHAR) AS "Scheme Code", 'INF' || event_type AS "ISIN Div Payout/ISIN Growth",
-           '-' AS "ISIN Div Reinvestment",
-           CASE WHEN event_type = 'error' THEN 'N.A.' WHEN event_type = 'signup' THEN NULL
-                ELSE CAST(CAST(floor(value * 100) AS BIGINT) // 100 AS VARCHAR) || '.' ||
-                     lpad(CAST(CAST(floor(value * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') END AS "Net Asset Value",
-           CASE WHEN event_type = 'click' THEN upper(strftime(ts, '%d-%b-%Y')) WHEN event_type = 'purchase' THEN '31-Feb-2024'
-                ELSE strftime(ts, '%d-%b-%Y') END AS "Date"
-    FROM events"""
-
-
-@register(
-    "clean_nav",
-    f"""SELECT CAST("Scheme Code" AS VARCHAR) AS scheme_code, "ISIN Div Payout/ISIN Growth" AS isin_growth,
-           "ISIN Div Reinvestment" AS isin_dividend,
-           CASE WHEN regexp_matches(trim("Net Asset Value"), '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$')
-                THEN TRY_CAST(trim("Net Asset Value") AS DOUBLE) END AS nav,
-           CAST(try_strptime(trim("Date"), '%d-%b-%Y') AS DATE) AS date
-    FROM ({_EVENTS_REPORT_SQL}) WHERE "Scheme Code" IS NOT NULL AND "Net Asset Value" IS NOT NULL AND "Date" IS NOT NULL""",
-)
-def q_clean_nav(spark, sf_dir):
-    return N.clean_nav(_events_report_text(spark, sf_dir))
-
-
-# --------------------------------------------------------------------------
-# Load planning on event dates
-# --------------------------------------------------------------------------
-
-from fundspark.operators import aum as A  # noqa: E402
-from fundspark.operators import calendar as C  # noqa: E402
-
-_CHUNK = 7  # days per chunk for the 30-day event table
-
-
-def _event_range(spark, sf_dir, extra_days=0):
-    d = S.event_days(spark, sf_dir)
-    return d.agg(F.min("date").alias("start_date"), F.date_add(F.max("date"), extra_days).alias("end_date"))
-
-
-def _chunks_sql(extra_days=0):
-    return f"""rng AS (SELECT MIN(date) AS start_date, MAX(date) + INTERVAL {extra_days} DAY AS end_date FROM ({S.EVENT_DAYS_SQL})),
-    ch AS (SELECT CAST(start_date AS DATE) AS start_date, CAST(end_date AS DATE) AS end_date,
-                  CAST(ROW_NUMBER() OVER (ORDER BY g) AS INTEGER) AS chunk_no, CAST(g AS DATE) AS chunk_start,
-                  LEAST(CAST(g AS DATE) + INTERVAL {_CHUNK - 1} DAY, end_date)::DATE AS chunk_end
-           FROM rng, generate_series(start_date, end_date, INTERVAL {_CHUNK} DAY) AS t(g)),
-    chunks AS (SELECT *, 'amfi_raw_nav_' || strftime(chunk_start, '%Y%m%d') || '_' || strftime(chunk_end, '%Y%m%d') || '.csv' AS file_name FROM ch)"""
-
-
-@register("date_chunks", f"WITH {_chunks_sql()} SELECT * FROM chunks")
-def q_date_chunks(spark, sf_dir):
-    return C.date_chunks(_event_range(spark, sf_dir), days=_CHUNK)
-
-
-def _pending(spark, sf_dir):
-    chunks = C.date_chunks(_event_range(spark, sf_dir, 20), days=_CHUNK)
-    days = chunks.select("file_name", F.explode(F.sequence("chunk_start", "chunk_end")).alias("date"))
-    present = S.event_days(spark, sf_dir).select("date").distinct()
-    landed = days.join(present, "date", "left_semi").select("file_name")
-    return C.pending_chunks(chunks, landed)
-
-
-_PENDING_SQL = f"""WITH {_chunks_sql(20)},
-    landed AS (SELECT DISTINCT file_name FROM chunks c JOIN (SELECT DISTINCT date FROM ({S.EVENT_DAYS_SQL})) d
-               ON d.date BETWEEN c.chunk_start AND c.chunk_end),
-    marked AS (SELECT c.*, CASE WHEN l.file_name IS NOT NULL THEN 'skipped' ELSE 'pending' END AS state
-               FROM chunks c LEFT JOIN landed l USING (file_name))"""
-
-
-@register("pending_chunks", _PENDING_SQL + " SELECT * FROM marked")
-def q_pending_chunks(spark, sf_dir):
-    return _pending(spark, sf_dir)
-
-
-@register(
-    "chunk_status",
-    _PENDING_SQL
-    + """ SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE state = 'skipped') AS skipped,
-                 COUNT(*) FILTER (WHERE state = 'pending') AS pending FROM marked""",
-)
-def q_chunk_status(spark, sf_dir):
-    return C.chunk_status(_pending(spark, sf_dir))
-
-
-@register(
-    "missing_dates",
-    f"""WITH l AS (SELECT MAX(date) AS latest FROM ({S.EVENT_DAYS_SQL}))
-    SELECT CAST(g AS DATE) AS date FROM l, generate_series(latest + INTERVAL 1 DAY, latest + INTERVAL 10 DAY, INTERVAL 1 DAY) t(g)
-    WHERE isodow(CAST(g AS DATE)) < 6""",
-)
-def q_missing_dates(spark, sf_dir):
-    return C.missing_dates(S.event_days(spark, sf_dir), F.date_add(F.col("latest_date"), 10))
-
-
-@register(
-    "gap_dates",
-    f"""WITH d AS ({S.EVENT_DAYS_SQL}), r AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM d),
-    cal AS (SELECT CAST(g AS DATE) AS date FROM r, generate_series(lo, hi, INTERVAL 1 DAY) t(g))
-    SELECT date FROM cal WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM d WHERE date IS NOT NULL)""",
-)
-def q_gap_dates(spark, sf_dir):
-    d = S.event_days(spark, sf_dir)
-    # the bounds are one scalar subquery each, not pasted text
-    lo = d.agg(F.min("date")).scalar()
-    hi = d.agg(F.max("date")).scalar()
-    return C.gap_dates(d, lo, hi)
-
-
-# --------------------------------------------------------------------------
-# AUM replies built from orders (one reply per order, two fund houses)
-# --------------------------------------------------------------------------
-
-
-def _order_replies(spark, sf_dir):
-    o = S.table(spark, sf_dir, "orders")
-    y = F.year("o_orderdate")
-    q = F.quarter("o_orderdate")
-    scheme1 = F.struct(
-        F.col("o_orderkey").alias("AMFI_Code"),
-        F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("SchemeNAVName"),
-        F.struct(F.col("o_totalprice").alias(A.AUM_EXCL_FOF), F.lit(0.5).cast("double").alias(A.AUM_FOF_DOMESTIC)).alias(
-            "AverageAumForTheMonth"
-        ),
-    )
-    # second scheme: no name and no amounts (fields omitted from the JSON text)
-    scheme2 = F.struct(
-        F.col("o_custkey").alias("AMFI_Code"),
-        F.lit(None).cast("string").alias("SchemeNAVName"),
-        F.lit(None).cast(f"struct<{A.AUM_EXCL_FOF}:double,{A.AUM_FOF_DOMESTIC}:double>").alias(
-            "AverageAumForTheMonth"
-        ),
-    )
-    house1 = F.struct(
-        F.col("o_orderpriority").alias("Mfname"),
-        F.col("o_orderstatus").alias("SchemeType_Desc"),
-        F.when(F.col("o_orderstatus") == "F", F.array(scheme1, scheme2)).otherwise(F.array(scheme1)).alias("schemes"),
-    )
-    house2 = F.struct(
-        F.lit("EMPTY").alias("Mfname"),
-        F.lit(None).cast("string").alias("SchemeType_Desc"),
-        # an empty scheme list of the same element type (codes are JSON numbers)
-        F.array().cast(
-            f"array<struct<AMFI_Code:bigint,SchemeNAVName:string,"
-            f"AverageAumForTheMonth:struct<{A.AUM_EXCL_FOF}:double,{A.AUM_FOF_DOMESTIC}:double>>>"
-        ).alias("schemes"),
-    )
-    reply = F.struct(
-        F.concat(F.lit("Q"), q.cast("string"), F.lit(" "), y.cast("string")).alias("selectedPeriod"),
-        F.array(house1, house2).alias("data"),
-    )
-    # JSON text as it would land (NULL fields are left out of the text)
-    text = F.to_json(reply)
-    docs = o.select(F.concat(F.lit("FY "), y.cast("string")).alias("financial_year"), text.alias("json"))
-    return A.parse_replies(docs)
-
-
-_AUM_SQL = """aum AS (
-    SELECT CAST(o_orderkey AS VARCHAR) AS scheme_code, 'order ' || CAST(o_orderkey AS VARCHAR) AS scheme_name,
-           o_orderpriority AS mf_name, o_orderstatus AS scheme_type, o_totalprice AS aum_excl_fof, CAST(0.5 AS DOUBLE) AS aum_fof_domestic,
-           'FY ' || CAST(year(o_orderdate) AS VARCHAR) AS financial_year,
-           'Q' || CAST(quarter(o_orderdate) AS VARCHAR) || ' ' || CAST(year(o_orderdate) AS VARCHAR) AS period
-    FROM orders
-    UNION ALL
-    SELECT CAST(o_custkey AS VARCHAR), '', o_orderpriority, o_orderstatus, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE),
-           'FY ' || CAST(year(o_orderdate) AS VARCHAR),
-           'Q' || CAST(quarter(o_orderdate) AS VARCHAR) || ' ' || CAST(year(o_orderdate) AS VARCHAR)
-    FROM orders WHERE o_orderstatus = 'F')"""
-
-
-@register("aum_flatten", f"WITH {_AUM_SQL} SELECT * FROM aum")
-def q_aum_flatten(spark, sf_dir):
-    return A.flatten_aum(_order_replies(spark, sf_dir))
-
-
-@register(
-    "aum_summary",
-    f"""WITH {_AUM_SQL} SELECT COUNT(*) AS records, COUNT(DISTINCT scheme_code) AS schemes, COUNT(DISTINCT mf_name) AS amcs,
-        COUNT(DISTINCT (financial_year, period)) AS fy_periods FROM aum""",
-)
-def q_aum_summary(spark, sf_dir):
-    return A.aum_summary(A.flatten_aum(_order_replies(spark, sf_dir)))
-
-
-@register("aum_rows_per_fy", f"WITH {_AUM_SQL} SELECT financial_year, COUNT(*) AS records FROM aum GROUP BY 1")
-def q_aum_rows_per_fy(spark, sf_dir):
-    return A.aum_rows_per_year(A.flatten_aum(_order_replies(spark, sf_dir)))
-
-
-# --------------------------------------------------------------------------
-# Sinks and the streaming ingest (rows-only checks: they write files)
-# --------------------------------------------------------------------------
-
-import tempfile  # noqa: E402
-import uuid  # noqa: E402
-
-from fundspark.session import checkpoint_dir  # noqa: E402
-from fundspark.sources import readers as R  # noqa: E402
-from fundspark.sources import sinks as W  # noqa: E402
-from fundspark.streaming import ingest as STREAM  # noqa: E402
-from pyspark.sql import types as PT  # noqa: E402
-
-
-def _scratch(spark, name):
-    """A fresh folder under the shared checkpoint folder (a local one only when none is set)."""
-    try:
-        base = checkpoint_dir(spark)
-    except RuntimeError:  # local runs without a shared folder (tests)
-        base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="fundspark-", dir="/tmp"))
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-@register("sink_round_trip")
-def q_sink_round_trip(spark, sf_dir):
-    """KPIs written as Parquet (partitioned), CSV and JSON records; the Parquet copy is read back."""
-    out = _scratch(spark, "sinks")
-    kpis = P.risk_labels(_kpis(spark, sf_dir))
-    W.write_parquet(kpis, f"{out}/kpis", partition_by=["risk_level"], compression="zstd")
-    W.write_csv(kpis.drop("risk_level"), f"{out}/kpis_csv")
-    W.write_json(P.kpi_record(kpis), f"{out}/kpi_records")
-    return R.read_parquet(spark, f"{out}/kpis")
-
-
-@register("stream_ingest")
-def q_stream_ingest(spark, sf_dir):
-    """Events landed as report text files, ingested by the file stream into a date-partitioned table."""
-    out = _scratch(spark, "stream")
-    report = _events_report_text(spark, sf_dir)
-    report.write.option("header", True).option("sep", ";").csv(f"{out}/landing")
-    # one metadata row per user; the plan name comes from the user's largest event value,
-    # and the growth flag from the plan-name rules
-    users = S.table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("value").alias("top"))
-    nav_name = F.concat(
-        F.lit("user "), F.col("user_id").cast("string"),
-        F.when(F.col("top") > 50, F.lit(" - Direct Plan - Growth")).otherwise(F.lit(" - Regular Plan - IDCW")),
-    )
-    meta = users.select(
-        F.col("user_id").cast("string").alias("scheme_code"),
-        F.lit("AMC").alias("amc_name"),
-        F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("scheme_name"),
-        F.lit("Open Ended").alias("scheme_type"),
-        F.lit("Equity Scheme - Flexi Cap Fund").alias("scheme_category"),
-        nav_name.alias("scheme_nav_name"),
-    )
-    meta = MD.plan_flags(MD.category_levels(meta))
-    q = STREAM.start_ingest(spark, f"{out}/landing", meta, f"{out}/clean", name=f"ingest-{uuid.uuid4().hex[:8]}")
-    q.awaitTermination()
-    return R.read_parquet(spark, f"{out}/clean")
-
-
-# --------------------------------------------------------------------------
-# Sources read back from landed files (written here from the tables)
-# --------------------------------------------------------------------------
-
-_CLEAN_NAV_SQL = ORACLE["clean_nav"]
-
-
-@register("report_text_load", _CLEAN_NAV_SQL)
-def q_report_text_load(spark, sf_dir):
-    """Events as ';'-separated report files, read as all-string text and cleaned."""
-    out = _scratch(spark, "report")
-    _events_report_text(spark, sf_dir).write.option("header", True).option("sep", ";").csv(out)
-    raw = R.read_nav_report(spark, out)
-    if not R.check_batch(raw):
-        raise ValueError("empty or malformed report batch")
-    return N.clean_nav(raw)
-
-
-@register("historical_csv_load", _CLEAN_NAV_SQL)
-def q_historical_csv_load(spark, sf_dir):
-    """Events as comma CSV chunk files with extra columns, loaded by the history loader."""
-    out = _scratch(spark, "history")
-    text = _events_report_text(spark, sf_dir).withColumn("Extra", F.lit("x"))
-    text.write.option("header", True).csv(out)
-    return N.load_historical_nav(spark, f"{out}/*.csv")
-
-
-@register("aum_json_files", f"WITH {_AUM_SQL} SELECT * FROM aum")
-def q_aum_json_files(spark, sf_dir):
-    """AUM replies landed as JSON files (one document per line), read with a fixed schema."""
-    out = _scratch(spark, "aum")
-    replies = _order_replies(spark, sf_dir)
-    # each line: the landed reply text with the year label alongside
-    line = F.concat(F.lit('{"financial_year":"'), F.col("financial_year"), F.lit('","reply":'), F.col("json"), F.lit("}"))
-    replies.select(line).write.text(out)
-    schema = PT.StructType([PT.StructField("financial_year", PT.StringType()), PT.StructField("reply", A.DATA_REPLY)])
-    return A.flatten_aum(R.read_records(spark, out, schema))
-
-
-# --------------------------------------------------------------------------
-# Small operators on whole tables
-# --------------------------------------------------------------------------
-
-
-@register(
-    "validation_report_range",
-    _REPORT_SQL.replace(
-        f"src AS ({S.EVENT_DAYS_SQL})",
-        f"src AS (SELECT * FROM ({S.EVENT_DAYS_SQL}) WHERE date >= DATE '2024-01-05' AND date <= DATE '2024-01-20')",
-    )
-    + "SELECT * FROM report",
-)
-def q_validation_report_range(spark, sf_dir):
-    return quality.validation_report(S.event_days(spark, sf_dir), start="2024-01-05", end="2024-01-20")
-
-
-@register(
-    "value_range",
-    f"""SELECT MIN(date) AS first_date, MAX(date) AS last_date, MIN(nav) AS min_value, MAX(nav) AS max_value,
-           COUNT(*) AS "rows", COUNT(DISTINCT scheme_code) AS distinct_keys,
-           date_diff('day', MIN(date), MAX(date)) / 365.25 AS years
-    FROM ({S.DAILY_SQL})""",
-)
-def q_value_range(spark, sf_dir):
-    return quality.value_range(S.daily(spark, sf_dir))
-
-
-@register(
-    "first_keys",
-    f"SELECT DISTINCT s_nationkey, s_name FROM supplier ORDER BY s_nationkey, s_name LIMIT 10",
-)
-def q_first_keys(spark, sf_dir):
-    return P.first_keys(S.table(spark, sf_dir, "supplier"), ["s_nationkey", "s_name"], 10)
-
-
-@register("latest_date", f"SELECT MAX(date) AS latest_date FROM ({S.EVENT_DAYS_SQL})")
-def q_latest_date(spark, sf_dir):
-    from fundspark.operators import calendar as C2
-
-    return C2.latest_date(S.event_days(spark, sf_dir))
-
-
-_AUM_YEARS = 5  # years requested by the plan
-
-
-def _aum_mapping_replies(spark, sf_dir):
-    """Mapping replies per financial-year id: all year labels, and that year's periods (quarters)."""
-    o = S.table(spark, sf_dir, "orders")
-    yq = o.select(F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).distinct()
-    years = yq.select("y").distinct()
-    # ids 1..n in year order: a window over the distinct years (a calendar, not the orders)
-    years = years.withColumn("fy_id", F.row_number().over(Window.orderBy("y")).cast("bigint"))
-    labels = years.agg(
-        F.sort_array(F.collect_list(F.struct(F.col("fy_id").alias("id"), F.concat(F.lit("FY "), F.col("y").cast("string")).alias("financial_year"))))
-        .alias("years")
-    )
-    periods = yq.join(years, "y").groupBy("fy_id").agg(F.sort_array(F.collect_list(F.struct(F.col("q").cast("bigint").alias("id")))).alias("periods"))
-    label_reply = labels.select(F.struct("years", F.struct(F.array().cast("array<struct<id:bigint>>").alias("periods")).alias("data")).alias("reply"))
-    period_replies = periods.select("fy_id", F.struct(F.lit(None).cast("array<struct<id:bigint,financial_year:string>>").alias("years"), F.struct("periods").alias("data")).alias("reply"))
-    return label_reply, period_replies, years
-
-
-@register(
-    "aum_plan_load",
-    f"""WITH {_AUM_SQL}
-    SELECT * FROM aum
-    WHERE CAST(substr(financial_year, 4) AS INTEGER) < (SELECT MIN(year(o_orderdate)) FROM orders) + {_AUM_YEARS}""",
-)
-def q_aum_plan_load(spark, sf_dir):
-    label_reply, period_replies, years = _aum_mapping_replies(spark, sf_dir)
-    plan = A.request_plan(label_reply, period_replies, num_years=_AUM_YEARS)
-    data = _order_replies(spark, sf_dir)
-    keyed = data.withColumn("y", F.regexp_extract("financial_year", r"(\d+)", 1).cast("int")).join(
-        years.select("y", "fy_id"), "y"
-    ).withColumn("period_id", F.regexp_extract("reply.selectedPeriod", r"^Q(\d)", 1).cast("bigint"))
-    rows = A.load_aum(plan, keyed.select("fy_id", "period_id", "reply"), fetched_at="2024-12-01 00:00:00")
-    return rows.select(*A.AUM_COLUMNS)
+from fundspark.plans import quality_queries  # noqa: F401  isort: skip
+from fundspark.plans import series_queries  # noqa: F401  isort: skip
+from fundspark.plans import metadata_queries  # noqa: F401  isort: skip
+from fundspark.plans import load_queries  # noqa: F401  isort: skip
+from fundspark.plans.registry import ORACLE, QUERIES, Query  # noqa: F401

@@ -252,3 +252,54 @@ def lineitem_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         price.alias("Net Asset Value"),
         F.date_format("l_shipdate", "dd-MMM-yyyy").alias("Date"),
     )
+
+
+# --------------------------------------------------------------------------
+# Stand-ins shared by several query modules
+# --------------------------------------------------------------------------
+
+ORDERS_SERIES_SQL = (
+    "SELECT o_custkey AS scheme_code, CAST(o_orderdate AS DATE) AS date, o_totalprice AS nav FROM orders"
+)
+
+
+def orders_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a price series: customer as the key, order day as the date, total as the value."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_custkey").alias("scheme_code"), F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("nav")
+    )
+
+
+def daily_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs of every supplier's daily series."""
+    from fundspark.operators.performance import fund_kpis
+
+    return fund_kpis(daily(spark, sf_dir))
+
+
+def events_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as price-report text with bad values: N.A. and missing prices, upper-case and impossible dates."""
+    ev = table(spark, sf_dir, "events")
+    cents = F.floor(F.col("value") * 100).cast("bigint")
+    value_text = F.concat((cents / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    day = F.date_format("ts", "dd-MMM-yyyy")
+    et = F.col("event_type")
+    return ev.select(
+        F.col("user_id").cast("string").alias("Scheme Code"),
+        F.concat(F.lit("INF"), et).alias("ISIN Div Payout/ISIN Growth"),
+        F.lit("-").alias("ISIN Div Reinvestment"),
+        F.when(et == "error", F.lit("N.A.")).when(et == "signup", F.lit(None)).otherwise(value_text).alias("Net Asset Value"),
+        F.when(et == "click", F.upper(day)).when(et == "purchase", F.lit("31-Feb-2024")).otherwise(day).alias("Date"),
+    )
+
+
+EVENTS_REPORT_SQL = """
+    SELECT CAST(user_id AS VARCHAR) AS "Scheme Code", 'INF' || event_type AS "ISIN Div Payout/ISIN Growth",
+           '-' AS "ISIN Div Reinvestment",
+           CASE WHEN event_type = 'error' THEN 'N.A.' WHEN event_type = 'signup' THEN NULL
+                ELSE CAST(CAST(floor(value * 100) AS BIGINT) // 100 AS VARCHAR) || '.' ||
+                     lpad(CAST(CAST(floor(value * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') END AS "Net Asset Value",
+           CASE WHEN event_type = 'click' THEN upper(strftime(ts, '%d-%b-%Y')) WHEN event_type = 'purchase' THEN '31-Feb-2024'
+                ELSE strftime(ts, '%d-%b-%Y') END AS "Date"
+    FROM events"""
