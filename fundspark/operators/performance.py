@@ -122,9 +122,21 @@ def lump_sum(kpis: DataFrame, amount: float = LUMP_SUM) -> DataFrame:
     return kpis.withColumns({"amount": F.lit(float(amount)), "final_value": final, "gain": final - F.lit(float(amount))})
 
 
-def kpi_record(kpis: DataFrame, key: str = "scheme_code") -> DataFrame:
-    """The KPI export as one JSON text per fund (percent figures as in the report)."""
+def kpi_record(kpis: DataFrame, key: str = "scheme_code", info: DataFrame | None = None) -> DataFrame:
+    """The KPI export as one JSON text per fund (percent figures as in the report).
+
+    With ``info`` (key, scheme_name, amc_name, scheme_category) the record
+    also names the fund, its AMC and category.
+    """
+    if info is not None:
+        kpis = kpis.join(info.select(key, "scheme_name", "amc_name", "scheme_category"), key, "left")
+    named = [
+        F.col("scheme_name").alias("fund_name"),
+        F.col("amc_name"),
+        F.col("scheme_category").alias("category"),
+    ] if info is not None else []
     rec = F.struct(
+        *named,
         F.concat_ws(" to ", F.col("start_date").cast("string"), F.col("end_date").cast("string")).alias("analysis_period"),
         F.col("years").alias("duration_years"),
         F.col("total_return_pct"),

@@ -65,11 +65,13 @@ def instrument_dump(df: DataFrame, folder: str, prefix: str, ts: dt.datetime) ->
     return path if write_csv(df, path) else None
 
 
-def export_fund_report(kpis: DataFrame, series: DataFrame, path: str, key: str = "scheme_code") -> None:
+def export_fund_report(
+    kpis: DataFrame, series: DataFrame, path: str, key: str = "scheme_code", info: DataFrame | None = None
+) -> None:
     """KPI JSON records and the series (date, nav, nav_change_pct, year, month) as CSV per key."""
     from fundspark.operators.performance import kpi_record
 
-    write_json(kpi_record(kpis, key), f"{path}/fund_analysis_results")
+    write_json(kpi_record(kpis, key, info), f"{path}/fund_analysis_results")
     cols = [c for c in (key, "date", "nav", "nav_change_pct", "year", "month") if c in series.columns]
     series.select(*cols).write.mode("overwrite").option("header", True).partitionBy(key).csv(
         f"{path}/fund_performance_data"

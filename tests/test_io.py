@@ -101,9 +101,11 @@ def test_export_fund_report(spark, scratch):
     rows = [("k", __import__("datetime").date(2024, 1, 1 + i), 10.0 + i) for i in range(5)]
     s = spark.createDataFrame(rows, "scheme_code string, date date, nav double")
     a = N.analytical_dataset(s, spark.createDataFrame([("k", None, 500.0)], "scheme_code string, launch_date date, minimum_amount double"))
-    W.export_fund_report(P.fund_kpis(s), a, f"{scratch}/report")
+    info = spark.createDataFrame([("k", "Fund K", "AMC K", "Equity Scheme - Flexi Cap Fund")], "scheme_code string, scheme_name string, amc_name string, scheme_category string")
+    W.export_fund_report(P.fund_kpis(s), a, f"{scratch}/report", info=info)
     rec = json.loads(R.read_records(spark, f"{scratch}/report/fund_analysis_results").first().record)
     assert rec["data_points"] == 5 and abs(rec["growth_multiple"] - 1.4) < 1e-12
+    assert (rec["fund_name"], rec["amc_name"], rec["analysis_period"]) == ("Fund K", "AMC K", "2024-01-01 to 2024-01-05")
     csv = spark.read.option("header", True).csv(f"{scratch}/report/fund_performance_data")
     assert csv.count() == 5 and {"date", "nav", "nav_change_pct", "year", "month"} <= set(csv.columns)
 
