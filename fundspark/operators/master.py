@@ -34,6 +34,7 @@ def merge_master(
     as_of=None,
     key: str = "scheme_code",
     launch: str = "launch_date",
+    check_unique: bool = False,
 ) -> DataFrame:
     """Upsert the latest snapshot into the master with one full outer join on the key.
 
@@ -44,8 +45,15 @@ def merge_master(
 
     The key is compared NULL-safely and each side carries a presence flag,
     so a NULL key is a key like any other. Repeated keys multiply as in a
-    relational join (check with ``find_duplicates`` first).
+    relational join, as the source does; ``check_unique`` instead raises
+    before the join when either side repeats a key (one aggregate per side
+    that fetches at most one offending key).
     """
+    if check_unique:
+        from fundspark.operators.series import assert_unique
+
+        assert_unique(existing, [key])
+        assert_unique(latest, [key])
     d = _as_date(as_of)
     attrs = [c for c in latest.columns if c != key and c not in MASTER_COLUMNS]
     only_old = [c for c in existing.columns if c != key and c not in attrs and c not in MASTER_COLUMNS]

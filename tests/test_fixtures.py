@@ -144,6 +144,8 @@ def test_merge_master(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.filter("scheme_code <> 'dup'").select(*again.columns).collect()))
     keys = {r.scheme_code for r in out.select("scheme_code").distinct().collect()}
     assert keys == {"a", "b", "z", "dup", "n", "n2"}
+    with pytest.raises(ValueError):
+        M.merge_master(existing, latest, as_of, check_unique=True)
     init = M.build_initial_master(latest, as_of).filter("scheme_code = 'n2'").first()
     assert (init.first_seen_date, init.is_active) == (t, True)
 

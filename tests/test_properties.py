@@ -89,3 +89,97 @@ def test_compounded_months_multiply_to_year(spark, navs):
         total = np.prod([1 + m / 100 for m in months]) - 1
         exp = (1 + pdf[pdf.year == row.year]["r"].fillna(0)).prod() - 1
         assert abs(total - exp) < 1e-6
+
+
+# --------------------------------------------------------------------------
+# Master merge: the three-way rule restated in plain Python
+# --------------------------------------------------------------------------
+
+keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e"]))
+
+
+def _merge_rule(existing, latest, today):
+    """New keys added, keys in both updated (first seen kept), missing keys made inactive."""
+    e_keys = {r[0] for r in existing}
+    l_keys = {r[0] for r in latest}
+    out = []
+    for k, attr, launch in latest:
+        if k not in e_keys:
+            out.append((k, attr, launch, launch or today, today, True, today))
+    for k, attr, launch, first, last, active, upd in existing:
+        if k in l_keys:
+            for k2, attr2, launch2 in latest:
+                if k2 == k:
+                    out.append((k, attr2, launch2, first, today, True, today))
+        else:
+            out.append((k, attr, launch, first, last, False, upd))
+    return sorted(out, key=repr)
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(keys, st.sampled_from(["x", "y"]), st.sampled_from([None, dt.date(2020, 1, 5)])), max_size=8),
+    st.lists(st.tuples(keys, st.sampled_from(["p", "q"]), st.sampled_from([None, dt.date(2021, 3, 1)])), max_size=8),
+)
+def test_merge_master_matches_rule(spark, old, new):
+    from fundspark.operators import master as M
+
+    today = dt.date(2022, 6, 1)
+    existing = [(k, a, l, dt.date(2019, 1, 1), dt.date(2020, 1, 1), True, dt.date(2020, 1, 1)) for k, a, l in old]
+    schema_e = ("scheme_code string, attr string, launch_date date, first_seen_date date, last_seen_date date, "
+                "is_active boolean, attribute_last_updated date")
+    e = spark.createDataFrame(existing, schema_e)
+    lt = spark.createDataFrame(new, "scheme_code string, attr string, launch_date date")
+    got = sorted((tuple(r) for r in M.merge_master(e, lt, "2022-06-01").collect()), key=repr)
+    assert got == _merge_rule(existing, new, today)
+
+
+# --------------------------------------------------------------------------
+# Category levels and plan flags: the rules restated in plain Python
+# --------------------------------------------------------------------------
+
+FRAGMENTS = ["Equity", "equity", "Debt", "Hybrid", "Other", "Others", "Growth", " - ", " - ", "na", "error",
+             "Fund", " ", "Direct", "dir ", "(gr)", "IDCW", "Income", "Plan", "-", "Accum"]
+texts = st.one_of(st.none(), st.lists(st.sampled_from(FRAGMENTS), max_size=6).map("".join))
+
+
+def _levels_rule(cat):
+    from fundspark.operators.metadata import LEVEL1_RULES
+
+    text = cat or ""
+    has_sep = " - " in text
+    parts = text.split(" - ", 1)
+    head = parts[0].strip()
+    l1 = "Others"
+    if head:
+        for kw, label in LEVEL1_RULES:
+            if kw in head.lower():
+                l1 = label
+                break
+    if has_sep:
+        tail = parts[1].strip()
+        l2 = l1 if tail in ("", "error", "null", "na") else tail
+    else:
+        l2 = cat if cat is not None else "Others"
+    return l1, l2
+
+
+def _flags_rule(name):
+    from fundspark.operators.metadata import DIRECT_LITERALS, GROWTH_LITERALS, NON_GROWTH_LITERALS
+
+    low = (name or "").lower()
+    return (any(x in low for x in DIRECT_LITERALS),
+            any(x in low for x in GROWTH_LITERALS) and not any(x in low for x in NON_GROWTH_LITERALS))
+
+
+@SETTINGS
+@given(st.lists(texts, min_size=1, max_size=20))
+def test_levels_and_flags_match_rules(spark, values):
+    from fundspark.operators import metadata as MD
+
+    df = spark.createDataFrame([(i, v, v) for i, v in enumerate(values)], "i int, scheme_category string, scheme_nav_name string")
+    got = {r.i: r for r in MD.plan_flags(MD.category_levels(df)).collect()}
+    for i, v in enumerate(values):
+        r = got[i]
+        assert (r.scheme_category_level1, r.scheme_category_level2) == _levels_rule(v), v
+        assert (r.is_direct, r.is_growth_plan) == _flags_rule(v), v
