@@ -9,7 +9,9 @@ writes its result so that a rerun replaces exactly what it wrote:
 * ``prices_update``: landed price reports -> clean rows joined to growth-plan
   metadata -> clean table, replacing only the dates the run holds;
 * ``history_load``: landed history CSV chunks -> clean raw table;
-* ``completeness_update``: clean table -> per-date report (CSV) and totals.
+* ``completeness_update``: clean table -> per-date report (CSV) and totals;
+* ``fund_report``: name search with fallback levels -> best-covered fund ->
+  KPI record and series export.
 """
 
 from __future__ import annotations
@@ -73,3 +75,32 @@ def completeness_update(
     sinks.write_csv(report.orderBy("date"), report_path)
     return quality.validation_stats(readers.read_csv_glob(spark, f"{report_path}/*.csv").selectExpr(
         "CAST(date AS DATE) AS date", "status"), threshold, window)
+
+
+def fund_report(
+    spark: SparkSession,
+    clean_path: str,
+    levels,
+    out: str,
+    key: str = "scheme_code",
+    columns=("scheme_code", "scheme_name", "amc_name", "scheme_category"),
+) -> DataFrame:
+    """The fund study: search by fallback levels, pick the best-covered match, export its KPIs.
+
+    ``levels`` are boolean conditions (see ``performance.scheme_search``).
+    The chosen fund is a one-row table, so restricting the prices to it is
+    a broadcast semi join; KPI record and series go under ``out``. Returns
+    the KPI row.
+    """
+    from fundspark.operators import performance
+
+    prices = readers.read_parquet(spark, clean_path)
+    found = performance.scheme_search(prices, levels, list(columns))
+    candidates = prices.join(found.select(key).distinct(), key, "left_semi")
+    chosen = performance.top_coverage(performance.coverage(candidates), key=key).select(key)
+    series = prices.join(chosen, key, "left_semi")
+    kpis = performance.fund_kpis(series)
+    info = found.select(*columns).dropDuplicates([key])
+    meta = series.select(key).distinct().join(info, key, "left")
+    sinks.export_fund_report(kpis, nav.with_daily_change(series, key), out, key=key, info=meta)
+    return kpis

@@ -93,10 +93,13 @@ def analytical_dataset(
     key in date order with NULLs padded forward.
     """
     m = broadcast_if_small(meta.select(key, *extra), METADATA_BROADCAST_ROWS)
-    return (
-        enriched.join(m, key, "left")
-        .withColumn("nav_change_pct", pct_change(value, key, order))
-        .withColumns({"year": F.year(order), "month": F.month(order)})
+    return with_daily_change(enriched.join(m, key, "left"), key, order, value)
+
+
+def with_daily_change(df: DataFrame, key: str = "scheme_code", order: str = "date", value: str = "nav") -> DataFrame:
+    """Add ``nav_change_pct`` (a fraction: day-over-day change per key, NULLs padded), ``year``, ``month``."""
+    return df.withColumn("nav_change_pct", pct_change(value, key, order)).withColumns(
+        {"year": F.year(order), "month": F.month(order)}
     )
 
 

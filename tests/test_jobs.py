@@ -50,3 +50,22 @@ def test_flows(spark, scratch):
     raw = jobs.history_load(spark, f"{hist}/*.csv", os.path.join(scratch, "raw"))
     assert raw.count() == 4
     assert R.read_parquet(spark, os.path.join(scratch, "raw")).filter("nav IS NULL").count() == 0
+
+
+def test_fund_report(spark, scratch):
+    import datetime as dt
+    import json
+
+    from fundspark.functions.text import regex_search as rx
+
+    rows = []
+    for code, name, n in [("1", "Alpha Flexi Cap Fund", 30), ("2", "Beta Multi Cap Fund", 40), ("3", "Gamma Liquid", 50)]:
+        for i in range(n):
+            rows.append((code, name, "AMC", "Equity Scheme - Flexi Cap Fund", dt.date(2024, 1, 1) + dt.timedelta(days=i), 10.0 + i))
+    df = spark.createDataFrame(rows, "scheme_code string, scheme_name string, amc_name string, scheme_category string, date date, nav double")
+    df.write.parquet(f"{scratch}/clean")
+    levels = [rx("scheme_name", "nothing here"), rx("scheme_name", "flexi|multi cap")]
+    kpis = jobs.fund_report(spark, f"{scratch}/clean", levels, f"{scratch}/study").collect()
+    assert [r.scheme_code for r in kpis] == ["2"]  # best coverage among the matches of level 2
+    rec = json.loads(R.read_records(spark, f"{scratch}/study/fund_analysis_results").first().record)
+    assert rec["fund_name"] == "Beta Multi Cap Fund" and rec["data_points"] == 40
