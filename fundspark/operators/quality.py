@@ -185,11 +185,17 @@ def quality_rules(
     )
 
 
-def dataset_summary(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Rows, columns and distinct keys, one row (bytes on disk: ``sources.readers.files_summary``)."""
+def dataset_summary(df: DataFrame, key: str | None = None, approx_rsd: float | None = None) -> DataFrame:
+    """Rows, columns and distinct keys, one row (bytes on disk: ``sources.readers.files_summary``).
+
+    With ``approx_rsd`` the distinct count is a HyperLogLog++ estimate with that
+    relative standard deviation: one pass with a fixed-size sketch per task
+    instead of a shuffle of every key.
+    """
     aggs = [F.count(F.lit(1)).alias("rows")]
     if key is not None:
-        aggs.append(F.countDistinct(key).alias("distinct_keys"))
+        distinct = F.approx_count_distinct(key, approx_rsd) if approx_rsd else F.countDistinct(key)
+        aggs.append(distinct.alias("distinct_keys"))
     return df.agg(*aggs).withColumn("columns", F.lit(len(df.columns)))
 
 

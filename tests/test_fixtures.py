@@ -384,3 +384,10 @@ def test_null_category_has_no_peers(spark):
     info = spark.createDataFrame([("a", None, "a"), ("b", None, "b"), ("c", "x", "c")], "scheme_code string, scheme_category string, scheme_name string")
     assert P.peer_comparison(kpis, info).count() == 0
     assert [r.scheme_code for r in P.top_peers(kpis, info).collect()] == ["c"]
+
+
+def test_dataset_summary_approx(spark):
+    df = spark.range(20000).selectExpr("id % 5000 AS k")
+    exact = Q.dataset_summary(df, "k").first()
+    approx = Q.dataset_summary(df, "k", approx_rsd=0.02).first()
+    assert exact.distinct_keys == 5000 and abs(approx.distinct_keys - 5000) < 5000 * 0.08
