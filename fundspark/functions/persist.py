@@ -20,9 +20,11 @@ def materialize(df: DataFrame) -> DataFrame:
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     if not shared:
         return cached
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not jdir.isDefined():
-        spark.sparkContext.setCheckpointDir(shared)
+    try:  # a classic context must know the folder; a Connect session reads the setting
+        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+            spark.sparkContext.setCheckpointDir(shared)
+    except Exception:
+        pass
     # the checkpoint write reads the cached blocks instead of recomputing the lineage
     out = cached.checkpoint(eager=True)
     cached.unpersist()

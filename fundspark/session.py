@@ -53,15 +53,21 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        return jdir.get()
+    try:  # a classic session may name it on the context only
+        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if jdir.isDefined():
+            return jdir.get()
+    except Exception:  # e.g. a Spark Connect session has no local context
+        pass
     if fallback is None:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a shared folder is required on a cluster"
         )
     if "://" not in fallback:
         os.makedirs(fallback, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(fallback)
+    try:
+        spark.sparkContext.setCheckpointDir(fallback)
+    except Exception:
+        pass
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
