@@ -11,7 +11,9 @@ writes its result so that a rerun replaces exactly what it wrote:
 * ``history_load``: landed history CSV chunks -> clean raw table;
 * ``completeness_update``: clean table -> per-date report (CSV) and totals;
 * ``fund_report``: name search with fallback levels -> best-covered fund ->
-  KPI record and series export.
+  KPI record and series export;
+* ``analytics_table_update``: clean table -> copy bucketed by instrument,
+  on which per-instrument windows and aggregates need no shuffle.
 """
 
 from __future__ import annotations
@@ -104,3 +106,16 @@ def fund_report(
     meta = series.select(key).distinct().join(info, key, "left")
     sinks.export_fund_report(kpis, nav.with_daily_change(series, key), out, key=key, info=meta)
     return kpis
+
+
+def analytics_table_update(
+    spark: SparkSession, clean_path: str, name: str, path: str, key: str = "scheme_code", buckets: int = 64
+) -> DataFrame:
+    """Copy the clean table into a table bucketed by instrument for the analytics queries.
+
+    The clean table stays partitioned by date (daily replace); this copy is
+    rebuilt from it and read by KPIs, returns and calendar tables, whose
+    per-instrument windows then need no shuffle.
+    """
+    prices = readers.read_parquet(spark, clean_path)
+    return sinks.write_bucketed_table(prices, name, path, key, buckets, sort_by=[key, "date"])

@@ -161,3 +161,19 @@ def read_parquet_nanos(spark: SparkSession, path: str, columns) -> DataFrame:
     finally:
         spark.conf.set(key, old)
     return df
+
+
+def register_bucketed_table(spark: SparkSession, name: str, path: str, key: str, buckets: int, sort_by=None) -> DataFrame:
+    """Make a bucketed table written earlier (``sinks.write_bucketed_table``) known to this session.
+
+    The bucket spec lives in the catalog, not in the files: a new session
+    (or a cluster without a shared metastore) declares it again here; the
+    column list comes from the Parquet footers.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    sort = f" SORTED BY ({', '.join(sort_by)})" if sort_by else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({key}){sort} "
+        f"INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)

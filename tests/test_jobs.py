@@ -40,6 +40,10 @@ def test_flows(spark, scratch):
     assert sorted((r.scheme_code, str(r.date), r.nav) for r in clean.collect()) == [
         ("100033", "2024-04-01", 12.5), ("100033", "2024-04-02", 12.7)]
 
+    name = "t_analytics_" + os.path.basename(scratch).replace("-", "_")
+    bucketed = jobs.analytics_table_update(spark, os.path.join(scratch, "clean"), name, os.path.join(scratch, "analytics"), buckets=4)
+    assert bucketed.count() == 2
+
     stats = jobs.completeness_update(spark, os.path.join(scratch, "clean"), os.path.join(scratch, "report"))
     assert stats.first()["total_dates"] == 2
 

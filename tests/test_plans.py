@@ -57,3 +57,22 @@ def test_broadcast_only_under_bound(spark):
     j_big = fact.join(broadcast_if_small(big, 100), fact.k == big.id)
     assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_bucketed_table_needs_no_shuffle_for_series(spark, scratch):
+    import re
+
+    from fundspark.operators import performance
+    from fundspark.sources import readers, sinks
+
+    daily = S.daily(spark, SF)
+    name = "t_bucketed_" + __import__("os").path.basename(scratch).replace("-", "_")
+    t = sinks.write_bucketed_table(daily, name, f"{scratch}/bucketed", "scheme_code", 8, sort_by=["scheme_code", "date"])
+    kpis = performance.fund_kpis(t)
+    plan = kpis._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning", plan), plan
+    # same result as from the unbucketed input
+    assert sorted(map(tuple, kpis.collect())) == sorted(map(tuple, performance.fund_kpis(daily).collect()))
+    again = readers.register_bucketed_table(spark, name + "_again", f"{scratch}/bucketed", "scheme_code", 8)
+    plan2 = performance.fund_kpis(again)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning", plan2)
