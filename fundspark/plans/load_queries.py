@@ -14,7 +14,8 @@ from fundspark.operators import metadata as MD
 from fundspark.operators import nav as N
 from fundspark.operators import performance as P
 from fundspark.plans import standins as S
-from fundspark.plans.registry import ORACLE, register, scratch
+from fundspark.plans.registry import ORACLE, r6, register, scratch
+from fundspark.plans.series_queries import KPI_DOUBLES
 from fundspark.sources import readers as R
 from fundspark.sources import sinks as W
 from fundspark.streaming import ingest as STREAM
@@ -297,3 +298,17 @@ def q_aum_plan_load(spark, sf_dir):
     ).withColumn("period_id", F.regexp_extract("reply.selectedPeriod", r"^Q(\d)", 1).cast("bigint"))
     rows = A.load_aum(plan, keyed.select("fy_id", "period_id", "reply"), fetched_at="2024-12-01 00:00:00")
     return rows.select(*A.AUM_COLUMNS)
+
+
+# --------------------------------------------------------------------------
+# Bucketed analytics copy: KPIs over a table clustered by instrument
+# --------------------------------------------------------------------------
+
+
+@register("bucketed_fund_kpis", ORACLE["fund_kpis"])
+def q_bucketed_fund_kpis(spark, sf_dir):
+    """The daily series stored bucketed by supplier; the KPI plan then has no exchange."""
+    out = scratch(spark, "bucketed")
+    name = "fundspark_daily_" + out.rsplit("-", 1)[-1]
+    table = W.write_bucketed_table(S.daily(spark, sf_dir), name, out, "scheme_code", 16, sort_by=["scheme_code", "date"])
+    return r6(P.fund_kpis(table), KPI_DOUBLES)

@@ -98,7 +98,7 @@ _KPI_SQL = f"""d AS ({S.DAILY_SQL}),
   kpis AS (SELECT *, CASE WHEN volatility > 0 THEN (cagr - 0.06) / volatility ELSE 0.0 END AS sharpe_ratio,
                   CASE WHEN volatility > 0 THEN cagr / volatility ELSE 0.0 END AS return_per_risk FROM k2)"""
 
-_KPI_DOUBLES = [
+KPI_DOUBLES = [
     "daily_std", "max_drawdown", "years", "growth_multiple", "total_return_pct",
     "cagr", "volatility", "sharpe_ratio", "return_per_risk",
 ]
@@ -107,11 +107,11 @@ _KPI_DOUBLES = [
 @register(
     "fund_kpis",
     f"WITH {_KPI_SQL} SELECT scheme_code, start_nav, end_nav, start_date, end_date, data_points, days, "
-    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in _KPI_DOUBLES)
+    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in KPI_DOUBLES)
     + " FROM kpis",
 )
 def q_fund_kpis(spark, sf_dir):
-    return r6(S.daily_kpis(spark, sf_dir), _KPI_DOUBLES)
+    return r6(S.daily_kpis(spark, sf_dir), KPI_DOUBLES)
 
 
 @register(
