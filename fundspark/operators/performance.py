@@ -77,26 +77,23 @@ def fund_kpis(
         F.stddev_samp(_finite(F.col("_ret"))).alias("daily_std"),
         F.min(F.try_divide(missing_as_null(value), F.col("_cummax")) - 1).alias("max_drawdown"),
     )
+    # one projection for every derived figure (each expression refers only to aggregate columns)
+    days = F.datediff("end_date", "start_date")
+    years = days / F.lit(DAYS_PER_YEAR)
     multiple = F.try_divide(F.col("end_nav"), F.col("start_nav"))
-    years = F.datediff("end_date", "start_date") / F.lit(DAYS_PER_YEAR)
-    kpi = kpi.withColumns(
-        {
-            "days": F.datediff("end_date", "start_date"),
-            "years": years,
-            "growth_multiple": multiple,
-            "total_return_pct": (multiple - 1) * 100,
-        }
-    )
-    cagr = F.when(F.col("years") > 0, F.pow(F.col("growth_multiple"), 1 / F.col("years")) - 1)
-    kpi = kpi.withColumn("cagr", _finite(cagr))
+    cagr = _finite(F.when(years > 0, F.pow(multiple, 1 / years) - 1))
     vol = F.col("daily_std") * F.lit(math.sqrt(trading_days))
-    kpi = kpi.withColumn("volatility", vol)
-    good_vol = F.coalesce((F.col("volatility") > 0) & ~F.isnan("volatility"), F.lit(False))
-    return kpi.withColumns(
-        {
-            "sharpe_ratio": F.when(good_vol, (F.col("cagr") - risk_free) / F.col("volatility")).otherwise(F.lit(0.0)),
-            "return_per_risk": F.when(good_vol, F.col("cagr") / F.col("volatility")).otherwise(F.lit(0.0)),
-        }
+    good_vol = F.coalesce((vol > 0) & ~F.isnan(vol), F.lit(False))
+    return kpi.select(
+        "*",
+        days.alias("days"),
+        years.alias("years"),
+        multiple.alias("growth_multiple"),
+        ((multiple - 1) * 100).alias("total_return_pct"),
+        cagr.alias("cagr"),
+        vol.alias("volatility"),
+        F.when(good_vol, (cagr - risk_free) / vol).otherwise(F.lit(0.0)).alias("sharpe_ratio"),
+        F.when(good_vol, cagr / vol).otherwise(F.lit(0.0)).alias("return_per_risk"),
     )
 
 
