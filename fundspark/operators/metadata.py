@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundspark.functions.dates import parse_day_first
@@ -82,6 +82,27 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[clean_header(c) for c in df.columns])
 
 
+def category_level_columns(
+    col: str = "scheme_category",
+    rules: Sequence[tuple[str, str]] = LEVEL1_RULES,
+    default: str = LEVEL1_DEFAULT,
+    sep: str = CATEGORY_SEPARATOR,
+    empty_tokens: Iterable[str] = LEVEL2_EMPTY_TOKENS,
+) -> dict[str, Column]:
+    """The two category-level expressions (see ``category_levels``)."""
+    cat = F.col(col)
+    text = F.coalesce(cat, F.lit(""))
+    has_sep = F.contains(text, F.lit(sep))
+    parts = F.split(text, "\\Q" + sep + "\\E", 2)
+    head = F.lower(strip(F.element_at(parts, 1)))
+    tail = strip(F.try_element_at(parts, F.lit(2)))
+    level1 = F.lit(default)
+    for keyword, label in reversed(list(rules)):
+        level1 = F.when(F.contains(head, F.lit(keyword)), F.lit(label)).otherwise(level1)
+    level2 = F.when(has_sep, F.coalesce(null_tokens(tail, empty_tokens), level1)).otherwise(F.coalesce(cat, F.lit(default)))
+    return {"scheme_category_level1": level1, "scheme_category_level2": level2}
+
+
 def category_levels(
     df: DataFrame,
     col: str = "scheme_category",
@@ -97,20 +118,21 @@ def category_levels(
     separator, falling back to level 1 when empty or a null token; without
     a separator it is the whole category (NULL -> ``default``).
     """
-    cat = F.col(col)
-    text = F.coalesce(cat, F.lit(""))
-    has_sep = F.contains(text, F.lit(sep))
-    parts = F.split(text, "\\Q" + sep + "\\E", 2)
-    head = F.lower(strip(F.element_at(parts, 1)))
-    tail = strip(F.try_element_at(parts, F.lit(2)))
-    level1 = F.lit(default)
-    for keyword, label in reversed(list(rules)):
-        level1 = F.when(F.contains(head, F.lit(keyword)), F.lit(label)).otherwise(level1)
-    df = df.withColumn("scheme_category_level1", level1)
-    level2 = F.when(
-        has_sep, F.coalesce(null_tokens(tail, empty_tokens), F.col("scheme_category_level1"))
-    ).otherwise(F.coalesce(cat, F.lit(default)))
-    return df.withColumn("scheme_category_level2", level2)
+    return df.withColumns(category_level_columns(col, rules, default, sep, empty_tokens))
+
+
+def plan_flag_columns(
+    col: str = "scheme_nav_name",
+    direct: Sequence[str] = DIRECT_LITERALS,
+    growth: Sequence[str] = GROWTH_LITERALS,
+    non_growth: Sequence[str] = NON_GROWTH_LITERALS,
+) -> dict[str, Column]:
+    """The two plan-flag expressions (see ``plan_flags``)."""
+    name = F.lower(F.coalesce(F.col(col), F.lit("")))
+    return {
+        "is_direct": contains_any(name, direct),
+        "is_growth_plan": contains_any(name, growth) & ~contains_any(name, non_growth),
+    }
 
 
 def plan_flags(
@@ -121,13 +143,7 @@ def plan_flags(
     non_growth: Sequence[str] = NON_GROWTH_LITERALS,
 ) -> DataFrame:
     """Add ``is_direct`` (any direct literal) and ``is_growth_plan`` (a growth literal and no non-growth one)."""
-    name = F.lower(F.coalesce(F.col(col), F.lit("")))
-    return df.withColumns(
-        {
-            "is_direct": contains_any(name, direct),
-            "is_growth_plan": contains_any(name, growth) & ~contains_any(name, non_growth),
-        }
-    )
+    return df.withColumns(plan_flag_columns(col, direct, growth, non_growth))
 
 
 def clean_scheme_metadata(
@@ -159,11 +175,15 @@ def clean_scheme_metadata(
         "minimum_amount": parse_double(text("minimum_amount")),
     }
     df = df.withColumns(cols)
-    df = category_levels(df, rules=level1_rules)
     # The source also drops all-NULL rows; the two flags are never NULL, so
     # no row can be all-NULL and that step (a filter repeating every
     # expression above) is left out.
-    return plan_flags(df, direct=direct, growth=growth, non_growth=non_growth)
+    return df.withColumns(
+        {
+            **category_level_columns(rules=level1_rules),
+            **plan_flag_columns(direct=direct, growth=growth, non_growth=non_growth),
+        }
+    )
 
 
 def validate_metadata(df: DataFrame, key: str = "scheme_code", amc: str = "amc_name") -> DataFrame:
