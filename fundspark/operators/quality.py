@@ -64,23 +64,24 @@ def validation_report(
     rolling = F.avg("scheme_count").over(ordered.rowsBetween(-window, -1))
     median = F.floor(F.median("scheme_count").over(Window.partitionBy())).cast("int")
     expected = F.coalesce(half_even_int(rolling), median)
-    out = counts.select(
-        F.col(date),
-        "scheme_count",
-        expected.alias("rolling_avg"),
-    ).withColumn("expected_count", F.col("rolling_avg"))
-    ratio = F.try_divide(F.col("scheme_count").cast("double"), F.col("expected_count"))
-    out = out.withColumn("completeness_ratio", ratio)
-    r = F.col("completeness_ratio")
+    count = F.col("scheme_count")
+    ratio = F.try_divide(count.cast("double"), expected)
     status = (
         # division by zero: a positive count over a zero baseline is infinitely complete
-        F.when(r.isNull() & (F.col("scheme_count") > 0) & (F.col("expected_count") == 0), F.lit(COMPLETE))
-        .when(r.isNull() | F.isnan(r), F.lit(INCOMPLETE))
-        .when(r >= threshold, F.lit(COMPLETE))
-        .when(r < holiday_below, F.lit(HOLIDAY))
+        F.when(ratio.isNull() & (count > 0) & (expected == 0), F.lit(COMPLETE))
+        .when(ratio.isNull() | F.isnan(ratio), F.lit(INCOMPLETE))
+        .when(ratio >= threshold, F.lit(COMPLETE))
+        .when(ratio < holiday_below, F.lit(HOLIDAY))
         .otherwise(F.lit(INCOMPLETE))
     )
-    return out.withColumn("status", status)
+    return counts.select(
+        F.col(date),
+        count,
+        expected.alias("rolling_avg"),
+        expected.alias("expected_count"),
+        ratio.alias("completeness_ratio"),
+        status.alias("status"),
+    )
 
 
 def validation_stats(report: DataFrame, threshold: float = DEFAULT_THRESHOLD, window: int = DEFAULT_WINDOW) -> DataFrame:
