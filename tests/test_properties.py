@@ -183,3 +183,31 @@ def test_levels_and_flags_match_rules(spark, values):
         r = got[i]
         assert (r.scheme_category_level1, r.scheme_category_level2) == _levels_rule(v), v
         assert (r.is_direct, r.is_growth_plan) == _flags_rule(v), v
+
+
+# --------------------------------------------------------------------------
+# Laws: chunks tile the range; drawdown is never positive
+# --------------------------------------------------------------------------
+
+
+@SETTINGS
+@given(st.dates(min_value=dt.date(2000, 1, 1), max_value=dt.date(2030, 1, 1)), st.integers(0, 400), st.integers(1, 120))
+def test_chunks_tile_the_range(spark, start, span, days):
+    from fundspark.operators import calendar as C
+
+    end = start + dt.timedelta(days=span)
+    rows = C.chunk_plan(spark, start, end, days=days).orderBy("chunk_no").collect()
+    covered = []
+    for r in rows:
+        assert r.chunk_start <= r.chunk_end and (r.chunk_end - r.chunk_start).days < days
+        covered += [r.chunk_start + dt.timedelta(days=i) for i in range((r.chunk_end - r.chunk_start).days + 1)]
+    assert covered == [start + dt.timedelta(days=i) for i in range(span + 1)]  # every day once, in order
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.floats(min_value=0.01, max_value=1e6, allow_nan=False)), min_size=1, max_size=50))
+def test_drawdown_never_positive(spark, navs):
+    rows = [("k", dt.date(2020, 1, 1) + dt.timedelta(days=i), v) for i, v in enumerate(navs)]
+    df = spark.createDataFrame(rows, "scheme_code string, date date, nav double")
+    for r in T.drawdown_series(df).collect():
+        assert r.drawdown is None or r.drawdown <= 0.0
