@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 METADATA_BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int, upper_bound: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only when it provably has at most ``max_rows`` rows.
 
     The proof is a bounded count (``limit(max_rows + 1)``), so a large side
-    is never scanned past the bound. Beyond it the frame is returned
-    unmarked and the planner shuffles (AQE can still switch to broadcast
-    from runtime sizes and split skewed partitions).
+    is never scanned past the bound. ``upper_bound`` may name a cheaper frame
+    with at least as many rows (e.g. ``df`` before a DISTINCT), so the count
+    skips that shuffle. Beyond the bound the frame is returned unmarked and
+    the planner shuffles (AQE can still switch to broadcast from runtime
+    sizes and split skewed partitions).
     """
-    n = df.limit(max_rows + 1).count()
+    proof = df if upper_bound is None else upper_bound
+    n = proof.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -68,9 +68,11 @@ def enrich_nav(
     Filters run below the join, so they reach the scan.
     """
     m = meta.filter(F.col("is_growth_plan")) if growth_only else meta
-    m = m.select(key, *[c for c in columns if c != key]).distinct()
+    m_rows = m.select(key, *[c for c in columns if c != key])
+    m = m_rows.distinct()
     if broadcast_max_rows:
-        m = broadcast_if_small(m, broadcast_max_rows)
+        # the rows before the DISTINCT bound the rows after it: count those, no shuffle
+        m = broadcast_if_small(m, broadcast_max_rows, upper_bound=m_rows)
     return nav.filter(F.col("nav").isNotNull()).distinct().join(m, key, "inner")
 
 
