@@ -267,19 +267,29 @@ _AUM_YEARS = 5  # years requested by the plan
 
 
 def _aum_mapping_replies(spark, sf_dir):
-    """Mapping replies per financial-year id: all year labels, and that year's periods (quarters)."""
+    """Mapping replies per financial-year id: all year labels, and that year's periods (quarters).
+
+    Both lists are bounded by the calendar (one entry per year; at most four
+    quarters per year), so collecting them into one reply is safe.
+    """
     o = S.table(spark, sf_dir, "orders")
     yq = o.select(F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).distinct()
     years = yq.select("y").distinct()
     # ids 1..n in year order: a window over the distinct years (a calendar, not the orders)
     years = years.withColumn("fy_id", F.row_number().over(Window.orderBy("y")).cast("bigint"))
-    labels = years.agg(
-        F.sort_array(F.collect_list(F.struct(F.col("fy_id").alias("id"), F.concat(F.lit("FY "), F.col("y").cast("string")).alias("financial_year"))))
-        .alias("years")
+    label = F.struct(
+        F.col("fy_id").alias("id"),
+        F.concat(F.lit("FY "), F.col("y").cast("string")).alias("financial_year"),
+    )
+    labels = years.agg(F.sort_array(F.collect_list(label)).alias("years"))
+    period = F.struct(F.col("q").cast("bigint").alias("id"))
+    periods = yq.join(years, "y").groupBy("fy_id").agg(F.sort_array(F.collect_list(period)).alias("periods"))
+    no_periods = F.struct(F.array().cast("array<struct<id:bigint>>").alias("periods"))
+    no_years = F.lit(None).cast("array<struct<id:bigint,financial_year:string>>")
+    label_reply = labels.select(F.struct("years", no_periods.alias("data")).alias("reply"))
+    period_replies = periods.select(
+        "fy_id", F.struct(no_years.alias("years"), F.struct("periods").alias("data")).alias("reply")
     )
-    periods = yq.join(years, "y").groupBy("fy_id").agg(F.sort_array(F.collect_list(F.struct(F.col("q").cast("bigint").alias("id")))).alias("periods"))
-    label_reply = labels.select(F.struct("years", F.struct(F.array().cast("array<struct<id:bigint>>").alias("periods")).alias("data")).alias("reply"))
-    period_replies = periods.select("fy_id", F.struct(F.lit(None).cast("array<struct<id:bigint,financial_year:string>>").alias("years"), F.struct("periods").alias("data")).alias("reply"))
     return label_reply, period_replies, years
 
 
