@@ -59,9 +59,17 @@ def pct_change(value: str, key, order, periods: int = 1, fill: bool = True) -> C
 
     With ``fill`` (the default of the reference's library) NULLs are padded
     forward first, so [1, NULL, 2] gives [NULL, 0, 1]. A zero base gives NULL.
+    The padded value ``periods`` rows back is the last non-missing value up
+    to that row -- a frame of the same window -- so current and previous
+    value come from one window operator (no window over a window).
     """
-    cur = filled(value, key, order) if fill else missing_as_null(value)
-    prev = F.lag(cur, periods).over(series_window(key, order))
+    w = series_window(key, order)
+    if fill:
+        cur = filled(value, key, order)
+        prev = F.last(missing_as_null(value), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -periods))
+    else:
+        cur = missing_as_null(value)
+        prev = F.lag(cur, periods).over(w)
     return F.try_divide(cur, prev) - F.lit(1.0)
 
 
