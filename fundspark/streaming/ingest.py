@@ -52,10 +52,16 @@ def start_ingest(
     name: str = "nav_ingest",
     delay: str = "7 days",
     available_now: bool = True,
+    max_files: int | None = None,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Start the ingest; with ``available_now`` it processes what has landed, then stops."""
+    """Start the ingest; with ``available_now`` it processes what has landed, then stops.
+
+    ``max_files`` caps the files per micro-batch (a backlog is split into
+    several batches); ``interval`` is the trigger period of a continuous run.
+    """
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    rows = dedupe(nav_stream(spark, landing), delay=delay).drop("event_time")
+    rows = dedupe(nav_stream(spark, landing, max_files=max_files), delay=delay).drop("event_time")
     out = enriched_stream(rows, meta)
     w = (
         out.writeStream.format("parquet")
@@ -65,5 +71,5 @@ def start_ingest(
         .outputMode("append")
         .queryName(name)
     )
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

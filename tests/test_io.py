@@ -86,7 +86,7 @@ def test_stream_ingest(spark, scratch):
     # a second file with a repeat and a new row: only the new row is appended
     with open(os.path.join(landing, "d2.csv"), "w") as f:
         f.write(text.split("\n")[0] + "\n1;I1;-;10.5;01-Apr-2024\n1;I1;-;11.0;02-Apr-2024\n")
-    q = ingest.start_ingest(spark, landing, meta, target, name=name)
+    q = ingest.start_ingest(spark, landing, meta, target, name=name, max_files=1)
     q.awaitTermination(120)
     got = sorted((r.scheme_code, r.nav) for r in R.read_parquet(spark, target).collect())
     assert got == [("1", 10.5), ("1", 11.0)]
