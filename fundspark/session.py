@@ -71,3 +71,24 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         pass
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Size shuffles and splits for an input of ``input_bytes`` on ``cores`` executor cores.
+
+    Shuffle partitions start at input / target (a shuffle carries at most
+    about the input after pruning), at least two waves of the cores, so
+    each reduce task holds a few hundred MB and spills little; AQE then
+    coalesces small partitions and splits skewed ones at runtime. Scans read
+    ``target_partition_bytes`` per task. For 100 TB on 8,000 cores this gives
+    about 400,000 shuffle partitions and 256 MB splits.
+    """
+    partitions = max(2 * cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024**2),
+    }

@@ -76,3 +76,11 @@ def test_bucketed_table_needs_no_shuffle_for_series(spark, scratch):
     again = readers.register_bucketed_table(spark, name + "_again", f"{scratch}/bucketed", "scheme_code", 8)
     plan2 = performance.fund_kpis(again)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Exchange hashpartitioning", plan2)
+
+
+def test_cluster_conf_sizes():
+    from fundspark.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024**4, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(10 * 1024**2, cores=8)["spark.sql.shuffle.partitions"] == "16"
