@@ -73,17 +73,24 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
-def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+def cluster_conf(
+    input_bytes: int,
+    cores: int,
+    target_partition_bytes: int = 256 * 1024**2,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
     """Size shuffles and splits for an input of ``input_bytes`` on ``cores`` executor cores.
 
     Shuffle partitions start at input / target (a shuffle carries at most
-    about the input after pruning), at least two waves of the cores, so
-    each reduce task holds a few hundred MB and spills little; AQE then
-    coalesces small partitions and splits skewed ones at runtime. Scans read
-    ``target_partition_bytes`` per task. For 100 TB on 8,000 cores this gives
-    about 400,000 shuffle partitions and 256 MB splits.
+    about the input after pruning), at least two waves of the cores, and at
+    most ``max_partitions``: beyond that the shuffle's block count (map tasks
+    x reduce partitions) costs more than larger partitions, which reduce
+    tasks sort with spilling. AQE then coalesces small partitions and splits
+    skewed ones at runtime. Scans read ``target_partition_bytes`` per task.
+    For 100 TB on 8,000 cores: 100,000 shuffle partitions (about 1 GB each
+    before AQE) and 256 MB splits.
     """
-    partitions = max(2 * cores, -(-int(input_bytes) // target_partition_bytes))
+    partitions = min(max(2 * cores, -(-int(input_bytes) // target_partition_bytes)), max(max_partitions, 2 * cores))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

@@ -82,5 +82,5 @@ def test_cluster_conf_sizes():
     from fundspark.session import cluster_conf
 
     conf = cluster_conf(100 * 1024**4, cores=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100000
     assert cluster_conf(10 * 1024**2, cores=8)["spark.sql.shuffle.partitions"] == "16"
