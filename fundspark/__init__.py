@@ -4,6 +4,6 @@ Every operator is a ``DataFrame -> DataFrame`` function built from Spark
 expressions, joins and windows, so Catalyst sees the whole plan.
 """
 
-from fundspark.session import build_session, checkpoint_dir
+from fundspark.session import build_session, checkpoint_dir, cluster_conf
 
-__all__ = ["build_session", "checkpoint_dir"]
+__all__ = ["build_session", "checkpoint_dir", "cluster_conf"]
