@@ -17,11 +17,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _norm(v, digits=6):
+def _norm(v, digits=None):
+    """Comparable form of a value; floats exactly (``digits`` rounds them when given)."""
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, digits)
+        return v if digits is None else round(v, digits)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     if isinstance(v, (list, tuple)):
