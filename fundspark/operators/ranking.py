@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundspark.functions.persist import materialize
+
 
 def count_above(
     df: DataFrame,
@@ -34,7 +36,9 @@ def count_above(
     keeps the bucket column ``_b`` to inspect how a group was split.
     ``accuracy`` sizes the per-group quantile sketch: 1/1000 relative error
     is far below a bucket's 1/32 share and keeps the sketch small when
-    there are many groups; the counts are exact whatever the bounds.
+    there are many groups; the counts are exact whatever the bounds, as
+    long as every branch uses the same bounds (they are materialised once).
+    ``df`` itself must be deterministic (e.g. a stored or materialised table).
     """
     group = list(group)
     w = F.col(weight) if weight else F.lit(1)
@@ -44,6 +48,10 @@ def count_above(
         .groupBy(*group)
         .agg(F.percentile_approx(value, probs, accuracy).alias("_bounds"))
     )
+    # A quantile sketch depends on the order partial results merge in, so two
+    # evaluations can disagree; the branches below must all see one set of
+    # bounds. They are one small row per group: computed once, kept.
+    bounds = materialize(bounds)
     # one row per group; AQE broadcasts it when small, else a skew-split sort-merge join
     x = df.withColumn("_w", w).join(bounds, group, "left")
     x = x.withColumn("_b", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(value))), F.lit(0)))
