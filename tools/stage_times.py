@@ -77,6 +77,8 @@ def summarise(path: str) -> list[dict]:
                 "max_ms": max(times),
                 "median_ms": statistics.median(times),
                 "sum_ms": sum(times),
+                # slowest task over the median task: far above 1 on a multi-task stage means skew
+                "skew": round(max(times) / max(statistics.median(times), 1), 1) if len(times) > 1 else None,
                 "shuffle_write": shuffle_w[sid],
                 "shuffle_read": shuffle_r[sid],
                 "name": names.get(sid, "")[:60],
@@ -87,11 +89,12 @@ def summarise(path: str) -> list[dict]:
 
 def main() -> None:
     rows = summarise(sys.argv[1])
-    print(f"{'job':>4} {'stage':>5} {'tasks':>5} {'max':>7} {'median':>7} {'sum':>8} {'shuf_w':>10} {'shuf_r':>10}  name")
+    print(f"{'job':>4} {'stage':>5} {'tasks':>5} {'max':>7} {'median':>7} {'skew':>5} {'sum':>8} {'shuf_w':>10} {'shuf_r':>10}  name")
     for r in rows:
+        skew = "" if r["skew"] is None else r["skew"]
         print(
-            f"{r['job']!s:>4} {r['stage']:>5} {r['tasks']:>5} {r['max_ms']:>7} {r['median_ms']:>7.0f} {r['sum_ms']:>8} "
-            f"{r['shuffle_write']:>10} {r['shuffle_read']:>10}  {r['name']}"
+            f"{r['job']!s:>4} {r['stage']:>5} {r['tasks']:>5} {r['max_ms']:>7} {r['median_ms']:>7.0f} {skew!s:>5} "
+            f"{r['sum_ms']:>8} {r['shuffle_write']:>10} {r['shuffle_read']:>10}  {r['name']}"
         )
 
 
