@@ -81,9 +81,8 @@ def period_returns(
     fill: bool = True,
 ) -> DataFrame:
     """Add ``perc_return`` (simple) and ``log_return`` = log1p(perc_return) per key."""
-    return df.withColumn("perc_return", pct_change(value, key, order, 1, fill)).withColumn(
-        "log_return", F.log1p("perc_return")
-    )
+    ret = pct_change(value, key, order, 1, fill)
+    return df.withColumns({"perc_return": ret, "log_return": F.log1p(ret)})
 
 
 def annual_log_returns(
@@ -106,9 +105,8 @@ def drawdown_series(
 ) -> DataFrame:
     """Add running maximum ``cumulative_max`` and ``drawdown`` = value / running max - 1."""
     v = missing_as_null(value)
-    return df.withColumn("cumulative_max", F.max(v).over(_running(key, order))).withColumn(
-        "drawdown", F.try_divide(v, F.col("cumulative_max")) - F.lit(1.0)
-    )
+    cummax = F.max(v).over(_running(key, order))
+    return df.withColumns({"cumulative_max": cummax, "drawdown": F.try_divide(v, cummax) - F.lit(1.0)})
 
 
 def rolling_return(
