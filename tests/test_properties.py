@@ -211,3 +211,30 @@ def test_drawdown_never_positive(spark, navs):
     df = spark.createDataFrame(rows, "scheme_code string, date date, nav double")
     for r in T.drawdown_series(df).collect():
         assert r.drawdown is None or r.drawdown <= 0.0
+
+
+# --------------------------------------------------------------------------
+# count_above against brute force: ties, NULL values, weights, uneven groups
+# --------------------------------------------------------------------------
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["a", "b", "c"]),
+            st.one_of(st.none(), st.integers(0, 6).map(float)),
+            st.sampled_from([0, 1]),
+        ),
+        min_size=1,
+        max_size=60,
+    )
+)
+def test_count_above_is_exact(spark, rows):
+    from fundspark.operators.ranking import count_above
+
+    df = spark.createDataFrame([(i, g, v, w) for i, (g, v, w) in enumerate(rows)], "i int, g string, v double, w int")
+    got = {r.i: r.n_above for r in count_above(df, ["g"], "v", weight="w", buckets=4).collect()}
+    for i, (g, v, _) in enumerate(rows):
+        expected = None if v is None else sum(w2 for g2, v2, w2 in rows if g2 == g and v2 is not None and v2 > v)
+        assert got[i] == expected, (i, g, v)
