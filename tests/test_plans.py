@@ -100,3 +100,21 @@ def test_cluster_conf_sizes():
     conf = cluster_conf(100 * 1024**4, cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100000
     assert cluster_conf(10 * 1024**2, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_top_peers_limits_before_the_shuffle(spark):
+    df = E.queries()["top_peers"](spark, SF)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
+@pytest.mark.parametrize("name", ["fund_kpis", "calendar_return_table", "return_histogram"])
+def test_series_aggregates_reuse_the_window_partitioning(spark, name):
+    import re
+
+    df = E.queries()[name](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # one exchange builds the daily stand-in, one partitions by key for the window; nothing more
+    assert len(re.findall(r"Exchange hashpartitioning", final)) == 2, final
