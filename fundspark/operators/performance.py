@@ -343,7 +343,7 @@ def calendar_return_table(
     rows stays NULL). YTD is last / first value of the year - 1. One
     conditional aggregate per month: a single groupBy, no pivot job.
     """
-    x = series.select(key, order, value).withColumn("_r", pct_change(value, key, order))
+    x = series.select(key, order, value, pct_change(value, key, order).alias("_r"))
     mon = F.month(order)
     aggs = []
     for i, name in enumerate(MONTH_ABBR, start=1):
@@ -368,30 +368,24 @@ def return_histogram(
     r = _finite(F.col(ret))
     w = Window.partitionBy(key)
     x = returns.select(key, r.alias("_x")).filter(F.col("_x").isNotNull())
-    x = x.select(
-        key,
-        "_x",
-        F.min("_x").over(w).alias("_mn"),
-        F.max("_x").over(w).alias("_mx"),
-        F.avg("_x").over(w).alias("mean"),
-    )
-    same = F.col("_mn") == F.col("_mx")
-    x = x.withColumns(
-        {
-            "range_low": F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")),
-            "range_high": F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")),
-        }
-    )
+    mn, mx = F.min("_x").over(w), F.max("_x").over(w)
+    same = mn == mx
+    low = F.when(same, mn - 0.5).otherwise(mn)
+    high = F.when(same, mx + 0.5).otherwise(mx)
+    x = x.select(key, "_x", low.alias("range_low"), high.alias("range_high"), F.avg("_x").over(w).alias("mean"))
     b = F.floor((F.col("_x") - F.col("range_low")) * bins / (F.col("range_high") - F.col("range_low"))).cast("int") + 1
-    y = x.withColumn("bin", F.least(b, F.lit(bins)))
     width = (F.col("range_high") - F.col("range_low")) / bins
-    return y.groupBy(key, "bin", "range_low", "range_high", "mean").agg(F.count(F.lit(1)).alias("count")).select(
-        key,
-        "bin",
-        (F.col("range_low") + (F.col("bin") - 1) * width).alias("bin_low"),
-        (F.col("range_low") + F.col("bin") * width).alias("bin_high"),
-        "count",
-        "mean",
+    return (
+        x.groupBy(key, F.least(b, F.lit(bins)).alias("bin"), "range_low", "range_high", "mean")
+        .agg(F.count(F.lit(1)).alias("count"))
+        .select(
+            key,
+            "bin",
+            (F.col("range_low") + (F.col("bin") - 1) * width).alias("bin_low"),
+            (F.col("range_low") + F.col("bin") * width).alias("bin_high"),
+            "count",
+            "mean",
+        )
     )
 
 
