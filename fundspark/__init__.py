@@ -6,4 +6,5 @@ expressions, joins and windows, so Catalyst sees the whole plan.
 
 from fundspark.session import build_session, checkpoint_dir, cluster_conf
 
+__version__ = "0.1.0"
 __all__ = ["build_session", "checkpoint_dir", "cluster_conf"]
