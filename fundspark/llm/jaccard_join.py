@@ -3,17 +3,21 @@
 A text's set holds the 64-bit hashes of its word n-grams. The global order of n-grams is the order of
 their hashes; cutting it into equal ranges cuts every set into fragments that are handled apart.
 
-Candidates: two sets with Jaccard similarity t differ in at most k = (1-t)/t * (size of the smaller)
-n-grams, so of more than k fragments at least one is equal in both. Sizes are grouped into ranges
-[l, l/t]; sets meet in the range of the smaller one. A range uses k + 1 + z fragments, where z covers
-fragments that are empty: a set with at most z empty ones emits only the others, a set with more
-emits all. A pair found this way agrees on a whole fragment of about five n-grams, so a passage
-that many texts share does not by itself make them candidates.
+Which sets can have a partner: two sets with Jaccard similarity t differ in at most k =
+(1-t)/t * (size of the smaller) n-grams, so of F fragments at least F - k are equal in both. Sizes
+are grouped into ranges [l, l/t]; sets meet in the range of the smaller one. A range uses
+F = 1.5 (k + 1) fragments, and a set goes on only if it shares a third of them with others. (Empty
+fragments are counted but only emitted by sets that have too many.)
+
+Candidates: among the sets that go on, n-grams are ordered from rare to frequent. Of n n-grams the
+n - ceil(t n) + 1 rarest hold one of every partner's; those that no other set holds come first, so
+texts that share a frequent passage but differ elsewhere never meet. A pair is also left out if, range
+by range of the order, the n-grams the poorer one has in common with any other set are too few.
 
 Verification: the sets of candidate texts are cut into ``FRAGMENTS`` ranges of the order, each
 range's overlap is counted by itself, and the counts are summed per pair.
 
-Texts with equal sets are one node. Nodes that share a fragment are linked through
+Texts with equal sets are one node. Nodes that share a rare n-gram are linked through
 ``graph.bucket_components``, which checks members against a few nodes and then whatever is left in
 different components, so groups of many near copies never produce all their pairs and no
 component is missed.
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import bucket_components
@@ -81,15 +85,16 @@ class Ranges:
         high = low * 100 // percent
         # Differences of a pair whose smaller size s is at most high: sizes s and s * 100 / percent.
         self.differ = (high * (100 - percent)) // percent
-        self.spare = np.maximum(2, -(-3 * self.differ // 100))
+        self.spare = np.maximum(2, (self.differ + 2) // 2)
         self.count = self.differ + 1 + self.spare
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, size, side="right") - 1
 
 
-def signatures(grams: np.ndarray, first: np.ndarray, ranges: Ranges) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of every fragment each row has to emit."""
+def signatures(grams: np.ndarray, first: np.ndarray, ranges: Ranges) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signature, code) of the fragments of each row; code is twice the number of fragments that
+    may be left aside, plus 0 or 1 for the range."""
     size = np.diff(first)
     row = np.flatnonzero(size)
     found = []
@@ -115,8 +120,9 @@ def signatures(grams: np.ndarray, first: np.ndarray, ranges: Ranges) -> tuple[np
         emit = (held > 0) | (empty > ranges.spare[group])[owner]
         place = mix(group[owner].astype(np.uint64) * np.uint64(1 << 32) + number.astype(np.uint64))
         value = mix(total[edge[1:]] - total[edge[:-1]] + place + held.astype(np.uint64))
-        found.append((mine[owner[emit]], value[emit]))
-    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+        aside = np.where(empty > ranges.spare[group], ranges.spare[group], ranges.spare[group] - empty)
+        found.append((mine[owner[emit]], value[emit], 2 * aside[owner[emit]] + step))
+    return tuple(np.concatenate([x[i] for x in found]) for i in range(3))
 
 
 def text_nodes(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -141,53 +147,82 @@ def text_nodes(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     )
 
 
-def fragment_buckets(docs: DataFrame, text: str, n: int, percent: int, most: int, parts: int) -> DataFrame:
-    """(sig, node) of every fragment that at least two nodes share."""
+def shared_fragments(docs: DataFrame, text: str, n: int, percent: int, most: int, parts: int) -> DataFrame:
+    """Nodes (distinct) that share enough fragments with other nodes to have a partner."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranges = Ranges(percent, most)
-        sigs, nodes, held = [], [], 0
+        sigs, nodes, codes, held = [], [], [], 0
 
         def out() -> pa.RecordBatch:
             # Repeats inside the flush are dropped here, so copies send a signature once.
-            pair = np.unique(np.stack([np.concatenate(nodes), np.concatenate(sigs)], axis=1), axis=0)
-            node, sig = pair[:, 0], pair[:, 1]
-            order, bounds = dealt(sig, parts)
+            node, sig, code = np.concatenate(nodes), np.concatenate(sigs), np.concatenate(codes)
+            order = np.lexsort((sig, node))
+            order = order[first_of(node[order], sig[order])]
+            order = order[(by_part := dealt(sig[order], parts))[0]]
+            columns = [signed(node[order]), signed(sig[order]), code[order].astype(np.int32)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(parts, dtype=np.int32)), lists(signed(sig[order]), bounds), lists(signed(node[order]), bounds)],
-                ["part", "sigs", "nodes"],
+                [pa.array(np.arange(parts, dtype=np.int32)), *[lists(c, by_part[1]) for c in columns]],
+                ["part", "nodes", "sigs", "codes"],
             )
 
         for batch in batches:
             for _, _, texts in slices(batch.column(0), lower=True):
                 grams, first = shingle_sets(texts, n)
-                row, sig = signatures(grams, first, ranges)
+                row, sig, code = signatures(grams, first, ranges)
                 sigs.append(sig)
+                codes.append(code)
                 nodes.append(set_keys(grams, first)[row])
                 held += len(texts.data)
                 if held >= FLUSH_BYTES:
                     yield out()
-                    sigs, nodes, held = [], [], 0
+                    sigs, nodes, codes, held = [], [], [], 0
         if sigs:
             yield out()
 
     def shared(table: pa.Table) -> pa.Table:
-        sig, node = flat(table.column("sigs")), flat(table.column("nodes"))
+        sig, node, code = (flat(table.column(c)) for c in ("sigs", "nodes", "codes"))
         order = np.lexsort((node, sig))
-        sig, node = sig[order], node[order]
-        new = np.ones(len(sig), dtype=bool)
-        new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-        sig, node = sig[new], node[new]
+        order = order[first_of(sig[order], node[order])]
+        sig, node, code = sig[order], node[order], code[order]
         same = sig[1:] == sig[:-1]
         keep = np.zeros(len(sig), dtype=bool)
         keep[1:] |= same
         keep[:-1] |= same
-        return pa.table({"sig": sig[keep], "node": node[keep]})
+        return pa.table({"sig": sig[keep], "node": node[keep], "code": code[keep]})
 
     blobs = docs.select(F.col(text).cast("binary").alias("_text")).mapInArrow(
-        emit, "part int, sigs array<long>, nodes array<long>"
+        emit, "part int, nodes array<long>, sigs array<long>, codes array<int>"
+    )
+    found = blobs.groupBy("part").applyInArrow(shared, "sig long, node long, code int")
+    enough = found.groupBy("node", "code").agg(F.count(F.lit(1)).alias("n")).where("n > code div 2")
+    return enough.select("node").distinct()
+
+
+def rare_grams(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(sig, node, info): the rarest n-grams of every set that another set holds too, as many as the
+    prefix principle asks for; info has the set's size and how many of its n-grams others hold, in each of 32 ranges of the order.
+    ``sets(node, fragment, grams)``, ``sizes(node, size)``."""
+    held = sets.select("node", F.explode_outer("grams").alias("gram")).where("gram is not null")
+    # Under a name of its own the join deals both sides out anew and can split an n-gram that very many hold.
+    other = F.bitwise_not("gram").alias("other")
+    often = held.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).where("often > 1").select(other, "often")
+    rows = held.select("node", "gram", other).join(often, "other").select("node", "gram", "often")
+    order = Window.partitionBy("node").orderBy(F.desc("often"), F.desc("gram"))
+    whole, range_of = Window.partitionBy("node"), F.shiftrightunsigned("gram", 59)
+    common = F.array(*[F.count(F.when(range_of == i, 1)).over(whole).cast("int") for i in range(32)])
+    ranked = rows.withColumns({"rank": F.row_number().over(order), "common": common}).join(sizes, "node")
+    # ceil(t n) - 1 n-grams may be left aside; the most frequent ones are.
+    return ranked.where(f"rank > (size * {percent} + 99) div 100 - 1").select(
+        F.col("gram").alias("sig"), "node", F.struct("size", "common").alias("info")
     )
-    return blobs.groupBy("part").applyInArrow(shared, "sig long, node long")
+
+
+def first_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Mask of the first entry of every run of equal pairs."""
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return new
 
 
 def segments(docs: DataFrame, text: str, n: int, fragments: int) -> DataFrame:
@@ -216,18 +251,22 @@ def join_components(
     spark = docs.sparkSession
     rows = materialise(text_nodes(docs, key, text, n), "nodes")
     totals = rows.agg(F.sum("size").alias("grams"), F.max("size").alias("most")).first()
-    grams, most = totals["grams"] or 0, totals["most"] or 0
-    # Fragments of a set number about 0.37 of its size at 85 percent; bound a part by its signatures.
-    expected = grams * 2.3 * (100 - percent) / percent
+    total, most = totals["grams"] or 0, totals["most"] or 0
+    # Fragments of a set number about 0.56 of its size at 85 percent; bound a part by its signatures.
+    expected = total * 3.2 * (100 - percent) / percent
     parts = shuffle_width(spark, expected / SIGNATURES_PER_PART + 1)
-    buckets = materialise(fragment_buckets(docs, text, n, percent, most, parts), "buckets")
+    involved = materialise(shared_fragments(docs, text, n, percent, most, parts), "involved")
     of_node = rows.where("node is not null").groupBy("node").agg(F.min("_key").alias("least"), F.min("size").alias("size"))
-    involved = buckets.select("node").distinct()
     # One row per node whose set is needed, chosen by its smallest key (or any row if it has none).
     wanted = rows.join(involved, "node").groupBy("node").agg(F.min("_key").alias("_key")).select("_key").distinct()
     texts = docs.join(wanted, docs[key].eqNullSafe(wanted["_key"]), "left_semi").select(F.col(text))
     sets = materialise(segments(texts, text, n, FRAGMENTS).dropDuplicates(["node", "fragment"]), "sets")
 
+    grams = rare_grams(sets, of_node.select("node", "size"), percent)
+    met = grams.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.bitwise_not("sig").alias("other"))
+    grams = grams.withColumn("other", F.bitwise_not("sig")).join(met, "other").select("sig", "node", "info")
+    buckets = materialise(grams, "buckets")
+
     def verify(pairs: DataFrame) -> DataFrame:
         size = of_node.select("node", "size")
         sized = (
@@ -241,7 +280,14 @@ def join_components(
         total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
         return total.where(f"100 * overlap >= {percent} * (na + nb - overlap)").select("a", "b")
 
-    groups = bucket_components(buckets, verify)
+    def possible(a: Column, b: Column) -> Column:
+        """The overlap is at most the sum, over 32 ranges of the order, of what the poorer of the two
+        has in common with any other set."""
+        poorer = F.zip_with(a["common"], b["common"], lambda x, y: F.least(x, y))
+        overlap = F.aggregate(poorer, F.lit(0).cast("long"), lambda acc, x: acc + x)
+        return 100 * overlap >= percent * (a["size"] + b["size"] - overlap)
+
+    groups = bucket_components(buckets, verify, possible)
     # Links run between nodes; a component's id is the smallest key of its rows.
     named = groups.join(of_node, "node", "left").groupBy("component").agg(F.min("least").alias("id"))
     linked = groups.join(named, "component").select("node", "id")
