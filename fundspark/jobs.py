@@ -19,6 +19,7 @@ writes its result so that a rerun replaces exactly what it wrote:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fundspark.operators import master, metadata, nav, quality
 from fundspark.sources import readers, sinks
@@ -74,9 +75,11 @@ def completeness_update(
     """Per-date completeness of the clean table written as CSV; returns the totals row (``passed``)."""
     prices = readers.read_parquet(spark, clean_path)
     report = quality.validation_report(prices, threshold=threshold, window=window, start=start, end=end)
-    sinks.write_csv(report.orderBy("date"), report_path)
-    return quality.validation_stats(readers.read_csv_glob(spark, f"{report_path}/*.csv").selectExpr(
-        "CAST(date AS DATE) AS date", "status"), threshold, window)
+    # An empty report replaces an older one too: its totals are zero dates, not the last run's.
+    report.orderBy("date").write.mode("overwrite").option("header", True).csv(report_path)
+    written = spark.read.schema(report.schema).option("header", True).csv(report_path)
+    stats = quality.validation_stats(written.select("date", "status"), threshold, window)
+    return stats.withColumn("passed", F.col("passed") & (F.col("total_dates") > 0)) if "passed" in stats.columns else stats
 
 
 def fund_report(

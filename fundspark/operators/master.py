@@ -122,6 +122,8 @@ def update_master_table(spark, path: str, latest: DataFrame, as_of, key: str = "
     the same day rebuilds its version from the previous one. With no older
     version the initial master is built.
     """
+    from pyspark.errors import AnalysisException
+
     from fundspark.sources.readers import list_files
     from fundspark.sources.sinks import read_latest_dated, write_dated
 
@@ -130,7 +132,9 @@ def update_master_table(spark, path: str, latest: DataFrame, as_of, key: str = "
         has_older = not versions.filter(
             F.regexp_extract("path", r"as_of=(\d{4}-\d{2}-\d{2})", 1) < F.lit(str(as_of))
         ).isEmpty()
-    except Exception:
+    except AnalysisException as exc:  # any other failure must not look like a first run
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
         has_older = False
     if has_older:
         existing = read_latest_dated(spark, path, column="as_of", before=as_of).drop("as_of")

@@ -363,7 +363,8 @@ def return_histogram(
     A key whose returns are all equal spans value +- 0.5, as numpy does.
     Range and mean are window aggregates over the key (one instrument's
     returns, the partitioning the returns already have), so the table is
-    read once and binned counts aggregate without another shuffle.
+    read once and binned counts aggregate without another shuffle. All bins
+    are listed, empty ones with a count of zero.
     """
     r = _finite(F.col(ret))
     w = Window.partitionBy(key)
@@ -375,9 +376,14 @@ def return_histogram(
     x = x.select(key, "_x", low.alias("range_low"), high.alias("range_high"), F.avg("_x").over(w).alias("mean"))
     b = F.floor((F.col("_x") - F.col("range_low")) * bins / (F.col("range_high") - F.col("range_low"))).cast("int") + 1
     width = (F.col("range_high") - F.col("range_low")) / bins
+    counted = x.groupBy(key, "range_low", "range_high", "mean", F.least(b, F.lit(bins)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    # At most ``bins`` entries per key: empty bins are listed with a count of zero.
+    held = counted.groupBy(key, "range_low", "range_high", "mean").agg(
+        F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("held")
+    )
     return (
-        x.groupBy(key, F.least(b, F.lit(bins)).alias("bin"), "range_low", "range_high", "mean")
-        .agg(F.count(F.lit(1)).alias("count"))
+        held.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
+        .withColumn("count", F.coalesce(F.try_element_at("held", F.col("bin")), F.lit(0).cast("long")))
         .select(
             key,
             "bin",

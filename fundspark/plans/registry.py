@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,9 +66,6 @@ def r6(df: DataFrame, cols) -> DataFrame:
 
 
 def scratch(spark, name):
-    """A fresh folder under the shared checkpoint folder (a local one only when none is set)."""
-    try:
-        base = checkpoint_dir(spark)
-    except RuntimeError:  # local runs without a shared folder (tests)
-        base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="fundspark-", dir="/tmp"))
+    """A fresh folder under the shared checkpoint folder; raises when none is set."""
+    base = checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

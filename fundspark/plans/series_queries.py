@@ -303,9 +303,9 @@ def q_calendar_return_table(spark, sf_dir):
     rg2 AS (SELECT *, CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo, CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi FROM rg),
     b AS (SELECT y.scheme_code, lo, hi, mean,
                  LEAST(CAST(FLOOR((v - lo) * 50 / (hi - lo)) AS INTEGER) + 1, 50) AS bin FROM y JOIN rg2 USING (scheme_code))
-    SELECT scheme_code, bin, ROUND(lo + (bin - 1) * ((hi - lo) / 50), 6) AS bin_low, ROUND(lo + bin * ((hi - lo) / 50), 6) AS bin_high,
-           COUNT(*) AS count, ROUND(mean, 6) AS mean
-    FROM b GROUP BY scheme_code, bin, lo, hi, mean""",
+    SELECT g.scheme_code, CAST(n.bin AS INTEGER) AS bin, ROUND(lo + (n.bin - 1) * ((hi - lo) / 50), 6) AS bin_low, ROUND(lo + n.bin * ((hi - lo) / 50), 6) AS bin_high,
+           (SELECT COUNT(*) FROM b WHERE b.scheme_code = g.scheme_code AND b.bin = n.bin) AS count, ROUND(mean, 6) AS mean
+    FROM rg2 g CROSS JOIN (SELECT UNNEST(generate_series(1, 50)) AS bin) n""",
 )
 def q_return_histogram(spark, sf_dir):
     rets = T.period_returns(S.daily(spark, sf_dir))

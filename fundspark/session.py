@@ -22,20 +22,21 @@ DEFAULT_CONF = {
 
 def build_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "fundspark",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
-    ``shuffle_partitions`` should be sized to the data: roughly total shuffle
-    bytes / 128 MB on a cluster; AQE coalesces small partitions at runtime.
+    ``shuffle_partitions`` is only set when given: what spark-submit or the
+    cluster's defaults say stays in force otherwise.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

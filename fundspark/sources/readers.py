@@ -6,6 +6,7 @@ operators with ``try_*`` parsing, so one bad value never fails a job.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,9 +54,43 @@ def check_batch(df: DataFrame, min_columns: int = 3) -> bool:
 
 
 def read_csv_glob(spark: SparkSession, pattern: str, columns=None, sep: str = ",") -> DataFrame:
-    """Many CSV files in one distributed scan (strings), optionally cut to ``columns``."""
-    df = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(pattern)
-    return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
+    """Many CSV files as strings, optionally cut to ``columns``; every file's own header names its columns.
+
+    Files are grouped by header (one row per file comes to the driver) and
+    each group is one scan with that header as its schema, so files may
+    order their columns differently or hold others. A file that lacks one
+    of ``columns`` raises. Without ``columns`` the result has the columns of
+    all files, NULL where a file has none.
+    """
+    groups = files_by_header(spark, pattern, sep)
+    if not groups:
+        raise FileNotFoundError(f"no file with a header matches {pattern}")
+    parts = []
+    for header, paths in groups:
+        if missing := [c for c in columns or () if c not in header]:
+            raise ValueError(f"{paths[0]} lacks the columns {missing}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("sep", sep).csv(paths)
+        parts.append(part.select(*[F.col(f"`{c}`") for c in columns]) if columns else part)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=not columns)
+    return out
+
+
+def files_by_header(spark: SparkSession, pattern, sep: str) -> list[tuple[list[str], list[str]]]:
+    """(columns, files) per distinct header among the files; files without a line are left out."""
+    lines = spark.read.text(pattern).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at")
+    )
+    # The first line is the first row of the task that reads the file's start.
+    first = lines.filter("at = 0 AND trim(value) <> ''").withColumn("n", F.monotonically_increasing_id())
+    heads = first.groupBy("path").agg(F.min_by("value", "n").alias("header"))
+    found: dict[str, list[str]] = {}
+    for r in heads.orderBy("path").collect():
+        found.setdefault(r["header"], []).append(r["path"])
+    unquoted = lambda c: c.strip().removeprefix("\ufeff").strip('"')
+    return [([unquoted(c) for c in header.split(sep)], paths) for header, paths in found.items()]
 
 
 def read_metadata_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -111,15 +146,18 @@ def newest_file(spark: SparkSession, pattern: str, legacy: str | None = None) ->
         try:
             if not list_files(spark, legacy).isEmpty():
                 return legacy
-        except Exception:
-            pass
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
     raise FileNotFoundError(f"no file matches {pattern}")
 
 
 def _mtime(spark: SparkSession, pattern: str):
     try:
         return list_files(spark, pattern).agg(F.max("modificationTime")).first()[0]
-    except Exception:
+    except AnalysisException as exc:  # only an absent path counts as missing
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
         return None
 
 

@@ -1,47 +1,52 @@
 """Incremental price ingest with Structured Streaming.
 
-New landed report files -> clean rows -> repeats dropped within a
-watermark -> stream-static join with growth-plan metadata -> append to a
-date-partitioned table. The checkpoint lives in the cluster's shared
-checkpoint folder, so a restarted job or a lost executor resumes where
-it stopped and every file is applied exactly once.
+Each micro-batch names the newly landed report files; they are read with
+their own headers, cleaned, reduced to distinct rows, joined with
+growth-plan metadata and appended where the date-partitioned table does not
+hold the row yet. Dates may arrive in any order: no watermark drops them.
+The checkpoint lives in the cluster's shared folder; a batch that is run
+again after a failure finds its rows stored and adds nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from fundspark.functions.joins import METADATA_BROADCAST_ROWS, broadcast_if_small
 from fundspark.operators.nav import ENRICH_COLUMNS, NAV_COLUMNS, clean_nav
 from fundspark.session import checkpoint_dir
+from fundspark.sources.readers import read_csv_glob
 
-RAW_REPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in NAV_COLUMNS])
 CLEAN_COLUMNS = ["scheme_code", "isin_growth", "isin_dividend", "nav", "date"]
 
 
-def nav_stream(spark: SparkSession, landing: str, sep: str = ";", max_files: int | None = None) -> DataFrame:
-    """Landed report files as a stream of clean rows with an event time (midnight of the date)."""
-    r = spark.readStream.schema(RAW_REPORT_SCHEMA).option("header", True).option("sep", sep)
+def landed_files(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+    """The paths of newly landed files, as a stream (their lines are not kept)."""
+    r = spark.readStream.format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    clean = clean_nav(r.csv(landing))
-    return clean.withColumn("event_time", F.col("date").cast("timestamp"))
-
-
-def dedupe(stream: DataFrame, keys=CLEAN_COLUMNS, delay: str = "7 days") -> DataFrame:
-    """Drop repeats of ``keys`` arriving within ``delay`` of each other; state stays bounded."""
-    return stream.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
+    return r.load(landing).select(F.col("_metadata.file_path").alias("path"))
 
 
-def enriched_stream(stream: DataFrame, meta: DataFrame, key: str = "scheme_code", meta_max_rows: int = METADATA_BROADCAST_ROWS) -> DataFrame:
-    """Stream-static join with growth-plan metadata (broadcast after a bounded size check)."""
-    m = meta.filter(F.col("is_growth_plan")).select(key, *[c for c in ENRICH_COLUMNS if c != key])
-    m = broadcast_if_small(m, meta_max_rows)
-    return stream.filter(F.col("nav").isNotNull()).join(m, key, "inner")
+def new_rows(spark: SparkSession, paths: list[str], meta: DataFrame, target: str, sep: str = ";", key: str = "scheme_code") -> DataFrame:
+    """Distinct enriched rows of the files that the stored table lacks, on the dates they touch."""
+    clean = clean_nav(read_csv_glob(spark, paths, NAV_COLUMNS, sep=sep)).filter(F.col("nav").isNotNull()).distinct()
+    try:
+        stored = spark.read.parquet(target).select(*CLEAN_COLUMNS)
+    except Exception as exc:  # first run: nothing is stored
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+    else:
+        old, same = stored.alias("old"), None
+        for c in CLEAN_COLUMNS:
+            on = F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}"))
+            same = on if same is None else same & on
+        # Dates are partitions of the table: the join prunes the scan to those the batch holds.
+        touched = clean.select("date").distinct()
+        clean = clean.alias("new").join(old.join(touched, "date", "left_semi"), same, "left_anti")
+    growth = meta.filter(F.col("is_growth_plan")).select(key, *[c for c in ENRICH_COLUMNS if c != key])
+    return clean.join(growth, key, "inner")
 
 
 def start_ingest(
@@ -50,26 +55,22 @@ def start_ingest(
     meta: DataFrame,
     target: str,
     name: str = "nav_ingest",
-    delay: str = "7 days",
     available_now: bool = True,
     max_files: int | None = None,
     interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start the ingest; with ``available_now`` it processes what has landed, then stops.
 
-    ``max_files`` caps the files per micro-batch (a backlog is split into
+    ``max_files`` bounds the files per micro-batch (a backlog is split into
     several batches); ``interval`` is the trigger period of a continuous run.
     """
+
+    def store(batch: DataFrame, _: int) -> None:
+        paths = [r["path"] for r in batch.distinct().orderBy("path").collect()]  # one per file of the batch
+        if paths:
+            new_rows(batch.sparkSession, paths, meta, target).write.mode("append").partitionBy("date").parquet(target)
+
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    rows = dedupe(nav_stream(spark, landing, max_files=max_files), delay=delay).drop("event_time")
-    out = enriched_stream(rows, meta)
-    w = (
-        out.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", ckpt)
-        .partitionBy("date")
-        .outputMode("append")
-        .queryName(name)
-    )
+    w = landed_files(spark, landing, max_files).writeStream.option("checkpointLocation", ckpt).queryName(name).foreachBatch(store)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

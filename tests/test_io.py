@@ -156,3 +156,49 @@ def test_read_parquet_nanos(spark, scratch):
     df = R.read_parquet_nanos(spark, f"{scratch}/nanos.parquet", ["date"])
     got = sorted((r.scheme_code, str(r.date)) for r in df.select("scheme_code", F.to_date("date").alias("date")).collect())
     assert got == [("1", "2024-01-02"), ("2", "2024-03-04")]
+
+
+def test_csv_files_keep_their_own_headers(spark, scratch):
+    d = os.path.join(scratch, "mixed")
+    os.makedirs(d)
+    with open(f"{d}/a.csv", "w") as f:
+        f.write("Scheme Code,Net Asset Value,Date\n1,10.5,01-Apr-2024\n")
+    with open(f"{d}/b.csv", "w") as f:
+        f.write("Date,Scheme Name,Net Asset Value,Scheme Code\n02-Apr-2024,x,11.5,2\n")
+    got = R.read_csv_glob(spark, f"{d}/*.csv", ["Scheme Code", "Net Asset Value", "Date"]).collect()
+    assert sorted(map(tuple, got)) == [("1", "10.5", "01-Apr-2024"), ("2", "11.5", "02-Apr-2024")]
+    import pytest
+
+    with pytest.raises(ValueError):
+        R.read_csv_glob(spark, f"{d}/*.csv", ["Scheme Name"])
+
+
+def test_stream_keeps_late_dates_and_extra_columns(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    head = "Scheme Code;ISIN Div Payout/ISIN Growth;ISIN Div Reinvestment;Net Asset Value;Date\n"
+    with open(f"{landing}/d1.csv", "w") as f:
+        f.write(head + "1;I1;-;10.5;01-Apr-2024\n")
+    meta = spark.createDataFrame(
+        [("1", "A", "n1", "Open", "c", "x - Growth", "Others", "c", False, True)],
+        "scheme_code string, amc_name string, scheme_name string, scheme_type string, scheme_category string, "
+        "scheme_nav_name string, scheme_category_level1 string, scheme_category_level2 string, is_direct boolean, is_growth_plan boolean",
+    )
+    target, name = os.path.join(scratch, "clean"), "t_late_" + os.path.basename(scratch)
+    ingest.start_ingest(spark, landing, meta, target, name=name).awaitTermination(120)
+    with open(f"{landing}/d2.csv", "w") as f:
+        f.write("Scheme Name;" + head + "A;1;I1;-;9.5;01-Mar-2024\nA;1;I1;-;9.6;02-Mar-2024\nA;1;I1;-;11;02-Apr-2024\nA;1;I1;-;10.5;01-Apr-2024\n")
+    ingest.start_ingest(spark, landing, meta, target, name=name).awaitTermination(120)
+    got = sorted((str(r.date), r.nav) for r in R.read_parquet(spark, target).collect())
+    assert got == [("2024-03-01", 9.5), ("2024-03-02", 9.6), ("2024-04-01", 10.5), ("2024-04-02", 11.0)]
+
+
+def test_empty_report_does_not_pass(spark, scratch):
+    from fundspark import jobs
+
+    rows = [(str(k), __import__("datetime").date(2024, 1, d), 1.0) for k in range(3) for d in range(1, 6)]
+    spark.createDataFrame(rows, "scheme_code string, date date, nav double").write.parquet(f"{scratch}/prices")
+    first = jobs.completeness_update(spark, f"{scratch}/prices", f"{scratch}/report").first()
+    assert first["total_dates"] == 5
+    empty = jobs.completeness_update(spark, f"{scratch}/prices", f"{scratch}/report", start="2030-01-01", end="2030-01-31").first()
+    assert empty["total_dates"] == 0 and not empty["passed"]
