@@ -4,7 +4,7 @@ The kernel k(s, t) of two units (words, or letters spelled out with spaces betwe
 sequences of three characters that both hold in order but not necessarily next to each other,
 ``DECAY`` to the power of the two spans, up to a span of ``SPAN`` characters; it is divided by a norm
 that depends on the units' lengths. An inserted character lengthens the span by one and so costs a
-factor, no more. Case, accents and common character substitutions are folded, punctuation inside a
+factor, no more. Case and common character substitutions are folded, accents are one kind, punctuation inside a
 unit is skipped, and each unit is framed by a boundary mark.
 
 Training takes a bounded sample of labelled texts cut into sentences. A toxic text says that at least
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from .words import Texts, slices
 
-DECAY, SPAN, SIZE = 0.6, 5, 28  # SIZE: character classes; 0 is no character
-MARK = 27  # boundary of a unit
+DECAY, SPAN, SIZE = 0.6, 5, 35  # SIZE: character classes; 0 is no character
+MARK = 34  # boundary of a unit
 LANDMARKS = 300
 SAMPLE_PER_CLASS = 1500  # bound of the training sample, in rows
 SAMPLE_CHARS = 20_000  # training rows are taken from texts of at most so many characters
@@ -46,6 +46,7 @@ PAD = SPAN - 1
 GAPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN]
 _CODE = np.arange(SIZE**3)
 REAL = (_CODE % SIZE > 0) & (_CODE // SIZE % SIZE > 0) & (_CODE // SIZE**2 > 0)
+ACCENTED = "aeioucn"  # letters whose accented forms, taken together, are classes 27 to 33
 # Characters that stand in for letters.
 FOLDED = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 
@@ -59,7 +60,8 @@ def class_tables() -> np.ndarray:
         c = unicodedata.normalize("NFKD", chr(code)).lower()[:1]
         c = {"ß": "s", "ø": "o", "æ": "a", "œ": "o"}.get(c, FOLDED.get(c, c))
         if "a" <= c <= "z":
-            table[raw[0] - 0xC2 if len(raw) > 1 else 0, raw[-1]] = ord(c) - 96
+            accent = ACCENTED.find(c) if code >= 0xC0 and c != chr(code).lower() else -1
+            table[raw[0] - 0xC2 if len(raw) > 1 else 0, raw[-1]] = 27 + accent if accent >= 0 else ord(c) - 96
     return table
 
 
@@ -185,8 +187,9 @@ def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0,
 
 
 def insults(bags: list[tuple[int, list[str]]], clean: dict[str, int]) -> set[str]:
-    """Units that no clean text holds and that toxic texts hold in at least five contexts (and one per
-    hundred toxic texts), most of them different: copies of one text make no word suspicious."""
+    """Units that no clean text holds and that toxic texts hold in at least five contexts (and four
+    tenths of the root of the number of toxic texts), most of them different: copies of one text make
+    no word suspicious."""
     around: dict[str, set] = {}
     times: dict[str, int] = {}
     for y, units in bags:
@@ -195,7 +198,7 @@ def insults(bags: list[tuple[int, list[str]]], clean: dict[str, int]) -> set[str
                 if u not in clean:
                     around.setdefault(u, set()).add((before, after))
                     times[u] = times.get(u, 0) + 1
-    least = max(5, sum(y == 1 for y, _ in bags) // 100)
+    least = max(5, 0.4 * sum(y == 1 for y, _ in bags) ** 0.5)
     return {u for u, seen in around.items() if len(seen) >= max(least, times[u] // 2)}
 
 
