@@ -16,6 +16,7 @@ import bisect
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -103,7 +104,8 @@ def context_score(kind: str, text: str, start: int, end: int) -> float:
 def extra_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the scored kinds that no base span touches, ordered by kind and start."""
     taken = sorted((a, b) for _, a, b in base)
-    free = lambda a, b: (i := bisect.bisect_left(taken, (b, 0))) == 0 or max(e for _, e in taken[max(0, i - 4) : i]) <= a
+    furthest = list(accumulate((e for _, e in taken), max))  # end of the spans up to each
+    free = lambda a, b: (i := bisect.bisect_left(taken, (b, 0))) == 0 or furthest[i - 1] <= a
     found = []
 
     def offer(kind: str, a: int, b: int, checksum: bool = False) -> None:

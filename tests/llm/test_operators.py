@@ -249,6 +249,14 @@ def test_personal_data(spark):
     assert pii.find_personal_data(empty(docs)).count() == 0
 
 
+def test_extra_span_inside_a_base_span_that_covers_many_others():
+    text = "ssn " + "".join(f"{i}.{i}.{i}.{i}-" for i in range(1, 7)) + "ssn.123-45-6789@a.bc"
+    base = pii.base_spans(text)
+    assert [k for k, _, _ in base] == ["email"] + ["ip"] * 6
+    assert pii.extra_spans(text, base) == []
+    assert [k for k, _, _ in pii.extra_spans(text, [])] == ["national_id"]
+
+
 def test_base_spans_equal_plain_expressions():
     plain = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
