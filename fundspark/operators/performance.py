@@ -245,6 +245,38 @@ def top_peers(
     )
 
 
+def best_peers(
+    kpis: DataFrame,
+    info: DataFrame,
+    key: str = "scheme_code",
+    category: str = "scheme_category",
+    name: str = "scheme_name",
+    n: int = TOP_PEERS,
+    min_rows: int = MIN_PEER_ROWS,
+) -> DataFrame:
+    """Best ``n`` eligible peers of every fund of the category, the fund itself left out.
+
+    ``n + 1`` funds of each category are enough to list any fund's peers, so every fund meets
+    that many rows: the join gives at most ``n + 1`` rows a fund, however large the category.
+    Funds without a category or without a peer get no row.
+    """
+    best = top_peers(kpis, info, key, category, name, n + 1, min_rows)
+    best = best.select(
+        category, F.col("position").alias("_at"), F.col(key).alias("peer_code"),
+        F.col("scheme_name_short").alias("peer_name_short"), "cagr_pct",
+    )
+    funds = info.filter(F.col(category).isNotNull()).select(key, category)
+    own = best.select(F.col("peer_code").alias(key), F.col("_at").alias("_own"))
+    listed = funds.join(own, key, "left").join(best, category)
+    # behind the fund's own place everything moves up by one
+    behind = F.coalesce(F.col("_at") > F.col("_own"), F.lit(False)).cast("int")
+    return (
+        listed.filter(F.col("peer_code") != F.col(key))
+        .select(key, (F.col("_at") - behind).alias("position"), "peer_code", "peer_name_short", "cagr_pct")
+        .filter(F.col("position") <= n)
+    )
+
+
 # --------------------------------------------------------------------------
 # Months and calendar
 # --------------------------------------------------------------------------

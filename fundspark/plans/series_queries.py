@@ -201,6 +201,21 @@ def q_top_peers(spark, sf_dir):
     return r6(P.top_peers(S.daily_kpis(spark, sf_dir), S.fund_info(spark, sf_dir)), ["cagr_pct"])
 
 
+@register(
+    "best_peers",
+    f"""WITH {_PEER_SQL},
+    pairs AS (SELECT i.scheme_code, e.scheme_code AS peer_code, e.scheme_name AS peer_name, e.cagr,
+                     ROW_NUMBER() OVER (PARTITION BY i.scheme_code ORDER BY e.cagr DESC, e.scheme_code) AS position
+              FROM info i JOIN e ON e.scheme_category = i.scheme_category AND e.scheme_code <> i.scheme_code)
+    SELECT scheme_code, CAST(position AS INTEGER) AS position, peer_code,
+           CASE WHEN length(peer_name) > 50 THEN substr(peer_name, 1, 50) || '...' ELSE peer_name END AS peer_name_short,
+           ROUND(cagr * 100, 6) AS cagr_pct
+    FROM pairs WHERE position <= 5""",
+)
+def q_best_peers(spark, sf_dir):
+    return r6(P.best_peers(S.daily_kpis(spark, sf_dir), S.fund_info(spark, sf_dir)), ["cagr_pct"])
+
+
 # --------------------------------------------------------------------------
 # Months, seasonality, calendar table, histogram
 # --------------------------------------------------------------------------

@@ -385,6 +385,23 @@ def test_null_category_has_no_peers(spark):
     info = spark.createDataFrame([("a", None, "a"), ("b", None, "b"), ("c", "x", "c")], "scheme_code string, scheme_category string, scheme_name string")
     assert P.peer_comparison(kpis, info).count() == 0
     assert [r.scheme_code for r in P.top_peers(kpis, info).collect()] == ["c"]
+    assert P.best_peers(kpis, info).count() == 0
+
+
+def test_best_peers_leave_the_fund_out(spark):
+    kpis = spark.createDataFrame(
+        [(c, g, 300, 2.0) for c, g in zip("abcdefg", [0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1], strict=True)],
+        "scheme_code string, cagr double, data_points long, years double",
+    )
+    # "z" is too new to be a peer but has peers itself
+    info = spark.createDataFrame([(c, "x", c) for c in "abcdefgz"], "scheme_code string, scheme_category string, scheme_name string")
+    out = {}
+    for r in P.best_peers(kpis, info).orderBy("scheme_code", "position").collect():
+        out.setdefault(r.scheme_code, []).append((r.position, r.peer_code))
+    assert {k: "".join(p for _, p in v) for k, v in out.items()} == {
+        "a": "bcdef", "b": "acdef", "c": "abdef", "d": "abcef", "e": "abcdf", "f": "abcde", "g": "abcde", "z": "abcde"
+    }
+    assert all([i for i, _ in v] == [1, 2, 3, 4, 5] for v in out.values())
 
 
 def test_dataset_summary_approx(spark):
