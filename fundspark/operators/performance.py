@@ -266,14 +266,12 @@ def best_peers(
         F.col("scheme_name_short").alias("peer_name_short"), "cagr_pct",
     )
     funds = info.filter(F.col(category).isNotNull()).select(key, category)
-    own = best.select(F.col("peer_code").alias(key), F.col("_at").alias("_own"))
-    listed = funds.join(own, key, "left").join(best, category)
-    # behind the fund's own place everything moves up by one
-    behind = F.coalesce(F.col("_at") > F.col("_own"), F.lit(False)).cast("int")
+    others = funds.join(best, category).filter(F.col("peer_code") != F.col(key))
+    place = F.row_number().over(Window.partitionBy(key).orderBy("_at"))
     return (
-        listed.filter(F.col("peer_code") != F.col(key))
-        .select(key, (F.col("_at") - behind).alias("position"), "peer_code", "peer_name_short", "cagr_pct")
+        others.withColumn("position", place)
         .filter(F.col("position") <= n)
+        .select(key, "position", "peer_code", "peer_name_short", "cagr_pct")
     )
 
 
