@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import ranked
@@ -91,6 +91,15 @@ def plan(blocks: dict[str, int], weights: dict[str, float], period: int) -> list
     return phases
 
 
+def tags(key: str, text: str, source: str) -> list[Column]:
+    """What the mixture reads of a row: ``mix_source``, ``_mix_chars``, ``_mix_hash``."""
+    return [
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("mix_source"),
+        F.greatest(F.coalesce(F.length(text), F.lit(0)), F.lit(1)).cast("long").alias("_mix_chars"),
+        F.xxhash64(key, text).alias("_mix_hash"),
+    ]
+
+
 def mix_sources(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
@@ -106,14 +115,17 @@ def mix_sources(
 
     Without ``weights`` each source weighs the square root of its characters.
     """
-    spark = docs.sparkSession
     passed = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
-    named = docs.select(
-        *passed,
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("mix_source"),
-        F.greatest(F.coalesce(F.length(text), F.lit(0)), F.lit(1)).cast("long").alias("_mix_chars"),
-        F.xxhash64(key, text).alias("_mix_hash"),
+    return placed(docs.select(*passed, *tags(key, text, source)), weights, block_chars, period).select(
+        *passed, "mix_source", "mix_phase", "mix_block", "mix_slot", "mix_place"
     )
+
+
+def placed(
+    named: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, period: int = PERIOD
+) -> DataFrame:
+    """The columns of ``named`` (``tags`` among them), ``mix_phase``, ``mix_block``, ``mix_slot`` and ``mix_place``."""
+    spark = named.sparkSession
     sums = named.groupBy("mix_source").agg(F.sum("_mix_chars").alias("chars")).limit(MOST_SOURCES + 1).collect()
     if len(sums) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -130,15 +142,15 @@ def mix_sources(
     schedule = spark.createDataFrame(
         table, "s string, phase int, low long, high long, base long, size long, slots array<int>"
     )
-    placed = ranked(named, ["mix_source"], ["_mix_hash"], F.col("_mix_chars")).withColumn(
+    rows = ranked(named, ["mix_source"], ["_mix_hash"], F.col("_mix_chars")).withColumn(
         "mix_block", F.expr(f"_before div {int(block_chars)}")
     )
     j = F.col("mix_block") - F.col("low")
     share = F.size("slots")
     slot = F.col("base") + F.floor(j / share) * F.col("size") + F.get("slots", F.pmod(j, share).cast("int"))
     on = (F.col("mix_source") == F.col("s")) & (F.col("mix_block") >= F.col("low")) & (F.col("mix_block") < F.col("high"))
-    return placed.join(F.broadcast(schedule), on).select(
-        *passed, "mix_source", F.col("phase").alias("mix_phase"), "mix_block", slot.alias("mix_slot"),
+    return rows.join(F.broadcast(schedule), on).select(
+        *[F.col(f"`{c}`") for c in named.columns], F.col("phase").alias("mix_phase"), "mix_block", slot.alias("mix_slot"),
         F.col("_rank").alias("mix_place"),
     )
 

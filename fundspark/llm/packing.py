@@ -11,9 +11,13 @@ packed best-fit by decreasing length. The result is a list of runs "so many piec
 go to these bins at this offset"; pieces are numbered inside their length and find their run by a
 search in that list, which is bounded by the capacity and not by the data.
 
+With a mixture, equal pieces are ranked by their document's place in it, so that a run takes the
+earliest, and sequences are numbered by the place of their longest piece (the one at offset 0).
+Without, equal pieces are ranked by a hash and sequences are numbered run by run.
+
 Defined results: a null or empty text is one piece holding the separator alone; repeated rows are
 packed one by one; rows with a null key are packed like others; an empty table gives an empty
-table. Only key and text are read.
+table. Only key, text and (with a mixture) source are read.
 """
 
 from __future__ import annotations
@@ -29,7 +33,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise, ranked
+from .mixing import BLOCK_CHARS, PERIOD, placed, tags
+from .shared import materialise, ranked, shuffle_width
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -95,9 +100,9 @@ class ChunkEncoder:
         return bool(chunk) and not (chunk[0].isspace() or chunk[-1].isspace())
 
 
-def token_pieces(docs: DataFrame, key: str, text: str, path: str, capacity: int) -> DataFrame:
-    """Key, piece, start, length, ids_crc32 of every piece."""
-    kind = dict(docs.dtypes)[key]
+def token_pieces(docs: DataFrame, key: str, text: str, path: str, capacity: int, passed: tuple[str, ...] = ()) -> DataFrame:
+    """Key, piece, start, length, ids_crc32 of every piece, and the ``passed`` columns of its document."""
+    types = dict(docs.dtypes)
     end = np.array([SEPARATOR], dtype="<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,12 +119,14 @@ def token_pieces(docs: DataFrame, key: str, text: str, path: str, capacity: int)
                     for column, x in zip(out, (piece, a, b - a, zlib.crc32(ids[4 * a : 4 * b])), strict=True):
                         column.append(x)
             arrays = [pa.array(out[0], pa.int32()), *(pa.array(x, pa.int64()) for x in out[1:])]
+            of_row = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), *arrays], [key, "piece", "start", "length", "ids_crc32"]
+                [batch.column(0).take(of_row), *arrays, *(c.take(of_row) for c in batch.columns[2:])],
+                [key, "piece", "start", "length", "ids_crc32", *passed],
             )
 
-    schema = f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long"
-    return docs.select(key, text).mapInArrow(pieces, schema)
+    schema = f"`{key}` {types[key]}, piece int, start long, length long, ids_crc32 long"
+    return docs.select(key, text, *passed).mapInArrow(pieces, schema + "".join(f", {c} {types[c]}" for c in passed))
 
 
 class Lengths:
@@ -267,12 +274,42 @@ def pack(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     return reduce_by_dominance(left, capacity) + best_fit(left, capacity)
 
 
+TAGS = ("mix_source", "_mix_chars", "_mix_hash")
+PLACE = ("mix_slot", "mix_source", "mix_place")
+
+
+def mixed_pieces(pieces: DataFrame, weights: dict[str, float] | None, block_chars: int, period: int) -> DataFrame:
+    """The pieces with their document's place in the mixture instead of its tags. Documents of one
+    key, text and source are equal and take the first one's place."""
+    places = placed(pieces.where("piece = 0").select(*TAGS), weights, block_chars, period)
+    first = places.groupBy("mix_source", "_mix_hash").agg(F.min(F.struct("mix_slot", "mix_place")).alias("_at"))
+    columns = [F.col(f"`{c}`") for c in pieces.columns if c not in TAGS]
+    whole = pieces.join(first, ["mix_source", "_mix_hash"], "left")
+    return whole.select(*columns, F.col("_at.mix_slot"), "mix_source", F.col("_at.mix_place"))
+
+
 def pack_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY
-) -> DataFrame:
-    """Key, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
+    docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY,
+    mix: dict | None = None, source: str = "source",
+) -> DataFrame:
+    """Key, piece, start, length, ids_crc32, sequence_id, offset of every piece.
+
+    ``mix`` has options of ``mixing.mix_sources`` (weights, block_chars, period); with it, even empty,
+    pieces and sequences follow that mixture.
+    """
     spark = docs.sparkSession
-    pieces = materialise(token_pieces(docs, key, text, path or tokenizer_path(), capacity), "pieces")
+    path, order, chunk, extra = path or tokenizer_path(), [key, "piece", "start", "ids_crc32"], None, ()
+    if mix is None:
+        pieces = materialise(token_pieces(docs, key, text, path, capacity), "pieces")
+    else:
+        options = {"weights": None, "block_chars": BLOCK_CHARS, "period": PERIOD} | mix
+        tagged = docs.select(key, text, *tags(key, text, source))
+        pieces = materialise(token_pieces(tagged, key, text, path, capacity, TAGS), "pieces")
+        pieces = materialise(mixed_pieces(pieces, **options), "mixed")
+        # Slots hold equal amounts of text, so ranges of slots are chunks of about equal size.
+        slots = (pieces.agg(F.max("mix_slot")).first()[0] or 0) + 1
+        chunk = F.expr(f"mix_slot * {shuffle_width(spark, 64)} div {slots}")
+        extra, order = PLACE, [*PLACE, *order]
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     start, sequence, offset, _ = runs(pack(counts, capacity))
     if len(start) > MOST_RUNS:
@@ -288,9 +325,17 @@ def pack_documents(
             at = np.searchsorted(start, (length << 40) + rank, side="right") - 1
             ids = sequence[at] + ((length << 40) + rank - start[at])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(ids), pa.array(offset[at])], [*columns, "sequence_id", "offset"]
+                [*batch.columns[:-1], pa.array(ids), pa.array(offset[at])], [*columns, "sequence_id", "offset"]
             )
 
-    numbered = ranked(pieces, ["length"], [key, "piece", "start", "ids_crc32"]).select(*[F.col(f"`{c}`") for c in columns], "_rank")
+    passed = [F.col(f"`{c}`") for c in columns]
+    numbered = ranked(pieces, ["length"], order, chunk=chunk).select(*passed, "_rank")
     kinds = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes)
-    return numbered.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    packed = numbered.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    if mix is None:
+        return packed
+    packed = materialise(packed, "packed")
+    heads = ranked(packed.where("offset = 0").select("sequence_id", "mix_slot", *order[1:]), [], order, chunk=chunk)
+    named = heads.select(F.col("sequence_id").alias("_run_id"), F.col("_rank").alias("_number"))
+    kept = [F.col(f"`{c}`") for c in columns if c not in extra]
+    return packed.join(named, F.col("sequence_id") == F.col("_run_id")).select(*kept, F.col("_number").alias("sequence_id"), "offset")

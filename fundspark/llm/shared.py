@@ -30,15 +30,19 @@ def shuffle_width(spark: SparkSession, needed: int = 1) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(needed), 1)
 
 
-def ranked(df: DataFrame, keys: list[str], order: list[str], size: Column | None = None, chunks: int = 64) -> DataFrame:
+def ranked(
+    df: DataFrame, keys: list[str], order: list[str], size: Column | None = None, chunks: int = 64, chunk: Column | None = None
+) -> DataFrame:
     """Add ``_rank`` (0-based position within ``keys``) and ``_before`` (sum of ``size`` of the rows
-    ahead), in the order (chunk, ``order``), where the chunk is a hash of ``order``.
+    ahead), in the order (chunk, ``order``), where the chunk is a hash of ``order`` unless given (for
+    a rank in ``order`` itself, one that never falls along it).
 
     A key that holds a third of all rows is ranked in ``chunks`` independent windows; the offsets
     come from one row per (key, chunk).
     """
     size = F.lit(0).cast("long") if size is None else size.cast("long")
-    rows = df.withColumns({"_chunk": F.pmod(F.xxhash64(*order), F.lit(chunks)), "_size": size})
+    chunk = F.pmod(F.xxhash64(*order), F.lit(chunks)) if chunk is None else chunk
+    rows = df.withColumns({"_chunk": chunk, "_size": size})
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     ahead = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_s"))

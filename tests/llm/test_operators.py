@@ -384,3 +384,39 @@ def test_pipeline_stages(spark):
     assert packed.select("doc_id").distinct().count() == counts[4]
     again = {r.doc_id: shingles(r.text, 5) for r in step.collect()}
     assert len(again) == counts[4]
+
+
+def test_pipeline_packs_along_the_mixture(spark, monkeypatch):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    two = docs.select("source").distinct().orderBy("source").limit(2).collect()
+    names = [r.source for r in two]
+    docs = docs.where(F.col("source").isin(names))
+    source = {r.doc_id: r.source for r in docs.collect()}
+
+    def packed(weights):
+        monkeypatch.setattr(corpus_pipeline, "MIX", {"weights": weights, "block_chars": 2000, "period": 100})
+        return sorted(corpus_pipeline.packing_stage(spark, docs, SF).collect(), key=lambda r: (r.sequence_id, r.offset))
+
+    def early_share(rows, name):
+        half = rows[-1].sequence_id // 2
+        heads = [source[r.doc_id] for r in rows if r.offset == 0 and r.sequence_id < half]
+        return heads.count(name) / len(heads)
+
+    plain = packing.pack_documents(docs)
+    first, second = packed({names[0]: 0.9, names[1]: 0.1}), packed({names[0]: 0.1, names[1]: 0.9})
+    assert first[0].__fields__ == plain.columns
+    for rows in (first, second):
+        assert {r.sequence_id for r in rows} == set(range(rows[-1].sequence_id + 1))
+        filled = collections.Counter()
+        for r in rows:
+            assert r.offset == filled[r.sequence_id]
+            filled[r.sequence_id] += r.length
+        assert max(filled.values()) <= 2048
+    what = lambda rows: collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert what(first) == what(second) == what(plain.collect())
+    assert early_share(first, names[0]) > 0.7 > 0.3 > early_share(second, names[0])
+    # The same whatever the order of the stored rows.
+    docs = docs.orderBy(F.xxhash64("doc_id", F.lit(1)))
+    assert packed({names[0]: 0.1, names[1]: 0.9}) == second
