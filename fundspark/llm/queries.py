@@ -36,8 +36,8 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return quality.quality_rules(table(spark, sf_dir, "documents"), trusted)
+    trusted, rejected = (table(spark, sf_dir, "labels").where(f"quality = {q}").select("doc_id") for q in (1, 0))
+    return quality.quality_rules(table(spark, sf_dir, "documents"), trusted, rejected=rejected)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -420,3 +420,22 @@ def test_pipeline_packs_along_the_mixture(spark, monkeypatch):
     # The same whatever the order of the stored rows.
     docs = docs.orderBy(F.xxhash64("doc_id", F.lit(1)))
     assert packed({names[0]: 0.1, names[1]: 0.9}) == second
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_quality_behaves_alike_at_every_size(spark, sf):
+    from fundspark.llm import queries
+
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet").select("doc_id", "quality")
+    judged = queries.op7_quality_rules(spark, f"/root/testdata/{sf}").join(labels, "doc_id", "left").where("not base_failed")
+    found = judged.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()
+    rate = {r.quality: r.kept / r.n for r in found}
+    print(sf, found)
+    # Rows without a label are mostly like the rows labelled 1.
+    assert rate[1] > 0.97 and rate[0] < 0.04 and rate[None] > 0.8
+
+
+def test_quality_threshold():
+    assert quality.best_threshold([], [1.0]) == float("-inf") and quality.best_threshold([3.0, 2.0], []) == 2.0
+    assert quality.best_threshold([2.0, 3.0], [0.0, 1.0]) == 1.5
+    assert quality.best_threshold([1.0, 2.0], [3.0]) == 1.0
