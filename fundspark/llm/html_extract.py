@@ -1,10 +1,13 @@
 """Main text of web pages by the container paths that a host's pages agree on.
 
 Each page is cut into blocks of text, each with the path of its containers (tag and class, digits
-left out). From the body down, the container that holds most of the page's text outside menus,
-adverts and the like is the page's candidate, weighted by that text. The candidates vote per host;
-paths with a fifth of a host's votes win. Then every page is cut again and the blocks under its
-host's best winning path are its text; a page without a winning path uses its own candidate.
+left out). From the body down, the innermost container that leaves no text of the page's own outside is
+the page's candidate, weighted by that text; menus, adverts and the like, and blocks or sibling
+containers that are mostly links, are not its own. A ``main`` with half of the text is entered
+whatever is beside it, an article is never cut into, and inside a main only an article, or a container of all
+its text, is entered. The candidates vote per host; paths with a fifth of a host's votes win.
+Then every page is cut again and the blocks under its host's best winning path are its text; a page
+without a winning path, or whose own candidate holds more than the winning path, uses its own candidate.
 
 The votes are summed before the shuffle; winners are a few short paths per host, written to the
 shared folder and joined back by host (Spark sends them to all tasks while they are below its
@@ -30,7 +33,6 @@ from pyspark.sql import functions as F
 from .shared import materialise
 
 SHARE = 0.2
-DOMINANT = 0.85
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S
@@ -58,10 +60,10 @@ DIGITS = re.compile(r"\d+")
 
 
 class Block:
-    __slots__ = ("path", "text", "linked", "outside")
+    __slots__ = ("path", "text", "linked", "outside", "title")
 
-    def __init__(self, path: tuple[str, ...], outside: bool):
-        self.path, self.text, self.linked, self.outside = path, [], 0, outside
+    def __init__(self, path: tuple[str, ...], outside: bool, title: bool):
+        self.path, self.text, self.linked, self.outside, self.title = path, [], 0, outside, title
 
 
 def is_outside(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
@@ -91,7 +93,7 @@ def blocks_of(html: str) -> list[Block]:
         if current is None:
             if raw.isspace():
                 return
-            current = Block(tuple(n for _, n, _ in stack if n), any(o for _, _, o in stack))
+            current = Block(tuple(n for _, n, _ in stack if n), any(o for _, _, o in stack), any(t == "h1" for t, _, _ in stack))
             out.append(current)
         current.text.append(raw)
         if links:
@@ -170,23 +172,39 @@ def clean(block: Block) -> str:
     return " ".join(unescape("".join(block.text)).split())
 
 
+def element(path: tuple[str, ...]) -> str:
+    return path[-1].split(".")[0].split("#")[0] if path else ""
+
+
 def candidate(blocks: list[Block]) -> tuple[str, int]:
-    """(path, characters) of the container that holds most of the page's own text."""
-    sizes: dict[tuple[str, ...], int] = defaultdict(int)
+    """(path, characters) of the innermost container that leaves none of the page's own text outside."""
+    sizes: dict[tuple[str, ...], int] = defaultdict(int)  # characters of blocks that are not mostly links
+    whole: dict[tuple[str, ...], int] = defaultdict(int)
+    linked: dict[tuple[str, ...], int] = defaultdict(int)
+    direct: dict[tuple[str, ...], int] = defaultdict(int)  # own blocks of no container below
     for b in blocks:
         if not b.outside:
             n = sum(map(len, b.text))
-            if 2 * b.linked <= n:
-                for depth in range(len(b.path) + 1):
-                    sizes[b.path[:depth]] += n
+            own = b.title or 2 * b.linked <= n
+            direct[b.path] += n if own else 0
+            for depth in range(len(b.path) + 1):
+                whole[b.path[:depth]] += n
+                linked[b.path[:depth]] += b.linked
+                sizes[b.path[:depth]] += n if own else 0
     path: tuple[str, ...] = ()
-    while True:
+    inside = False  # a main
+    while element(path) != "article":
         below = [(n, p) for p, n in sizes.items() if len(p) == len(path) + 1 and p[: len(path)] == path]
         n, best = max(below, default=(0, ()))
-        named = best and best[-1].split(".")[0].split("#")[0] in ("article", "main")
-        if n < (0.5 if named else DOMINANT) * sizes[path] or not n:
-            return ">".join(path), sizes[path]
+        if not n:
+            break
+        left = direct[path] + sum(m for m, p in below if p != best and 2 * linked[p] <= whole[p])
+        if element(best) == "main" and 2 * n >= sizes[path]:
+            inside = True
+        elif left or (inside and element(best) != "article" and whole[best] < whole[path]):
+            break
         path = best
+    return ">".join(path), sizes[path]
 
 
 def text_under(blocks: list[Block], path: str) -> str | None:
@@ -230,14 +248,14 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", html:
             texts, used = [], []
             for value, paths in zip(batch.column(2), batch.column(3), strict=True):
                 blocks = blocks_of(value.as_py() or "")
+                own, weight = candidate(blocks)
                 text = path = None
                 for path in paths.as_py() or ():
                     text = text_under(blocks, path)
                     if text:
                         break
-                if not text:
-                    path = candidate(blocks)[0]
-                    text = text_under(blocks, path) or ""
+                if not text or (weight and (not own or path.startswith(own + ">"))):
+                    path, text = own, text_under(blocks, own) or ""
                 texts.append(text)
                 used.append(path)
             yield pa.RecordBatch.from_arrays(

@@ -439,3 +439,27 @@ def test_quality_threshold():
     assert quality.best_threshold([], [1.0]) == float("-inf") and quality.best_threshold([3.0, 2.0], []) == 2.0
     assert quality.best_threshold([2.0, 3.0], [0.0, 1.0]) == 1.5
     assert quality.best_threshold([1.0, 2.0], [3.0]) == 1.0
+
+
+def test_html_keeps_every_part_of_the_article(spark):
+    long, short = "long text of the body. " * 40, "the lead in short."
+    body = f'<div class="body"><p>{long}</p></div>'
+    menu, links = "<nav><a href=/>Menu</a></nav><footer>Foot</footer>", '<div><ul><li><a href="/1">other story</a><li><a href="/2">and another</a></ul></div>'
+    want = f"Title {short} {long.strip()}"
+    pages = {
+        "article": (f"<article><h1>Title</h1><p>{short}</p>{body}</article>{links}", want),
+        "linked": (f'<div class="post"><h1><a href="/">Title</a></h1><p>{short}</p>{body}</div>{links}', want),
+        "main": (f'<main><h1>Title</h1><p>{short}</p>{body}</main>', want),
+        "sections": (f'<section class="intro"><h1>Title</h1><p>{short}</p></section><section class="rest"><p>{long}</p></section>', want),
+        "parts": (f'<main><article class="one"><h1>Title</h1><p>{short}</p></article><article class="two"><p>{long}</p></article></main>', want),
+        "share": (f'<main><article>{"a b c " * 60}</article><section>{"d e f " * 40}</section></main>', ("a b c " * 60 + "d e f " * 40).strip()),
+        "list": (f"<main><article><h1>Title</h1><p>{short}</p>{body}</article>{links}</main>", want),
+    }
+    rows = [(f"{name}{i}", f"http://{name}.org/{i}", f"<html><body>{menu}{html}</body></html>") for name, (html, _) in pages.items() for i in range(3)]
+    # A page that has more beside the path that its host's pages agree on.
+    rows += [(f"mixed{i}", f"http://mixed.org/{i}", f"<main><article><p>{long}</p></article></main>") for i in range(3)]
+    rows.append(("more", "http://mixed.org/4", f"<main><h1>Title</h1><p>{short}</p><article><p>{long}</p></article></main>"))
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    for name, (_, text) in pages.items():
+        assert [got[f"{name}{i}"] for i in range(3)] == [text] * 3, name
+    assert got["mixed0"] == long.strip() and got["more"] == want
