@@ -2,7 +2,9 @@
 
 Four base kinds (email, ip, card, phone) keep every span whose check passes. Further kinds start
 from a prior score that a checksum (IBAN: mod 97; card of 13 to 15 digits: Luhn) or words nearby
-raise or lower; a span is kept from ``MIN_SCORE`` on, unless a base span covers part of it.
+raise or lower; a span is kept from ``MIN_SCORE`` on, unless a base span covers part of it. A secret runs
+to the end of its characters whatever its length; where base spans cover part of it, its other parts
+of at least ``SECRET_PART`` characters are kept.
 
 Defined results: a null or empty text has no spans; repeated rows give repeated results; an empty
 table gives an empty table. Whole texts are read whatever their length: every pattern starts only
@@ -27,6 +29,7 @@ EXTRA_KINDS = ("iban", "bank_card", "national_id", "local_phone", "secret")
 KINDS = BASE_KINDS + EXTRA_KINDS
 MIN_SCORE = 0.6
 CONTEXT_CHARS = 40
+SECRET_PART = 8
 
 # The local part is the run before the @; it is found from the @ backwards.
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -38,7 +41,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"[A-Z](?<![A-Za-z0-9][A-Z])[A-Z][0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"[0-9](?<![0-9-][0-9])[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"[0-9](?<![0-9+.-][0-9])[0-9]{2}\)?[\x20.-]{1,2}[0-9]{3}[.-][0-9]{4}(?![0-9.-])")
-SECRET_VALUE = re.compile(r"[=:]\s{0,3}[\"']?([A-Za-z0-9+/_.-]{8,200})")
+SECRET_VALUE = re.compile(r"[=:]\s{0,3}[\"']?([A-Za-z0-9+/_.-]{8,}+)")
 SECRET_NAME = re.compile(r"(?i)(?:password|passwd|secret|token|api_?key)\s{0,3}\Z")
 # Words whose presence nearby raises (+) or lowers (-) the score of a kind.
 CONTEXT = {
@@ -112,6 +115,19 @@ def extra_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
         if context_score(kind, text, a, b) + CHECKSUM * checksum >= MIN_SCORE and free(a, b):
             found.append((kind, a, b))
 
+    def offer_secret(a: int, b: int) -> None:
+        if context_score("secret", text, a, b) < MIN_SCORE:
+            return
+        for i in range(bisect.bisect_right(furthest, a), len(taken)):
+            start, end = taken[i]
+            if start >= b:
+                break
+            if start - a >= SECRET_PART:
+                found.append(("secret", a, start))
+            a = max(a, end)
+        if b - a >= SECRET_PART:
+            found.append(("secret", a, b))
+
     if not DIGIT.search(text):
         return found
     for m in IBAN.finditer(text):
@@ -129,7 +145,7 @@ def extra_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
     if "=" in text or ":" in text:
         for m in SECRET_VALUE.finditer(text):
             if any(map(str.isdigit, m.group(1))) and SECRET_NAME.search(text[max(0, m.start() - 20) : m.start()]):
-                offer("secret", *m.span(1))
+                offer_secret(*m.span(1))
     return found
 
 

@@ -463,3 +463,16 @@ def test_html_keeps_every_part_of_the_article(spark):
     for name, (_, text) in pages.items():
         assert [got[f"{name}{i}"] for i in range(3)] == [text] * 3, name
     assert got["mixed0"] == long.strip() and got["more"] == want
+
+
+def test_long_secrets_are_found_whole(spark):
+    token = "ab1-" * 300
+    docs = spark.createDataFrame([(1, f"token={token} end"), (2, f"token={token}.1.2.3.4-{token} end")], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(docs).collect()}
+    assert got[1] == f"secret:6:{6 + len(token)}"
+    assert {r.doc_id: r.text for r in pii.redact(docs).collect()}[1] == "token=<SECRET> end"
+    text = f"token={token}x_1.2.3.4_{token} end"
+    base = pii.base_spans(text)
+    (kind, a, b), = base
+    assert kind == "ip" and pii.extra_spans(text, base) == [("secret", 6, a), ("secret", b, len(text) - 4)]
+    assert pii.extra_spans("token=1.2.3.4", pii.base_spans("token=1.2.3.4")) == []
