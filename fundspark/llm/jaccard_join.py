@@ -7,7 +7,8 @@ Which sets can have a partner: two sets with Jaccard similarity t differ in at m
 (1-t)/t * (size of the smaller) n-grams, so of F fragments at least F - k are equal in both. Sizes
 are grouped into ranges [l, l/t]; sets meet in the range of the smaller one. A range uses
 F = 1.5 (k + 1) fragments, and a set goes on only if it shares a third of them with others. (Empty
-fragments are counted but only emitted by sets that have too many.)
+fragments are counted but only emitted by sets that have too many; a partner that has fewer may not emit
+the ones they share, so such a set, which is rare, goes on with a single shared fragment.)
 
 Candidates: among the sets that go on, n-grams are ordered from rare to frequent. Of n n-grams the
 n - ceil(t n) + 1 rarest hold one of every partner's; those that no other set holds come first, so
@@ -120,7 +121,8 @@ def signatures(grams: np.ndarray, first: np.ndarray, ranges: Ranges) -> tuple[np
         emit = (held > 0) | (empty > ranges.spare[group])[owner]
         place = mix(group[owner].astype(np.uint64) * np.uint64(1 << 32) + number.astype(np.uint64))
         value = mix(total[edge[1:]] - total[edge[:-1]] + place + held.astype(np.uint64))
-        aside = np.where(empty > ranges.spare[group], ranges.spare[group], ranges.spare[group] - empty)
+        # Of the spare + 1 equal fragments of a pair, up to spare are empty and not emitted by a partner.
+        aside = np.maximum(ranges.spare[group] - empty, 0)
         found.append((mine[owner[emit]], value[emit], 2 * aside[owner[emit]] + step))
     return tuple(np.concatenate([x[i] for x in found]) for i in range(3))
 

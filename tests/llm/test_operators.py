@@ -476,3 +476,23 @@ def test_long_secrets_are_found_whole(spark):
     (kind, a, b), = base
     assert kind == "ip" and pii.extra_spans(text, base) == [("secret", 6, a), ("secret", b, len(text) - 4)]
     assert pii.extra_spans("token=1.2.3.4", pii.base_spans("token=1.2.3.4")) == []
+
+
+@pytest.mark.parametrize("percent,one,two,both", [(85, 6, 7, 6), (80, 8, 10, 8), (80, 16, 16, 15), (85, 12, 14, 12), (85, 20, 20, 19)])
+def test_isolated_pairs_of_short_texts_go_on(percent, one, two, both):
+    assert 100 * both >= percent * (one + two - both)
+    pairs, rng = 40_000, np.random.default_rng(one * 100 + two)
+    grams = rng.integers(0, 1 << 64, (pairs, one + two - both), dtype=np.uint64, endpoint=False)
+    a, b = np.sort(grams[:, :one], axis=1), np.sort(np.concatenate([grams[:, :both], grams[:, one:]], axis=1), axis=1)
+    flat = np.concatenate([a, b], axis=1).ravel()
+    first = np.concatenate([[0], np.cumsum(np.tile([one, two], pairs))])
+    row, sig, code = jaccard_join.signatures(flat, first, jaccard_join.Ranges(percent, two))
+    order = np.lexsort((sig, row // 2))
+    row, sig, code = row[order], sig[order], code[order]
+    same = (sig[1:] == sig[:-1]) & (row[1:] // 2 == row[:-1] // 2) & (row[1:] != row[:-1])
+    shared = np.zeros(len(row), dtype=bool)
+    shared[1:] |= same
+    shared[:-1] |= same
+    held = collections.Counter(zip(row[shared].tolist(), code[shared].tolist(), strict=True))
+    goes_on = {r for (r, c), n in held.items() if n > c // 2}
+    assert len(goes_on) == 2 * pairs
