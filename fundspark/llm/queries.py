@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, html_extract, jaccard_join, mixing, packing, pii, quality, substring_dedup, toxicity, url_filter
+from . import (
+    embedding_dedup, html_extract, jaccard_join, license_scan, mixing, packing, periodic_runs, pii, prefix_trie, quality,
+    substring_dedup, toxicity, url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,11 +57,26 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix_source", "mix_phase", "mix_block", "mix_slot", "mix_place")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), order=periodic_runs.repeated_tail)
+    return periodic_runs.run_digest(found)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie_nodes(prefix_trie.rebuilt(said))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.label_digest(license_scan.license_scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_text, op2_url_filter, op3_embedding_duplicates, op4_toxicity, op5_jaccard_join, op6_repeated_passages,
-        op7_quality_rules, op8_packing, op9_personal_data, op10_mix_sources,
+        op7_quality_rules, op8_packing, op9_personal_data, op10_mix_sources, op11_periodic_runs, op12_prefix_trie,
+        op13_license_scan,
     )
 }
-ORACLE = {"op2_url_filter": url_filter.url_filter_sql()}
+ORACLE = {"op2_url_filter": url_filter.url_filter_sql(), "op12_prefix_trie": prefix_trie.prefix_trie_sql()}

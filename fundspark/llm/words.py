@@ -55,13 +55,13 @@ def spans_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int
 
 class Texts:
     """Word spans of the rows of one slice: ``doc`` gives each word's row, ``first`` each row's
-    first word (one entry more than rows)."""
+    first word (one entry more than rows); ``space`` marks the bytes between words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, space: np.ndarray = SPACE):
         if lower:
             data = data + (((data >= 65) & (data <= 90)).astype(np.uint8) << 5)
         self.data, self.offsets, self.rows = data, offsets, len(offsets) - 1
-        solid = ~SPACE[data]
+        solid = ~space[data]
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[offsets] = True
         before = np.ones(len(data), dtype=bool)
@@ -86,7 +86,9 @@ def ngrams(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np
     return at, spans_hash(words, at, at + n, WORD_BASE)
 
 
-def slices(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
+def slices(
+    column: pa.Array, lower: bool = False, most: int = SLICE_BYTES, space: np.ndarray = SPACE
+) -> Iterator[tuple[int, int, Texts]]:
     """Cut a binary column into slices of about ``most`` bytes (a longer row is a slice of its own).
     A null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -99,7 +101,7 @@ def slices(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES) -> It
     low = 0
     while low < n:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + most, side="right")) - 1)
-        yield low, high, Texts(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], lower)
+        yield low, high, Texts(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], lower, space)
         low = high
 
 
