@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from fundspark.plans import catalog
 from oracle import compare, duck, type_differences
 
 # the driver checks at sf0.01; FUNDSPARK_ORACLE_SF=/root/testdata/sf0.01 runs the same here
 SF = os.environ.get("FUNDSPARK_ORACLE_SF", "/root/testdata/sf0.001")
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.QUERIES)  # tests/llm has the tests of the optional part
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_listed():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(catalog.QUERIES) - set(catalog.ORACLE)
     assert rows_only <= {"stream_ingest", "sink_round_trip"}, rows_only
 
 
@@ -30,8 +31,8 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
-    sql = E.oracle_sql().get(name)
+    df = catalog.QUERIES[name](spark, SF)
+    sql = catalog.ORACLE.get(name)
     if sql is None:
         assert df.count() >= 0
     else:
