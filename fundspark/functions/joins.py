@@ -20,6 +20,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int, upper_bound: DataFrame | No
     the planner shuffles (AQE can still switch to broadcast from runtime
     sizes and split skewed partitions).
     """
-    proof = df if upper_bound is None else upper_bound
-    n = proof.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df if upper_bound is None else upper_bound, max_rows) else df
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """Has ``df`` at most ``max_rows`` rows? Counts no further than that."""
+    return df.limit(max_rows + 1).count() <= max_rows

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundspark.functions.joins import METADATA_BROADCAST_ROWS, broadcast_if_small
+from fundspark.functions.joins import METADATA_BROADCAST_ROWS, broadcast_if_small, is_small
 
 from fundspark.functions.dates import NAV_DATE_FORMAT, parse_date
 from fundspark.functions.numeric import parse_double
@@ -63,17 +63,21 @@ def enrich_nav(
     inputs is distinct, so the result equals DISTINCT over the joined rows,
     but the shuffle carries the narrow price rows instead of 14 columns.
     The metadata side (about 16 K instruments) is broadcast only after a
-    bounded count proves it small (``limit(n + 1).count()``); otherwise
-    the join is left to the planner (sort-merge, AQE skew split).
-    Filters run below the join, so they reach the scan.
+    bounded count proves it small (``limit(n + 1).count()``); then prices
+    are first cut to the keys it holds (a broadcast semi join in the scan's
+    stage), so the DISTINCT shuffles only rows that the join keeps. Beyond
+    the bound the join is left to the planner (sort-merge, AQE skew split,
+    Spark's own Bloom filter). Filters run below the join, so they reach the scan.
     """
     m = meta.filter(F.col("is_growth_plan")) if growth_only else meta
     m_rows = m.select(key, *[c for c in columns if c != key])
     m = m_rows.distinct()
-    if broadcast_max_rows:
-        # the rows before the DISTINCT bound the rows after it: count those, no shuffle
-        m = broadcast_if_small(m, broadcast_max_rows, upper_bound=m_rows)
-    return nav.filter(F.col("nav").isNotNull()).distinct().join(m, key, "inner")
+    prices = nav.filter(F.col("nav").isNotNull())
+    # the rows before the DISTINCT bound the rows after it: count those, no shuffle
+    if broadcast_max_rows and is_small(m_rows, broadcast_max_rows):
+        prices = prices.join(F.broadcast(m_rows.select(key)), key, "left_semi")
+        m = F.broadcast(m)
+    return prices.distinct().join(m, key, "inner")
 
 
 def combine_nav(historical: DataFrame, daily: DataFrame) -> DataFrame:
@@ -82,20 +86,28 @@ def combine_nav(historical: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def analytical_dataset(
-    enriched: DataFrame,
+    prices: DataFrame,
     meta: DataFrame,
     key: str = "scheme_code",
     order: str = "date",
     value: str = "nav",
     extra: Sequence[str] = ("launch_date", "minimum_amount"),
+    info: DataFrame | None = None,
 ) -> DataFrame:
-    """Enriched prices with launch date and minimum amount, day-over-day change, year and month.
-
-    ``nav_change_pct`` is a fraction (as the source uses it), computed per
-    key in date order with NULLs padded forward.
+    """Prices with metadata, launch date and minimum amount, day-over-day change, year and month.
+
+    ``info`` holds the descriptive columns of the instruments (prices
+    without an instrument there are left out); ``prices`` that carry them
+    already need none. ``nav_change_pct`` is a fraction (as the source uses
+    it), computed per key in date order with NULLs padded forward -- over
+    the narrow price rows, before either join widens them: joins on the key
+    keep or drop whole series, so the change is the same and the window's
+    shuffle and sort carry three columns.
     """
-    m = broadcast_if_small(meta.select(key, *extra), METADATA_BROADCAST_ROWS)
-    return with_daily_change(enriched.join(m, key, "left"), key, order, value)
+    changed = with_daily_change(prices, key, order, value)
+    if info is not None:
+        changed = changed.join(broadcast_if_small(info, METADATA_BROADCAST_ROWS), key, "inner")
+    return changed.join(broadcast_if_small(meta.select(key, *extra), METADATA_BROADCAST_ROWS), key, "left")
 
 
 def with_daily_change(df: DataFrame, key: str = "scheme_code", order: str = "date", value: str = "nav") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fundspark.functions.persist import materialize
 from fundspark.functions.text import ellipsis
-from fundspark.operators.ranking import count_above
+from fundspark.operators.ranking import value_ranks
 from fundspark.operators.series import TRADING_DAYS, _running, missing_as_null, pct_change
 
 # Fixed values of the fund analysis.
@@ -167,38 +167,32 @@ def peer_comparison(
     Mean, best and worst peer CAGR exclude the fund itself; rank =
     1 + peers with a higher CAGR; percentile = (total - rank + 1) / total x 100
     with total = peers + 1. Funds without a peer get no row.
-    All steps are aggregates and skew-safe ranks on one row per fund; the
-    per-fund table is materialised once instead of being recomputed from
-    the price table by every branch.
+    Everything about the peers comes from one table of the distinct values
+    of each category (``ranking.value_ranks``): ranks are sums of prefix
+    counts over ranges of values, best and worst peers are its ends. No task
+    holds a category, and nothing is run or kept while the query is built.
     """
     f = kpis.select(key, "cagr", "data_points", "years").join(info.select(key, category), key, "inner")
     elig = (F.col("data_points") > min_rows) & (F.col("years") > 0) & F.col("cagr").isNotNull()
     # a missing category equals no other category: such funds have no peers
     f = f.filter(F.col("cagr").isNotNull() & F.col(category).isNotNull())
     f = f.select(key, category, "cagr", elig.cast("int").alias("_elig"))
-    # one row per fund, read by five branches below: compute it once
-    f = materialize(f)
-    e = f.filter("_elig = 1")
-    s1 = e.groupBy(category).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("cagr").alias("_sum"),
-        F.max("cagr").alias("_max1"),
-        F.min("cagr").alias("_min1"),
+    ranks = value_ranks(f, [category], "cagr", weight="_elig")
+    held, v = F.col("_n") > 0, F.col("cagr")
+    below = F.col("_total") - F.col("_above") - F.col("_n")
+    ends = ranks.groupBy(category).agg(
+        F.max("_total").alias("_count"),
+        F.sum(v * F.col("_n")).alias("_sum"),
+        F.max(F.when(held, v)).alias("_max1"),
+        F.min(F.when(held, v)).alias("_min1"),
+        F.max(F.when(held & (F.col("_above") > 0), v)).alias("_max2"),
+        F.min(F.when(held & (below > 0), v)).alias("_min2"),
+        F.sum(F.when(F.col("_above") == 0, F.col("_n"))).alias("_nmax"),
+        F.sum(F.when(below == 0, F.col("_n"))).alias("_nmin"),
     )
-    s2 = (
-        e.join(s1, category)
-        .groupBy(category)
-        .agg(
-            F.max(F.when(F.col("cagr") < F.col("_max1"), F.col("cagr"))).alias("_max2"),
-            F.min(F.when(F.col("cagr") > F.col("_min1"), F.col("cagr"))).alias("_min2"),
-            F.count_if(F.col("cagr") == F.col("_max1")).alias("_nmax"),
-            F.count_if(F.col("cagr") == F.col("_min1")).alias("_nmin"),
-        )
-    )
-    ranked = count_above(f, [category], "cagr", out="_above", weight="_elig")
-    x = ranked.join(s1, category, "left").join(s2, category, "left")
+    x = f.join(ranks.select(category, "cagr", "_above"), [category, "cagr"]).join(ends, category)
     me = F.col("_elig") == 1
-    peers = F.coalesce(F.col("_n"), F.lit(0)) - F.when(me, 1).otherwise(0)
+    peers = F.col("_count") - F.when(me, 1).otherwise(0)
     only_max = me & (F.col("cagr") == F.col("_max1")) & (F.col("_nmax") == 1)
     only_min = me & (F.col("cagr") == F.col("_min1")) & (F.col("_nmin") == 1)
     rank = F.col("_above") + 1

@@ -3,9 +3,10 @@
 All take the key, order and value column names, so they work on any keyed
 series. Every window is ``partitionBy(key).orderBy(order)``: one shuffle on
 the key, and each window partition is one instrument's history. With one
-row per (key, date) -- required, see ``assert_unique`` -- a partition is
-bounded by the number of dates (about 5,000 for 20 years), however many
-rows the table has, so no hot key can grow a window task.
+row per (key, date) a partition is bounded by the number of dates (about
+5,000 for 20 years), however many rows the table has, so no hot key can
+grow a window task. ``one_per_date`` makes that so (repeats are combined
+by a stated rule before any window); ``assert_unique`` checks it.
 Operators that share a key reuse one exchange and one sort.
 """
 
@@ -123,6 +124,41 @@ def rolling_return(
     return df.withColumn(name, pct_change(value, key, order, periods, fill))
 
 
+def one_per_date(
+    df: DataFrame,
+    key: str | Sequence[str] = "scheme_code",
+    order: str = "date",
+    value: str = "nav",
+    by: Sequence[str] = (),
+    keep: str = "last",
+) -> DataFrame:
+    """One row per (key, date): ``key``, ``order`` and the value that its repeats agree on by a stated rule.
+
+    ``last`` / ``first`` take the value of the row with the largest /
+    smallest ``by`` columns (compared in turn, NULL lowest; then the larger
+    / smaller value); ``min``, ``max`` and ``mean`` combine the values. A
+    missing value (NULL or NaN) gives way to any other; a date with none
+    keeps NULL. Fills, returns and KPIs over the result are unambiguous and
+    their windows hold at most one row per date of the calendar, however
+    often a row is repeated: repeats are combined before the shuffle on
+    (key, date), so a key with a third of all rows sends one row per date
+    and task.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    v = missing_as_null(value)
+    ordered = F.when(v.isNotNull(), F.struct(*[F.col(c) for c in by], v.alias("_v")))
+    rules = {
+        "last": lambda: F.max_by(v, ordered),
+        "first": lambda: F.min_by(v, ordered),
+        "min": lambda: F.min(v),
+        "max": lambda: F.max(v),
+        "mean": lambda: F.avg(v),
+    }
+    if keep not in rules:
+        raise ValueError(f"keep must be one of {sorted(rules)}, not {keep!r}")
+    return df.groupBy(*keys, order).agg(rules[keep]().alias(value))
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a (key, date) pair repeats: fills and lags would be ambiguous.
 

@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from fundspark.operators import master as M
 from fundspark.operators import metadata as MD
+from fundspark.functions.joins import METADATA_BROADCAST_ROWS, broadcast_if_small
+from fundspark.functions.text import ellipsis
 from fundspark.operators import nav as N
+from fundspark.operators import series as T
+from fundspark.operators import tables as TB
 from fundspark.plans import standins as S
 from fundspark.plans.registry import r6, register
 
@@ -64,6 +68,74 @@ def q_validate_metadata(spark, sf_dir):
     return MD.validate_metadata(S.part_metadata(spark, sf_dir))
 
 
+@register(
+    "normalised_headers",
+    f"""SELECT "AMC" AS amc, "Code" AS code, "Scheme Name" AS scheme_name, "Scheme Minimum Amount" AS scheme_minimum_amount,
+           "ISIN Div Payout/ ISIN Growth" AS "isin_div_payout/_isin_growth", "Launch Date" AS launch_date_dd_mm
+    FROM ({S.PART_METADATA_RAW_SQL})""",
+)
+def q_normalised_headers(spark, sf_dir):
+    raw = S.part_metadata_raw(spark, sf_dir).select(
+        F.col("AMC").alias(" AMC "), F.col("Code").alias("CODE"), "Scheme Name", "Scheme Minimum Amount",
+        "ISIN Div Payout/ ISIN Growth", F.col("Launch Date").alias("Launch Date (dd.mm)"),
+    )
+    return MD.normalise_headers(raw)
+
+
+@register(
+    "metadata_without_columns",
+    f"""WITH {S.PART_METADATA_SQL} SELECT * REPLACE (CAST(NULL AS DATE) AS launch_date, CAST(NULL AS DOUBLE) AS minimum_amount) FROM (SELECT {', '.join(_META_COLS)} FROM meta)""",
+)
+def q_metadata_without_columns(spark, sf_dir):
+    """A scheme list that lacks two columns: they come out as typed NULLs."""
+    raw = S.part_metadata_raw(spark, sf_dir).drop("Launch Date", "Scheme Minimum Amount")
+    clean = MD.clean_scheme_metadata(
+        raw, level1_rules=S.PART_LEVEL1_RULES, direct=S.PART_DIRECT, growth=S.PART_GROWTH, non_growth=S.PART_NON_GROWTH
+    )
+    return clean.select(*_META_COLS)
+
+
+@register(
+    "short_names",
+    """SELECT p_partkey, CASE WHEN length(n) > 50 THEN substr(n, 1, 50) || '...' ELSE n END AS short_name, length(n) > 50 AS cut
+       FROM (SELECT p_partkey, repeat(p_name || ' ', 1 + p_size // 8) || p_type AS n FROM part)""",
+)
+def q_short_names(spark, sf_dir):
+    """Names of one to seven times the part's, cut at 50 characters."""
+    part = S.table(spark, sf_dir, "part")
+    name = F.concat(F.expr("repeat(concat(p_name, ' '), cast(1 + p_size div 8 as int))"), F.col("p_type"))
+    return part.select("p_partkey", ellipsis(name, 50).alias("short_name"), (F.length(name) > 50).alias("cut"))
+
+
+# --------------------------------------------------------------------------
+# Annual log returns by the instrument's twelve descriptive columns
+# --------------------------------------------------------------------------
+
+_TWELVE = [
+    "scheme_code", "isin_growth", "isin_dividend", "amc_name", "scheme_name", "scheme_type", "scheme_category", "scheme_nav_name",
+    "scheme_category_level1", "scheme_category_level2", "is_direct", "is_growth_plan",
+]
+
+
+@register(
+    "annual_log_returns_all_keys",
+    f"""WITH {S.PART_METADATA_SQL},
+    d AS (SELECT CAST(l_partkey AS VARCHAR) AS scheme_code, CAST(l_shipdate AS DATE) AS date, MIN(l_extendedprice) AS nav
+          FROM lineitem GROUP BY 1, 2),
+    r AS (SELECT *, ln(nav / LAG(nav) OVER (PARTITION BY scheme_code ORDER BY date)) AS log_return FROM d)
+    SELECT {', '.join('m.' + c for c in _TWELVE)}, make_date(CAST(year(date) AS INTEGER), 12, 31) AS date,
+           ROUND(COALESCE(SUM(log_return), 0), 6) AS log_return
+    FROM r JOIN meta m USING (scheme_code) WHERE m.scheme_category_level1 = 'Equity Scheme' AND m.is_direct GROUP BY ALL""",
+)
+def q_annual_log_returns_all_keys(spark, sf_dir):
+    """Direct equity plans: the twelve keys include columns that are NULL for every row or for some."""
+    prices = T.one_per_date(_lineitem_nav_by_part(spark, sf_dir), keep="min")
+    meta = S.part_metadata(spark, sf_dir).select(*_TWELVE)
+    chosen = meta.filter((F.col("scheme_category_level1") == "Equity Scheme") & F.col("is_direct"))
+    returns = T.period_returns(prices).join(broadcast_if_small(chosen, METADATA_BROADCAST_ROWS), "scheme_code")
+    return r6(T.annual_log_returns(returns, _TWELVE), ["log_return"])
+
+
 # --------------------------------------------------------------------------
 # Enrichment, combined and analytical tables
 # --------------------------------------------------------------------------
@@ -117,21 +189,94 @@ def q_combined_table(spark, sf_dir):
     FROM e LEFT JOIN m USING (scheme_code)""",
 )
 def q_analytical_dataset(spark, sf_dir):
-    enriched = S.daily(spark, sf_dir).join(S.fund_info(spark, sf_dir), "scheme_code", "inner")
     sup = S.table(spark, sf_dir, "supplier")
     meta = sup.select(
         F.col("s_suppkey").alias("scheme_code"),
         F.make_date(F.lit(1990) + F.col("s_nationkey"), F.lit(1), F.lit(1)).alias("launch_date"),
         F.col("s_acctbal").alias("minimum_amount"),
     )
-    return r6(N.analytical_dataset(enriched, meta), ["nav_change_pct"])
+    return r6(N.analytical_dataset(S.daily(spark, sf_dir), meta, info=S.fund_info(spark, sf_dir)), ["nav_change_pct"])
+
+
+# --------------------------------------------------------------------------
+# Prices merged with metadata that repeats two of their column names
+# --------------------------------------------------------------------------
+
+_MERGED_META = [c for c in _META_COLS if c not in ("minimum_amount", "closure_date")]
+_MERGED_NAV_SQL = """nav AS (SELECT CASE WHEN l_partkey % 20 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS scheme_code,
+           'INF' || CAST(l_suppkey AS VARCHAR) AS isin_growth, l_returnflag AS isin_dividend, l_extendedprice AS nav,
+           CAST(l_shipdate AS DATE) AS date FROM lineitem)"""
+_MERGED_META_SQL = f"""chosen AS (
+    SELECT * EXCLUDE (scheme_code, minimum_amount, closure_date),
+           CASE WHEN CAST(scheme_code AS BIGINT) % 20 <> 0 THEN scheme_code END AS scheme_code
+    FROM meta WHERE scheme_type = 'Open Ended' AND is_growth_plan)"""
+_MERGED_OUT = ", ".join(
+    ["nav.scheme_code", "nav.isin_growth AS isin_growth_x", "nav.isin_dividend AS isin_dividend_x", "nav.nav", "nav.date"]
+    + [f"c.{c} AS {c}_y" if c.startswith("isin") else f"c.{c}" for c in _MERGED_META if c != "scheme_code"]
+)
+
+
+def _merge_sides(spark, sf_dir):
+    """Price rows and open-ended growth plans with clashing isin columns; some keys are NULL on both sides."""
+    li = S.table(spark, sf_dir, "lineitem")
+    part = F.col("l_partkey")
+    prices = li.select(
+        F.when(part % 20 != 0, part.cast("string")).alias("scheme_code"),
+        F.concat(F.lit("INF"), F.col("l_suppkey").cast("string")).alias("isin_growth"),
+        F.col("l_returnflag").alias("isin_dividend"),
+        F.col("l_extendedprice").alias("nav"),
+        F.to_date("l_shipdate").alias("date"),
+    )
+    chosen = S.part_metadata(spark, sf_dir).select(*_META_COLS)
+    chosen = chosen.filter((F.col("scheme_type") == "Open Ended") & F.col("is_growth_plan")).drop("minimum_amount", "closure_date")
+    code = F.col("scheme_code")
+    return prices, chosen.withColumn("scheme_code", F.when(code.cast("bigint") % 20 != 0, code))
+
+
+@register(
+    "nav_metadata_merge",
+    f"WITH {S.PART_METADATA_SQL}, {_MERGED_NAV_SQL}, {_MERGED_META_SQL} SELECT {_MERGED_OUT} FROM nav JOIN chosen c USING (scheme_code)",
+)
+def q_nav_metadata_merge(spark, sf_dir):
+    prices, chosen = _merge_sides(spark, sf_dir)
+    return TB.merge_tables(prices, chosen, "scheme_code", broadcast_max_rows=METADATA_BROADCAST_ROWS)
+
+
+@register(
+    "nav_metadata_left_merge",
+    f"""WITH {S.PART_METADATA_SQL}, {_MERGED_NAV_SQL}, {_MERGED_META_SQL},
+    j AS (SELECT {_MERGED_OUT} FROM nav LEFT JOIN chosen c ON nav.scheme_code = c.scheme_code)
+    SELECT isin_growth_x AS isin_growth_nav, scheme_code IS NULL AS no_key, isin_growth_y IS NULL AS no_match, scheme_type,
+           COUNT(*) AS "rows", COUNT(isin_dividend_y) AS dividends, ROUND(SUM(nav) + CAST(0 AS DOUBLE), 2) AS total
+    FROM j GROUP BY ALL""",
+)
+def q_nav_metadata_left_merge(spark, sf_dir):
+    """Every price row, summed by what the merge found; rows without a key stay and match nothing."""
+    prices, chosen = _merge_sides(spark, sf_dir)
+    merged = TB.merge_tables(prices, chosen, "scheme_code", how="left", suffixes=("_nav", "_meta"))
+    groups = merged.groupBy(
+        "isin_growth_nav", F.col("scheme_code").isNull().alias("no_key"), F.col("isin_growth_meta").isNull().alias("no_match"), "scheme_type"
+    )
+    return groups.agg(
+        F.count(F.lit(1)).alias("rows"), F.count("isin_dividend_meta").alias("dividends"), F.round(F.sum("nav"), 2).alias("total")
+    )
+
+
+@register(
+    "exact_sample",
+    "SELECT * FROM orders ORDER BY md5('7' || chr(31) || CAST(o_orderkey AS VARCHAR)) LIMIT 1000",
+)
+def q_exact_sample(spark, sf_dir):
+    """One thousand orders, the same in every engine and at every partitioning."""
+    return TB.sample_n(S.table(spark, sf_dir, "orders"), 1000, ["o_orderkey"], seed=7)
 
 
 # --------------------------------------------------------------------------
-# Master table (customers with orders in two overlapping windows)
+# Master table (instruments with orders before and after one date)
 # --------------------------------------------------------------------------
 
-_AS_OF = {"existing": "1998-01-01", "latest": "2000-01-01"}
+# The runs' dates: at the cut, and the day after the last order, within the views' 30 days of the cut.
+_AS_OF = {"existing": S.MASTER_CUT, "latest": "2001-08-02", "all": "2001-08-02"}
 _MASTER_OUT = [
     "scheme_code", "scheme_name", "amc_name", "launch_date", "orders_in_window",
     "first_seen_date", "last_seen_date", "is_active", "attribute_last_updated",
@@ -169,9 +314,9 @@ def _merged(spark, sf_dir):
     return M.merge_master(existing, latest, _AS_OF["latest"])
 
 
-@register("master_initial", _master_initial_sql("latest"))
+@register("master_initial", _master_initial_sql("all"))
 def q_master_initial(spark, sf_dir):
-    return M.build_initial_master(S.customer_snapshot(spark, sf_dir, "latest"), _AS_OF["latest"])
+    return M.build_initial_master(S.customer_snapshot(spark, sf_dir, "all"), _AS_OF["all"])
 
 
 @register("master_merge", _MERGE_SQL + " SELECT * FROM master")

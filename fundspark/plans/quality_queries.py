@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from fundspark.operators import quality
 from fundspark.plans import standins as S
 from fundspark.plans.registry import register
@@ -75,10 +77,14 @@ def q_validation_view(spark, sf_dir):
 
 @register(
     "dup_code_date_nav",
-    f"SELECT scheme_code, date, nav, COUNT(*) AS count FROM ({S.NAV_RAW_SQL}) GROUP BY 1, 2, 3 HAVING COUNT(*) > 1",
+    f"""WITH raw AS (SELECT * FROM ({S.NAV_RAW_SQL}) UNION ALL SELECT * FROM ({S.NAV_RAW_SQL}) WHERE date >= DATE '1998-01-01')
+        SELECT scheme_code, date, nav, COUNT(*) AS count FROM raw GROUP BY 1, 2, 3 HAVING COUNT(*) > 1""",
 )
 def q_dup_code_date_nav(spark, sf_dir):
-    return quality.find_duplicates(S.nav_raw(spark, sf_dir), ["scheme_code", "date", "nav"])
+    """The history and a later reload of its last years, before exact repeats are removed."""
+    raw = S.nav_raw(spark, sf_dir)
+    reloaded = raw.unionByName(raw.filter(F.col("date") >= F.lit("1998-01-01").cast("date")))
+    return quality.find_duplicates(reloaded, ["scheme_code", "date", "nav"])
 
 
 @register(
@@ -102,19 +108,20 @@ def q_dup_code_date_distinct(spark, sf_dir):
 
 @register(
     "quality_rules",
-    f"""WITH o AS ({S.ORDERS_SERIES_SQL}),
+    f"""WITH o AS (SELECT *, make_date(1980 + scheme_code % 60, 1, 1) AS launch_date FROM ({S.ORDERS_SERIES_SQL})),
     g AS (SELECT scheme_code, date, COUNT(*) AS n,
                  COUNT(*) FILTER (WHERE nav IS NOT NULL AND (nav < 0.01 OR nav > 10000.0)) AS vo,
                  COUNT(*) FILTER (WHERE TRY_CAST(CAST(scheme_code AS VARCHAR) AS BIGINT) IS NULL
                                   OR TRY_CAST(CAST(scheme_code AS VARCHAR) AS BIGINT) < 100000
                                   OR TRY_CAST(CAST(scheme_code AS VARCHAR) AS BIGINT) > 999999) AS co,
-                 COUNT(*) FILTER (WHERE nav IS NULL) AS nv
+                 COUNT(*) FILTER (WHERE nav IS NULL) AS nv,
+                 COUNT(*) FILTER (WHERE year(launch_date) < 1990 OR year(launch_date) > 2030) AS lo
           FROM o GROUP BY 1, 2),
     t AS (SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS "rows",
                  CAST(COALESCE(SUM(vo), 0) AS BIGINT) AS value_out_of_range,
                  CAST(COALESCE(SUM(co), 0) AS BIGINT) AS code_out_of_range,
                  CAST(COALESCE(SUM(nv), 0) AS BIGINT) AS null_values,
-                 CAST(0 AS BIGINT) AS launch_year_out_of_range,
+                 CAST(COALESCE(SUM(lo), 0) AS BIGINT) AS launch_year_out_of_range,
                  CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM g)
     SELECT *, CAST(null_values AS DOUBLE) / "rows" AS null_share,
            CAST(duplicate_rows AS DOUBLE) / "rows" AS duplicate_share,
@@ -125,7 +132,8 @@ def q_dup_code_date_distinct(spark, sf_dir):
     FROM t""",
 )
 def q_quality_rules(spark, sf_dir):
-    return quality.quality_rules(S.orders_series(spark, sf_dir), launch=None)
+    launch = F.make_date((F.lit(1980) + F.col("scheme_code") % 60).cast("int"), F.lit(1), F.lit(1))
+    return quality.quality_rules(S.orders_series(spark, sf_dir).withColumn("launch_date", launch))
 
 
 @register(

@@ -79,11 +79,81 @@ def q_rolling_return_252(spark, sf_dir):
     return r6(T.rolling_return(S.daily(spark, sf_dir)), ["rolling_return_252"])
 
 
+# --------------------------------------------------------------------------
+# Series on raw rows with repeats: one row per key and date first (the last order line of the day)
+# --------------------------------------------------------------------------
+
+# Prices of returned lines are missing, so that some dates have a missing and a present value.
+_RAW_SQL = f"""raw AS (
+    SELECT l_suppkey AS scheme_code, CAST(l_shipdate AS DATE) AS date, l_orderkey, l_linenumber,
+           CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS nav FROM lineitem),
+  ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code, date
+                 ORDER BY nav IS NOT NULL DESC, l_orderkey DESC, l_linenumber DESC, nav DESC) AS n FROM raw),
+  one AS (SELECT scheme_code, date, nav FROM ranked WHERE n = 1)"""
+_FILLED_SQL = f"""{_RAW_SQL},
+  f AS (SELECT *, LAST_VALUE(nav IGNORE NULLS) OVER {_RUN} AS fl FROM one)"""
+
+
+def _raw_rows(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_suppkey").alias("scheme_code"), F.to_date("l_shipdate").alias("date"), "l_orderkey", "l_linenumber",
+        F.when(F.col("l_returnflag") != "R", F.col("l_extendedprice")).alias("nav"),
+    )
+
+
+def _one_per_date(spark, sf_dir):
+    return T.one_per_date(_raw_rows(spark, sf_dir), by=["l_orderkey", "l_linenumber"])
+
+
+@register("one_per_date", f"WITH {_RAW_SQL} SELECT * FROM one")
+def q_one_per_date(spark, sf_dir):
+    return _one_per_date(spark, sf_dir)
+
+
+@register(
+    "one_per_date_rules",
+    f"""WITH {_RAW_SQL},
+    first AS (SELECT scheme_code, date, nav FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code, date
+        ORDER BY nav IS NOT NULL DESC, l_orderkey, l_linenumber, nav) AS k FROM raw) WHERE k = 1)
+    SELECT r.scheme_code, r.date, any_value(f.nav) AS first_nav, MIN(r.nav) AS min_nav, MAX(r.nav) AS max_nav,
+           ROUND(AVG(r.nav), 6) AS mean_nav
+    FROM raw r JOIN first f USING (scheme_code, date) GROUP BY 1, 2""",
+)
+def q_one_per_date_rules(spark, sf_dir):
+    raw = _raw_rows(spark, sf_dir)
+    by = ["l_orderkey", "l_linenumber"]
+    found = None
+    for rule in ("first", "min", "max", "mean"):
+        part = T.one_per_date(raw, by=by, keep=rule).withColumnRenamed("nav", f"{rule}_nav")
+        found = part if found is None else found.join(part, ["scheme_code", "date"])
+    return r6(found, ["mean_nav"])
+
+
+@register("fill_raw_rows", f"WITH {_FILLED_SQL} SELECT scheme_code, date, nav, fl AS nav_filled FROM f")
+def q_fill_raw_rows(spark, sf_dir):
+    return T.forward_fill(_one_per_date(spark, sf_dir))
+
+
+@register(
+    "returns_raw_rows",
+    f"""WITH {_FILLED_SQL}, r AS (
+      SELECT scheme_code, date, nav, fl / LAG(fl) OVER ({_W}) - 1 AS perc_return,
+             fl / LAG(fl, 252) OVER ({_W}) - 1 AS rolling_return_252, MAX(nav) OVER {_RUN} AS cumulative_max FROM f)
+    SELECT scheme_code, date, nav, ROUND(perc_return, 6) AS perc_return, ROUND(ln(1 + perc_return), 6) AS log_return,
+           cumulative_max, ROUND(nav / cumulative_max - 1, 6) AS drawdown, ROUND(rolling_return_252, 6) AS rolling_return_252 FROM r""",
+)
+def q_returns_raw_rows(spark, sf_dir):
+    """Returns, drawdown and 252-row return of raw lines: three operators over one shuffle of the calendar."""
+    series = T.period_returns(_one_per_date(spark, sf_dir)).transform(T.drawdown_series).transform(T.rolling_return)
+    return r6(series, ["perc_return", "log_return", "drawdown", "rolling_return_252"])
+
+
 # --------------------------------------------------------------------------
 # KPIs, labels, lump sum
 # --------------------------------------------------------------------------
 
-_KPI_SQL = f"""d AS ({S.DAILY_SQL}),
+KPI_SQL = f"""d AS ({S.DAILY_SQL}),
   kr AS (SELECT *, MAX(nav) OVER {_RUN} AS cm, nav / LAG(nav) OVER ({_W}) - 1 AS ret FROM d),
   k0 AS (SELECT scheme_code, arg_min(nav, date) AS start_nav, arg_max(nav, date) AS end_nav,
                 MIN(date) AS start_date, MAX(date) AS end_date, COUNT(*) AS data_points,
@@ -106,7 +176,7 @@ KPI_DOUBLES = [
 
 @register(
     "fund_kpis",
-    f"WITH {_KPI_SQL} SELECT scheme_code, start_nav, end_nav, start_date, end_date, data_points, days, "
+    f"WITH {KPI_SQL} SELECT scheme_code, start_nav, end_nav, start_date, end_date, data_points, days, "
     + ", ".join(f"ROUND({c}, 6) AS {c}" for c in KPI_DOUBLES)
     + " FROM kpis",
 )
@@ -114,9 +184,22 @@ def q_fund_kpis(spark, sf_dir):
     return r6(S.daily_kpis(spark, sf_dir), KPI_DOUBLES)
 
 
+_RAW_KPI_SQL = KPI_SQL.replace(f"d AS ({S.DAILY_SQL})", f"{_RAW_SQL}, d AS (SELECT * FROM one WHERE nav IS NOT NULL)")
+
+
+@register(
+    "kpis_raw_rows",
+    f"WITH {_RAW_KPI_SQL} SELECT scheme_code, start_nav, end_nav, start_date, end_date, data_points, days, "
+    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in KPI_DOUBLES)
+    + " FROM kpis",
+)
+def q_kpis_raw_rows(spark, sf_dir):
+    return r6(P.fund_kpis(_one_per_date(spark, sf_dir).where("nav is not null")), KPI_DOUBLES)
+
+
 @register(
     "risk_labels",
-    f"""WITH {_KPI_SQL}
+    f"""WITH {KPI_SQL}
     SELECT scheme_code,
       CASE WHEN volatility > 0.25 THEN 'High' WHEN volatility > 0.15 THEN 'Medium' ELSE 'Low' END AS risk_level,
       CASE WHEN sharpe_ratio > 1 THEN 'Excellent' WHEN sharpe_ratio > 0.5 THEN 'Good' ELSE 'Average' END AS sharpe_rating,
@@ -129,7 +212,7 @@ def q_risk_labels(spark, sf_dir):
 
 @register(
     "lump_sum",
-    f"""WITH {_KPI_SQL}
+    f"""WITH {KPI_SQL}
     SELECT scheme_code, CAST(100000.0 AS DOUBLE) AS amount, ROUND(100000.0 * growth_multiple, 6) AS final_value,
            ROUND(100000.0 * growth_multiple - 100000.0, 6) AS gain FROM kpis""",
 )
@@ -141,7 +224,7 @@ def q_lump_sum(spark, sf_dir):
 # Peers (supplier's nation as the category)
 # --------------------------------------------------------------------------
 
-_PEER_SQL = f"""{_KPI_SQL},
+_PEER_SQL = f"""{KPI_SQL},
   info AS ({S.FUND_INFO_SQL}),
   f AS (SELECT k.scheme_code, k.cagr, k.data_points, k.years, i.scheme_category, i.scheme_name
         FROM kpis k JOIN info i USING (scheme_code) WHERE k.cagr IS NOT NULL),

@@ -204,26 +204,25 @@ PART_METADATA_SQL = f"""
 # Master snapshots from orders per customer
 # --------------------------------------------------------------------------
 
-MASTER_WINDOWS = {
-    "existing": ("1995-01-01", "1998-01-01"),
-    "latest": ("1997-01-01", "2000-01-01"),
-}
+# Orders are cut at one date inside the table: the snapshot before it, the snapshot from it on, and all of them.
+MASTER_CUT = "2001-07-10"
 
 
 def customer_snapshot(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
-    """Customers with orders in a window as an instrument list: launch = first order in it."""
-    lo, hi = MASTER_WINDOWS[which]
+    """A customer's orders of one priority as an instrument; ``which``: existing (before the cut), latest
+    (from the cut on) or all. Launch is the first order of the snapshot."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    d = F.to_date("o_orderdate")
+    d, cut = F.to_date("o_orderdate"), F.lit(MASTER_CUT).cast("date")
+    held = {"existing": d < cut, "latest": d >= cut, "all": F.lit(True)}[which]
     per = (
-        o.filter((d >= F.lit(lo).cast("date")) & (d < F.lit(hi).cast("date")))
-        .groupBy("o_custkey")
+        o.filter(held)
+        .groupBy("o_custkey", "o_orderpriority")
         .agg(F.min(d).alias("launch_date"), F.count(F.lit(1)).alias("orders_in_window"))
     )
     return per.join(c, per.o_custkey == c.c_custkey, "inner").select(
-        F.col("c_custkey").alias("scheme_code"),
-        F.col("c_name").alias("scheme_name"),
+        (F.col("c_custkey") * 10 + F.substring("o_orderpriority", 1, 1).cast("bigint")).alias("scheme_code"),
+        F.concat("c_name", F.lit(" "), "o_orderpriority").alias("scheme_name"),
         F.col("c_mktsegment").alias("amc_name"),
         "launch_date",
         "orders_in_window",
@@ -231,12 +230,13 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, which: str) -> DataFrame
 
 
 def customer_snapshot_sql(which: str) -> str:
-    lo, hi = MASTER_WINDOWS[which]
+    held = {"existing": f"< DATE '{MASTER_CUT}'", "latest": f">= DATE '{MASTER_CUT}'", "all": "IS NOT NULL"}[which]
     return f"""
-    SELECT c_custkey AS scheme_code, c_name AS scheme_name, c_mktsegment AS amc_name, launch_date, orders_in_window
-    FROM (SELECT o_custkey, MIN(CAST(o_orderdate AS DATE)) AS launch_date, COUNT(*) AS orders_in_window
-          FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '{lo}' AND CAST(o_orderdate AS DATE) < DATE '{hi}'
-          GROUP BY o_custkey) p
+    SELECT c_custkey * 10 + CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS scheme_code,
+           c_name || ' ' || o_orderpriority AS scheme_name, c_mktsegment AS amc_name, launch_date, orders_in_window
+    FROM (SELECT o_custkey, o_orderpriority, MIN(CAST(o_orderdate AS DATE)) AS launch_date, COUNT(*) AS orders_in_window
+          FROM orders WHERE CAST(o_orderdate AS DATE) {held}
+          GROUP BY o_custkey, o_orderpriority) p
     JOIN customer ON p.o_custkey = c_custkey"""
 
 
@@ -278,14 +278,26 @@ def daily_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fund_kpis(daily(spark, sf_dir))
 
 
-def events_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as price-report text with bad values: N.A. and missing prices, upper-case and impossible dates."""
+EVENT_VALUES_SQL = "SELECT user_id AS scheme_code, CAST(ts AS DATE) AS date, MIN(value) AS nav FROM events GROUP BY 1, 2"
+
+
+def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(scheme_code, date, nav): the smallest event value per user and day."""
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy(F.col("user_id").alias("scheme_code"), F.to_date("ts").alias("date")).agg(F.min("value").alias("nav"))
+
+
+def events_report_text(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
+    """Events as price-report text with bad values: N.A. and missing prices, upper-case and impossible dates.
+    ``day`` adds the event's day of the month under that name."""
     ev = table(spark, sf_dir, "events")
     cents = F.floor(F.col("value") * 100).cast("bigint")
     value_text = F.concat((cents / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    more = [F.day("ts").alias(day)] if day else []
     day = F.date_format("ts", "dd-MMM-yyyy")
     et = F.col("event_type")
     return ev.select(
+        *more,
         F.col("user_id").cast("string").alias("Scheme Code"),
         F.concat(F.lit("INF"), et).alias("ISIN Div Payout/ISIN Growth"),
         F.lit("-").alias("ISIN Div Reinvestment"),

@@ -6,6 +6,9 @@ operators with ``try_*`` parsing, so one bad value never fails a job.
 
 from __future__ import annotations
 
+import csv
+import functools
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,8 +59,8 @@ def check_batch(df: DataFrame, min_columns: int = 3) -> bool:
 def read_csv_glob(spark: SparkSession, pattern: str, columns=None, sep: str = ",") -> DataFrame:
     """Many CSV files as strings, optionally cut to ``columns``; every file's own header names its columns.
 
-    Files are grouped by header (one row per file comes to the driver) and
-    each group is one scan with that header as its schema, so files may
+    Files are grouped by header (of which only the first lines are read)
+    and each group is one scan with that header as its schema, so files may
     order their columns differently or hold others. A file that lacks one
     of ``columns`` raises. Without ``columns`` the result has the columns of
     all files, NULL where a file has none.
@@ -78,19 +81,42 @@ def read_csv_glob(spark: SparkSession, pattern: str, columns=None, sep: str = ",
     return out
 
 
+def first_lines(spark: SparkSession, pattern, files_per_job: int = 100) -> list[tuple[str, str]]:
+    """(path, first non-blank line) of every file, without reading the rest of the files.
+
+    Each file is a scan of one split under ``LIMIT 1``, which stops at its
+    first buffer; ``files_per_job`` such scans run side by side as the
+    tasks of one job. Split sizes are set in a session of its own, so they
+    hold for nothing else. Files without such a line are left out.
+    """
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        session.conf.set(name, str(1 << 60))
+    paths = sorted(r["path"] for r in list_files(session, pattern).select("path").collect())
+    out: list[tuple[str, str]] = []
+    for at in range(0, len(paths), files_per_job):
+        heads = [
+            session.read.text(p).where("trim(value) <> ''").limit(1).select(F.lit(p).alias("path"), "value")
+            for p in paths[at : at + files_per_job]
+        ]
+        out += [(r["path"], r["value"]) for r in functools.reduce(DataFrame.union, heads).collect()]
+    return out
+
+
 def files_by_header(spark: SparkSession, pattern, sep: str) -> list[tuple[list[str], list[str]]]:
-    """(columns, files) per distinct header among the files; files without a line are left out."""
-    lines = spark.read.text(pattern).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at")
-    )
-    # The first line is the first row of the task that reads the file's start.
-    first = lines.filter("at = 0 AND trim(value) <> ''").withColumn("n", F.monotonically_increasing_id())
-    heads = first.groupBy("path").agg(F.min_by("value", "n").alias("header"))
+    """(columns, files) per distinct header among the files; files without a line are left out.
+
+    Headers are CSV rows themselves: a quoted name may hold the separator.
+    One row per file comes to the driver.
+    """
     found: dict[str, list[str]] = {}
-    for r in heads.orderBy("path").collect():
-        found.setdefault(r["header"], []).append(r["path"])
-    unquoted = lambda c: c.strip().removeprefix("\ufeff").strip('"')
-    return [([unquoted(c) for c in header.split(sep)], paths) for header, paths in found.items()]
+    for path, line in first_lines(spark, pattern):
+        found.setdefault(line.removeprefix("\ufeff"), []).append(path)
+    groups = [([c.strip() for c in next(csv.reader([line], delimiter=sep))], sorted(paths)) for line, paths in found.items()]
+    return sorted(groups, key=lambda g: g[1])
 
 
 def read_metadata_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:

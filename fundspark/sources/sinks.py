@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_COMPRESSION = "snappy"
@@ -33,14 +33,18 @@ def write_parquet(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True, partition_by=None) -> bool:
-    """CSV with a header; an empty frame writes nothing and returns False."""
-    if df.isEmpty():
-        return False
-    w = df.write.mode(mode).option("header", header)
+    """CSV with a header; returns False when there was no row to write.
+
+    The rows are counted while they are written, so the plan runs once. An
+    empty frame replaces what an earlier run left under ``path`` by an
+    empty folder (with ``overwrite``).
+    """
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("header", header)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
-    return True
+    return seen.get["rows"] > 0
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -68,14 +72,18 @@ def instrument_dump(df: DataFrame, folder: str, prefix: str, ts: dt.datetime) ->
 def export_fund_report(
     kpis: DataFrame, series: DataFrame, path: str, key: str = "scheme_code", info: DataFrame | None = None
 ) -> None:
-    """KPI JSON records and the series (date, nav, nav_change_pct, year, month) as CSV per key."""
+    """KPI JSON records and the series (key, date, nav, nav_change_pct, year, month) as CSV.
+
+    The series of all funds are one table in key and date order, range
+    partitioned: a file holds a contiguous range of funds, and the number
+    of files follows the data, not the number of funds.
+    """
     from fundspark.operators.performance import kpi_record
 
     write_json(kpi_record(kpis, key, info), f"{path}/fund_analysis_results")
     cols = [c for c in (key, "date", "nav", "nav_change_pct", "year", "month") if c in series.columns]
-    series.select(*cols).write.mode("overwrite").option("header", True).partitionBy(key).csv(
-        f"{path}/fund_performance_data"
-    )
+    ordered = series.select(*cols).repartitionByRange(*[c for c in (key, "date") if c in cols])
+    write_csv(ordered.sortWithinPartitions(*[c for c in (key, "date") if c in cols]), f"{path}/fund_performance_data")
 
 
 def write_dated(df: DataFrame, path: str, as_of, column: str = "ingest_date", fmt: str = "parquet") -> None:
