@@ -35,7 +35,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.drop_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+    return substring_dedup.repeat_digest(table(spark, sf_dir, "documents"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
