@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundspark.functions.joins import broadcast_if_small
+
+PLAN_ROWS = 100_000  # a request plan beyond this is shuffled
 # Fixed field names of the replies.
 AUM_EXCL_FOF = "ExcludingFundOfFundsDomesticButIncludingFundOfFundsOverseas"
 AUM_FOF_DOMESTIC = "FundOfFundsDomestic"
@@ -124,14 +127,20 @@ def store_replies(replies: DataFrame, path: str, mode: str = "append") -> None:
 def load_stored_aum(spark, path: str, plan: DataFrame, fetched_at=None) -> DataFrame:
     """The planned replies among those under ``path`` -> flat rows, as ``load_aum``.
 
-    The plan is small (years x periods) and is broadcast; it is joined on
+    The plan (years x periods) is broadcast behind a bounded count; it is joined on
     the folder columns, so dynamic partition pruning lists and reads only
     the planned folders, and the JSON of a reply is parsed after the join:
-    replies nobody asked for cost nothing.
+    replies nobody asked for cost nothing. Years without a label are
+    skipped, as in ``request_plan`` (and the planner prunes only by a side
+    that has a filter).
     """
+    plan = plan.filter(F.col("financial_year") != "")
     stored = spark.read.schema("json string, fy_id bigint, period_id bigint").parquet(path)
-    wanted = stored.join(F.broadcast(plan), ["fy_id", "period_id"], "inner")
-    return _flat_with_period(parse_replies(wanted), fetched_at)
+    wanted = stored.join(broadcast_if_small(plan, PLAN_ROWS), ["fy_id", "period_id"], "inner")
+    # A filter on the text's contents would be pushed below the join, with its parsing; a row made of
+    # both sides is parsed where it is made.
+    whole = wanted.withColumn("json", F.when(F.col("financial_year") != "", F.col("json")))
+    return _flat_with_period(parse_replies(whole), fetched_at)
 
 
 def _flat_with_period(replies: DataFrame, fetched_at) -> DataFrame:
