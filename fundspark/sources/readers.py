@@ -7,7 +7,7 @@ operators with ``try_*`` parsing, so one bad value never fails a job.
 from __future__ import annotations
 
 import csv
-import functools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -81,29 +81,28 @@ def read_csv_glob(spark: SparkSession, pattern: str, columns=None, sep: str = ",
     return out
 
 
-def first_lines(spark: SparkSession, pattern, files_per_job: int = 100) -> list[tuple[str, str]]:
+def first_lines(spark: SparkSession, pattern, jobs: int = 16) -> list[tuple[str, str]]:
     """(path, first non-blank line) of every file, without reading the rest of the files.
 
-    Each file is a scan of one split under ``LIMIT 1``, which stops at its
-    first buffer; ``files_per_job`` such scans run side by side as the
-    tasks of one job. Split sizes are set in a session of its own, so they
-    hold for nothing else. Files without such a line are left out.
+    Each file is a job of one task that stops at its first buffer (64 KB);
+    ``jobs`` of them run side by side. Split sizes are set in a session of
+    its own, so they hold for nothing else. Files without such a line are
+    left out.
     """
     session = spark.newSession()
     for name, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(name):
             session.conf.set(name, value)
+    # A file is one split: the first line of the first split is that of the file.
     for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         session.conf.set(name, str(1 << 60))
     paths = sorted(r["path"] for r in list_files(session, pattern).select("path").collect())
-    out: list[tuple[str, str]] = []
-    for at in range(0, len(paths), files_per_job):
-        heads = [
-            session.read.text(p).where("trim(value) <> ''").limit(1).select(F.lit(p).alias("path"), "value")
-            for p in paths[at : at + files_per_job]
-        ]
-        out += [(r["path"], r["value"]) for r in functools.reduce(DataFrame.union, heads).collect()]
-    return out
+
+    def head(path: str) -> list[tuple[str, str]]:
+        return [(path, r["value"]) for r in session.read.text(path).where("trim(value) <> ''").take(1)]
+
+    with ThreadPoolExecutor(jobs) as pool:
+        return [line for lines in pool.map(head, paths) for line in lines]
 
 
 def files_by_header(spark: SparkSession, pattern, sep: str) -> list[tuple[list[str], list[str]]]:

@@ -193,7 +193,7 @@ def test_headers_are_read_from_the_heads_of_the_files(spark, scratch):
     assert [h for h, _ in found] == [["Code", "Name, long", "Date"], ["Date", "Code", "Name, long"]]
     assert rows(R.read_csv_glob(spark, f"{scratch}/*.csv", ["Code", "Name, long"])) == [("1", "x"), ("2", "y, z")]
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 60)
-    assert len(R.first_lines(spark, f"{scratch}/*.csv", files_per_job=1)) == 2
+    assert len(R.first_lines(spark, f"{scratch}/*.csv", jobs=1)) == 2
 
 
 def test_a_replayed_batch_neither_doubles_nor_loses_rows(spark, scratch):
