@@ -306,9 +306,13 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: in
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows and columns of ``docs`` whose key is the smallest of their component. Rows that repeat
-    a key and have one text stay once (the row that sorts first); null keys stay."""
+    """The rows and columns of ``docs`` whose key is the smallest of their component. Rows that are equal in
+    every column stay once; rows with a null key all stay."""
     found = join_components(docs, key, text, n, percent)
-    kept = found.where("_key = component or _key is null").select("_key").distinct()
-    rest = docs.join(kept, docs[key].eqNullSafe(kept["_key"]), "left_semi")
-    return rest.dropDuplicates()
+    kept = found.where("_key = component").select("_key").distinct()
+    rest = docs.join(kept, docs[key] == kept["_key"], "left_semi")
+    # Maps cannot be compared; their text can.
+    maps = {f"_map{i}": F.to_json(F.struct(F.col(f.name))) for i, f in enumerate(docs.schema) if "map<" in f.dataType.simpleString()}
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind]
+    once = rest.withColumns(maps).dropDuplicates([*plain, *maps]).drop(*maps)
+    return once.unionByName(docs.where(docs[key].isNull()))

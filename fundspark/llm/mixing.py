@@ -115,10 +115,16 @@ def mix_sources(
 
     Without ``weights`` each source weighs the square root of its characters.
     """
-    passed = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
-    return placed(docs.select(*passed, *tags(key, text, source)), weights, block_chars, period).select(
-        *passed, "mix_source", "mix_phase", "mix_block", "mix_slot", "mix_place"
-    )
+    # The rows travel as one column: no name of theirs can meet one of the schedule's.
+    names = [c for c in docs.columns if c not in ADDED]
+    row = F.struct(*[F.col(quoted(c)).alias(c) for c in names]).alias("_mix_row")
+    mixed = placed(docs.select(row, *tags(key, text, source)), weights, block_chars, period)
+    return mixed.select(*[F.col("_mix_row").getField(c).alias(c) for c in names], *ADDED)
+
+
+def quoted(name: str) -> str:
+    """A column name as it stands, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def placed(
@@ -150,7 +156,7 @@ def placed(
     slot = F.col("base") + F.floor(j / share) * F.col("size") + F.get("slots", F.pmod(j, share).cast("int"))
     on = (F.col("mix_source") == F.col("s")) & (F.col("mix_block") >= F.col("low")) & (F.col("mix_block") < F.col("high"))
     return rows.join(F.broadcast(schedule), on).select(
-        *[F.col(f"`{c}`") for c in named.columns], F.col("phase").alias("mix_phase"), "mix_block", slot.alias("mix_slot"),
+        *[F.col(quoted(c)) for c in named.columns], F.col("phase").alias("mix_phase"), "mix_block", slot.alias("mix_slot"),
         F.col("_rank").alias("mix_place"),
     )
 
@@ -158,4 +164,4 @@ def placed(
 def interleave(docs: DataFrame, **options) -> DataFrame:
     """The rows and columns of ``docs`` in the order of the mixture."""
     mixed = mix_sources(docs, **options).orderBy("mix_slot", "mix_source", "mix_place")
-    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mixed.select(*[F.col(quoted(c)) for c in docs.columns])

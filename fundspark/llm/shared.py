@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else one inside the warehouse."""
+    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``; none is made up."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        raise RuntimeError("spark.checkpoint.dir is not set; a folder that all executors share is required")
     return folder.rstrip("/")
 
 

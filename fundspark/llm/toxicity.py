@@ -274,8 +274,8 @@ def train(bags: list[tuple[int, list[str]]], landmarks: int = LANDMARKS, seed: i
 def training_bags(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, held_out, per_class: int
 ) -> list[tuple[int, list[str]]]:
-    """A bounded sample of labelled texts: the ``per_class`` rows of each label with the smallest
-    hash of the key, outside the held-out fold."""
+    """A bounded sample of labelled texts: the ``per_class`` keys of each label with the smallest
+    hash, outside the held-out fold, and one text of each (of a repeated key the one of the smallest hash)."""
     rows = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).where("_k is not null").distinct()
     rows = rows.where(~held_out(F.col("_k")))
     ids = None
@@ -283,7 +283,8 @@ def training_bags(
         part = rows.where(F.col("_y") == y).orderBy(F.xxhash64("_k"), "_k").limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
     chosen = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where(F.length("_t") <= SAMPLE_CHARS)
-    found = chosen.join(F.broadcast(ids), "_k").select("_k", "_y", F.xxhash64("_t").alias("_h"), "_t").collect()
+    texts = chosen.join(F.broadcast(ids), "_k").groupBy("_k", "_y").agg(F.min(F.struct(F.xxhash64("_t").alias("_h"), "_t")).alias("r"))
+    found = texts.select("_k", "_y", "r.*").collect()  # at most 2 * per_class rows
     bags = []
     for r in sorted(found, key=lambda r: (r["_y"], r["_k"], r["_h"])):
         sentences = r["_t"].replace("!", ".").replace("?", ".").replace("\n", ".").split(". ")

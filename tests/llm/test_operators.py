@@ -163,7 +163,6 @@ def test_packing_round_trip(spark):
         edge_docs(spark).select("doc_id", "text").where("doc_id in (0, 1, 2, 5, 6, 7)").withColumn("doc_id", F.col("doc_id") + 10_000)
     )
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     out = packing.pack_documents(docs.withColumn("piece", F.lit("extra"))).collect()
     for r in out:
@@ -195,9 +194,8 @@ def test_chunk_encoder_equals_tokenizers():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     encoder, rng = packing.ChunkEncoder(packing.tokenizer_path()), random.Random(3)
-    odd = ["", " ", "a  b", "a \n b", "don't 's", "a <|endoftext|> b", "tail ", "　x", "\x1c a \x85 b"]
+    odd = ["", " ", "a  b", "a \n b", "don't 's", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y z", "<|endoftext", "tail ", "　x", "\x1c a \x85 b"]
     odd += ["".join(rng.choice(" \n\tab'1.é日😀  \x1f") for _ in range(rng.randint(0, 30))) for _ in range(500)]
     for text in odd:
         assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -496,3 +494,30 @@ def test_isolated_pairs_of_short_texts_go_on(percent, one, two, both):
     held = collections.Counter(zip(row[shared].tolist(), code[shared].tolist(), strict=True))
     goes_on = {r for (r, c), n in held.items() if n > c // 2}
     assert len(goes_on) == 2 * pairs
+
+
+CLASH = ["size", "low", "high", "slots", "phase", "base", "s", "_n0", "_chunk", "a.b", "mix_slot"]
+
+
+def test_mixing_with_clashing_and_dotted_names(spark):
+    docs = spark.createDataFrame([(i, f"t {i}", f"src{i % 3}", *range(len(CLASH))) for i in range(30)], ["doc_id", "text", "source", *CLASH])
+    mixed = mixing.mix_sources(docs, block_chars=10)
+    assert sorted(r.doc_id for r in mixed.collect()) == list(range(30))
+    assert mixed.columns[: len(CLASH) + 2] == [c for c in docs.columns if c != "mix_slot"]
+    ordered = mixing.interleave(docs, block_chars=10)
+    assert ordered.columns == docs.columns and ordered.count() == 30
+
+
+def test_keep_one_with_maps_and_null_keys(spark):
+    text = "one two three four five six"
+    rows = [(1, text, {"a": 1}), (2, text, {"a": 2}), (1, text, {"a": 1}), (None, text, {"a": 3}), (None, text, {"a": 3}), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>")
+    got = [(r.doc_id, r.m) for r in jaccard_join.keep_one(docs).collect()]
+    assert sorted(got, key=repr) == sorted([(1, {"a": 1}), (3, None), (None, {"a": 3}), (None, {"a": 3})], key=repr)
+
+
+def test_training_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "x"), (3, "y")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    never = lambda key: F.lit(False)
+    assert len(toxicity.training_bags(docs, labels, "doc_id", "text", "toxic", never, 10)) == 3
