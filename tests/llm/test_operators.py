@@ -521,3 +521,23 @@ def test_training_sample_is_bounded_by_rows(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
     never = lambda key: F.lit(False)
     assert len(toxicity.training_bags(docs, labels, "doc_id", "text", "toxic", never, 10)) == 3
+
+
+def test_links_of_near_copies_move_each_vector_once(spark):
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(32)
+    near = base + 0.01 * rng.standard_normal((3000, 32))
+    edge = base + 0.08 * rng.standard_normal((40, 32))  # linked with many, some outside the core
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([near, edge, rng.standard_normal((50, 32))]))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_duplicates(frame).collect()}
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    assert [got[i][0] for i in range(len(rows))] == want.tolist()
+    nodes = frame.select(F.col("vec_id").alias("node"), F.col("embedding").alias("v"), F.lit(1).cast("long").alias("copies"))
+    groups = nodes.where("node < 3040").select("node", F.lit(0).alias("component"))
+    members = embedding_dedup.core_members(groups, nodes, 0.95)
+    outside = members.where(~F.col("core")).count()
+    cells = embedding_dedup.link_cells(members).count()
+    assert outside <= 40 and cells <= (3040 + 6 * outside if outside else 0)
