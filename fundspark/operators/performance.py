@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundspark.functions.persist import materialize
 from fundspark.functions.text import ellipsis
 from fundspark.operators.ranking import value_ranks
 from fundspark.operators.series import TRADING_DAYS, _running, missing_as_null, pct_change

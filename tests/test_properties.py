@@ -56,22 +56,40 @@ def test_returns_fill_drawdown_match_pandas(spark, navs_by_key):
 
 @SETTINGS
 @given(st.dictionaries(st.sampled_from(["a", "b"]), st.lists(st.floats(min_value=1, max_value=100, allow_nan=False), min_size=2, max_size=30), min_size=1))
-def test_kpis_match_pandas(spark, navs_by_key):
+def test_kpis_match_their_definitions(spark, navs_by_key):
+    """Growth, spread of the daily returns and deepest fall, each worked out by a loop over the series."""
     df, rows = _frame(spark, navs_by_key)
     got = {r.scheme_code: r for r in P.fund_kpis(df).collect()}
     for k, navs in navs_by_key.items():
-        s = pd.Series(navs)
-        days = 3 * (len(navs) - 1)
-        years = days / 365.25
-        cagr = (navs[-1] / navs[0]) ** (1 / years) - 1
-        std = s.pct_change().dropna().std()
-        vol = std * np.sqrt(252)
-        mdd = (s / s.cummax() - 1).min()
-        sharpe = (cagr - 0.06) / vol if vol > 0 else 0
         r = got[k]
-        assert _close(cagr, r.cagr) and _close(mdd, r.max_drawdown) and r.data_points == len(navs)
-        assert _close(None if pd.isna(vol) else float(vol), r.volatility)
-        assert _close(float(sharpe), r.sharpe_ratio)
+        assert r.data_points == len(navs)
+        # compounding at the rate log(last / first) / years turns the first value into the last
+        years = (rows_last(rows, k) - rows_first(rows, k)).days / 365.25
+        rate = (math.log(navs[-1]) - math.log(navs[0])) / years
+        assert math.isclose(1 + r.cagr, math.exp(rate), rel_tol=1e-9, abs_tol=1e-12)
+        high, deepest, returns = navs[0], 0.0, []
+        for before, now in zip([None, *navs], navs):
+            high = max(high, now)
+            deepest = min(deepest, (now - high) / high)
+            if before is not None:
+                returns.append((now - before) / before)
+        assert _close(deepest, r.max_drawdown)
+        if len(returns) < 2:
+            assert r.volatility is None
+            continue
+        mean = sum(returns) / len(returns)
+        spread = sum((x - mean) ** 2 for x in returns) / (len(returns) - 1)
+        assert math.isclose(r.volatility**2, 252 * spread, rel_tol=1e-6, abs_tol=1e-12)
+        # excess growth per unit of spread; none without spread
+        assert math.isclose(r.sharpe_ratio * r.volatility, r.cagr - 0.06 if r.volatility > 0 else 0.0, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def rows_first(rows, key):
+    return min(d for k, d, _ in rows if k == key)
+
+
+def rows_last(rows, key):
+    return max(d for k, d, _ in rows if k == key)
 
 
 @SETTINGS

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -31,7 +32,7 @@ def shape(plan: str) -> dict[str, int]:
         "single_partition": plan.count("Exchange SinglePartition"),
         "scans": plan.count("FileScan") + plan.count("Scan ExistingRDD") + plan.count("InMemoryTableScan"),
         "reused": plan.count("ReusedExchange") + plan.count("ReusedQueryStage"),
-        "python": len(re.findall(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas", plan)),
+        "python": len(re.findall(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsIn|MapInPandas|MapInArrow", plan)),
     }
 
 
@@ -39,16 +40,18 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from fundspark.session import build_session
 
-    import __spark_entry__ as E
+    from fundspark.plans import catalog
+    from fundspark.session import checkpoint_dir
 
     spark = build_session("local[8]", 8, "fundspark-plans")
+    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="fundspark-plans-", dir="/tmp"))
     cols = ["shuffles", "broadcasts", "windows", "group_limits", "single_partition", "scans", "reused", "python"]
     print(f"# Final plan shape per query ({os.path.basename(sf)}, local[8], AQE on)\n")
     print("Generated by `tools/plan_report.py`. Counts are physical-plan nodes after adaptive")
     print("re-planning; `single_partition` only ever sits on one row per date or a one-row total.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---" for _ in cols) + " |")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
