@@ -1,19 +1,26 @@
 """Toxicity: a support vector machine on a gapped-subsequence string kernel with Nystrom landmarks.
 
-The kernel k(s, t) of two units (words, or letters spelled out with spaces between) sums, over all
-sequences of three characters that both hold in order but not necessarily next to each other,
-``DECAY`` to the power of the two spans, up to a span of ``SPAN`` characters; it is divided by a norm
-that depends on the units' lengths. An inserted character lengthens the span by one and so costs a
-factor, no more. Case and common character substitutions are folded, accents are one kind, punctuation inside a
-unit is skipped, and each unit is framed by a boundary mark.
+The kernel k(s, t) of two units sums, over all sequences of three characters that both hold in order
+but not necessarily next to each other, ``DECAY`` to the power of the two spans, up to a span of
+``SPAN`` characters; it is divided by a norm that depends on the units' lengths. An inserted character
+lengthens the span by one and so costs a factor, no more. A unit is a window of one to ``WINDOW``
+consecutive words of a sentence, its spaces included: a space is a character of the kernel like any
+other, so it bounds words, and a sequence may also skip it, so that an insult cut by spaces and a
+phrase of harmless words have values of their own. Letters spelled out one by one are a unit without
+the spaces between them. Case, compatibility forms (full-width letters and the like) and common
+character substitutions are folded, accents are one kind, letters of other scripts fall into
+``HASHED`` classes by their code points, and all other characters are skipped.
 
 Training takes a bounded sample of labelled texts cut into sentences. A toxic text says that at least
-one of its sentences holds an insult, not which, so the machine is trained in rounds: the
-highest-scoring unit of every toxic text stands for it (beside the units that only toxic texts
-hold, in several contexts), all units of clean sentences are negatives. Nystrom features are the kernel values against landmark units, whitened by the
+one of its units is toxic, not which, so the machine is trained in rounds: the highest-scoring unit of
+every toxic text stands for it, beside units of several toxic texts that the last round called toxic
+(at first, words that only toxic texts hold, in several contexts), each frequent one also with a letter or a
+space inserted; units of clean texts are negatives, the common ones, some at random, and in every round
+those rated highest.
+Nystrom features are the kernel values against landmark units, whitened by the
 landmarks' own kernel matrix; a linear SVM on them is a weighted sum of kernel values and hence one
-weight per character triple, so a text is scored in time proportional to its length. A text's score
-is the calibrated value of its highest-scoring unit.
+weight per character triple, so all windows of a text are scored in time proportional to its length.
+A text's score is the calibrated value of its highest-scoring unit.
 
 Labels are only read from training rows; ``labels``, ``lang``, ``source`` and the key are no input of
 a score. Defined results: a null or empty text has the score of a text without units (below 0.5);
@@ -26,6 +33,7 @@ from __future__ import annotations
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -35,12 +43,18 @@ from pyspark.sql import functions as F
 
 from .words import Texts, slices
 
-DECAY, SPAN, SIZE = 0.6, 5, 35  # SIZE: character classes; 0 is no character
-MARK = 34  # boundary of a unit
+DECAY, SPAN = 0.6, 5
+MARK = 34  # class of the space that bounds words; 0 is no character
+MARKED = bytes([MARK])
+HASHED = 16  # classes of the letters of other scripts
+SIZE = MARK + 1 + HASHED
+WINDOW = 3  # words of a unit
+SPELLED = 4  # least number of one-character words in a row that are one unit
 LANDMARKS = 300
 SAMPLE_PER_CLASS = 1500  # bound of the training sample, in rows
 SAMPLE_CHARS = 20_000  # training rows are taken from texts of at most so many characters
 ROUNDS = 4
+OFTEN = 5  # toxic texts of a unit that stands for them beside their highest-scoring one
 NOTHING = -10.0  # decision value of a text without units
 PAD = SPAN - 1
 GAPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN]
@@ -49,46 +63,116 @@ REAL = (_CODE % SIZE > 0) & (_CODE // SIZE % SIZE > 0) & (_CODE // SIZE**2 > 0)
 ACCENTED = "aeioucn"  # letters whose accented forms, taken together, are classes 27 to 33
 # Characters that stand in for letters.
 FOLDED = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
+CODES = 0x20000  # code points with a class of their own rule; higher ones are hashed
 
 
-def class_tables() -> np.ndarray:
-    """Character class of a byte after another byte's kind: row 0 for ASCII, rows 1-3 for the second
-    byte of the two-byte letters that start with C3, C4, C5. 0 is a character that is skipped."""
-    table = np.zeros((4, 256), dtype=np.int32)
-    for code in [*range(0x80), *range(0xC0, 0x180)]:
-        raw = chr(code).encode()
-        c = unicodedata.normalize("NFKD", chr(code)).lower()[:1]
+@lru_cache(maxsize=1)
+def class_table() -> np.ndarray:
+    """Class of every code point below ``CODES``; 0 is a character that is skipped."""
+    table = np.zeros(CODES, dtype=np.uint8)
+    for code in range(CODES):
+        plain = unicodedata.normalize("NFKD", chr(code)).lower()
+        c = plain[:1]
         c = {"ß": "s", "ø": "o", "æ": "a", "œ": "o"}.get(c, FOLDED.get(c, c))
         if "a" <= c <= "z":
-            accent = ACCENTED.find(c) if code >= 0xC0 and c != chr(code).lower() else -1
-            table[raw[0] - 0xC2 if len(raw) > 1 else 0, raw[-1]] = 27 + accent if accent >= 0 else ord(c) - 96
+            accent = ACCENTED.find(c) if code >= 0xC0 and c != plain else -1
+            table[code] = 27 + accent if accent >= 0 else ord(c) - 96
+        elif code >= 0x80 and unicodedata.category(c)[0] in "LN":
+            table[code] = hashed(ord(c))
     return table
 
 
-CLASSES = class_tables()
+def hashed(code):
+    return MARK + 1 + code * 40503 // 16 % HASHED
+
+
+def byte_classes(data: np.ndarray) -> np.ndarray:
+    """Class of every character at its first byte; 0 at the others and at skipped characters."""
+    table = class_table()
+    out = table[:256].copy()
+    out[0x80:] = 0
+    out = out[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        wide = np.concatenate([data, np.zeros(3, dtype=np.uint8)]).astype(np.int64)
+        b0, b1, b2, b3 = (wide[lead + k] for k in range(4))
+        two, three = (b0 & 31) << 6 | b1 & 63, (b0 & 15) << 12 | (b1 & 63) << 6 | b2 & 63
+        code = np.where(b0 < 0xE0, two, np.where(b0 < 0xF0, three, three << 6 & 0x1FFFC0 | (b0 & 7) << 18 | b3 & 63))
+        out[lead] = np.where(code < CODES, table[np.minimum(code, CODES - 1)], hashed(code))
+    bang = np.flatnonzero(data == ord("!"))
+    if len(bang):  # an exclamation mark stands for a letter only before another one
+        after = np.concatenate([data, np.zeros(1, dtype=np.uint8)])[bang + 1]
+        out[bang[(table[after] == 0) | (after == ord("!")) | (after >= 0x80)]] = 0
+    return out
+
+
+class Stream(NamedTuple):
+    """The words of many texts as one row of classes: a mark, a word, a mark, a word and so on, zeros
+    after a text's last mark, so that no triple reaches into the next text."""
+
+    classes: np.ndarray
+    at: np.ndarray  # mark before each word
+    after: np.ndarray  # mark after each word
+    doc: np.ndarray  # text of each word
+    stop: np.ndarray  # whether a sentence ends with the word
 
 
-def layout(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of all units one after the other, where each starts, and their lengths. Every unit is
-    framed by marks and followed by zeros, so that no triple reaches into the next unit."""
-    classes = CLASSES[0][data]
-    for row in (1, 2, 3):
-        after = np.flatnonzero(data[:-1] == 0xC2 + row) + 1
-        classes[after] = CLASSES[row][data[after]]
+def stream(texts: Texts) -> Stream:
+    """Words without a character that counts are left out."""
+    data, start, end = texts.data, texts.start, texts.end
+    classes = byte_classes(data)
     number = np.zeros(len(data) + 1, dtype=np.int64)
     number[start] = 1
     kept = np.flatnonzero(classes)
     owner = np.cumsum(number)[kept] - 1
     inner = np.bincount(owner, minlength=len(start))
-    at = np.zeros(len(start) + 1, dtype=np.int64)
-    np.cumsum(inner + 2 + PAD, out=at[1:])
-    first = np.zeros(len(start), dtype=np.int64)
-    np.cumsum(inner[:-1], out=first[1:])
-    out = np.zeros(at[-1], dtype=np.int32)
-    out[at[:-1]] = MARK
-    out[at[:-1] + 1 + inner] = MARK
-    out[at[owner] + 1 + np.arange(len(kept)) - first[owner]] = classes[kept]
-    return out, at, inner + 2
+    next_byte = np.concatenate([data, np.zeros(1, dtype=np.uint8)])[end]
+    ends = np.isin(data[end - 1], np.frombuffer(b".!?", dtype=np.uint8)) | (next_byte == ord("\n"))
+    live = np.flatnonzero(inner)
+    inner, doc = inner[live], np.asarray(texts.doc)[live]
+    # A word that is left out may end a sentence: the last live word before it does.
+    passed = np.concatenate([[0], np.cumsum(ends)])
+    upto = np.append(live[1:], len(start))
+    last = np.append(doc[1:] != doc[:-1], True) if len(doc) else np.zeros(0, dtype=bool)
+    stop = last | (passed[upto] > passed[live])
+    sizes = 1 + inner + last * (1 + PAD)
+    at = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), dtype=np.int32)
+    out[at] = MARK
+    out[at + 1 + inner] = MARK
+    first = np.cumsum(inner) - inner
+    out[np.repeat(at + 1 - first, inner) + np.arange(len(kept))] = classes[kept]
+    return Stream(out, at, at + 1 + inner, doc, stop)
+
+
+def windows(s: Stream) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(first word, mark before, mark after) of all units of one word, of two, and so on."""
+    stops = np.concatenate([[0], np.cumsum(s.stop)])
+    for w in range(WINDOW):
+        i = np.arange(max(len(s.at) - w, 0))
+        i = i[stops[i + w] == stops[i]]
+        yield i, s.at[i], s.after[i + w]
+
+
+def spelled_out(s: Stream) -> Iterator[tuple[int, bytes]]:
+    """(text, unit) of every run of ``SPELLED`` or more one-character words, joined."""
+    single = (s.after - s.at == 2).astype(np.int8)
+    edge = np.diff(np.concatenate([[0], single, [0]]))
+    for low, high in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
+        cuts = np.flatnonzero(np.diff(s.doc[low:high])) + 1
+        for run in np.split(np.arange(low, high), cuts):
+            if len(run) >= SPELLED:
+                yield int(s.doc[run[0]]), bytes([MARK, *s.classes[s.at[run] + 1].tolist(), MARK])
+
+
+def units_of(texts: Texts) -> Iterator[tuple[int, bytes]]:
+    """(text, unit) of all units; a unit is the string of its classes, marks included."""
+    s = stream(texts)
+    flat = s.classes.astype(np.uint8).tobytes()
+    for i, low, high in windows(s):
+        for doc, a, b in zip(s.doc[i].tolist(), low.tolist(), high.tolist(), strict=True):
+            yield doc, flat[a : b + 1]
+    yield from spelled_out(s)
 
 
 def norms(lengths: np.ndarray) -> np.ndarray:
@@ -99,63 +183,83 @@ def norms(lengths: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def triples(classes: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
-    """(triple at every position, weight) for one pair of gaps after the other. A triple that holds a
-    zero reaches past its unit and counts for nothing."""
+def triples(classes: np.ndarray) -> Iterator[tuple[np.ndarray, int, float]]:
+    """(triple at every position, its reach, weight) for one pair of gaps after the other."""
     n = len(classes)
     for a, b in GAPS:
         if n > a + b:
-            yield (classes[: n - a - b] * SIZE + classes[a : n - b]) * SIZE + classes[a + b :], DECAY ** (a + b + 1)
-
-
-def spans_values(data: np.ndarray, start: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Decision value of every unit ``data[start:end]``, without the bias. ``weights`` is 0 for
-    triples that hold a zero."""
-    classes, at, lengths = layout(data, start, end)
-    total = np.zeros(len(classes), dtype=np.float32)
-    for triple, weight in triples(classes):
-        total[: len(triple)] += np.float32(weight) * weights[triple]
-    return np.add.reduceat(total, at[:-1]) / norms(lengths) if len(start) else np.zeros(0)
-
-
-def as_spans(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = [u.encode("utf-8", "replace") for u in units]
-    sizes = np.array([len(r) + 1 for r in raw], dtype=np.int64)
-    end = np.cumsum(sizes) - 1
-    return np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8), end - sizes + 1, end
-
-
-def unit_values(units: list[str], weights: np.ndarray) -> np.ndarray:
-    return spans_values(*as_spans(units), weights)
-
-
-def feature_rows(units: list[str]) -> np.ndarray:
-    """Dense normalised features (units x SIZE**3), for the bounded training sample only."""
-    out = np.zeros((len(units), SIZE**3), dtype=np.float32)
-    classes, at, lengths = layout(*as_spans(units))
-    owner = np.repeat(np.arange(len(units)), np.diff(at))
-    for triple, weight in triples(classes):
-        np.add.at(out, (owner[: len(triple)], triple), weight)
-    out[:, ~REAL] = 0
-    return out / norms(lengths)[:, None].astype(np.float32)
-
-
-def spelled_out(words: list[str]) -> list[str]:
-    """Runs of four or more one-character words, joined."""
-    out, run = [], []
-    for w in [*words, "  "]:
-        if len(w) == 1:
-            run.append(w)
-        else:
-            if len(run) >= 4:
-                out.append("".join(run))
-            run = []
-    return out
+            yield (classes[: n - a - b] * SIZE + classes[a : n - b]) * SIZE + classes[a + b :], a + b, DECAY ** (a + b + 1)
+
+
+def window_values(s: Stream, weights: np.ndarray) -> np.ndarray:
+    """For every word the highest decision value, without the bias, of the units that start with it.
+    ``weights`` is 0 for triples that hold a zero. A unit's sum is that of the triples that start in it
+    less that of those which reach past its end, which depends on the end alone."""
+    part = {reach: np.zeros(len(s.classes)) for reach in range(2, SPAN)}
+    for triple, reach, weight in triples(s.classes):
+        part[reach][: len(triple)] += weight * weights[triple]
+    total = np.concatenate([[0.0], np.cumsum(sum(part.values()))])
+    over = np.zeros(len(s.at))
+    for reach, value in part.items():
+        for k in range(reach):
+            over += np.where(s.after >= k, value[s.after - k], 0)
+    best = np.full(len(s.at), NOTHING)
+    for w, (i, low, high) in enumerate(windows(s)):
+        value = total[high + 1] - total[low] - over[i + w]
+        if w == 0:  # a mark, one character, a mark: one triple
+            value = np.where(high - low == 2, part[2][low], value)
+        best[i] = np.maximum(best[i], value / norms(high - low + 1))
+    return best
 
 
-def units_of(sentence: str) -> list[str]:
-    words = sentence.split()
-    return words + spelled_out(words)
+def joined(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The units one after the other, zeros behind each, and where each starts (and the end)."""
+    at = np.cumsum([0] + [len(u) + PAD for u in units])
+    return np.frombuffer(b"".join(u + bytes(PAD) for u in units), dtype=np.uint8).astype(np.int32), at
+
+
+def unit_values(units: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """Decision value of every unit, without the bias."""
+    out = [np.zeros(0)]
+    for low in range(0, len(units), 20_000):
+        part = units[low : low + 20_000]
+        classes, at = joined(part)
+        total = np.zeros(len(classes))
+        for triple, _, weight in triples(classes):
+            total[: len(triple)] += weight * weights[triple]
+        out.append(np.add.reduceat(total, at[:-1]) / norms(np.diff(at) - PAD))
+    return np.concatenate(out)
+
+
+def triple_features(units: list[bytes], column: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum over a unit's triples of the rows of ``table`` (``column`` gives a triple's row), normalised."""
+    out = [np.zeros((0, table.shape[1]), dtype=np.float32)]
+    for low in range(0, len(units), 500):
+        classes, at = joined(units[low : low + 500])
+        total = np.zeros((len(classes), table.shape[1]), dtype=np.float32)
+        for triple, _, weight in triples(classes):
+            total[: len(triple)] += np.float32(weight) * table[column[triple]]
+        out.append(np.add.reduceat(total, at[:-1], axis=0) / norms(np.diff(at) - PAD)[:, None].astype(np.float32))
+    return np.vstack(out)
+
+
+def nystrom(marks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(column, codes, table): the rows of ``table`` are the weights that the triples of the landmarks,
+    ``codes``, have in each Nystrom feature; ``column`` gives every triple's row, the last one for all others."""
+    classes, at = joined(marks)
+    owner = np.repeat(np.arange(len(marks)), np.diff(at))
+    codes = np.unique(np.concatenate([t[REAL[t]] for t, _, _ in triples(classes)]))
+    column = np.full(SIZE**3, len(codes), dtype=np.int32)
+    column[codes] = np.arange(len(codes))
+    phi = np.zeros((len(marks), len(codes) + 1), dtype=np.float32)
+    for triple, _, weight in triples(classes):
+        np.add.at(phi, (owner[: len(triple)], column[triple]), weight)
+    phi[:, -1] = 0
+    phi /= norms(np.diff(at) - PAD)[:, None].astype(np.float32)
+    values, vectors = np.linalg.eigh((phi @ phi.T).astype(np.float64))
+    good = values > 1e-4 * values[-1]
+    whiten = vectors[:, good] / np.sqrt(values[good])
+    return column, codes, phi.T @ whiten.astype(np.float32)
 
 
 class Model(NamedTuple):
@@ -186,83 +290,77 @@ def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0,
     return w[:-1], w[-1]
 
 
-def insults(bags: list[tuple[int, list[str]]], clean: dict[str, int]) -> set[str]:
-    """Units that no clean text holds and that toxic texts hold in at least five contexts (and four
-    tenths of the root of the number of toxic texts), most of them different: copies of one text make
-    no word suspicious."""
-    around: dict[str, set] = {}
-    times: dict[str, int] = {}
-    for y, units in bags:
-        if y == 1:
-            for before, u, after in zip(["", *units], units, [*units[1:], ""], strict=False):
-                if u not in clean:
-                    around.setdefault(u, set()).add((before, after))
-                    times[u] = times.get(u, 0) + 1
-    least = max(5, 0.4 * sum(y == 1 for y, _ in bags) ** 0.5)
-    return {u for u, seen in around.items() if len(seen) >= max(least, times[u] // 2)}
+def seeds(positive: list[list[bytes]], clean: Counter) -> Counter:
+    """Number of contexts of the words that toxic texts hold and clean ones do not; a word whose places are mostly
+    copies of each other is left out. They stand for their texts in the first round only."""
+    around: dict[bytes, set[bytes]] = {}
+    held: Counter = Counter()
+    for units in positive:
+        for u in units:
+            cut = u.split(MARKED)
+            if len(cut) == 3:  # a word between two marks
+                held[u] += 1
+            elif len(cut) == 5:  # three words: a context of the one in the middle
+                around.setdefault(MARKED + cut[2] + MARKED, set()).add(u)
+    return Counter({u: len(seen) for u, seen in around.items() if u not in clean and len(seen) >= max(5, held[u] / 2)})
+
+
+def gapped(units: list[bytes], rng: np.random.Generator) -> list[bytes]:
+    """Virtual examples: each unit with a letter, and with a space, inserted at every place inside it."""
+    out = []
+    for u in units:
+        for k in range(2, len(u) - 1):
+            out += [u[:k] + bytes([c]) + u[k:] for c in (int(rng.integers(1, 27)), MARK)]
+    return out
 
 
-def train(bags: list[tuple[int, list[str]]], landmarks: int = LANDMARKS, seed: int = 7) -> Model | None:
+def train(bags: list[tuple[int, list[bytes]]], landmarks: int = LANDMARKS, seed: int = 7) -> Model | None:
     """Fit on (label, units of the text); None unless both labels occur."""
     positive = [sorted(set(u)) for y, u in bags if y == 1 and u]
-    negative = [u for y, u in bags if y == 0]
+    negative = [sorted(set(u)) for y, u in bags if y == 0]
     if not positive or not any(negative):
         return None
-    clean: dict[str, int] = {}
-    for u in negative:
-        for w in set(u):
-            clean[w] = clean.get(w, 0) + 1
-    held: dict[str, int] = {}
-    for u in positive:
-        for w in u:
-            held[w] = held.get(w, 0) + 1
-    sure = insults(bags, clean)
-    # Each of them also with a character inserted.
-    gapped = sorted({u[:k] + "xzq"[k % 3] + u[k:] for u in sure for k in range(1, len(u))} - set(clean))
-    odds = {w: (n + 0.1) / (clean.get(w, 0) + 1.0) for w, n in held.items()}
+    clean = Counter(u for units in negative for u in units)
+    held = Counter(u for units in positive for u in units)
+    odds = {u: (n + 0.1) / (clean.get(u, 0) + 1.0) for u, n in held.items()}
     rng = np.random.default_rng(seed)
-    suspects = sorted(odds, key=lambda w: (-odds[w], w))[: 2 * landmarks // 3]
-    common = sorted(clean, key=lambda w: (-clean[w], w))
-    picked = [common[i] for i in sorted(rng.choice(len(common), min(landmarks - len(suspects) + 100, len(common)), replace=False))]
-    marks = list(dict.fromkeys(suspects + picked))[: landmarks + 100]
-    phi = feature_rows(marks)
-    kernel = (phi @ phi.T).astype(np.float64)
-    values, vectors = np.linalg.eigh(kernel)
-    good = values > 1e-4 * values[-1]
-    whiten = vectors[:, good] / np.sqrt(values[good])
-    primal = (phi.T.astype(np.float64) @ whiten).astype(np.float32)  # triple weights of every Nystrom feature
-
-    def features(units: list[str]) -> np.ndarray:
-        return np.vstack([feature_rows(units[i : i + 500]) @ primal for i in range(0, len(units), 500)])
-
-    pool = common[:6000] + [common[i] for i in sorted(rng.choice(len(common), min(6000, len(common)), replace=False))]
-    pool = list(dict.fromkeys(pool))
+    suspects = sorted(odds, key=lambda u: (-odds[u], u))[: 2 * landmarks // 3]
+    common = sorted(clean, key=lambda u: (-clean[u], u))
+    some = lambda n: [common[i] for i in sorted(rng.choice(len(common), min(n, len(common)), replace=False))]
+    marks = list(dict.fromkeys(suspects + some(landmarks - len(suspects) + 100)))[: landmarks + 100]
+    column, codes, table = nystrom(marks)
+    features = lambda units: triple_features(units, column, table)
+
+    pool = list(dict.fromkeys(common[:6000] + some(6000)))
+    known = set(pool)
     x0 = features(pool)
     n0 = np.ones(len(pool))
-    witness = [max(u, key=lambda w: (odds[w], w)) for u in positive]
-    w = b = None
+    times = seeds(positive, clean) + Counter(max(u, key=lambda w: (odds[w], w)) for u in positive)
+    weights = np.zeros(SIZE**3, dtype=np.float32)
+    b = 0.0
     for _ in range(ROUNDS):
-        times = Counter(witness)
-        chosen = sorted(set(witness) | sure)
-        x1 = features(chosen + gapped)
-        counts = np.array([max(times[u], 3 * (u in sure)) for u in chosen] + [0.5] * len(gapped), dtype=float)
-        x = np.vstack([x1, x0])
-        y = np.array([1.0] * len(x1) + [-1.0] * len(pool))
-        w, b = linear_svm(x, y, np.concatenate([np.minimum(counts, 20) * 2, n0]))
-        weights = (primal @ w).astype(np.float32)
-        flat = [u for units in positive for u in units]
-        value = dict(zip(uniq := sorted(set(flat)), unit_values(uniq, weights), strict=True))
-        witness = [max(units, key=lambda u: (value[u], u)) for units in positive]
+        chosen = sorted(times)
+        virtual = sorted(set(gapped([u for u in chosen if times[u] >= OFTEN], rng)) - clean.keys())
+        x = np.vstack([features(chosen + virtual), x0])
+        y = np.array([1.0] * (len(chosen) + len(virtual)) + [-1.0] * len(pool))
+        counts = np.array([min(times[u], 20) * 2 for u in chosen] + [0.5] * len(virtual), dtype=float)
+        w, b = linear_svm(x, y, np.concatenate([counts, n0]))
+        weights[codes] = (table[:-1] @ w).astype(np.float32)
+        every = sorted(held)
+        value = dict(zip(every, unit_values(every, weights), strict=True))
+        times = Counter(max(units, key=lambda u: (value[u], u)) for units in positive)
+        times |= Counter({u: n for u, n in held.items() if n >= OFTEN and u not in clean and value[u] + b > 0})
         # The clean units the machine rates highest become negatives of the next round.
         rated = unit_values(common, weights)
         hard = [common[i] for i in np.argsort(-rated, kind="stable")[:1500]]
-        more = [u for u in hard if u not in set(pool)]
+        more = [u for u in hard if u not in known]
         if more:
             pool += more
+            known.update(more)
             x0, n0 = np.vstack([x0, features(more)]), np.concatenate([n0, np.full(len(more), 2.0)])
-    top = lambda units: max(unit_values(units, weights), default=NOTHING) if units else NOTHING
-    tp = np.array([top(u) for u in positive]) + b
-    tn = np.array([top(sorted(set(u))) for u in negative]) + b
+    value.update(zip(common, rated.tolist(), strict=True))
+    top = lambda bags: np.array([max((value[u] for u in units), default=NOTHING) for units in bags]) + b
+    tp, tn = top(positive), top(negative)
     cuts = np.unique(np.concatenate([tp, tn]))
     cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
     # A clean text called toxic counts three times: clean texts are far more common.
@@ -287,8 +385,8 @@ def training_bags(
     found = texts.select("_k", "_y", "r.*").collect()  # at most 2 * per_class rows
     bags = []
     for r in sorted(found, key=lambda r: (r["_y"], r["_k"], r["_h"])):
-        sentences = r["_t"].replace("!", ".").replace("?", ".").replace("\n", ".").split(". ")
-        bags.append((r["_y"], [u for s in sentences for u in units_of(s)]))
+        data = np.frombuffer(r["_t"].encode("utf-8", "replace"), dtype=np.uint8)
+        bags.append((r["_y"], [u for _, u in units_of(Texts(data, np.array([0, len(data)])))]))
     return bags
 
 
@@ -300,18 +398,13 @@ def fold(key):
 def best_values(texts: Texts, weights: np.ndarray) -> np.ndarray:
     """Per row of a slice, the value of its highest-scoring unit."""
     best = np.full(texts.rows, NOTHING)
-    if not len(texts.start):
+    s = stream(texts)
+    if not len(s.at):
         return best
-    value = spans_values(texts.data, texts.start, texts.end, weights)
-    full = np.flatnonzero(np.diff(texts.first))
-    best[full] = np.maximum.reduceat(value, texts.first[full])
-    # Words spelled out with spaces: four or more one-byte words in a row.
-    single = texts.end - texts.start == 1
-    run = np.flatnonzero(single[:-3] & single[1:-2] & single[2:-1] & single[3:])
-    for row in np.unique(texts.doc[run]):
-        words = texts.data[texts.offsets[row] : texts.offsets[row + 1]].tobytes().decode("utf-8", "replace").split()
-        if joined := spelled_out(words):
-            best[row] = max(best[row], unit_values(joined, weights).max())
+    first = np.flatnonzero(np.concatenate([[True], s.doc[1:] != s.doc[:-1]]))
+    best[s.doc[first]] = np.maximum.reduceat(window_values(s, weights), first)
+    spelled = list(spelled_out(s))
+    np.maximum.at(best, [doc for doc, _ in spelled], unit_values([u for _, u in spelled], weights))
     return best
 
 
