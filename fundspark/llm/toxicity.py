@@ -30,8 +30,8 @@ predicted toxic; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import Texts, slices
+from .words import BYTE_BASE, Texts, slices, spans_hash
 
 DECAY, SPAN = 0.6, 5
 MARK = 34  # class of the space that bounds words; 0 is no character
@@ -55,6 +55,7 @@ SAMPLE_PER_CLASS = 1500  # bound of the training sample, in rows
 SAMPLE_CHARS = 20_000  # training rows are taken from texts of at most so many characters
 ROUNDS = 4
 OFTEN = 5  # toxic texts of a unit that stands for them beside their highest-scoring one
+PART_BYTES = 1 << 17  # training texts handled at a time
 NOTHING = -10.0  # decision value of a text without units
 PAD = SPAN - 1
 GAPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN]
@@ -165,14 +166,43 @@ def spelled_out(s: Stream) -> Iterator[tuple[int, bytes]]:
                 yield int(s.doc[run[0]]), bytes([MARK, *s.classes[s.at[run] + 1].tolist(), MARK])
 
 
-def units_of(texts: Texts) -> Iterator[tuple[int, bytes]]:
-    """(text, unit) of all units; a unit is the string of its classes, marks included."""
-    s = stream(texts)
-    flat = s.classes.astype(np.uint8).tobytes()
-    for i, low, high in windows(s):
-        for doc, a, b in zip(s.doc[i].tolist(), low.tolist(), high.tolist(), strict=True):
-            yield doc, flat[a : b + 1]
-    yield from spelled_out(s)
+class Part(NamedTuple):
+    """Units of some training texts: spans of one row of classes, marks included. The first units are the words."""
+
+    classes: np.ndarray
+    low: np.ndarray
+    high: np.ndarray  # the last mark
+    bag: np.ndarray  # number of the text
+    key: np.ndarray  # hash of the classes
+    around: np.ndarray  # units of three words
+    middle: np.ndarray  # and the word in the middle of each
+
+    def unit(self, i: int) -> bytes:
+        return self.classes[self.low[i] : self.high[i] + 1].tobytes()
+
+
+def parts_of(texts: list[str]) -> Iterator[Part]:
+    """All units of the texts, as scoring sees them."""
+    column = pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_binary())
+    for first, _, part in slices(column, most=PART_BYTES):
+        s = stream(part)
+        found = list(windows(s))
+        classes = s.classes.astype(np.uint8)
+        spelled = list(spelled_out(s))
+        after = len(classes) + np.cumsum([0] + [len(u) for _, u in spelled])
+        low = np.concatenate([a for _, a, _ in found] + [after[:-1]])
+        high = np.concatenate([b for _, _, b in found] + [after[1:] - 1])
+        bag = np.concatenate([s.doc[i] for i, _, _ in found] + [np.array([d for d, _ in spelled], dtype=np.int64)])
+        classes = np.concatenate([classes, np.frombuffer(b"".join(u for _, u in spelled), dtype=np.uint8)])
+        key = keys(classes, low, high)
+        threes = found[2][0] if WINDOW > 2 else np.zeros(0, dtype=np.int64)
+        before = sum(len(i) for i, _, _ in found[:2])
+        small = [x.astype(np.int32) for x in (low, high, bag + first)]
+        yield Part(classes, *small, key, (before + np.arange(len(threes))).astype(np.int32), (threes + 1).astype(np.int32))
+
+
+def keys(classes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return spans_hash(classes.astype(np.uint64) + np.uint64(1), low, high + 1, BYTE_BASE)
 
 
 def norms(lengths: np.ndarray) -> np.ndarray:
@@ -191,24 +221,43 @@ def triples(classes: np.ndarray) -> Iterator[tuple[np.ndarray, int, float]]:
             yield (classes[: n - a - b] * SIZE + classes[a : n - b]) * SIZE + classes[a + b :], a + b, DECAY ** (a + b + 1)
 
 
-def window_values(s: Stream, weights: np.ndarray) -> np.ndarray:
-    """For every word the highest decision value, without the bias, of the units that start with it.
-    ``weights`` is 0 for triples that hold a zero. A unit's sum is that of the triples that start in it
-    less that of those which reach past its end, which depends on the end alone."""
-    part = {reach: np.zeros(len(s.classes)) for reach in range(2, SPAN)}
-    for triple, reach, weight in triples(s.classes):
+class Sums(NamedTuple):
+    """Weighted triples by the position they start at: ``part`` by their reach, ``total`` running over all."""
+
+    part: dict[int, np.ndarray]
+    total: np.ndarray
+
+    def past(self, end: np.ndarray) -> np.ndarray:
+        """Sum of the triples that start at or before ``end`` and reach past it."""
+        over = np.zeros(len(end))
+        for reach, value in self.part.items():
+            for k in range(reach):
+                over += np.where(end >= k, value[end - k], 0)
+        return over
+
+    def values(self, low: np.ndarray, high: np.ndarray, over: np.ndarray) -> np.ndarray:
+        """Decision value, without the bias, of the units from the mark ``low`` to the mark ``high``: the triples
+        that start in it less ``over``, those of them that reach past its end, which depends on the end alone."""
+        value = self.total[high + 1] - self.total[low] - over
+        # A mark, one character, a mark: one triple.
+        return np.where(high - low == 2, self.part[2][low], value) / norms(high - low + 1)
+
+
+def sums(classes: np.ndarray, weights: np.ndarray) -> Sums:
+    """``weights`` is 0 for triples that hold a zero."""
+    part = {reach: np.zeros(len(classes)) for reach in range(2, SPAN)}
+    for triple, reach, weight in triples(classes):
         part[reach][: len(triple)] += weight * weights[triple]
-    total = np.concatenate([[0.0], np.cumsum(sum(part.values()))])
-    over = np.zeros(len(s.at))
-    for reach, value in part.items():
-        for k in range(reach):
-            over += np.where(s.after >= k, value[s.after - k], 0)
+    return Sums(part, np.concatenate([[0.0], np.cumsum(sum(part.values()))]))
+
+
+def window_values(s: Stream, weights: np.ndarray) -> np.ndarray:
+    """For every word the highest decision value, without the bias, of the units that start with it."""
+    known = sums(s.classes, weights)
+    over = known.past(s.after)
     best = np.full(len(s.at), NOTHING)
     for w, (i, low, high) in enumerate(windows(s)):
-        value = total[high + 1] - total[low] - over[i + w]
-        if w == 0:  # a mark, one character, a mark: one triple
-            value = np.where(high - low == 2, part[2][low], value)
-        best[i] = np.maximum(best[i], value / norms(high - low + 1))
+        best[i] = np.maximum(best[i], known.values(low, high, over[i + w]))
     return best
 
 
@@ -234,8 +283,8 @@ def unit_values(units: list[bytes], weights: np.ndarray) -> np.ndarray:
 def triple_features(units: list[bytes], column: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Sum over a unit's triples of the rows of ``table`` (``column`` gives a triple's row), normalised."""
     out = [np.zeros((0, table.shape[1]), dtype=np.float32)]
-    for low in range(0, len(units), 500):
-        classes, at = joined(units[low : low + 500])
+    for low in range(0, len(units), 100):
+        classes, at = joined(units[low : low + 100])
         total = np.zeros((len(classes), table.shape[1]), dtype=np.float32)
         for triple, _, weight in triples(classes):
             total[: len(triple)] += np.float32(weight) * table[column[triple]]
@@ -273,14 +322,20 @@ def score(value: np.ndarray, middle: float, slope: float) -> np.ndarray:
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0, steps: int = 30) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss by Newton steps on the rows inside the margin."""
-    x1 = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
-    w = np.zeros(x1.shape[1])
-    loss = lambda w: w @ w / 2 + c * (weight * np.maximum(0, 1 - y * (x1 @ w)) ** 2).sum()
+    """Linear SVM with squared hinge loss by Newton steps on the rows inside the margin, summed a block of rows at a time."""
+    w = np.zeros(x.shape[1] + 1)
+    value = lambda w: x @ w[:-1].astype(x.dtype) + w[-1]
+    loss = lambda w: w @ w / 2 + c * (weight * np.maximum(0, 1 - y * value(w)) ** 2).sum()
     for _ in range(steps):
-        inside = y * (x1 @ w) < 1
-        xs, scale = x1[inside], 2 * c * weight[inside]
-        goal = np.linalg.solve(np.eye(len(w)) + (xs * scale[:, None]).T @ xs, xs.T @ (scale * y[inside]))
+        inside = np.flatnonzero(y * value(w) < 1)
+        square, side = np.eye(len(w)), np.zeros(len(w))
+        for low in range(0, len(inside), 1000):
+            some = inside[low : low + 1000]
+            xs = np.hstack([x[some], np.ones((len(some), 1))]).astype(np.float64)
+            scale = 2 * c * weight[some]
+            square += (xs * scale[:, None]).T @ xs
+            side += xs.T @ (scale * y[some])
+        goal = np.linalg.solve(square, side)
         move, before = 1.0, loss(w)
         while move > 1e-3 and loss(w + move * (goal - w)) >= before:
             move /= 2
@@ -290,21 +345,6 @@ def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0,
     return w[:-1], w[-1]
 
 
-def seeds(positive: list[list[bytes]], clean: Counter) -> Counter:
-    """Number of contexts of the words that toxic texts hold and clean ones do not; a word whose places are mostly
-    copies of each other is left out. They stand for their texts in the first round only."""
-    around: dict[bytes, set[bytes]] = {}
-    held: Counter = Counter()
-    for units in positive:
-        for u in units:
-            cut = u.split(MARKED)
-            if len(cut) == 3:  # a word between two marks
-                held[u] += 1
-            elif len(cut) == 5:  # three words: a context of the one in the middle
-                around.setdefault(MARKED + cut[2] + MARKED, set()).add(u)
-    return Counter({u: len(seen) for u, seen in around.items() if u not in clean and len(seen) >= max(5, held[u] / 2)})
-
-
 def gapped(units: list[bytes], rng: np.random.Generator) -> list[bytes]:
     """Virtual examples: each unit with a letter, and with a space, inserted at every place inside it."""
     out = []
@@ -314,53 +354,119 @@ def gapped(units: list[bytes], rng: np.random.Generator) -> list[bytes]:
     return out
 
 
-def train(bags: list[tuple[int, list[bytes]]], landmarks: int = LANDMARKS, seed: int = 7) -> Model | None:
-    """Fit on (label, units of the text); None unless both labels occur."""
-    positive = [sorted(set(u)) for y, u in bags if y == 1 and u]
-    negative = [sorted(set(u)) for y, u in bags if y == 0]
-    if not positive or not any(negative):
+def keys_of(units: list[bytes]) -> np.ndarray:
+    classes, at = joined(units)
+    return keys(classes, at[:-1], at[1:] - PAD - 1)
+
+
+class Sample:
+    """Every different unit of the training texts, by number: kept as spans, not as strings, for there are
+    several hundred of them in a text."""
+
+    def __init__(self, bags: list[tuple[int, str]]):
+        self.label = np.array([y for y, _ in bags], dtype=np.int8)
+        self.parts, found = [], []
+        for part in parts_of([t for _, t in bags]):
+            found.append(part.key)
+            self.parts.append(part._replace(key=None))
+        self.keys = np.unique(np.concatenate([*found, np.zeros(0, dtype=np.uint64)]))
+        self.ids = [np.searchsorted(self.keys, key).astype(np.int32) for key in found]
+        del found
+        # Where a unit stands first, and each unit of a text once, by text; no text is in two parts.
+        n = len(self.keys)
+        self.part, self.at = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
+        bag, unit = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int32)]
+        for k in range(len(self.parts) - 1, -1, -1):
+            first, at = np.unique(self.ids[k], return_index=True)
+            self.part[first], self.at[first] = k, at
+        for p, ids in zip(self.parts, self.ids, strict=True):
+            own = np.unique(p.bag.astype(np.int64) * n + ids)
+            bag.append((own // n).astype(np.int32))
+            unit.append((own % n).astype(np.int32))
+        self.bag, self.unit = np.concatenate(bag), np.concatenate(unit)
+        toxic = self.label[self.bag] == 1
+        self.held = np.bincount(self.unit[toxic], minlength=n)  # toxic texts of every unit
+        self.clean = np.bincount(self.unit[~toxic], minlength=n)
+        self.bag1, self.unit1 = self.bag[toxic], self.unit[toxic]
+
+    def units(self, numbers: np.ndarray) -> list[bytes]:
+        return [self.parts[p].unit(i) for p, i in zip(self.part[numbers], self.at[numbers], strict=True)]
+
+    def values(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.keys))
+        for p, ids in zip(self.parts, self.ids, strict=True):
+            known = sums(p.classes.astype(np.int32), weights)
+            out[ids] = known.values(p.low, p.high, known.past(p.high))
+        return out
+
+    def witnesses(self, value: np.ndarray) -> np.ndarray:
+        """How many toxic texts every unit stands for: of each, the unit of the highest value."""
+        order = np.lexsort((self.unit1, -value[self.unit1], self.bag1))
+        top = np.diff(self.bag1[order], prepend=-1) > 0
+        return np.bincount(self.unit1[order][top], minlength=len(self.keys))
+
+    def seeds(self) -> np.ndarray:
+        """Number of contexts of the words that several toxic texts hold and clean ones do not, 0 for others and for
+        words whose places are mostly copies of each other. They stand for their texts in the first round only."""
+        n = len(self.keys)
+        pairs = [
+            (ids[p.middle].astype(np.int64) * n + ids[p.around])[self.label[p.bag[p.around]] == 1]
+            for p, ids in zip(self.parts, self.ids, strict=True)
+        ]
+        seen = np.bincount(np.unique(np.concatenate(pairs)) // n, minlength=n)
+        return np.where((self.clean == 0) & (seen >= np.maximum(OFTEN, self.held / 2)), seen, 0)
+
+    def highest(self, value: np.ndarray) -> np.ndarray:
+        top = np.full(len(self.label), NOTHING)
+        np.maximum.at(top, self.bag, value[self.unit])
+        return top
+
+
+def train(bags: list[tuple[int, str]], landmarks: int = LANDMARKS, seed: int = 7) -> Model | None:
+    """Fit on (label, text); None unless texts of both labels hold units."""
+    sample = Sample(bags)
+    held, clean = sample.held, sample.clean
+    if not held.any() or not clean.any():
         return None
-    clean = Counter(u for units in negative for u in units)
-    held = Counter(u for units in positive for u in units)
-    odds = {u: (n + 0.1) / (clean.get(u, 0) + 1.0) for u, n in held.items()}
     rng = np.random.default_rng(seed)
-    suspects = sorted(odds, key=lambda u: (-odds[u], u))[: 2 * landmarks // 3]
-    common = sorted(clean, key=lambda u: (-clean[u], u))
-    some = lambda n: [common[i] for i in sorted(rng.choice(len(common), min(n, len(common)), replace=False))]
-    marks = list(dict.fromkeys(suspects + some(landmarks - len(suspects) + 100)))[: landmarks + 100]
-    column, codes, table = nystrom(marks)
+    odds = (held + 0.1) / (clean + 1.0)
+    ranked = lambda value, numbers: numbers[np.argsort(-value[numbers], kind="stable")]
+    suspects = ranked(odds, np.flatnonzero(held))[: 2 * landmarks // 3]
+    common = ranked(clean, np.flatnonzero(clean))
+    some = lambda n: common[np.sort(rng.choice(len(common), min(n, len(common)), replace=False))]
+    distinct = lambda numbers: np.array(list(dict.fromkeys(numbers.tolist())), dtype=np.int64)
+    marks = distinct(np.concatenate([suspects, some(landmarks - len(suspects) + 100)]))[: landmarks + 100]
+    column, codes, table = nystrom(sample.units(marks))
     features = lambda units: triple_features(units, column, table)
 
-    pool = list(dict.fromkeys(common[:6000] + some(6000)))
-    known = set(pool)
-    x0 = features(pool)
-    n0 = np.ones(len(pool))
-    times = seeds(positive, clean) + Counter(max(u, key=lambda w: (odds[w], w)) for u in positive)
-    weights = np.zeros(SIZE**3, dtype=np.float32)
-    b = 0.0
+    pool = distinct(np.concatenate([common[:6000], some(6000)]))
+    known = np.zeros(len(clean), dtype=bool)
+    known[pool] = True
+    x0, n0 = features(sample.units(pool)), np.ones(len(pool))
+    times = sample.seeds() + sample.witnesses(odds)
+    weights, value, b = np.zeros(SIZE**3, dtype=np.float32), odds, 0.0
     for _ in range(ROUNDS):
-        chosen = sorted(times)
-        virtual = sorted(set(gapped([u for u in chosen if times[u] >= OFTEN], rng)) - clean.keys())
-        x = np.vstack([features(chosen + virtual), x0])
-        y = np.array([1.0] * (len(chosen) + len(virtual)) + [-1.0] * len(pool))
-        counts = np.array([min(times[u], 20) * 2 for u in chosen] + [0.5] * len(virtual), dtype=float)
+        chosen = np.flatnonzero(times)
+        virtual = sorted(set(gapped(sample.units(np.flatnonzero(times >= OFTEN)), rng)))
+        if virtual:
+            plain = np.isin(keys_of(virtual), sample.keys[clean > 0])
+            virtual = [u for u, seen in zip(virtual, plain, strict=True) if not seen]
+        x = np.vstack([features(sample.units(chosen) + virtual), x0])
+        y = np.array([1.0] * (len(chosen) + len(virtual)) + [-1.0] * len(x0))
+        counts = np.concatenate([np.minimum(times[chosen], 20) * 2.0, np.full(len(virtual), 0.5)])
         w, b = linear_svm(x, y, np.concatenate([counts, n0]))
         weights[codes] = (table[:-1] @ w).astype(np.float32)
-        every = sorted(held)
-        value = dict(zip(every, unit_values(every, weights), strict=True))
-        times = Counter(max(units, key=lambda u: (value[u], u)) for units in positive)
-        times |= Counter({u: n for u, n in held.items() if n >= OFTEN and u not in clean and value[u] + b > 0})
+        value = sample.values(weights)
+        sure = (held >= OFTEN) & (clean == 0) & (value + b > 0)
+        times = np.maximum(sample.witnesses(value), np.where(sure, held, 0))
         # The clean units the machine rates highest become negatives of the next round.
-        rated = unit_values(common, weights)
-        hard = [common[i] for i in np.argsort(-rated, kind="stable")[:1500]]
-        more = [u for u in hard if u not in known]
-        if more:
-            pool += more
-            known.update(more)
-            x0, n0 = np.vstack([x0, features(more)]), np.concatenate([n0, np.full(len(more), 2.0)])
-    value.update(zip(common, rated.tolist(), strict=True))
-    top = lambda bags: np.array([max((value[u] for u in units), default=NOTHING) for units in bags]) + b
-    tp, tn = top(positive), top(negative)
+        more = ranked(value, common)[:1500]
+        more = more[~known[more]]
+        if len(more):
+            known[more] = True
+            x0, n0 = np.vstack([x0, features(sample.units(more))]), np.concatenate([n0, np.full(len(more), 2.0)])
+    top = sample.highest(value) + b
+    tp, tn = top[(sample.label == 1) & (top > NOTHING + b)], top[sample.label == 0]
     cuts = np.unique(np.concatenate([tp, tn]))
     cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
     # A clean text called toxic counts three times: clean texts are far more common.
@@ -383,11 +489,7 @@ def training_bags(
     chosen = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where(F.length("_t") <= SAMPLE_CHARS)
     texts = chosen.join(F.broadcast(ids), "_k").groupBy("_k", "_y").agg(F.min(F.struct(F.xxhash64("_t").alias("_h"), "_t")).alias("r"))
     found = texts.select("_k", "_y", "r.*").collect()  # at most 2 * per_class rows
-    bags = []
-    for r in sorted(found, key=lambda r: (r["_y"], r["_k"], r["_h"])):
-        data = np.frombuffer(r["_t"].encode("utf-8", "replace"), dtype=np.uint8)
-        bags.append((r["_y"], [u for _, u in units_of(Texts(data, np.array([0, len(data)])))]))
-    return bags
+    return [(r["_y"], r["_t"]) for r in sorted(found, key=lambda r: (r["_y"], r["_k"], r["_h"]))]
 
 
 def fold(key):

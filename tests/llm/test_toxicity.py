@@ -74,8 +74,13 @@ def test_units_and_values_match_their_definition():
     weights = rng.standard_normal(toxicity.SIZE**3).astype(np.float32) * toxicity.REAL
     texts = texts_of(TEXTS)
     found = [[] for _ in TEXTS]
-    for doc, unit in toxicity.units_of(texts):
-        found[doc].append(unit)
+    for part in toxicity.parts_of(TEXTS):
+        assert [part.unit(a).split(MARKED)[2] for a in part.around] == [part.unit(m)[1:-1] for m in part.middle]
+        for i, doc in enumerate(part.bag):
+            found[doc].append(part.unit(i))
+    sample = toxicity.Sample([(k % 2, t) for k, t in enumerate(TEXTS)])
+    values = sample.values(weights)
+    assert np.allclose(values, toxicity.unit_values(sample.units(np.arange(len(values))), weights), atol=1e-4)
     best = toxicity.best_values(texts, weights)
     for text, units, value in zip(TEXTS, found, best, strict=True):
         want = direct_units(text)
@@ -101,10 +106,7 @@ def test_features_are_the_kernel_against_landmarks():
 
 
 def bags_of(texts, label):
-    out = [[] for _ in texts]
-    for doc, unit in toxicity.units_of(texts_of(texts)):
-        out[doc].append(unit)
-    return [(label, units) for units in out]
+    return [(label, text) for text in texts]
 
 
 def made_texts(rng, n, insert=None):
