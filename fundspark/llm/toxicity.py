@@ -475,9 +475,7 @@ def train(bags: list[tuple[int, str]], landmarks: int = LANDMARKS, seed: int = 7
     return Model(weights, float(middle - b))
 
 
-def training_bags(
-    docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, held_out, per_class: int
-) -> list[tuple[int, list[str]]]:
+def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, held_out, per_class: int) -> DataFrame:
     """A bounded sample of labelled texts: the ``per_class`` keys of each label with the smallest
     hash, outside the held-out fold, and one text of each (of a repeated key the one of the smallest hash)."""
     rows = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).where("_k is not null").distinct()
@@ -488,8 +486,21 @@ def training_bags(
         ids = part if ids is None else ids.unionByName(part)
     chosen = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where(F.length("_t") <= SAMPLE_CHARS)
     texts = chosen.join(F.broadcast(ids), "_k").groupBy("_k", "_y").agg(F.min(F.struct(F.xxhash64("_t").alias("_h"), "_t")).alias("r"))
-    found = texts.select("_k", "_y", "r.*").collect()  # at most 2 * per_class rows
-    return [(r["_y"], r["_t"]) for r in sorted(found, key=lambda r: (r["_y"], r["_k"], r["_h"]))]
+    return texts.select("_y", F.xxhash64("_k").alias("_o"), "r._h", "r._t")
+
+
+def fit(rows: DataFrame) -> Model | None:
+    """Train on the sample (``training_rows``, at most twice ``per_class`` of them) in one task, so that the driver holds
+    the weights only; a lost executor costs another run of that task."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted(tuple(r.values()) for batch in batches for r in batch.to_pylist())
+        if model := train([(y, t) for y, _, _, t in found]):
+            cells = [[model.weights.tobytes()], [model.middle], [model.slope]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["weights", "middle", "slope"])
+
+    learned = rows.repartition(1).mapInArrow(learn, "weights binary, middle double, slope double").collect()
+    return Model(np.frombuffer(learned[0][0], dtype=np.float32), learned[0][1], learned[0][2]) if learned else None
 
 
 def fold(key):
@@ -534,7 +545,7 @@ def toxicity(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = SAMPLE_PER_CLASS
 ) -> DataFrame:
     """Key, held_out, score, predicted of every row."""
-    model = train(training_bags(docs, labels, key, text, label, fold, per_class))
+    model = fit(training_rows(docs, labels, key, text, label, fold, per_class))
     scored = score_texts(docs, model, key, text)
     return scored.select(
         key, fold(F.col(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")

@@ -520,7 +520,7 @@ def test_training_sample_is_bounded_by_rows(spark):
     docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "x"), (3, "y")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
     never = lambda key: F.lit(False)
-    assert len(toxicity.training_bags(docs, labels, "doc_id", "text", "toxic", never, 10)) == 3
+    assert len(toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", never, 10).collect()) == 3
 
 
 def test_links_of_near_copies_move_each_vector_once(spark):
