@@ -244,7 +244,7 @@ def q_aum_rows_per_fy(spark, sf_dir):
 
 _KPI_ROWS_SQL = (
     "SELECT scheme_code, start_date, end_date, data_points, "
-    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in KPI_DOUBLES)
+    + ", ".join(f"(ROUND({c}, 6) + CAST(0 AS DOUBLE)) AS {c}" for c in KPI_DOUBLES)
     + ", CASE WHEN volatility > 0.25 THEN 'High' WHEN volatility > 0.15 THEN 'Medium' ELSE 'Low' END AS risk_level FROM kpis"
 )
 
@@ -281,10 +281,10 @@ def _report(spark, sf_dir, part):
     "fund_report_kpis",
     f"""WITH {KPI_SQL}, info AS ({S.FUND_INFO_SQL})
     SELECT scheme_code, i.scheme_name AS fund_name, i.amc_name, i.scheme_category AS category,
-           CAST(start_date AS VARCHAR) || ' to ' || CAST(end_date AS VARCHAR) AS analysis_period, ROUND(years, 6) AS duration_years,
-           ROUND(total_return_pct, 6) AS total_return_pct, ROUND(cagr * 100, 6) AS cagr_pct, ROUND(volatility * 100, 6) AS volatility_pct,
-           ROUND(sharpe_ratio, 6) AS sharpe_ratio, ROUND(max_drawdown * 100, 6) AS max_drawdown_pct, ROUND(start_nav, 6) AS start_nav,
-           ROUND(end_nav, 6) AS end_nav, ROUND(growth_multiple, 6) AS growth_multiple, data_points
+           CAST(start_date AS VARCHAR) || ' to ' || CAST(end_date AS VARCHAR) AS analysis_period, (ROUND(years, 6) + CAST(0 AS DOUBLE)) AS duration_years,
+           (ROUND(total_return_pct, 6) + CAST(0 AS DOUBLE)) AS total_return_pct, (ROUND(cagr * 100, 6) + CAST(0 AS DOUBLE)) AS cagr_pct, (ROUND(volatility * 100, 6) + CAST(0 AS DOUBLE)) AS volatility_pct,
+           (ROUND(sharpe_ratio, 6) + CAST(0 AS DOUBLE)) AS sharpe_ratio, (ROUND(max_drawdown * 100, 6) + CAST(0 AS DOUBLE)) AS max_drawdown_pct, (ROUND(start_nav, 6) + CAST(0 AS DOUBLE)) AS start_nav,
+           (ROUND(end_nav, 6) + CAST(0 AS DOUBLE)) AS end_nav, (ROUND(growth_multiple, 6) + CAST(0 AS DOUBLE)) AS growth_multiple, data_points
     FROM kpis JOIN info i USING (scheme_code)""",
 )
 def q_fund_report_kpis(spark, sf_dir):
@@ -298,7 +298,7 @@ def q_fund_report_kpis(spark, sf_dir):
 @register(
     "fund_report_series",
     f"""WITH d AS ({S.DAILY_SQL})
-    SELECT scheme_code, date, nav, ROUND(nav / LAG(nav) OVER (PARTITION BY scheme_code ORDER BY date) - 1, 6) AS nav_change_pct,
+    SELECT scheme_code, date, nav, (ROUND(nav / LAG(nav) OVER (PARTITION BY scheme_code ORDER BY date) - 1, 6) + CAST(0 AS DOUBLE)) AS nav_change_pct,
            CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM d""",
 )
 def q_fund_report_series(spark, sf_dir):
@@ -461,7 +461,7 @@ def q_metadata_csv_load(spark, sf_dir):
 
 @register(
     "parquet_sources",
-    """SELECT year(o_orderdate) AS y, source, COUNT(*) AS orders, ROUND(SUM(o_totalprice), 2) AS total
+    """SELECT year(o_orderdate) AS y, source, COUNT(*) AS orders, (ROUND(SUM(o_totalprice), 2) + CAST(0 AS DOUBLE)) AS total
        FROM orders, (VALUES ('glob'), ('sql')) s(source) GROUP BY ALL""",
 )
 def q_parquet_sources(spark, sf_dir):

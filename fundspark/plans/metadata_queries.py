@@ -124,7 +124,7 @@ _TWELVE = [
           FROM lineitem GROUP BY 1, 2),
     r AS (SELECT *, ln(nav / LAG(nav) OVER (PARTITION BY scheme_code ORDER BY date)) AS log_return FROM d)
     SELECT {', '.join('m.' + c for c in _TWELVE)}, make_date(CAST(year(date) AS INTEGER), 12, 31) AS date,
-           ROUND(COALESCE(SUM(log_return), 0), 6) AS log_return
+           (ROUND(COALESCE(SUM(log_return), 0), 6) + CAST(0 AS DOUBLE)) AS log_return
     FROM r JOIN meta m USING (scheme_code) WHERE m.scheme_category_level1 = 'Equity Scheme' AND m.is_direct GROUP BY ALL""",
 )
 def q_annual_log_returns_all_keys(spark, sf_dir):
@@ -184,7 +184,7 @@ def q_combined_table(spark, sf_dir):
     m AS (SELECT s_suppkey AS scheme_code, make_date(1990 + s_nationkey, 1, 1) AS launch_date, s_acctbal AS minimum_amount FROM supplier),
     e AS (SELECT d.*, info.scheme_name, info.scheme_category, info.amc_name FROM d JOIN info USING (scheme_code))
     SELECT e.*, m.launch_date, m.minimum_amount,
-           ROUND(nav / LAG(nav) OVER (PARTITION BY e.scheme_code ORDER BY date) - 1, 6) AS nav_change_pct,
+           (ROUND(nav / LAG(nav) OVER (PARTITION BY e.scheme_code ORDER BY date) - 1, 6) + CAST(0 AS DOUBLE)) AS nav_change_pct,
            CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
     FROM e LEFT JOIN m USING (scheme_code)""",
 )
@@ -247,7 +247,7 @@ def q_nav_metadata_merge(spark, sf_dir):
     f"""WITH {S.PART_METADATA_SQL}, {_MERGED_NAV_SQL}, {_MERGED_META_SQL},
     j AS (SELECT {_MERGED_OUT} FROM nav LEFT JOIN chosen c ON nav.scheme_code = c.scheme_code)
     SELECT isin_growth_x AS isin_growth_nav, scheme_code IS NULL AS no_key, isin_growth_y IS NULL AS no_match, scheme_type,
-           COUNT(*) AS "rows", COUNT(isin_dividend_y) AS dividends, ROUND(SUM(nav) + CAST(0 AS DOUBLE), 2) AS total
+           COUNT(*) AS "rows", COUNT(isin_dividend_y) AS dividends, (ROUND(SUM(nav) + CAST(0 AS DOUBLE), 2) + CAST(0 AS DOUBLE)) AS total
     FROM j GROUP BY ALL""",
 )
 def q_nav_metadata_left_merge(spark, sf_dir):

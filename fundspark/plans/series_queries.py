@@ -43,8 +43,8 @@ _RETURNS_SQL = f"""{_GAPPY_SQL},
 
 @register(
     "period_returns",
-    f"WITH {_RETURNS_SQL} SELECT scheme_code, date, nav, ROUND(perc_return, 6) AS perc_return, "
-    "ROUND(log_return, 6) AS log_return FROM rl",
+    f"WITH {_RETURNS_SQL} SELECT scheme_code, date, nav, (ROUND(perc_return, 6) + CAST(0 AS DOUBLE)) AS perc_return, "
+    "(ROUND(log_return, 6) + CAST(0 AS DOUBLE)) AS log_return FROM rl",
 )
 def q_period_returns(spark, sf_dir):
     return r6(T.period_returns(_gappy(spark, sf_dir)), ["perc_return", "log_return"])
@@ -54,7 +54,7 @@ def q_period_returns(spark, sf_dir):
     "annual_log_returns",
     f"""WITH {_RETURNS_SQL}
     SELECT scheme_code, make_date(CAST(year(date) AS INTEGER), 12, 31) AS date,
-           ROUND(COALESCE(SUM(log_return), 0), 6) AS log_return
+           (ROUND(COALESCE(SUM(log_return), 0), 6) + CAST(0 AS DOUBLE)) AS log_return
     FROM rl GROUP BY 1, 2""",
 )
 def q_annual_log_returns(spark, sf_dir):
@@ -64,7 +64,7 @@ def q_annual_log_returns(spark, sf_dir):
 @register(
     "drawdown_series",
     f"""WITH d AS ({S.DAILY_SQL}), m AS (SELECT *, MAX(nav) OVER {_RUN} AS cumulative_max FROM d)
-    SELECT scheme_code, date, nav, cumulative_max, ROUND(nav / cumulative_max - 1, 6) AS drawdown FROM m""",
+    SELECT scheme_code, date, nav, cumulative_max, (ROUND(nav / cumulative_max - 1, 6) + CAST(0 AS DOUBLE)) AS drawdown FROM m""",
 )
 def q_drawdown_series(spark, sf_dir):
     return r6(T.drawdown_series(S.daily(spark, sf_dir)), ["drawdown"])
@@ -73,7 +73,7 @@ def q_drawdown_series(spark, sf_dir):
 @register(
     "rolling_return_252",
     f"""WITH d AS ({S.DAILY_SQL})
-    SELECT *, ROUND(nav / LAG(nav, 252) OVER ({_W}) - 1, 6) AS rolling_return_252 FROM d""",
+    SELECT *, (ROUND(nav / LAG(nav, 252) OVER ({_W}) - 1, 6) + CAST(0 AS DOUBLE)) AS rolling_return_252 FROM d""",
 )
 def q_rolling_return_252(spark, sf_dir):
     return r6(T.rolling_return(S.daily(spark, sf_dir)), ["rolling_return_252"])
@@ -117,7 +117,7 @@ def q_one_per_date(spark, sf_dir):
     first AS (SELECT scheme_code, date, nav FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_code, date
         ORDER BY nav IS NOT NULL DESC, l_orderkey, l_linenumber, nav) AS k FROM raw) WHERE k = 1)
     SELECT r.scheme_code, r.date, any_value(f.nav) AS first_nav, MIN(r.nav) AS min_nav, MAX(r.nav) AS max_nav,
-           ROUND(AVG(r.nav), 6) AS mean_nav
+           (ROUND(AVG(r.nav), 6) + CAST(0 AS DOUBLE)) AS mean_nav
     FROM raw r JOIN first f USING (scheme_code, date) GROUP BY 1, 2""",
 )
 def q_one_per_date_rules(spark, sf_dir):
@@ -140,8 +140,8 @@ def q_fill_raw_rows(spark, sf_dir):
     f"""WITH {_FILLED_SQL}, r AS (
       SELECT scheme_code, date, nav, fl / LAG(fl) OVER ({_W}) - 1 AS perc_return,
              fl / LAG(fl, 252) OVER ({_W}) - 1 AS rolling_return_252, MAX(nav) OVER {_RUN} AS cumulative_max FROM f)
-    SELECT scheme_code, date, nav, ROUND(perc_return, 6) AS perc_return, ROUND(ln(1 + perc_return), 6) AS log_return,
-           cumulative_max, ROUND(nav / cumulative_max - 1, 6) AS drawdown, ROUND(rolling_return_252, 6) AS rolling_return_252 FROM r""",
+    SELECT scheme_code, date, nav, (ROUND(perc_return, 6) + CAST(0 AS DOUBLE)) AS perc_return, (ROUND(ln(1 + perc_return), 6) + CAST(0 AS DOUBLE)) AS log_return,
+           cumulative_max, (ROUND(nav / cumulative_max - 1, 6) + CAST(0 AS DOUBLE)) AS drawdown, (ROUND(rolling_return_252, 6) + CAST(0 AS DOUBLE)) AS rolling_return_252 FROM r""",
 )
 def q_returns_raw_rows(spark, sf_dir):
     """Returns, drawdown and 252-row return of raw lines: three operators over one shuffle of the calendar."""
@@ -177,7 +177,7 @@ KPI_DOUBLES = [
 @register(
     "fund_kpis",
     f"WITH {KPI_SQL} SELECT scheme_code, start_nav, end_nav, start_date, end_date, data_points, days, "
-    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in KPI_DOUBLES)
+    + ", ".join(f"(ROUND({c}, 6) + CAST(0 AS DOUBLE)) AS {c}" for c in KPI_DOUBLES)
     + " FROM kpis",
 )
 def q_fund_kpis(spark, sf_dir):
@@ -190,7 +190,7 @@ _RAW_KPI_SQL = KPI_SQL.replace(f"d AS ({S.DAILY_SQL})", f"{_RAW_SQL}, d AS (SELE
 @register(
     "kpis_raw_rows",
     f"WITH {_RAW_KPI_SQL} SELECT scheme_code, start_nav, end_nav, start_date, end_date, data_points, days, "
-    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in KPI_DOUBLES)
+    + ", ".join(f"(ROUND({c}, 6) + CAST(0 AS DOUBLE)) AS {c}" for c in KPI_DOUBLES)
     + " FROM kpis",
 )
 def q_kpis_raw_rows(spark, sf_dir):
@@ -213,8 +213,8 @@ def q_risk_labels(spark, sf_dir):
 @register(
     "lump_sum",
     f"""WITH {KPI_SQL}
-    SELECT scheme_code, CAST(100000.0 AS DOUBLE) AS amount, ROUND(100000.0 * growth_multiple, 6) AS final_value,
-           ROUND(100000.0 * growth_multiple - 100000.0, 6) AS gain FROM kpis""",
+    SELECT scheme_code, CAST(100000.0 AS DOUBLE) AS amount, (ROUND(100000.0 * growth_multiple, 6) + CAST(0 AS DOUBLE)) AS final_value,
+           (ROUND(100000.0 * growth_multiple - 100000.0, 6) + CAST(0 AS DOUBLE)) AS gain FROM kpis""",
 )
 def q_lump_sum(spark, sf_dir):
     return r6(P.lump_sum(S.daily_kpis(spark, sf_dir)).select("scheme_code", "amount", "final_value", "gain"), ["final_value", "gain"])
@@ -252,7 +252,7 @@ def _peers(spark, sf_dir):
 @register(
     "peer_rank",
     f"WITH {_PEER_SQL} SELECT scheme_code, scheme_category, peer_count, peer_rank, total_funds, "
-    "ROUND(cagr_pct, 6) AS cagr_pct, ROUND(percentile, 6) AS percentile FROM peers",
+    "(ROUND(cagr_pct, 6) + CAST(0 AS DOUBLE)) AS cagr_pct, (ROUND(percentile, 6) + CAST(0 AS DOUBLE)) AS percentile FROM peers",
 )
 def q_peer_rank(spark, sf_dir):
     df = _peers(spark, sf_dir).select(
@@ -264,7 +264,7 @@ def q_peer_rank(spark, sf_dir):
 @register(
     "peer_summary",
     f"WITH {_PEER_SQL} SELECT scheme_code, "
-    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in _PEER_DOUBLES[1:4])
+    + ", ".join(f"(ROUND({c}, 6) + CAST(0 AS DOUBLE)) AS {c}" for c in _PEER_DOUBLES[1:4])
     + " FROM peers",
 )
 def q_peer_summary(spark, sf_dir):
@@ -277,7 +277,7 @@ def q_peer_summary(spark, sf_dir):
     t AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY scheme_category ORDER BY cagr DESC, scheme_code) AS position FROM e)
     SELECT scheme_category, CAST(position AS INTEGER) AS position, scheme_code,
            CASE WHEN length(scheme_name) > 50 THEN substr(scheme_name, 1, 50) || '...' ELSE scheme_name END AS scheme_name_short,
-           ROUND(cagr * 100, 6) AS cagr_pct
+           (ROUND(cagr * 100, 6) + CAST(0 AS DOUBLE)) AS cagr_pct
     FROM t WHERE position <= 5""",
 )
 def q_top_peers(spark, sf_dir):
@@ -292,7 +292,7 @@ def q_top_peers(spark, sf_dir):
               FROM info i JOIN e ON e.scheme_category = i.scheme_category AND e.scheme_code <> i.scheme_code)
     SELECT scheme_code, CAST(position AS INTEGER) AS position, peer_code,
            CASE WHEN length(peer_name) > 50 THEN substr(peer_name, 1, 50) || '...' ELSE peer_name END AS peer_name_short,
-           ROUND(cagr * 100, 6) AS cagr_pct
+           (ROUND(cagr * 100, 6) + CAST(0 AS DOUBLE)) AS cagr_pct
     FROM pairs WHERE position <= 5""",
 )
 def q_best_peers(spark, sf_dir):
@@ -321,7 +321,7 @@ def _monthly(spark, sf_dir):
     "monthly_returns",
     f"""WITH {_MONTHLY_SQL}
     SELECT scheme_code, CAST(year_month AS DATE) AS year_month, nav_start, nav_end, date_start, date_end,
-           ROUND(monthly_return, 6) AS monthly_return, month, year FROM monthly""",
+           (ROUND(monthly_return, 6) + CAST(0 AS DOUBLE)) AS monthly_return, month, year FROM monthly""",
 )
 def q_monthly_returns(spark, sf_dir):
     return r6(_monthly(spark, sf_dir), ["monthly_return"])
@@ -330,7 +330,7 @@ def q_monthly_returns(spark, sf_dir):
 @register(
     "seasonality",
     f"""WITH {_MONTHLY_SQL}
-    SELECT scheme_code, month, ROUND(AVG(monthly_return), 6) AS mean, ROUND(STDDEV_SAMP(monthly_return), 6) AS std,
+    SELECT scheme_code, month, (ROUND(AVG(monthly_return), 6) + CAST(0 AS DOUBLE)) AS mean, (ROUND(STDDEV_SAMP(monthly_return), 6) + CAST(0 AS DOUBLE)) AS std,
            COUNT(monthly_return) AS count, strftime(make_date(2000, month, 1), '%B') AS month_name
     FROM monthly GROUP BY scheme_code, month""",
 )
@@ -341,10 +341,10 @@ def q_seasonality(spark, sf_dir):
 @register(
     "best_worst_month",
     f"""WITH {_MONTHLY_SQL},
-    b AS (SELECT scheme_code, CAST(year_month AS DATE) AS best_month, ROUND(monthly_return, 6) AS best_return,
+    b AS (SELECT scheme_code, CAST(year_month AS DATE) AS best_month, (ROUND(monthly_return, 6) + CAST(0 AS DOUBLE)) AS best_return,
                  ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY monthly_return DESC, year_month) AS rn
           FROM monthly WHERE monthly_return IS NOT NULL),
-    w AS (SELECT scheme_code, CAST(year_month AS DATE) AS worst_month, ROUND(monthly_return, 6) AS worst_return,
+    w AS (SELECT scheme_code, CAST(year_month AS DATE) AS worst_month, (ROUND(monthly_return, 6) + CAST(0 AS DOUBLE)) AS worst_return,
                  ROW_NUMBER() OVER (PARTITION BY scheme_code ORDER BY monthly_return ASC, year_month) AS rn
           FROM monthly WHERE monthly_return IS NOT NULL)
     SELECT b.scheme_code, best_month, best_return, worst_month, worst_return
@@ -366,8 +366,8 @@ def q_best_worst_month(spark, sf_dir):
                   MAX(CASE WHEN monthly_return <= hi THEN monthly_return END) AS whisker_high,
                   COUNT(*) FILTER (WHERE monthly_return < lo OR monthly_return > hi) AS outliers
            FROM monthly m JOIN q2 USING (scheme_code, month) WHERE monthly_return IS NOT NULL GROUP BY 1, 2)
-    SELECT scheme_code, month, ROUND(q1, 6) AS q1, ROUND(median, 6) AS median, ROUND(q3, 6) AS q3,
-           ROUND(iqr, 6) AS iqr, ROUND(whisker_low, 6) AS whisker_low, ROUND(whisker_high, 6) AS whisker_high,
+    SELECT scheme_code, month, (ROUND(q1, 6) + CAST(0 AS DOUBLE)) AS q1, (ROUND(median, 6) + CAST(0 AS DOUBLE)) AS median, (ROUND(q3, 6) + CAST(0 AS DOUBLE)) AS q3,
+           (ROUND(iqr, 6) + CAST(0 AS DOUBLE)) AS iqr, (ROUND(whisker_low, 6) + CAST(0 AS DOUBLE)) AS whisker_low, (ROUND(whisker_high, 6) + CAST(0 AS DOUBLE)) AS whisker_high,
            outliers, strftime(make_date(2000, month, 1), '%b') AS month_abbr
     FROM q2 JOIN wh USING (scheme_code, month)""",
 )
@@ -376,8 +376,8 @@ def q_month_quartiles(spark, sf_dir):
 
 
 _MONTH_COLS = ",\n".join(
-    f"""round_even(CASE WHEN COUNT(*) FILTER (WHERE month(date) = {i}) > 0
-           THEN (COALESCE(PRODUCT(1 + r) FILTER (WHERE month(date) = {i}), 1.0) - 1) * 100 END, 2) AS "{m}" """
+    f"""(round_even(CASE WHEN COUNT(*) FILTER (WHERE month(date) = {i}) > 0
+           THEN (COALESCE(PRODUCT(1 + r) FILTER (WHERE month(date) = {i}), 1.0) - 1) * 100 END, 2) + CAST(0 AS DOUBLE)) AS "{m}" """
     for i, m in enumerate(P.MONTH_ABBR, start=1)
 )
 
@@ -386,7 +386,7 @@ _MONTH_COLS = ",\n".join(
     "calendar_return_table",
     f"""WITH d AS ({S.DAILY_SQL}), x AS (SELECT *, nav / LAG(nav) OVER ({_W}) - 1 AS r FROM d)
     SELECT scheme_code, CAST(year(date) AS INTEGER) AS year, {_MONTH_COLS},
-           round_even((arg_max(nav, date) / arg_min(nav, date) - 1) * 100, 2) AS "YTD"
+           (round_even((arg_max(nav, date) / arg_min(nav, date) - 1) * 100, 2) + CAST(0 AS DOUBLE)) AS "YTD"
     FROM x GROUP BY 1, 2""",
 )
 def q_calendar_return_table(spark, sf_dir):
@@ -401,8 +401,8 @@ def q_calendar_return_table(spark, sf_dir):
     rg2 AS (SELECT *, CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo, CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi FROM rg),
     b AS (SELECT y.scheme_code, lo, hi, mean,
                  LEAST(CAST(FLOOR((v - lo) * 50 / (hi - lo)) AS INTEGER) + 1, 50) AS bin FROM y JOIN rg2 USING (scheme_code))
-    SELECT g.scheme_code, CAST(n.bin AS INTEGER) AS bin, ROUND(lo + (n.bin - 1) * ((hi - lo) / 50), 6) AS bin_low, ROUND(lo + n.bin * ((hi - lo) / 50), 6) AS bin_high,
-           (SELECT COUNT(*) FROM b WHERE b.scheme_code = g.scheme_code AND b.bin = n.bin) AS count, ROUND(mean, 6) AS mean
+    SELECT g.scheme_code, CAST(n.bin AS INTEGER) AS bin, (ROUND(lo + (n.bin - 1) * ((hi - lo) / 50), 6) + CAST(0 AS DOUBLE)) AS bin_low, (ROUND(lo + n.bin * ((hi - lo) / 50), 6) + CAST(0 AS DOUBLE)) AS bin_high,
+           (SELECT COUNT(*) FROM b WHERE b.scheme_code = g.scheme_code AND b.bin = n.bin) AS count, (ROUND(mean, 6) + CAST(0 AS DOUBLE)) AS mean
     FROM rg2 g CROSS JOIN (SELECT UNNEST(generate_series(1, 50)) AS bin) n""",
 )
 def q_return_histogram(spark, sf_dir):
