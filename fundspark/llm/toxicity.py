@@ -54,6 +54,7 @@ LANDMARKS = 300
 SAMPLE_PER_CLASS = 1500  # bound of the training sample, in rows
 SAMPLE_CHARS = 20_000  # training rows are taken from texts of at most so many characters
 ROUNDS = 4
+LETTERS = 3  # letters inserted at every place of a virtual example
 OFTEN = 5  # toxic texts of a unit that stands for them beside their highest-scoring one
 PART_BYTES = 1 << 17  # training texts handled at a time
 NOTHING = -10.0  # decision value of a text without units
@@ -346,11 +347,11 @@ def linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0,
 
 
 def gapped(units: list[bytes], rng: np.random.Generator) -> list[bytes]:
-    """Virtual examples: each unit with a letter, and with a space, inserted at every place inside it."""
+    """Virtual examples: each unit with one of some letters, and with a space, inserted at every place inside it."""
     out = []
     for u in units:
         for k in range(2, len(u) - 1):
-            out += [u[:k] + bytes([c]) + u[k:] for c in (int(rng.integers(1, 27)), MARK)]
+            out += [u[:k] + bytes([c]) + u[k:] for c in (*rng.integers(1, 27, LETTERS).tolist(), MARK)]
     return out
 
 
@@ -453,7 +454,7 @@ def train(bags: list[tuple[int, str]], landmarks: int = LANDMARKS, seed: int = 7
             virtual = [u for u, seen in zip(virtual, plain, strict=True) if not seen]
         x = np.vstack([features(sample.units(chosen) + virtual), x0])
         y = np.array([1.0] * (len(chosen) + len(virtual)) + [-1.0] * len(x0))
-        counts = np.concatenate([np.minimum(times[chosen], 20) * 2.0, np.full(len(virtual), 0.5)])
+        counts = np.concatenate([np.where(times[chosen] > 1, np.minimum(times[chosen], 20) * 2.0, 0.5), np.full(len(virtual), 0.5)])
         w, b = linear_svm(x, y, np.concatenate([counts, n0]))
         weights[codes] = (table[:-1] @ w).astype(np.float32)
         value = sample.values(weights)
@@ -469,8 +470,10 @@ def train(bags: list[tuple[int, str]], landmarks: int = LANDMARKS, seed: int = 7
     tp, tn = top[(sample.label == 1) & (top > NOTHING + b)], top[sample.label == 0]
     cuts = np.unique(np.concatenate([tp, tn]))
     cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
-    # A clean text called toxic counts three times: clean texts are far more common.
-    right = [(np.mean(tp >= c) + 3 * np.mean(tn < c), -abs(c), c) for c in cuts]
+    tv = unit_values(virtual, weights) + b if virtual else tp
+    # A clean text called toxic counts three times: clean texts are far more common; the virtual examples together
+    # count a tenth of the toxic texts.
+    right = [(np.mean(tp >= c) + 0.1 * np.mean(tv >= c) + 3 * np.mean(tn < c), -abs(c), c) for c in cuts]
     middle = max(right)[2]
     return Model(weights, float(middle - b))
 
