@@ -439,6 +439,60 @@ def test_quality_threshold():
     assert quality.best_threshold([1.0, 2.0], [3.0]) == 1.0
 
 
+@pytest.fixture(scope="module")
+def many_trusted(spark):
+    """12,000 trusted rows of a few words; the texts of the last of those that count and of the last of
+    those held out, in the order of their hash, are of words that no other row has."""
+    keys = spark.range(12_000).select(F.col("id").alias("_key"))
+    last = lambda part: keys.where(part).orderBy(F.xxhash64("_key").desc()).first()["_key"]
+    counted, held = last(~quality.held_out()), last(quality.held_out())
+    plain = [" ".join(f"w{(i + 7 * j) % 40}" for j in range(25)) for i in range(40)]
+    texts = [(i, plain[i % 40]) for i in range(12_000) if i not in (counted, held)]
+    texts += [(k, " ".join(f"odd{k}x{j}" for j in range(25))) for k in (counted, held)]
+    texts += [(20_000 + i, plain[i % 40]) for i in range(12_000)]
+    return counted, held, spark.createDataFrame(texts, "doc_id long, text string"), keys.withColumnRenamed("_key", "doc_id")
+
+
+def test_quality_counts_and_threshold_come_from_all_labelled_rows(many_trusted):
+    counted, held, docs, trusted = many_trusted
+    found = {r.doc_id: r for r in quality.quality_rules(docs, trusted).where(F.col("doc_id").isin(counted, held)).collect()}
+    # Its words occur in trusted rows only: trusted above the corpus, where half of the rows are.
+    assert found[counted].score > 0
+    # No held-out trusted row has a lower score, which is the threshold where nothing is rejected.
+    assert found[held].score < -1 and found[held].kept
+
+
+def test_quality_threshold_weighs_every_rejected_row(many_trusted, spark):
+    _, _, docs, trusted = many_trusted
+    # In the order of their hash the first 2,000 rejected rows are far from the trusted ones, the others near.
+    ids = [r.id for r in spark.range(40_000, 45_000).orderBy(F.xxhash64("id")).collect()]
+    odd = [(k, " ".join(f"{'z' if i < 2000 or j % 6 == 0 else 'w'}{(i + 7 * j) % 40}" for j in range(25))) for i, k in enumerate(ids)]
+    odd = spark.createDataFrame(odd, "doc_id long, text string")
+    judged = quality.quality_rules(docs.unionByName(odd), trusted, rejected=odd.select("doc_id"))
+    rows = judged.withColumn("_key", F.col("doc_id")).withColumn("good", quality.held_out() & (F.col("doc_id") < 12_000))
+    rows = rows.where("good or doc_id >= 40000").select("good", "score").collect()
+    want = quality.best_threshold([r.score for r in rows if r.good], [r.score for r in rows if not r.good])
+    assert judged.where(F.col("kept") != (F.col("score") >= want)).count() == 0
+    assert judged.where("doc_id >= 40000 and kept").count() == 0
+
+
+def test_quality_cut_on_rows_equals_the_one_on_lists(spark):
+    rng = np.random.default_rng(7)
+    for n, m, digits in [(300, 200, 2), (40, 500, 1), (500, 40, 9), (3, 0, 1), (0, 3, 1), (1, 1, 0), (5, 5, 0)]:
+        good, bad = np.round(rng.normal(0.3, 1, n), digits).tolist(), np.round(rng.normal(0, 1, m), digits).tolist()
+        rows = spark.createDataFrame([(x, 1) for x in good] + [(x, 0) for x in bad], "score double, _good int")
+        assert quality.best_cut(rows) == quality.best_threshold(good, bad)
+
+
+def test_quality_is_the_same_where_the_texts_are_shuffled(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(edge_docs(spark).select("doc_id", "text"))
+    trusted, rejected = (spark.read.parquet(f"{SF}/labels.parquet").where(f"quality = {q}").select("doc_id") for q in (1, 0))
+    run = lambda: collections.Counter(map(tuple, quality.quality_rules(docs, trusted, rejected=rejected).collect()))
+    want = run()
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", 0)
+    assert run() == want
+
+
 def test_html_keeps_every_part_of_the_article(spark):
     long, short = "long text of the body. " * 40, "the lead in short."
     body = f'<div class="body"><p>{long}</p></div>'
