@@ -476,6 +476,12 @@ def test_quality_threshold_weighs_every_rejected_row(many_trusted, spark):
     assert judged.where("doc_id >= 40000 and kept").count() == 0
 
 
+def test_pipeline_keeps_by_all_labelled_rows(many_trusted):
+    counted, held, docs, trusted = many_trusted
+    kept = quality.keep_good(docs, trusted).where(F.col("doc_id").isin(counted, held)).collect()
+    assert {r.doc_id for r in kept} == {counted, held}
+
+
 def test_quality_cut_on_rows_equals_the_one_on_lists(spark):
     rng = np.random.default_rng(7)
     for n, m, digits in [(300, 200, 2), (40, 500, 1), (500, 40, 9), (3, 0, 1), (0, 3, 1), (1, 1, 0), (5, 5, 0)]:
