@@ -482,6 +482,50 @@ def test_pipeline_keeps_by_all_labelled_rows(many_trusted):
     assert {r.doc_id for r in kept} == {counted, held}
 
 
+@pytest.fixture(scope="module")
+def odd_trusted(spark):
+    """400 trusted rows of a few words but for one of each kind of fold, whose words no other trusted row
+    has; the keys of these two, and unlabelled rows 1000 of the words of the first, half, 1001 of those of
+    the second, and others of few words."""
+    fold = {r.id: r.held for r in spark.range(400).select("id", quality.fold_of(F.col("id")).alias("held")).collect()}
+    later, first = max(k for k in fold if fold[k] > 0), max(k for k in fold if fold[k] == 0)
+    plain = [" ".join(f"w{(i + 7 * j) % 40}" for j in range(25)) for i in range(40)]
+    odd = {k: " ".join(f"odd{k}x{j}" for j in range(25)) for k in (later, first)}
+    texts = [(i, odd.get(i, plain[i % 40])) for i in range(400)] + [(2000 + i, plain[i % 40]) for i in range(400)]
+    texts += [(1000, " ".join(f"new{j}" if j % 2 else f"w{7 * j % 40}" for j in range(25))), (1001, odd[first])]
+    return later, first, spark.createDataFrame(texts, "doc_id long, text string"), spark.range(400).withColumnRenamed("id", "doc_id")
+
+
+def test_quality_threshold_comes_from_trusted_rows_of_every_fold(odd_trusted):
+    later, first, docs, trusted = odd_trusted
+    # The one trusted row far from the others is in a fold that was counted, and not in the threshold, before.
+    docs, trusted = docs.where(F.col("doc_id") != first), trusted.where(F.col("doc_id") != first)
+    found = {r.doc_id: r for r in quality.quality_rules(docs, trusted).where("doc_id >= 1000 and doc_id < 2000").collect()}
+    assert -2 < found[1000].score < -0.5 and found[1000].kept
+    assert quality.keep_good(docs, trusted).where("doc_id = 1000").count() == 1
+    without = trusted.where(F.col("doc_id") != later)
+    assert quality.keep_good(docs.where(F.col("doc_id") != later), without).where("doc_id = 1000").count() == 0
+
+
+def test_quality_counts_trusted_rows_of_every_fold(odd_trusted):
+    later, first, docs, trusted = odd_trusted
+    score = {r.doc_id: r.score for r in quality.quality_rules(docs, trusted).collect()}
+    # Row 1001 repeats a trusted row of the first fold, whose own label is not in its own score.
+    assert score[1001] > -0.2 and score[first] < -2 and score[later] > 0
+
+
+def test_quality_ratios_without_a_fold(odd_trusted):
+    _, _, docs, trusted = odd_trusted
+    keys = quality.keys_of(trusted, "doc_id")
+    found = {r.b: r.others for r in quality.ratio_table(docs, keys).collect()}
+    for k in range(quality.FOLDS):
+        want = quality.ratio_table(docs, keys.where(quality.fold_of(F.col("_key")) != k)).collect()
+        assert {r.b: r.ratio for r in want} == {b: others[k] for b, others in found.items()}
+    # Of trusted rows in one fold alone nothing is left to weigh them by: only the base rule decides.
+    alone = trusted.where(quality.fold_of(F.col("doc_id")) == 3)
+    assert quality.quality_rules(docs, alone).where(F.col("kept") == F.col("base_failed")).count() == 0
+
+
 def test_quality_cut_on_rows_equals_the_one_on_lists(spark):
     rng = np.random.default_rng(7)
     for n, m, digits in [(300, 200, 2), (40, 500, 1), (500, 40, 9), (3, 0, 1), (0, 3, 1), (1, 1, 0), (5, 5, 0)]:
